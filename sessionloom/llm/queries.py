@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm import bpe, exact_dedup, mixing, quality_cnn, simhash
+from sessionloom.llm import bpe, exact_dedup, line_dedup, lm_score, minhash, mixing, quality_cnn, secrets, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,12 +18,27 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target model counts the documents labelled 1, the background model all."""
+    targets = _table(spark, sf_dir, "labels").where("quality = 1")
+    return lm_score.score(_table(spark, sf_dir, "documents"), targets)
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality_cnn.train(docs, _table(spark, sf_dir, "labels"))
     return quality_cnn.score(docs, model, ["doc_id"]).select("doc_id", quality_cnn.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.without_boilerplate(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -32,13 +47,31 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), outputs=("sha",))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash, op4_quality, op6_mixing, op7_bpe, op9_exact_dedup)}
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_simhash, op2_lm_score, op3_secrets, op4_quality, op5_line_dedup, op6_mixing, op7_bpe, op8_substring_dedup, op9_exact_dedup, op10_fingerprints,
+)}
 
 ORACLES: dict[str, str] = {
+    "op5_line_dedup": """
+with split as (select doc_id, source, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+lines as (select doc_id, source, unnest(lines) as line, unnest(range(1, len(lines) + 1)) as pos from split),
+spread as (select line from lines where trim(regexp_replace(line, '[\x09-\x0D]', ' ', 'g')) <> '' group by line having count(distinct coalesce('s' || source, 'n')) >= 3),
+marked as (select l.*, s.line is not null as gone from lines l left join spread s on l.line = s.line)
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_removed,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+from marked group by doc_id""",
     "op6_mixing": """
 with sized as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size,
