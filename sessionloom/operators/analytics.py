@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sessionloom.config import Analytics
 from sessionloom.functions.columns import ratio
+from sessionloom.operators.sessions import by_symbol, so_far
 
-W = Window.partitionBy("symbol").orderBy("session_date")
-SO_FAR = W.rowsBetween(Window.unboundedPreceding, 0)
 
 
 def prices(aligned: DataFrame) -> DataFrame:
@@ -32,15 +30,15 @@ def window_prices(table: DataFrame) -> DataFrame:
 
 def returns(table: DataFrame) -> DataFrame:
     """table with ret: the return between adjacent rows, null if either has no price."""
-    return table.withColumn("ret", F.col("price") / F.lag("price").over(W) - 1)
+    return table.withColumn("ret", F.col("price") / F.lag("price").over(by_symbol()) - 1)
 
 
 def drawdowns(table: DataFrame) -> DataFrame:
-    return table.withColumn("drawdown", F.col("price") / F.max("price").over(SO_FAR) - 1)
+    return table.withColumn("drawdown", F.col("price") / F.max("price").over(so_far()) - 1)
 
 
 def normalized(table: DataFrame) -> DataFrame:
-    return table.withColumn("normalized", F.col("price") / F.first("price").over(SO_FAR) * 100)
+    return table.withColumn("normalized", F.col("price") / F.first("price").over(so_far()) * 100)
 
 
 def with_benchmark(rets: DataFrame, benchmark: str) -> DataFrame:
@@ -93,7 +91,7 @@ def sector_summary(table: DataFrame, sectors: DataFrame, benchmark: str) -> Data
 def rolling(rets: DataFrame, config: Analytics = Analytics()) -> DataFrame:
     """Rolling volatility and beta over full windows of returns."""
     n = config.rolling
-    frame = W.rowsBetween(1 - n, 0)
+    frame = by_symbol().rowsBetween(1 - n, 0)
     rows = with_benchmark(rets, config.benchmark)
     bench = F.when(F.col("ret").isNotNull(), F.col("bench"))
     full, paired = F.count("ret").over(frame) == n, F.count(bench).over(frame) == n

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from sessionloom.config import Features
 from sessionloom.functions.columns import divide, finite, over_full
@@ -14,7 +14,11 @@ from sessionloom.functions.recursive import ema, recurse, wilder
 from sessionloom.operators.sessions import available_at
 
 KEYS = ["symbol", "segment_id"]
-RUN = Window.partitionBy(*KEYS).orderBy("session_date")
+
+
+def in_run() -> WindowSpec:
+    """Rows of a gap-free run in order."""
+    return Window.partitionBy(*KEYS).orderBy("session_date")
 
 
 def feature_names(config: Features = Features()) -> list[str]:
@@ -35,26 +39,26 @@ def adjusted(rows: DataFrame) -> DataFrame:
 def _simple(config: Features) -> dict[str, Column]:
     """Features that lags and sliding frames express."""
     c, h, low, v = (F.col(x) for x in "chlv")
-    out = {f"return_{n}d": c / F.lag(c, n).over(RUN) - 1 for n in config.returns}
+    out = {f"return_{n}d": c / F.lag(c, n).over(in_run()) - 1 for n in config.returns}
     for n in config.sma:
-        out[f"sma_{n}"] = over_full(F.avg, c, RUN, 1 - n, 0)
+        out[f"sma_{n}"] = over_full(F.avg, c, in_run(), 1 - n, 0)
         out[f"distance_sma_{n}"] = divide(c, out[f"sma_{n}"]) - 1
     n = config.bollinger
-    middle, spread = over_full(F.avg, c, RUN, 1 - n, 0), config.bollinger_width * over_full(F.stddev_pop, c, RUN, 1 - n, 0)
+    middle, spread = over_full(F.avg, c, in_run(), 1 - n, 0), config.bollinger_width * over_full(F.stddev_pop, c, in_run(), 1 - n, 0)
     out |= {"bollinger_middle": middle, "bollinger_upper": middle + spread, "bollinger_lower": middle - spread}
-    back = F.lag(c, config.momentum).over(RUN)
+    back = F.lag(c, config.momentum).over(in_run())
     out |= {"momentum_10": c - back, "roc_10": c / back - 1}
-    high, lowest = over_full(F.max, h, RUN, 1 - config.extremes, 0), over_full(F.min, low, RUN, 1 - config.extremes, 0)
+    high, lowest = over_full(F.max, h, in_run(), 1 - config.extremes, 0), over_full(F.min, low, in_run(), 1 - config.extremes, 0)
     out |= {"high_252": high, "low_252": lowest, "distance_high_252": divide(c, high) - 1, "distance_low_252": divide(c, lowest) - 1}
-    out |= {"volume_change_1d": divide(v, F.lag(v, 1).over(RUN)) - 1, "volume_sma_20": over_full(F.avg, v, RUN, 1 - config.volume, 0)}
-    out["relative_volume_20"] = divide(v, over_full(F.avg, v, RUN, -config.volume, -1))
+    out |= {"volume_change_1d": divide(v, F.lag(v, 1).over(in_run())) - 1, "volume_sma_20": over_full(F.avg, v, in_run(), 1 - config.volume, 0)}
+    out["relative_volume_20"] = divide(v, over_full(F.avg, v, in_run(), -config.volume, -1))
     return out
 
 
 def run_features(rows: DataFrame, config: Features = Features()) -> DataFrame:
     """Features of eligible rows. Every window and recursion starts anew in each (symbol, segment_id)."""
     c = F.col("c")
-    out = adjusted(rows).withColumns({"_pos": F.row_number().over(RUN) - 1, "_before": F.lag("c", 1).over(RUN)})
+    out = adjusted(rows).withColumns({"_pos": F.row_number().over(in_run()) - 1, "_before": F.lag("c", 1).over(in_run())})
     change = c - F.col("_before")
     out = out.withColumns({
         "log_return_1d": F.ln(c / F.col("_before")), "_gain": F.greatest(change, F.lit(0.0)), "_loss": F.greatest(-change, F.lit(0.0)),
@@ -72,7 +76,7 @@ def run_features(rows: DataFrame, config: Features = Features()) -> DataFrame:
     more[f"rsi_{config.rsi}"] = F.when((down == 0) & (up > 0), 100.0).when((down == 0) & (up == 0), 50.0).otherwise(100 - 100 / (1 + divide(up, down)))
     more |= {"macd_histogram": F.col("macd") - F.col("macd_signal"), "atr_fraction": divide(F.col(f"atr_{config.atr}"), c)}
     for n in config.volatility:
-        more[f"volatility_{n}"] = over_full(F.stddev_samp, F.col("log_return_1d"), RUN, 1 - n, 0) * F.sqrt(F.lit(float(config.year)))
+        more[f"volatility_{n}"] = over_full(F.stddev_samp, F.col("log_return_1d"), in_run(), 1 - n, 0) * F.sqrt(F.lit(float(config.year)))
     out = out.withColumns(more)
     upper, lower = F.col("bollinger_upper"), F.col("bollinger_lower")
     out = out.withColumns({"bollinger_width": divide(upper - lower, F.col("bollinger_middle")), "bollinger_percent_b": divide(c - lower, upper - lower)})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sessionloom.config import Models
-from sessionloom.operators.sessions import BY_SYMBOL, horizon_eligible
+from sessionloom.operators.sessions import by_symbol, horizon_eligible
 
 
 def labels(aligned: DataFrame) -> DataFrame:
@@ -17,8 +17,8 @@ def labels(aligned: DataFrame) -> DataFrame:
     price = F.col("adj_close")
     out = {}
     for h in (1, 5):
-        out[f"future_return_{h}d"] = F.when(horizon_eligible(F.col("feature_eligible"), h), F.lead(price, h).over(BY_SYMBOL) / price - 1)
-        out[f"target_date_{h}d"] = F.lead("session_date", h).over(BY_SYMBOL)
+        out[f"future_return_{h}d"] = F.when(horizon_eligible(F.col("feature_eligible"), h), F.lead(price, h).over(by_symbol()) / price - 1)
+        out[f"target_date_{h}d"] = F.lead("session_date", h).over(by_symbol())
     made = aligned.select("symbol", "session_date", "feature_eligible", *[v.alias(k) for k, v in out.items()])
     direction = F.when(F.col("future_return_1d").isNotNull(), (F.col("future_return_1d") > 0).cast("double"))
     return made.drop("feature_eligible").withColumn("direction_1d", direction)

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
-BY_SYMBOL = Window.partitionBy("symbol").orderBy("session_date")
-SO_FAR = BY_SYMBOL.rowsBetween(Window.unboundedPreceding, 0)
+
+def by_symbol() -> WindowSpec:
+    return Window.partitionBy("symbol").orderBy("session_date")
+
+
+def so_far() -> WindowSpec:
+    return by_symbol().rowsBetween(Window.unboundedPreceding, 0)
 
 
 def days(first: DataFrame) -> DataFrame:
@@ -53,7 +58,7 @@ def align(clean: DataFrame, calendar: DataFrame) -> DataFrame:
     masks = {
         "volume_feature_eligible": eligible & F.coalesce(F.col("volume") > 0, F.lit(False)),
         "gap_disposition": F.when(F.col("gap"), "excluded_no_imputation").otherwise(""),
-        "segment_id": F.sum(F.when(eligible, 0).otherwise(1)).over(SO_FAR),
+        "segment_id": F.sum(F.when(eligible, 0).otherwise(1)).over(so_far()),
     }
     for h in (1, 5):
         masks[f"target_{h}d_eligible"] = horizon_eligible(eligible, h)
@@ -62,7 +67,7 @@ def align(clean: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def horizon_eligible(eligible: Column, h: int) -> Column:
     """True where this session and the next h all are eligible; false past the end."""
-    frame = BY_SYMBOL.rowsBetween(0, h)
+    frame = by_symbol().rowsBetween(0, h)
     return F.bool_and(eligible).over(frame) & (F.count(F.lit(1)).over(frame) == h + 1)
 
 
@@ -74,7 +79,7 @@ def segment_age(aligned: DataFrame) -> DataFrame:
 
 def available_at(observed: Column, valid: Column) -> Column:
     """Latest observation so far, on valid rows."""
-    return F.when(valid, F.max(observed).over(SO_FAR))
+    return F.when(valid, F.max(observed).over(so_far()))
 
 
 def gaps(aligned: DataFrame) -> DataFrame:
