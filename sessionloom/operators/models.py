@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.config import Models
 from sessionloom.operators.labels import fold_medians, imputed
+from sessionloom.sources.scratch import new_path
 
 
 def estimator(name: str, direction: bool, rows: int, config: Models = Models()):
@@ -55,8 +56,12 @@ def predict(model: PipelineModel, rows: DataFrame, target: str) -> DataFrame:
 
 
 def walk_forward(marks: DataFrame, names: list[str], target: str, name: str, symbols: list[str], fold_ids: list[int], config: Models = Models()) -> DataFrame:
-    """Predictions of the test rows of each fold by a model fitted on that fold's training rows. Each fit is distributed."""
+    """Predictions of the test rows of each fold by a model fitted on that fold's training rows. The design is written once, by
+    fold; each fit is distributed."""
     rows, columns = design(marks, names, target, symbols)
+    path = new_path(marks.sparkSession, "design")
+    rows.write.partitionBy("fold").parquet(path)
+    rows = marks.sparkSession.read.schema(rows.schema).parquet(path)
     out = None
     for fold in fold_ids:
         own = rows.where(F.col("fold") == fold)

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from sessionloom.plans import landing, research  # noqa: F401
+from sessionloom.plans import landing, relations, research  # noqa: F401
 from sessionloom.plans.registry import ORACLES, QUERIES  # noqa: F401
