@@ -201,8 +201,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
     tie = F.shiftright("place", 32)
     whole = found.where("same").select("doc_id", tie.alias("tie"), (pos - F.col("ahead")).cast("int").alias("lo"), (pos + F.col("behind")).cast("int").alias("hi"))
     places = found.where("not same").select("doc_id", tie.alias("tie"), "place").groupBy("doc_id", "tie").agg(F.collect_list("place").alias("places"))
-    windows = tied.join(places, ["doc_id", "tie"]).mapInArrow(_windows(length, seed), f"w1 long, w2 long, doc_id {kind}, place long")
-    windows = cut(windows, "windows")
+    # both joins with the texts are left joins on the same columns and belong to one job, so that the texts are shuffled once for both
+    with_places = tied.join(places, ["doc_id", "tie"], "left").select("doc_id", "text", "tie", F.coalesce("places", F.array().cast("array<bigint>")).alias("places"))
+    windows = with_places.mapInArrow(_windows(length, seed), f"w1 long, w2 long, doc_id {kind}, place long")
     firsts = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
     again = windows.join(firsts, ["w1", "w2"]).where("doc_id > least").select("doc_id", tie.alias("tie"), pos.cast("int").alias("lo"), (pos + length).cast("int").alias("hi"))
     spans = whole.unionByName(again).groupBy("doc_id", "tie").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
