@@ -133,8 +133,8 @@ def exact_groups(docs: DataFrame, key_bits: int = 64) -> DataFrame:
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that exact_groups keeps, with all their columns: one of each group of equal texts."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha"))
     sha = F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256)
-    found = docs.withColumn("kept_sha", sha).alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.kept_id")) & (F.col("d.kept_sha") == F.col("k.kept_sha"))).drop(F.col("d.kept_sha"))
+    found = docs.withColumn("__kept_sha", sha).alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.__kept_id")) & (F.col("d.__kept_sha") == F.col("k.__kept_sha"))).drop(F.col("d.__kept_sha"))
     # rows may repeat a doc_id with the same text
-    return found.withColumn("nth", F.row_number().over(Window.partitionBy("kept_id", "kept_sha").orderBy("text"))).where("nth = 1").select(*docs.columns)
+    return found.withColumn("__nth", F.row_number().over(Window.partitionBy("__kept_id", "__kept_sha").orderBy("text"))).where("__nth = 1").select(*docs.columns)
