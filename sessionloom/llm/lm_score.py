@@ -17,6 +17,7 @@ VOCABULARY = 65_535  # most frequent words; all others are one class
 FREQUENT = 65_536  # bigrams that are scored where the text is read
 SMOOTHING = 10.0  # weight of the lower order
 BROADCAST_IDS = 4_000_000  # target ids up to which they are broadcast
+PART = 100_000  # bigrams that are looked up together
 SLICE = 1 << 21
 
 
@@ -117,11 +118,14 @@ def score(docs: DataFrame, target_ids: DataFrame, vocabulary_size: int = VOCABUL
     top_keys = np.array([r["bigram"] for r in top], np.int64)
     top_losses = models.value.losses(top_keys, np.array([[r["target"] for r in top], [r["background"] for r in top]], np.float64))
     hot = spark.sparkContext.broadcast((top_keys, top_losses))
-    parts = max(1, counts.count() // 200_000)
+    parts = max(1, counts.count() // PART)
 
     blocks = docs.withColumn("tie", F.xxhash64("text")).mapInArrow(_posting_blocks(vocab, hot, parts), f"part int, ids array<{kind}>, ties array<bigint>, {', '.join(f'{c} array<{t}>' for c, t in SUMS + POSTINGS)}")
-    rows = counts.withColumn("part", F.pmod("bigram", F.lit(parts)).cast("int")).unionByName(blocks, allowMissingColumns=True)
-    dealt = rows.repartition("part").sortWithinPartitions("part", F.col("bigram").isNull())
+    # a part has about PART bigrams, in one row: writers of lists are slow with many small rows
+    tables = counts.groupBy(F.pmod("bigram", F.lit(parts)).cast("int").alias("part")).agg(F.collect_list(F.struct("bigram", "target", "background")).alias("t"))
+    tables = tables.select("part", *[F.col(f"t.{c}").alias(f"table_{c}") for c in ("bigram", "target", "background")])
+    rows = tables.unionByName(blocks, allowMissingColumns=True)
+    dealt = rows.repartition("part").sortWithinPartitions("part", F.col("table_bigram").isNull())
     sums = dealt.mapInArrow(_meet(models), f"id {kind}, id_tie bigint, {', '.join(f'{c} double' for c, _ in SUMS)}").groupBy("id", "id_tie").agg(*[F.sum(c).alias(c) for c, _ in SUMS])
     rows = docs.select("doc_id", F.xxhash64("text").alias("tie"), word_count(F.col("text")).alias("n_tokens"))
     out = rows.join(sums, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("id_tie")), "left")
@@ -168,37 +172,27 @@ def _posting_blocks(vocab, hot, parts: int):
 
 
 def _meet(models):
-    """Losses of the blocks of postings. The rows of a part come with its bigrams' counts first."""
+    """Losses of the blocks of postings. The first row of a part is the table of its bigrams' counts."""
 
     def run(batches):
-        now, table, gathered = None, None, []
         for batch in batches:
-            part = batch.column("part").to_numpy()
-            is_block = batch.column("bigram").is_null().to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (is_block[1:] != is_block[:-1]))) if len(part) else []
-            for a, b in zip(edges, [*edges[1:], len(part)]):
-                if part[a] != now:
-                    now, table, gathered = part[a], None, []
-                rows = batch.slice(a, b - a)
-                if not is_block[a]:
-                    gathered.append(np.stack([rows.column(c).to_numpy(zero_copy_only=False) for c in ("bigram", "target", "background")]))
-                    continue
-                if table is None:
-                    table = np.concatenate(gathered, axis=1) if gathered else np.zeros((3, 0), np.int64)
-                    table = table[:, np.argsort(table[0])].astype(np.int64)
+            for j in range(batch.num_rows):
+                if batch.column("table_bigram")[j].is_valid:
+                    table = np.stack([batch.column(f"table_{c}")[j].values.to_numpy() for c in ("bigram", "target", "background")])
+                    table = table[:, np.argsort(table[0])]
                     losses = models.value.losses(table[0], table[1:])
-                yield from _block_losses(rows, table[0], losses)
+                else:
+                    yield _block_losses(batch, j, table[0], losses)
 
     return run
 
 
-def _block_losses(rows: pa.RecordBatch, bigrams: np.ndarray, losses: np.ndarray):
-    for j in range(rows.num_rows):
-        one = {c: rows.column(c)[j].values for c in ("ids", "ties", *[c for c, _ in SUMS + POSTINGS])}
-        sums = [one[c].to_numpy().copy() for c, _ in SUMS]
-        if len(one["bigrams"]):
-            own, n = one["owners"].to_numpy(), one["counts"].to_numpy()
-            loss = losses[:, np.searchsorted(bigrams, one["bigrams"].to_numpy())] * n
-            for s, x in zip(sums, (*loss, n)):
-                s += np.bincount(own, x, len(s))
-        yield pa.RecordBatch.from_arrays([one["ids"], one["ties"], *map(pa.array, sums)], ["id", "id_tie", *[c for c, _ in SUMS]])
+def _block_losses(batch: pa.RecordBatch, j: int, bigrams: np.ndarray, losses: np.ndarray) -> pa.RecordBatch:
+    one = {c: batch.column(c)[j].values for c in ("ids", "ties", *[c for c, _ in SUMS + POSTINGS])}
+    sums = [one[c].to_numpy().copy() for c, _ in SUMS]
+    if len(one["bigrams"]):
+        own, n = one["owners"].to_numpy(), one["counts"].to_numpy()
+        loss = losses[:, np.searchsorted(bigrams, one["bigrams"].to_numpy())] * n
+        for s, x in zip(sums, (*loss, n)):
+            s += np.bincount(own, x, len(s))
+    return pa.RecordBatch.from_arrays([one["ids"], one["ties"], *map(pa.array, sums)], ["id", "id_tie", *[c for c, _ in SUMS]])
