@@ -2,36 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir.
+from sessionloom.sources.scratch import new_path
 
-    Only a session inside one process, as in tests, gets a folder of its own.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.split("[")[0] == "local":
-        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-    return spark.sparkContext.getCheckpointDir()
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: its lineage ends here."""
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
