@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from sessionloom.llm.shared import cut, words
 
-BUCKET = 4096  # rows of a range of hash keys of one source, about
+BUCKET = 1024  # rows of a range of hash keys of one source, about
 
 
 def word_count(text: Column) -> Column:
@@ -16,7 +16,7 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights: list[int], most: int) -> DataFrame:
-    """Per source: source_size and target. sizes: source, source_size, one row per source.
+    """Per source: source_size and target. sizes: source, source_size, one row per source, which one task takes in order.
 
     Targets share the total by weight, but none is above `most` times its source's size: the excess goes to the
     others by weight. Sources run full in the order of most * size / weight, so the level of the rest
