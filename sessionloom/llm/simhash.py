@@ -146,6 +146,8 @@ def links(fps: DataFrame, radius: int = 4, parts: int = 3, crowd: int = CROWD) -
     compared pair by pair and verified. A crowded key is not: its members emit the full ball, whose
     keys need no comparing, as all fingerprints of such a key link to its first one.
     """
+    # few bytes become many: as many tasks as a shuffle has, not as few as the bytes would get
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     found = cut(emit(fps, parts, radius).repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_pairs(radius, crowd), "u long, v long").distinct(), "pairs")
     crowded = found.where("u = v").select(F.col("u").alias("fp"))
     stars = emit(crowded, 1, radius).repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_star_of_key, "u long, v long")
@@ -178,5 +180,5 @@ def near_groups(docs: DataFrame, k: int = 4, radius: int = 4, parts: int = 3, cr
 
 def first_of_groups(docs: DataFrame, k: int = 4, radius: int = 4) -> DataFrame:
     """The rows of docs that near_groups keeps: one document of each group, identical rows of it included."""
-    kept = near_groups(docs, k, radius).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("tie").alias("kept_tie")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & F.xxhash64("text").eqNullSafe(F.col("kept_tie")), "left_semi")
+    kept = near_groups(docs, k, radius).where("kept").select(F.col("doc_id").alias("__kept_id"), F.col("tie").alias("__kept_tie")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept_id")) & F.xxhash64("text").eqNullSafe(F.col("__kept_tie")), "left_semi")
