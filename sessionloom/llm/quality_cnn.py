@@ -97,15 +97,17 @@ class ByteCnn:
         embed_d[PAD] = 0
         return [embed_d, conv_d, top_d.sum(axis=0), pooled.T @ d, d.sum(keepdims=True)]
 
-    def fit(self, texts: list[bytes], labels: np.ndarray, epochs: int = 12, rate: float = 0.01, batch: int = 64) -> ByteCnn:
-        """Adam on the logistic loss."""
+    def fit(self, texts: list[bytes], labels: np.ndarray, steps: int = 800, rate: float = 0.01, batch: int = 32) -> ByteCnn:
+        """Adam on the logistic loss, for about `steps` batches whatever the number of texts."""
         if not len(texts):
             return self
         share = np.clip(labels.mean(), 0.02, 0.98)
         self.out_bias[:] = np.log(share / (1 - share))
         rng = np.random.default_rng(1)
         moments = [[np.zeros_like(w), np.zeros_like(w)] for w in self.weights()]
-        step, steps = 0, epochs * -(-len(texts) // batch)
+        per_epoch = -(-len(texts) // batch)
+        epochs = -(-steps // per_epoch)
+        step, steps = 0, epochs * per_epoch
         for _ in range(epochs):
             order = rng.permutation(len(texts))
             for i in range(0, len(order), batch):
