@@ -8,13 +8,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sessionloom.llm.mixing import word_count
 from sessionloom.llm.shared import cut, text_slices
 from sessionloom.llm.substring_dedup import Words
 
-VOCABULARY = 65_535  # most frequent words; all others are one class
-FREQUENT = 65_536  # bigrams that are scored where the text is read
+VOCABULARY = 65_535  # most frequent words, at most; all others are one class
+FREQUENT = 65_536  # bigrams, at most, that are scored where the text is read
 SMOOTHING = 10.0  # weight of the lower order
 BROADCAST_IDS = 4_000_000  # target ids up to which they are broadcast
 PART = 100_000  # bigrams that are looked up together
@@ -41,8 +42,16 @@ def _sums(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarr
     return kinds, n, n if weights is None else np.bincount(of, weights, len(kinds)).astype(np.int64)
 
 
+def _least_count(counts: DataFrame, n: str, most: int) -> int:
+    """The least count such that at most `most` rows reach it. Only a histogram of counts meets in one task."""
+    hist = counts.groupBy(n).agg(F.count(F.lit(1)).alias("rows"))
+    reach = hist.withColumn("reach", F.sum("rows").over(Window.orderBy(F.desc(n)).rowsBetween(Window.unboundedPreceding, 0)))
+    least = reach.where(F.col("reach") <= most).agg(F.min(n)).first()[0]
+    return least if least is not None else 1 << 62
+
+
 def vocabulary(docs: DataFrame, size: int) -> np.ndarray:
-    """Sorted hashes of the most frequent words of all documents (ties by hash)."""
+    """Sorted hashes of the most frequent words of all documents that occur twice or more; a count is taken whole or not at all."""
 
     def run(batches):
         for _, _, keys, _ in _slices(batches):
@@ -50,7 +59,8 @@ def vocabulary(docs: DataFrame, size: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(n)], ["word", "n"])
 
     counts = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return np.sort(np.array([r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()], np.int64))
+    counts = cut(counts.where("n > 1"), "words")
+    return np.sort(np.array([r["word"] for r in counts.where(F.col("n") >= _least_count(counts, "n", size)).collect()], np.int64))
 
 
 def _bigrams(keys: np.ndarray, text: np.ndarray, vocab: np.ndarray) -> np.ndarray:
@@ -113,7 +123,7 @@ def score(docs: DataFrame, target_ids: DataFrame, vocabulary_size: int = VOCABUL
     one = lambda c, h: counts.groupBy(c.cast("int").alias("id")).agg(F.sum("target").alias("target"), F.sum("background").alias("background")).withColumn("is_history", F.lit(h))
     lower = one(F.shiftright("bigram", 16), True).unionByName(one(F.col("bigram").bitwiseAND(F.lit(0xFFFF)), False))
     models = spark.sparkContext.broadcast(Models(lower.collect(), size))
-    top = counts.orderBy(F.desc("background"), "bigram").limit(frequent).collect()
+    top = counts.where(F.col("background") >= _least_count(counts, "background", frequent)).collect()
     top.sort(key=lambda r: r["bigram"])
     top_keys = np.array([r["bigram"] for r in top], np.int64)
     top_losses = models.value.losses(top_keys, np.array([[r["target"] for r in top], [r["background"] for r in top]], np.float64))
@@ -151,8 +161,8 @@ def _posting_blocks(vocab, hot, parts: int):
                 continue
             pair, n, _ = _sums(_bigrams(keys, text, vocab.value) | text << 32)
             bigram, text = pair & 0xFFFFFFFF, pair >> 32
-            i = np.minimum(np.searchsorted(hot_keys, bigram), len(hot_keys) - 1)
-            known = hot_keys[i] == bigram
+            i = np.minimum(np.searchsorted(hot_keys, bigram), max(0, len(hot_keys) - 1))
+            known = hot_keys[i] == bigram if len(hot_keys) else np.zeros(len(bigram), bool)
             part = np.where(known, -1, bigram % parts)
             order = np.argsort(part, kind="stable")
             for block in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):

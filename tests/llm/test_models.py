@@ -76,10 +76,9 @@ def test_language_models_against_counts(spark):
     size, smooth = 25, lm_score.SMOOTHING
     words = [WORD.findall(t or "") for _, t, _ in rows]
     n = collections.Counter(w for x in words for w in x)
-    kinds = list(n)
-    data = np.frombuffer("\n".join(kinds).encode(), np.uint8)
-    key = dict(zip(kinds, lm_score._word_keys(data, np.array([0, len(data)]))[0].tolist()))
-    vocab = set(sorted(kinds, key=lambda w: (-n[w], key[w]))[:size])
+    reach = {c: sum(1 for k in n.values() if k >= c) for c in set(n.values())}
+    vocab = {w for w, c in n.items() if c > 1 and reach[c] <= size}
+    size = len(vocab)
     seqs = [[w if w in vocab else "" for w in x] for x in words]
     pairs = [list(zip(["", *s[:-1]], s)) for s in seqs]
     count = [collections.Counter(), collections.Counter()]
@@ -99,7 +98,7 @@ def test_language_models_against_counts(spark):
             ce.append(sum(-math.log((c[h, w] + smooth * (word[w] + 1) / (total + size + 1)) / (hist[h] + smooth)) for h, w in p) / max(1, len(p)))
         want.append((str(i), len(p), *ce))
     for frequent in (0, 10, 10_000):
-        got = lm_score.score(table(spark, rows), targets, size, max(1, frequent)).collect()
+        got = lm_score.score(table(spark, rows), targets, 25, frequent).collect()
         assert len(got) == len(rows)
         for r, (i, k, a, b) in zip(sorted(got, key=lambda r: (str(r["doc_id"]), r["n_tokens"])), sorted(want)):
             assert str(r["doc_id"]) == i and r["n_tokens"] == k and r["ce_target"] == pytest.approx(a, abs=1e-6) and r["ce_background"] == pytest.approx(b, abs=1e-6)
