@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from sessionloom.llm.components import components
 from sessionloom.llm.shared import cut, text_slices
 
-CROWD = 32  # keys with more fingerprints than this go to the full ball
+LEVELS = (12, 24, 40, 64)  # leading bits of a variant by which it is dealt; later ones for places that hold too much
+ROOM = 1 << 22  # variants of a place that a task holds at a time
 
 
 def simhash(text: bytes, k: int) -> int:
@@ -51,124 +53,170 @@ def fingerprints(docs: DataFrame, k: int = 4) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("tie"), "text").mapInArrow(run, f"doc_id {kind}, tie long, fp long")
 
 
-def ball_masks(parts: int, radius: int) -> list[tuple[int, int, int]]:
-    """(kept bits, tag, flipped bits) of each key that a fingerprint emits.
+def _flips(bits: int, most: int) -> np.ndarray:
+    """All masks of up to `most` of the low `bits` bits, the empty one first."""
+    return np.array([sum(1 << b for b in flip) for n in range(most + 1) for flip in combinations(range(bits), n)], np.uint64)
 
-    parts=1: the whole fingerprint, all flips of up to half the radius. parts=3: of the three thirds of the
-    bits, two differ in at most two thirds of the radius together (their three pairs count each differing
-    bit twice); so each pair of thirds emits all flips of up to half of that. The tag, which thirds
-    were kept, is written into the bits of the other one.
-    """
-    bits = [range(64 * i // parts, 64 * (i + 1) // parts) for i in range(parts)]
-    out = []
-    for left in range(parts):
-        own = [b for i in range(parts) if i != left or parts == 1 for b in bits[i]]
-        keep, tag = sum(1 << b for b in own), 0 if parts == 1 else left << bits[left][0]
-        half = (radius if parts == 1 else 2 * radius // 3) / 2
-        for n in range(int(np.ceil(half)) + 1):
-            out += [(keep, tag, sum(1 << b for b in flip)) for flip in combinations(own, n)]
-    return out
+
+def _spent(place: np.ndarray, fp: np.ndarray, bits: int) -> np.ndarray:
+    """How many of the leading `bits` bits of a fingerprint are flipped to be at its place."""
+    return np.bitwise_count(place ^ (fp >> np.uint64(64 - bits))) if bits else np.zeros(len(fp), np.uint8)
 
 
-def emit(fps: DataFrame, parts: int, radius: int) -> DataFrame:
-    """(key, fp) for every variant of every fingerprint."""
-    masks = ball_masks(parts, radius)
+def deal(rows: DataFrame, before: int, bits: int, half: int) -> DataFrame:
+    """(place, fp) for every place that holds a variant of fp within `half` flips; place is the variant's leading `bits` bits.
+
+    rows are (place, fp) of the places of `before` bits, which are split; before=0 is the one place that holds all.
+    """
+    more = bits - before
 
     def run(batches):
-        keep, tag, flip = (np.array(x, np.uint64) for x in zip(*masks))
+        flips = [_flips(more, half - d) for d in range(half + 1)]
         for batch in batches:
-            fp = batch.column("fp").to_numpy().view(np.uint64)
-            for part in np.split(fp, range(1024, len(fp), 1024)):
-                keys = ((part[:, None] & keep) ^ flip) | tag
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(part, len(masks)).view(np.int64))], ["key", "fp"])
-
-    return fps.select("fp").mapInArrow(run, "key long, fp long")
+            place, fp = (batch.column(c).to_numpy().view(np.uint64) for c in ("place", "fp"))
+            spent = _spent(place, fp, before)
+            own = (fp >> np.uint64(64 - bits)) & np.uint64((1 << more) - 1)
+            if before:
+                own |= place << np.uint64(more)
+            for d, masks in enumerate(flips):
+                at = np.flatnonzero(spent == d)
+                for part in np.split(at, range(1024, len(at), 1024)):
+                    places = own[part][:, None] ^ masks
+                    yield pa.RecordBatch.from_arrays([pa.array(places.ravel().view(np.int64)), pa.array(np.repeat(fp[part], len(masks)).view(np.int64))], ["place", "fp"])
 
+    return rows.mapInArrow(run, "place long, fp long")
 
-def _runs(batches: Iterator[pa.RecordBatch], carry: int):
-    """Sorted (key, fp) arrays, each with up to `carry` rows of what went before, and how many these are."""
-    k0, f0 = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for batch in batches:
-        key, fp = np.concatenate((k0, batch.column("key").to_numpy())), np.concatenate((f0, batch.column("fp").to_numpy()))
-        yield key, fp, len(k0)
-        k0, f0 = key[-carry:].copy(), fp[-carry:].copy()
 
+def _collisions(bits: int, half: int, radius: int, room: int):
+    """Reads (place, fp) in order and emits all variants at each place; fingerprints that share one link to its first.
 
-def _pairs(radius: int, crowd: int):
-    """Verified pairs among the fingerprints of a key; the members of keys with over `crowd` of them are marked instead."""
+    A place of more than `room` variants is not worked on: its rows are passed on, with the place, to be dealt by more bits.
+    """
+    names = ["u", "v", "place"]
+
+    def passed(place, fp):
+        return pa.RecordBatch.from_arrays([pa.array(fp), pa.array(fp), pa.array(place)], names)
+
+    def met(place, fp, spent, flips):
+        low = np.uint64(64 - bits)
+        own = (place.view(np.uint64) << low) | (fp.view(np.uint64) & np.uint64((1 << (64 - bits)) - 1))
+        at = [np.flatnonzero(spent == d) for d in range(half + 1)]
+        variant = np.concatenate([(own[i][:, None] ^ masks).ravel() for i, masks in zip(at, flips)])
+        row = np.concatenate([np.repeat(i.astype(np.int32), len(masks)) for i, masks in zip(at, flips)])
+        order = np.argsort(variant)
+        variant, row = variant[order], row[order]
+        starts = np.flatnonzero(np.concatenate(([True], variant[1:] != variant[:-1])))
+        first = np.repeat(np.minimum.reduceat(row, starts), np.diff(np.append(starts, len(row))))
+        shared = row != first
+        pairs = np.unique(row[shared].astype(np.int64) << 32 | first[shared])
+        u, v = fp[pairs >> 32], fp[pairs & 0xFFFFFFFF]
+        near = np.bitwise_count((u ^ v).view(np.uint64)) <= radius
+        return pa.RecordBatch.from_arrays([pa.array(u[near]), pa.array(v[near]), pa.nulls(int(near.sum()), pa.int64())], names)
+
+    def whole(place, fp, flips):
+        """Rows of whole places, in runs of places of about a quarter of `room` variants."""
+        if not len(fp):
+            return
+        spent = _spent(place.view(np.uint64), fp.view(np.uint64), bits)
+        starts = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+        sizes = np.diff(np.append(starts, len(fp)))
+        held = np.add.reduceat(np.array([len(f) for f in flips])[spent], starts)
+        full = np.repeat(held > room, sizes)
+        if full.any():
+            yield passed(place[full], fp[full])
+        turn = np.repeat(np.cumsum(np.where(held > room, 0, held)) // max(room // 4, 1), sizes)[~full]
+        place, fp, spent = place[~full], fp[~full], spent[~full]
+        ends = np.flatnonzero(turn[1:] != turn[:-1]) + 1
+        for i, j in zip([0, *ends], [*ends, len(fp)]):
+            if i < j:
+                yield met(place[i:j], fp[i:j], spent[i:j], flips)
 
     def run(batches):
-        for key, fp, old in _runs(batches, crowd):
-            u, v, full = [], [], np.zeros(len(key), bool)
-            for lag in range(1, crowd + 1):
-                at = np.flatnonzero(key[lag:] == key[:-lag]) if lag < len(key) else np.zeros(0, np.int64)
-                if not len(at):
-                    break
-                if lag == crowd:
-                    for i in at:
-                        full[i : i + lag + 1] = True
-                at = at[at + lag >= old]
-                x, y = fp[at], fp[at + lag]
-                near = np.bitwise_count((x ^ y).view(np.uint64)) <= radius
-                u.append(np.maximum(x, y)[near])
-                v.append(np.minimum(x, y)[near])
-            pairs = np.unique(np.stack((np.concatenate(u or [fp[:0]]), np.concatenate(v or [fp[:0]]))), axis=1) if u else np.zeros((2, 0), np.int64)
-            marked = np.unique(fp[full])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate((pairs[0], marked))), pa.array(np.concatenate((pairs[1], marked)))], ["u", "v"]
-            )
+        flips = [_flips(64 - bits, half - d) for d in range(half + 1)]
+        place, fp, full = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        for batch in batches:
+            p, f = batch.column("place").to_numpy(), batch.column("fp").to_numpy()
+            if full is not None:
+                same = p == full
+                yield passed(p[same], f[same])
+                p, f = p[~same], f[~same]
+            place, fp = np.concatenate((place, p)), np.concatenate((fp, f))
+            if not len(fp):
+                continue
+            last = int(np.argmax(place == place[-1]))
+            yield from whole(place[:last], fp[:last], flips)
+            place, fp, full = place[last:], fp[last:], None
+            if len(fp) > room:
+                full = place[-1]
+                yield passed(place, fp)
+                place, fp = place[:0], fp[:0]
+        yield from whole(place, fp, flips)
 
     return run
 
 
-def _star_of_key(batches):
-    """(fp, first fp of the key): all of a key are within the radius of each other, since it is at most half of it from each."""
-    last_key, last_first = None, None
+def _variants_met(batches):
+    """(fp, first fp of the variant) of whole variants, read in order; a variant of any size passes as a stream."""
+    last, first = None, None
     for batch in batches:
-        key, fp = batch.column("key").to_numpy(), batch.column("fp").to_numpy()
-        if not len(key):
+        place, fp = batch.column("place").to_numpy(), batch.column("fp").to_numpy()
+        if not len(fp):
             continue
-        head = np.concatenate(([key[0] != last_key], key[1:] != key[:-1]))
-        starts = np.flatnonzero(head)
-        first = np.full(len(key), 0 if last_first is None else last_first, np.int64)
+        starts = np.flatnonzero(np.concatenate(([place[0] != last], place[1:] != place[:-1])))
+        firsts = np.full(len(fp), fp[0] if last is None else first, np.int64)
         if len(starts):
-            reps = np.repeat(fp[starts], np.diff(np.append(starts, len(key))))
-            first[starts[0] :] = reps
-        last_key, last_first = key[-1], first[-1]
-        pairs = np.unique(np.stack((np.maximum(fp, first), np.minimum(fp, first)))[:, fp != first], axis=1)
+            firsts[starts[0] :] = np.repeat(fp[starts], np.diff(np.append(starts, len(fp))))
+        last, first = place[-1], firsts[-1]
+        pairs = np.unique(np.stack((fp, firsts))[:, fp != firsts], axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["u", "v"])
 
 
-def links(fps: DataFrame, radius: int = 4, parts: int = 3, crowd: int = CROWD) -> DataFrame:
+def links(fps: DataFrame, radius: int = 4, levels: tuple[int, ...] = LEVELS, room: int = ROOM) -> DataFrame:
     """Edges (u, v), u > v, over distinct fingerprints (fp): every pair within the radius is linked, directly or by a path of such pairs.
 
-    Rows are dealt by variant and sorted, and read as a stream. Keys of up to `crowd` fingerprints are
-    compared pair by pair and verified. A crowded key is not: its members emit the full ball, whose
-    keys need no comparing, as all fingerprints of such a key link to its first one.
+    A fingerprint has a variant for every flip of up to half the radius (2081 of them at radius 4). Variants are dealt by
+    their leading levels[0] bits, and a place gets each fingerprint once for all of its variants there (79 rows each
+    instead of 2081) and emits them. Two fingerprints within the radius share a variant, and two that share one
+    are within the radius; so all of a variant link to its first, with no pairs within a group. A place of more than
+    `room` variants is dealt again by the bits of the next level; at 64 bits a place is one variant, read as a stream. Levels
+    whose places would hold more than that on average are left out from the start (beyond 8 million fingerprints the first).
     """
+    if radius % 2 or radius < 0:
+        raise ValueError("the radius must be even: both sides flip up to half of it")
+    if not levels or levels[-1] != 64 or list(levels) != sorted(set(levels)):
+        raise ValueError("levels must rise to 64")
     # few bytes become many: as many tasks as a shuffle has, not as few as the bytes would get
-    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
-    found = cut(emit(fps, parts, radius).repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_pairs(radius, crowd), "u long, v long").distinct(), "pairs")
-    crowded = found.where("u = v").select(F.col("u").alias("fp"))
-    stars = emit(crowded, 1, radius).repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_star_of_key, "u long, v long")
-    return found.where("u <> v").unionByName(stars.distinct())
-
-
-def near_groups(docs: DataFrame, k: int = 4, radius: int = 4, parts: int = 3, crowd: int = CROWD) -> DataFrame:
+    tasks, half = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), radius // 2
+    held = fps.count() * len(_flips(64, half))
+    levels = [b for b in levels if b == 64 or held >> b <= room]
+    rows, before, found = fps.select(F.lit(0).cast("long").alias("place"), "fp"), 0, []
+    for bits in levels:
+        dealt = deal(rows.repartition(tasks, "fp"), before, bits, half).repartition(tasks, "place").sortWithinPartitions("place", "fp")
+        if bits == 64:
+            found.append(dealt.mapInArrow(_variants_met, "u long, v long").distinct())
+            break
+        out = cut(dealt.mapInArrow(_collisions(bits, half, radius, room), "u long, v long, place long").distinct(), "pairs")
+        found.append(out.where("place is null").select("u", "v"))
+        rows, before = out.where("place is not null").select("place", F.col("u").alias("fp")), bits
+        if rows.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, found)
+
+
+def near_groups(docs: DataFrame, k: int = 4, radius: int = 4, levels: tuple[int, ...] = LEVELS, room: int = ROOM) -> DataFrame:
     """SimHash fingerprints of whole texts and the groups that near fingerprints link.
 
     Returns one row per row of docs: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id
     reachable over fingerprints of `radius` or fewer differing bits, its own included), tie (xxhash64 of the text),
     kept (true for the row that stands for its group: that of the smallest doc_id, then tie). A null or empty text
     has fingerprint zero, linked like any other. A null doc_id never is a component_id unless all are null. Repeated
-    rows stay. Other columns are not read. An empty table gives an empty result. radius: up to 4 with parts=3.
+    rows stay. Other columns are not read. An empty table gives an empty result. The radius is even;
+    levels and room: see links.
     """
-    if parts > 1 and 2 * radius // 3 > 2:
-        raise ValueError("parts=3 needs a radius of up to 4; take parts=1")
     fps = cut(fingerprints(docs, k), "fingerprints")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
     classes = fps.groupBy("fp").agg(F.min(first).alias("least"))
-    roots = cut(components(links(classes.select("fp"), radius, parts, crowd)), "roots")
+    roots = cut(components(links(classes.select("fp"), radius, levels, room)), "roots")
     rooted = classes.join(roots, classes.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("best"))
     named = rooted.join(least, "root").select("fp", "best")

@@ -81,9 +81,9 @@ def brute_components(fps):
     return label
 
 
-@pytest.mark.parametrize(("parts", "crowd"), [(3, 32), (3, 3), (1, 32)])
-def test_near(spark, rows, parts, crowd):
-    got = simhash.near_groups(table(spark, rows), parts=parts, crowd=crowd).collect()
+@pytest.mark.parametrize(("levels", "room"), [(simhash.LEVELS, simhash.ROOM), ((5, 9, 40, 64), 6000), ((64,), 1)])
+def test_near(spark, rows, levels, room):
+    got = simhash.near_groups(table(spark, rows), levels=levels, room=room).collect()
     fps = [fingerprint(t) for _, t, _ in rows]
     label = brute_components(fps)
     least = {}
@@ -105,16 +105,26 @@ def test_links_lose_nothing(spark):
             fps.append(int(c) ^ sum(1 << int(b) for b in flips))
     fps = sorted(set(fps))
     df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
-    roots = {r["node"]: r["root"] for r in components(simhash.links(df, crowd=6)).collect()}
     label = brute_components(fps)
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    got = [roots.get(s, s) for s in signed]
-    for a in range(len(fps)):
-        for b in (a + 1, a + 7, a + 50):
-            if b < len(fps):
+    near = {(a, b) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4}
+    for levels, room in ((simhash.LEVELS, simhash.ROOM), ((8, 11, 64), 12_000)):
+        edges = simhash.links(df, levels=levels, room=room)
+        assert all((r["u"], r["v"]) in near or (r["v"], r["u"]) in near for r in edges.collect())
+        roots = {r["node"]: r["root"] for r in components(edges).collect()}
+        got = [roots.get(s, s) for s in signed]
+        for a in range(len(fps)):
+            for b in range(a):
                 assert (label[a] == label[b]) == (got[a] == got[b])
 
 
+def test_places_hold_the_full_ball():
+    """Over all places, each of the 2081 variants of a fingerprint is emitted once, at any level."""
+    for bits in (5, 12, 40):
+        at_place = [len(simhash._flips(bits, d)) - (len(simhash._flips(bits, d - 1)) if d else 0) for d in range(3)]
+        assert sum(n * len(simhash._flips(64 - bits, 2 - d)) for d, n in enumerate(at_place)) == 2081
+
+
 def test_near_rows_kept(spark, rows):
     docs = table(spark, rows)
     kept = simhash.first_of_groups(docs).collect()
