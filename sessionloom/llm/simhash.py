@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sessionloom.llm.components import components
 from sessionloom.llm.shared import cut, text_slices
 
-LEVELS = (12, 24, 40, 64)  # leading bits of a variant by which it is dealt; later ones for places that hold too much
+LEVELS = (16, 24, 32, 48, 64)  # leading bits of a variant by which it is dealt; later ones for places that hold too much
 ROOM = 1 << 22  # variants of a place that a task holds at a time
 
 
@@ -175,11 +175,11 @@ def links(fps: DataFrame, radius: int = 4, levels: tuple[int, ...] = LEVELS, roo
     """Edges (u, v), u > v, over distinct fingerprints (fp): every pair within the radius is linked, directly or by a path of such pairs.
 
     A fingerprint has a variant for every flip of up to half the radius (2081 of them at radius 4). Variants are dealt by
-    their leading levels[0] bits, and a place gets each fingerprint once for all of its variants there (79 rows each
+    their leading levels[0] bits, and a place gets each fingerprint once for all of its variants there (137 rows each
     instead of 2081) and emits them. Two fingerprints within the radius share a variant, and two that share one
     are within the radius; so all of a variant link to its first, with no pairs within a group. A place of more than
     `room` variants is dealt again by the bits of the next level; at 64 bits a place is one variant, read as a stream. Levels
-    whose places would hold more than that on average are left out from the start (beyond 8 million fingerprints the first).
+    whose places would hold more than that on average are left out from the start (beyond 132 million fingerprints the first).
     """
     if radius % 2 or radius < 0:
         raise ValueError("the radius must be even: both sides flip up to half of it")
@@ -191,7 +191,7 @@ def links(fps: DataFrame, radius: int = 4, levels: tuple[int, ...] = LEVELS, roo
     levels = [b for b in levels if b == 64 or held >> b <= room]
     rows, before, found = fps.select(F.lit(0).cast("long").alias("place"), "fp"), 0, []
     for bits in levels:
-        dealt = deal(rows.repartition(tasks, "fp"), before, bits, half).repartition(tasks, "place").sortWithinPartitions("place", "fp")
+        dealt = deal(rows.repartition(tasks, F.xxhash64("fp")), before, bits, half).repartition(tasks, "place").sortWithinPartitions("place", "fp")
         if bits == 64:
             found.append(dealt.mapInArrow(_variants_met, "u long, v long").distinct())
             break
