@@ -17,6 +17,7 @@ from sessionloom.llm.shared import cut, text_slices
 
 LEVELS = (16, 24, 32, 48, 64)  # leading bits of a variant by which it is dealt; later ones for places that hold too much
 ROOM = 1 << 22  # variants of a place that a task holds at a time
+LARGE = 1024  # a group of more than this part of all fingerprints is large
 
 
 def simhash(text: bytes, k: int) -> int:
@@ -217,9 +218,13 @@ def near_groups(docs: DataFrame, k: int = 4, radius: int = 4, levels: tuple[int,
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
     classes = fps.groupBy("fp").agg(F.min(first).alias("least"))
     roots = cut(components(links(classes.select("fp"), radius, levels, room)), "roots")
-    rooted = classes.join(roots, classes.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("best"))
-    named = rooted.join(least, "root").select("fp", "best")
+    rooted = cut(classes.join(roots, classes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least"), "rooted")
+    least = cut(rooted.groupBy("root").agg(F.min("least").alias("best"), F.count(F.lit(1)).alias("n")), "least")
+    # fewer than LARGE groups can hold more than that share of all: they are broadcast, so that none of them meets in a task
+    large = F.broadcast(least.where(F.col("n") * LARGE > rooted.count()))
+    named = rooted.join(large, "root").select("fp", "best").unionByName(
+        rooted.join(large.select("root"), "root", "left_anti").join(least, "root").select("fp", "best")
+    )
     return fps.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("best.doc_id").alias("component_id"), "tie",
         (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & F.col("tie").eqNullSafe(F.col("best.tie"))).alias("kept"),
