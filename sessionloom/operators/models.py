@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -11,9 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionloom.config import Models
-from sessionloom.operators.labels import fold_medians, imputed
+from sessionloom.operators import evaluate as E
+from sessionloom.operators.labels import baseline, fold_medians, imputed
 from sessionloom.sources.scratch import new_path
 
+FITTED = ("linear", "random_forest", "boosted")
+AT_ONCE = 6  # fits at a time
+
 
 def estimator(name: str, direction: bool, rows: int, config: Models = Models()):
     """linear, random_forest or boosted. The linear penalties are per training row: 1 / (0.1 n), and 10 / n for returns."""
@@ -55,20 +62,75 @@ def predict(model: PipelineModel, rows: DataFrame, target: str) -> DataFrame:
     return out.drop("raw", "features", "rawPrediction", "probability")
 
 
-def walk_forward(marks: DataFrame, names: list[str], target: str, name: str, symbols: list[str], fold_ids: list[int], config: Models = Models()) -> DataFrame:
-    """Predictions of the test rows of each fold by a model fitted on that fold's training rows. The design is written once, by
-    fold; each fit is distributed."""
+def written_design(marks: DataFrame, names: list[str], target: str, symbols: list[str], fold_ids: list[int], config: Models = Models()) -> tuple[DataFrame, list[str]]:
+    """The design of a target, written once, by fold. A fold with fewer than least_train training rows or without a test row is an error."""
+    train, test = f"train_{target}", f"test_{target}"
+    marks = marks.where(F.col(train) | F.col(test)).select("symbol", "session_date", "fold", target, train, test, *names)
     rows, columns = design(marks, names, target, symbols)
     path = new_path(marks.sparkSession, "design")
     rows.write.partitionBy("fold").parquet(path)
     rows = marks.sparkSession.read.schema(rows.schema).parquet(path)
-    out = None
-    for fold in fold_ids:
+    sizes = {r["fold"]: (r["train"], r["test"]) for r in rows.groupBy("fold").agg(F.count_if(train).alias("train"), F.count_if(test).alias("test")).collect()}
+    short = [k for k in fold_ids if sizes.get(k, (0, 0))[0] < config.least_train or sizes[k][1] < 1]
+    if short:
+        raise ValueError(f"too few rows of {target} in folds {short}")
+    return rows, columns
+
+
+def fold_predictions(rows: DataFrame, columns: list[str], target: str, jobs: list[tuple[str, int]], config: Models = Models()) -> DataFrame:
+    """Predictions of the test rows of each (model, fold) of jobs by a model fitted on that fold's training rows. Fits are distributed,
+    AT_ONCE of them at a time; their predictions are written, so that no plan holds many models."""
+    spark = rows.sparkSession
+    path = new_path(spark, "predictions")
+
+    def run(job: tuple[str, int]) -> str:
+        name, fold = job
         own = rows.where(F.col("fold") == fold)
         model = fit(own.where(f"train_{target}"), columns, target, name, config)
-        part = predict(model, own.where(f"test_{target}"), target).select("fold", "symbol", "session_date", F.col(target).alias("actual"), "prediction")
-        out = part if out is None else out.unionByName(part)
-    return out.withColumns({"target": F.lit(target), "model": F.lit(name)})
+        part = predict(model, own.where(f"test_{target}"), target).select(
+            F.col("fold").cast("int").alias("fold"), "symbol", "session_date", F.col(target).cast("double").alias("actual"), F.col("prediction").cast("double").alias("prediction"), F.lit(target).alias("target"), F.lit(name).alias("model")
+        )
+        part.write.parquet(f"{path}/{name}_{fold}")
+        return f"{path}/{name}_{fold}"
+
+    with ThreadPool(AT_ONCE) as pool:
+        paths = pool.map(inheritable_thread_target(spark)(run), jobs, chunksize=1)
+    kind = rows.schema["symbol"].dataType.simpleString()
+    return spark.read.schema(f"fold int, symbol {kind}, session_date date, actual double, prediction double, target string, model string").parquet(*paths)
+
+
+def walk_forward(marks: DataFrame, names: list[str], target: str, name: str, symbols: list[str], fold_ids: list[int], config: Models = Models()) -> DataFrame:
+    """Predictions of the test rows of each fold by a model fitted on that fold's training rows."""
+    rows, columns = written_design(marks, names, target, symbols, fold_ids, config)
+    return fold_predictions(rows, columns, target, [(name, fold) for fold in fold_ids], config)
+
+
+def select_and_score(marks: DataFrame, names: list[str], symbols: list[str], fold_ids: list[int], models: tuple[str, ...] = FITTED, config: Models = Models()) -> DataFrame:
+    """Scores of the baseline and every model by target and fold; the winner is that of the lowest mean validation score (Brier for a
+    direction, mean absolute error for a return), and on the holdout (fold -1) only winner and baseline are fitted and scored.
+
+    Columns: target, model, split, fold, n_rows, balanced_accuracy, roc_auc, brier, log_loss (null for returns), mae, rmse
+    (null for a direction), winner.
+    """
+    validation, out = [k for k in fold_ids if k >= 0], None
+    for target in config.targets:
+        direction = target.startswith("direction")
+        measure, kept = (E.classification, ("balanced_accuracy", "roc_auc", "brier", "log_loss")) if direction else (E.regression, ("mae", "rmse"))
+        rows, columns = written_design(marks, names, target, symbols, [*validation, -1], config)
+        base = baseline(rows, target).select("fold", "actual", "prediction").withColumn("model", F.lit("baseline"))
+        found = fold_predictions(rows, columns, target, [(m, k) for m in models for k in validation], config).select(base.columns)
+        scored = measure(base.where("fold >= 0").unionByName(found), "model", "fold").withColumn("target", F.lit(target))
+        winner = E.winners(scored, "brier" if direction else "mae").first()["model"]
+        last = base.where("fold = -1")
+        if winner != "baseline":
+            last = last.unionByName(fold_predictions(rows, columns, target, [(winner, -1)], config).select(base.columns))
+        both = scored.unionByName(measure(last, "model", "fold").withColumn("target", F.lit(target)))
+        both = both.select(
+            "target", "model", F.when(F.col("fold") < 0, "holdout").otherwise("validation").alias("split"), "fold", "n_rows",
+            *[F.col(c) if c in kept else F.lit(None).cast("double").alias(c) for c in ("balanced_accuracy", "roc_auc", "brier", "log_loss", "mae", "rmse")], F.lit(winner).alias("winner"),
+        )
+        out = both if out is None else out.unionByName(both)
+    return out
 
 
 def reload(model: PipelineModel, path: str) -> PipelineModel:

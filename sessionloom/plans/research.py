@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -505,31 +508,35 @@ def ag_23(spark, sf):
     return out.select("bin", "lower", "n_rows", F.round("mean_probability", 6).alias("mean_probability"), F.round("positive_rate", 6).alias("positive_rate"))
 
 
-def _model_query(name: str, model: str, target: str) -> None:
+def _walk_forward(spark, sf):
+    """Marks with all predictors, written once; the symbols; the ids of all folds."""
+    marks = _marks(spark, sf)
+    path = new_path(spark, "marks")
+    marks.write.parquet(path)
+    symbols = sorted(r["symbol"] for r in X.instruments(spark, sf).select("symbol").collect())
+    return spark.read.schema(marks.schema).parquet(path), symbols, sorted(r["fold"] for r in _folds(spark, sf).collect())
+
+
+def _model_query(name: str, model: str, *targets: str) -> None:
     def run(spark, sf):
-        names = ["return_1d", "return_5d", "volatility_20", "rsi_14", "distance_sma_20", "relative_volume_20", "macd_histogram"]
-        marks = _marks(spark, sf).where("fold in (0, -1)").select("symbol", "session_date", "fold", target, f"train_{target}", f"test_{target}", *names)
-        return M.walk_forward(marks, names, target, model, ["AF", "AO", "NF", "NO", "RF", "RO"], [0, -1])
+        """Predictions of every fold and the holdout."""
+        marks, symbols, folds = _walk_forward(spark, sf)
+        return reduce(DataFrame.unionByName, [M.walk_forward(marks, FT.feature_names(), t, model, symbols, folds) for t in targets])
 
     QUERIES[name] = run
 
 
-_model_query("ml_08_linear", "linear", "direction_1d")
-_model_query("ml_08_ridge", "linear", "future_return_5d")
-_model_query("ml_09_random_forest", "random_forest", "direction_1d")
-_model_query("ml_10_boosted", "boosted", "future_return_1d")
+_model_query("ml_08_linear", "linear", *[t for t in TARGETS if t.startswith("direction")])
+_model_query("ml_08_ridge", "linear", *[t for t in TARGETS if not t.startswith("direction")])
+_model_query("ml_09_random_forest", "random_forest", *TARGETS)
+_model_query("ml_10_boosted", "boosted", *TARGETS)
 
 
 @query("ml_11_select_and_score")
 def ml_11(spark, sf):
-    """Validation scores of baseline and linear model by fold, the winner, and holdout scores of winner and baseline."""
-    target, names, symbols = "direction_1d", ["return_1d", "volatility_20", "rsi_14"], ["AF", "AO", "NF", "NO", "RF", "RO"]
-    marks = _marks(spark, sf).where("fold in (-1, 0, 1)").select("symbol", "session_date", "fold", target, f"train_{target}", f"test_{target}", *names)
-    linear = M.walk_forward(marks, names, target, "linear", symbols, [0, 1, -1]).select("fold", "actual", "prediction", "model")
-    both = linear.unionByName(L.baseline(marks, target).select("fold", "actual", "prediction").withColumn("model", F.lit("baseline")))
-    scored = E.classification(both, "model", "fold").withColumns({"target": F.lit(target), "split": F.when(F.col("fold") < 0, "holdout").otherwise("validation")})
-    win = E.winners(scored.where("fold >= 0"), "log_loss").select("target", F.col("model").alias("winner"))
-    return scored.join(F.broadcast(win), "target").where("split = 'validation' or model in ('baseline', winner)")
+    """Validation scores of baseline and every model by target and fold, the winners, and holdout scores of winner and baseline."""
+    marks, symbols, folds = _walk_forward(spark, sf)
+    return M.select_and_score(marks, FT.feature_names(), symbols, folds)
 
 
 @query("ml_12_holdout_predictions", f"select symbol, session_date, target_date_1d as target_date, direction_1d as actual, {r('prior')} as prediction, 'direction_1d' as target, 'baseline' as model from marks m cross join (select avg(direction_1d) as prior from marks where train_direction_1d and fold = -1) where fold = -1 and test_direction_1d")
