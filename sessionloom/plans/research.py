@@ -332,7 +332,7 @@ view("past_ready", "select * from (select symbol, session_date, row_number() ove
 
 @query("sg_08_attention", "select l.symbol, l.risk_band = 'High Risk' or coalesce(l.abnormal_volume, false) or coalesce(abs(s.return_z) >= 3, false) as attention from latest l join surprise s on l.symbol = s.symbol")
 def sg_08(spark, sf):
-    return G.risk_table(_features(spark, sf), forest=False).select("symbol", "attention")
+    return G.risk_table(_features(spark, sf)).select("symbol", "attention")
 
 
 @query("sg_09_provenance", "select symbol, count(*) as training_rows, max(session_date) as training_end from past_ready group by symbol")
