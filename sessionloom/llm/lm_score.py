@@ -6,203 +6,315 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from sessionloom.llm.mixing import word_count
-from sessionloom.llm.shared import cut, text_slices
-from sessionloom.llm.substring_dedup import Words
+from sessionloom.llm.shared import cut, mixed, packed, text_slices, unpacked, word_hashes, word_spans
 
-VOCABULARY = 65_535  # most frequent words, at most; all others are one class
-FREQUENT = 65_536  # bigrams, at most, that are scored where the text is read
+HOT = 1 << 16  # a word or pair is hot if it makes up this part of all tokens or more, so that few are
 SMOOTHING = 10.0  # weight of the lower order
 BROADCAST_IDS = 4_000_000  # target ids up to which they are broadcast
-PART = 100_000  # bigrams that are looked up together
-SLICE = 1 << 21
+PART = 1 << 20  # tokens whose pairs are scored together, about
+SLICE = 1 << 22  # bytes of text that are worked on together
+UNIT = 1 << 24  # losses are summed as whole multiples of 1 / UNIT, so that no order of addition shows
+EDGE = 0  # the word at either edge of a text
 
 
-def _word_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash and the number of its text for every word of a slice of texts."""
-    words = Words(data, offsets)
-    at = np.arange(len(words.text))
-    return words.a.of(at, at + 1).view(np.int64), words.text
+class Tokens:
+    """The words of a slice of texts as 64-bit hashes, each text ended by EDGE; heads are the words before them, EDGE at the start."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        starts, ends, first = word_spans(data, offsets)
+        self.counts = np.diff(first)
+        filled = np.flatnonzero(self.counts)
+        lengths = self.counts[filled] + 1
+        self.text = np.repeat(filled, lengths)
+        self.words = np.full(len(self.text), EDGE, np.int64)
+        stops = np.cumsum(lengths) - 1
+        inner = np.ones(len(self.text), bool)
+        inner[stops] = False
+        self.words[inner] = word_hashes(data, starts, ends).view(np.int64)
+        self.heads = np.concatenate((np.full(min(1, len(self.text)), EDGE), self.words[:-1]))
+
+
+def pair_keys(heads: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mixed(heads.view(np.uint64) * np.uint64(0xD1342543DE82EF95) + words.view(np.uint64)).view(np.int64)
 
 
 def _slices(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
+        chosen = batch.column("target").to_numpy(zero_copy_only=False)
         for row, data, offsets in text_slices(batch.column("text"), SLICE):
-            yield batch, row, *_word_keys(data, offsets)
+            yield batch, row, Tokens(data, offsets), chosen[row : row + len(offsets) - 1]
 
 
-def _sums(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, how often each occurs, and the sum of its weights."""
+def _tally(keys: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, and how often each occurs in target and other texts."""
     kinds, of = np.unique(keys, return_inverse=True)
-    n = np.bincount(of, minlength=len(kinds))
-    return kinds, n, n if weights is None else np.bincount(of, weights, len(kinds)).astype(np.int64)
+    return kinds, np.bincount(of[chosen], minlength=len(kinds)), np.bincount(of[~chosen], minlength=len(kinds))
+
+
+def _rows(names: list[str], *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+
+def _place(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key stands among sorted ones, and whether it is one of them."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return at, sorted_keys[at] == keys
+
+
+COUNTS = ["is_pair", "key", "target", "background"]
 
 
-def _least_count(counts: DataFrame, n: str, most: int) -> int:
-    """The least count such that at most `most` rows reach it. Only a histogram of counts meets in one task."""
-    hist = counts.groupBy(n).agg(F.count(F.lit(1)).alias("rows"))
-    reach = hist.withColumn("reach", F.sum("rows").over(Window.orderBy(F.desc(n)).rowsBetween(Window.unboundedPreceding, 0)))
-    least = reach.where(F.col("reach") <= most).agg(F.min(n)).first()[0]
-    return least if least is not None else 1 << 62
+def _words_and_busy_pairs(hot: int):
+    """Counts of all words, and of the pairs that are more than half as busy in a slice as a hot one is on the whole."""
 
+    def run(batches):
+        for _, _, tokens, chosen in _slices(batches):
+            if not len(tokens.words):
+                continue
+            chosen = chosen[tokens.text]
+            words = _tally(tokens.words, chosen)
+            yield _rows(COUNTS, np.zeros(len(words[0]), bool), *words)
+            pairs = _tally(pair_keys(tokens.heads, tokens.words), chosen)
+            busy = 2 * hot * (pairs[1] + pairs[2]) >= len(tokens.words)
+            yield _rows(COUNTS, np.ones(busy.sum(), bool), *(x[busy] for x in pairs))
 
-def vocabulary(docs: DataFrame, size: int) -> np.ndarray:
-    """Sorted hashes of the most frequent words of all documents that occur twice or more; a count is taken whole or not at all."""
+    return run
 
+
+def _hot_pair_counts(pairs):
     def run(batches):
-        for _, _, keys, _ in _slices(batches):
-            kinds, n, _ = _sums(keys)
-            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(n)], ["word", "n"])
+        for _, _, tokens, chosen in _slices(batches):
+            keys = pair_keys(tokens.heads, tokens.words)
+            hit = _place(pairs.value, keys)[1]
+            found = _tally(keys[hit], chosen[tokens.text][hit])
+            yield _rows(COUNTS[1:], *found)
 
-    counts = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = cut(counts.where("n > 1"), "words")
-    return np.sort(np.array([r["word"] for r in counts.where(F.col("n") >= _least_count(counts, "n", size)).collect()], np.int64))
+    return run
 
 
-def _bigrams(keys: np.ndarray, text: np.ndarray, vocab: np.ndarray) -> np.ndarray:
-    """history << 16 | word for every word; 0 is the start of a text (as history) or any word out of the vocabulary."""
-    if not len(keys):
-        return np.zeros(0, np.int64)
-    i = np.minimum(np.searchsorted(vocab, keys), len(vocab) - 1) if len(vocab) else np.zeros(len(keys), np.int64)
-    ids = np.where(vocab[i] == keys, i + 1, 0) if len(vocab) else i
-    history = np.where(np.append(True, text[1:] != text[:-1]), 0, np.append(0, ids[:-1]))
-    return history << 16 | ids
+class Hot:
+    """What every task knows: totals of both models, number of words, and counts of the hot words and pairs by sorted key."""
 
+    def __init__(self, totals: tuple[int, int], vocabulary: int, words: list, pairs: list):
+        self.totals, self.vocabulary = np.array(totals, np.float64), vocabulary
+        self.words, self.word_counts = self._table(words)
+        self.pairs, self.pair_counts = self._table(pairs)
 
-class Models:
-    """Counts of the lower order of both models, which share the vocabulary: by history, and by word."""
+    @staticmethod
+    def _table(rows: list) -> tuple[np.ndarray, np.ndarray]:
+        table = np.array([(r["key"], r["target"], r["background"]) for r in rows], np.int64).reshape(-1, 3)
+        table = table[np.argsort(table[:, 0])]
+        return table[:, 0].copy(), table[:, 1:].T.copy()
 
-    def __init__(self, unigrams: list, size: int):
-        self.history, self.word = np.zeros((2, size + 1)), np.zeros((2, size + 1))
-        for r in unigrams:
-            (self.history if r["is_history"] else self.word)[:, r["id"]] = r["target"], r["background"]
-        # add-one over the vocabulary, of which 0 is one class
-        self.prior = (self.word + 1) / (self.word.sum(axis=1, keepdims=True) + size + 1)
+    def losses(self, model: int, pair: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Of a pair in a model, for one occurrence, with the loss that its word will cost as a head taken from the next pair to this one:
+        every word is a head once for each time it occurs, so that the sum over a text is the same."""
+        prior = (word + 1) / (self.totals[model] + self.vocabulary + 1)
+        return np.log(word + SMOOTHING) - np.log(pair + SMOOTHING * prior)
 
-    def losses(self, bigrams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Loss per occurrence under the target and the background model; counts has a row for each."""
-        history, word = bigrams >> 16, bigrams & 0xFFFF
-        return -np.log((counts + SMOOTHING * self.prior[:, word]) / (self.history[:, history] + SMOOTHING))
+    def both(self, n: np.ndarray, own: np.ndarray, chosen: np.ndarray, pair: np.ndarray, word: np.ndarray) -> list[np.ndarray]:
+        """Losses under target and background in units; what a text itself adds (n, own) is taken off the model that counts it."""
+        out = []
+        for model, counted in enumerate((chosen, ~chosen)):
+            loss = self.losses(model, pair[model] - n * counted, word[model] - own * counted)
+            out.append(np.rint(n * loss * UNIT).astype(np.int64))
+        return out
 
 
-def score(docs: DataFrame, target_ids: DataFrame, vocabulary_size: int = VOCABULARY, frequent: int = FREQUENT) -> DataFrame:
-    """Cross-entropy of each text under a target and a background bigram model, and the difference.
+BLOBS = ["words", "fan", "heads", "runs", "texts", "n", "own"]
+LOCAL = ["ids", "tokens", "target", "background"]
+
 
-    Returns one row per row of docs: doc_id, n_tokens, ce_target, ce_background (nats per word), ce_difference = ce_target -
-    ce_background: the lower, the more a text is like the target. The background model counts all of docs, the target
-    model those whose doc_id is in target_ids (a table with the column doc_id; null ids and repeats count for nothing). Both
-    have the same vocabulary, order and smoothing: (count + S * prior(word)) / (count of history + S). Words are
-    runs without white space; null texts and texts without words have 0 tokens and 0.0 everywhere. Rows that
-    repeat a doc_id and text get the same score. Other columns aren't read. An empty table gives an empty result.
+def _posted(hot, parts: int):
+    """Per slice: by part, its texts' pairs to be scored there; and one row of its texts, with what hot pairs cost them.
 
-    The bigram table grows with the corpus and is never broadcast: blocks of (document, bigram) postings meet it by ranges of
-    hashed bigrams. The `frequent` most frequent bigrams, and the counts by single word, are bounded tables that go to
-    every task; so no key of the shuffle is hot.
+    A pair belongs to the part of its word, a pair of a hot word to a part of its own; so no part is much larger than others.
     """
-    docs = docs.select("doc_id", "text")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    spark = docs.sparkSession
-    vocab = spark.sparkContext.broadcast(vocabulary(docs, min(vocabulary_size, VOCABULARY)))
-    size = len(vocab.value)
-    targets = cut(target_ids.select(F.col("doc_id").alias("target_id")).where("target_id is not null").distinct(), "targets")
-    targets = F.broadcast(targets) if targets.count() <= BROADCAST_IDS else targets
-    flagged = docs.join(targets, F.col("doc_id") == F.col("target_id"), "left").select("text", F.col("target_id").isNotNull().alias("target"))
-
-    def count(batches):
-        for batch, row, keys, text in _slices(batches):
-            chosen = batch.column("target").to_numpy(zero_copy_only=False)
-            kinds, n, m = _sums(_bigrams(keys, text, vocab.value), chosen[text + row].astype(np.float64))
-            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(m), pa.array(n)], ["bigram", "target", "background"])
-
-    counts = flagged.mapInArrow(count, "bigram long, target long, background long").groupBy("bigram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-    counts = cut(counts, "bigrams")
-    one = lambda c, h: counts.groupBy(c.cast("int").alias("id")).agg(F.sum("target").alias("target"), F.sum("background").alias("background")).withColumn("is_history", F.lit(h))
-    lower = one(F.shiftright("bigram", 16), True).unionByName(one(F.col("bigram").bitwiseAND(F.lit(0xFFFF)), False))
-    models = spark.sparkContext.broadcast(Models(lower.collect(), size))
-    top = counts.where(F.col("background") >= _least_count(counts, "background", frequent)).collect()
-    top.sort(key=lambda r: r["bigram"])
-    top_keys = np.array([r["bigram"] for r in top], np.int64)
-    top_losses = models.value.losses(top_keys, np.array([[r["target"] for r in top], [r["background"] for r in top]], np.float64))
-    hot = spark.sparkContext.broadcast((top_keys, top_losses))
-    parts = max(1, counts.count() // PART)
-
-    blocks = docs.withColumn("tie", F.xxhash64("text")).mapInArrow(_posting_blocks(vocab, hot, parts), f"part int, ids array<{kind}>, ties array<bigint>, {', '.join(f'{c} array<{t}>' for c, t in SUMS + POSTINGS)}")
-    # a part has about PART bigrams, in one row: writers of lists are slow with many small rows
-    tables = counts.groupBy(F.pmod("bigram", F.lit(parts)).cast("int").alias("part")).agg(F.collect_list(F.struct("bigram", "target", "background")).alias("t"))
-    tables = tables.select("part", *[F.col(f"t.{c}").alias(f"table_{c}") for c in ("bigram", "target", "background")])
-    rows = tables.unionByName(blocks, allowMissingColumns=True)
-    dealt = rows.repartition("part").sortWithinPartitions("part", F.col("table_bigram").isNull())
-    sums = dealt.mapInArrow(_meet(models), f"id {kind}, id_tie bigint, {', '.join(f'{c} double' for c, _ in SUMS)}").groupBy("id", "id_tie").agg(*[F.sum(c).alias(c) for c, _ in SUMS])
-    rows = docs.select("doc_id", F.xxhash64("text").alias("tie"), word_count(F.col("text")).alias("n_tokens"))
-    out = rows.join(sums, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("id_tie")), "left")
-    target, background = (F.round(F.coalesce(F.col(c) / F.col("words"), F.lit(0.0)), 9) for c in ("target_loss", "background_loss"))
-    return out.select("doc_id", "n_tokens", target.alias("ce_target"), background.alias("ce_background"), F.round(target - background, 9).alias("ce_difference"))
-
-
-SUMS = [("target_loss", "double"), ("background_loss", "double"), ("words", "double")]
-POSTINGS = [("owners", "int"), ("bigrams", "bigint"), ("counts", "int")]
-
-
-def _lists(values: pa.Array, edges: list[int]) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values)
-
-
-def _posting_blocks(vocab, hot, parts: int):
-    """Rows of documents, and either the losses of their frequent bigrams or, by part, their postings of other bigrams."""
 
     def run(batches):
-        hot_keys, hot_losses = hot.value
-        for batch, row, keys, text in _slices(batches):
-            if not len(keys):
-                continue
-            pair, n, _ = _sums(_bigrams(keys, text, vocab.value) | text << 32)
-            bigram, text = pair & 0xFFFFFFFF, pair >> 32
-            i = np.minimum(np.searchsorted(hot_keys, bigram), max(0, len(hot_keys) - 1))
-            known = hot_keys[i] == bigram if len(hot_keys) else np.zeros(len(bigram), bool)
-            part = np.where(known, -1, bigram % parts)
-            order = np.argsort(part, kind="stable")
-            for block in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
-                own, of = np.unique(text[block], return_inverse=True)
-                frequent = part[block[0]] < 0
-                loss = hot_losses[:, i[block]] * n[block] if frequent else np.zeros((2, len(block)))
-                sums = [np.bincount(of, x, len(own)) for x in (*loss, n[block] * float(frequent))]
-                postings = [of[:0], bigram[:0], n[:0]] if frequent else [of, bigram[block], n[block]]
-                columns = [batch.column("doc_id").take(pa.array(own + row)), batch.column("tie").take(pa.array(own + row)), *map(pa.array, sums)]
-                columns += [pa.array(x, t) for x, t in zip(postings, (pa.int32(), pa.int64(), pa.int32()))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(bigram[0] % parts if frequent else part[block[0]])], pa.int32()), *[_lists(c, [0, len(c)]) for c in columns]],
-                    ["part", "ids", "ties", *[c for c, _ in SUMS + POSTINGS]],
-                )
+        known, number = hot.value, 0
+        for batch, row, tokens, chosen in _slices(batches):
+            name = TaskContext.get().partitionId() << 32 | number
+            number += 1
+            local = [np.zeros(len(chosen), np.int64) for _ in range(2)]
+            # each pair of a text once, in order of text, word and head
+            kinds, of = np.unique(tokens.words, return_inverse=True)
+            size = max(1, len(kinds))
+            head_of = np.concatenate((np.full(min(1, len(of)), np.searchsorted(kinds, EDGE)), of[:-1]))
+            keys, n = np.unique((tokens.text * size + of) * size + head_of, return_counts=True)
+            text, word, head = keys // (size * size), keys // size % size, keys % size
+            group = np.flatnonzero(np.append(True, keys[1:] // size != keys[:-1] // size)) if len(keys) else np.zeros(0, np.int64)
+            own = np.repeat(np.add.reduceat(n, group), np.diff(np.append(group, len(keys)))) if len(keys) else n
+            pair = pair_keys(kinds[head], kinds[word])
+            at, busy = _place(known.pairs, pair)
+            word_at, word_busy = _place(known.words, kinds)
+            if busy.any():
+                where = at[busy]
+                counts = known.word_counts[:, word_at[word[busy]]]
+                for sums, loss in zip(local, known.both(n[busy], own[busy], chosen[text[busy]], known.pair_counts[:, where], counts)):
+                    np.add.at(sums, text[busy], loss)
+            sent = ~busy
+            text, word, head, n, own, pair = (x[sent] for x in (text, word, head, n, own, pair))
+            part = (np.where(word_busy[word], pair, mixed(kinds.view(np.uint64)).view(np.int64)[word]).view(np.uint64) % np.uint64(parts)).astype(np.int64)
+            order = np.lexsort((head, word, part))
+            text, word, head, n, own, part = (x[order] for x in (text, word, head, n, own, part))
+            rows = {c: [] for c in ["part", *BLOBS]}
+            edges = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
+            for a, b in zip(edges, [*edges[1:], len(part)]):
+                w, h = word[a:b], head[a:b]
+                new_word = np.append(True, w[1:] != w[:-1])
+                new_pair = new_word | np.append(True, h[1:] != h[:-1])
+                first = np.flatnonzero(new_pair)
+                rows["part"].append(int(part[a]))
+                rows["words"].append(kinds[w[new_word]].tobytes())
+                rows["fan"].append(packed(np.diff(np.append(np.flatnonzero(new_word[first]), len(first)))))
+                rows["heads"].append(kinds[h[first]].tobytes())
+                rows["runs"].append(packed(np.diff(np.append(first, b - a))))
+                rows["texts"].append(packed(2 * text[a:b] + chosen[text[a:b]]))
+                rows["n"].append(packed(n[a:b]))
+                rows["own"].append(packed(own[a:b]))
+            count = len(rows["part"])
+            ids = batch.column("doc_id").slice(row, len(chosen))
+            columns = {"part": pa.array([*rows["part"], name % parts], pa.int32()), "slice": pa.array([name] * (count + 1), pa.int64())}
+            columns["ids"] = pa.ListArray.from_arrays(pa.array([0] * (count + 1) + [len(ids)], pa.int32()), ids, mask=pa.array([True] * count + [False]))
+            none = [None] * count
+            columns |= {c: pa.array(none + [packed(x)], pa.binary()) for c, x in zip(LOCAL[1:], (tokens.counts, *local))}
+            columns |= {c: pa.array([*rows[c], None], pa.binary()) for c in BLOBS}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
 
-def _meet(models):
-    """Losses of the blocks of postings. The first row of a part is the table of its bigrams' counts."""
+def _scored(hot):
+    """All blobs of a part: counts of its pairs and words, and from them what the pairs cost each text. Rows of texts pass through."""
+
+    def score(batch: pa.Table) -> list[list[bytes]]:
+        known = hot.value
+        blobs = {c: [x.as_py() for x in batch.column(c)] for c in BLOBS}
+        words = [np.frombuffer(x, np.int64) for x in blobs["words"]]
+        heads = np.concatenate([np.frombuffer(x, np.int64) for x in blobs["heads"]])
+        fan = [unpacked(x) for x in blobs["fan"]]
+        words = np.repeat(np.concatenate(words), np.concatenate(fan))
+        runs = np.concatenate([unpacked(x) for x in blobs["runs"]])
+        texts = [unpacked(x) for x in blobs["texts"]]
+        sizes = [len(x) for x in texts]
+        texts = np.concatenate(texts)
+        chosen, n, own = texts % 2 == 1, np.concatenate([unpacked(x) for x in blobs["n"]]), np.concatenate([unpacked(x) for x in blobs["own"]])
+        pairs, pair_of = np.unique(pair_keys(heads, words), return_inverse=True)
+        kinds, word_of = np.unique(words, return_inverse=True)
+        pair_of, word_of = np.repeat(pair_of, runs), np.repeat(word_of, runs)
+        weight = [n * counted for counted in (chosen, ~chosen)]
+        pair_counts = np.array([np.bincount(pair_of, x, len(pairs)) for x in weight])
+        word_counts = np.array([np.bincount(word_of, x, len(kinds)) for x in weight])
+        at, busy = _place(known.words, kinds)
+        word_counts[:, busy] = known.word_counts[:, at[busy]]
+        losses = known.both(n, own, chosen, pair_counts[:, pair_of], word_counts[:, word_of])
+        # sums by blob and text
+        keys, of = np.unique(np.repeat(np.arange(len(sizes)), sizes) << 40 | texts >> 1, return_inverse=True)
+        sums = [np.zeros(len(keys), np.int64) for _ in range(2)]
+        for s, loss in zip(sums, losses):
+            np.add.at(s, of, loss)
+        edges = np.searchsorted(keys >> 40, np.arange(len(sizes) + 1))
+        return [[packed(x[a:b]) for a, b in zip(edges, edges[1:])] for x in (keys & (1 << 40) - 1, *sums)]
+
+    names = ["slice", "ids", "tokens", "texts", "target", "background"]
+
+    def flush(held: list[pa.RecordBatch], kind: pa.DataType):
+        table = pa.Table.from_batches(held)
+        none = pa.nulls(table.num_rows)
+        columns = [table.column("slice").combine_chunks(), none.cast(kind), none.cast(pa.binary()), *(pa.array(x, pa.binary()) for x in score(table))]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches):
+        held, now, kind = [], None, None
         for batch in batches:
-            for j in range(batch.num_rows):
-                if batch.column("table_bigram")[j].is_valid:
-                    table = np.stack([batch.column(f"table_{c}")[j].values.to_numpy() for c in ("bigram", "target", "background")])
-                    table = table[:, np.argsort(table[0])]
-                    losses = models.value.losses(table[0], table[1:])
-                else:
-                    yield _block_losses(batch, j, table[0], losses)
+            kind = batch.schema.field("ids").type
+            own = batch.filter(pc.is_valid(batch.column("ids")))
+            yield pa.RecordBatch.from_arrays([own.column("slice"), own.column("ids"), own.column("tokens"), pa.nulls(own.num_rows, pa.binary()), own.column("target"), own.column("background")], names)
+            batch = batch.filter(pc.is_null(batch.column("ids"))).select(["part", "slice", *BLOBS])
+            part = batch.column("part").to_numpy()
+            edges = np.flatnonzero(part[1:] != part[:-1]) + 1
+            for a, b in zip([0, *edges], [*edges, len(part)]):
+                if a < b and part[a] != now:
+                    if held:
+                        yield flush(held, kind)
+                    held, now = [], part[a]
+                if a < b:
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield flush(held, kind)
 
     return run
 
 
-def _block_losses(batch: pa.RecordBatch, j: int, bigrams: np.ndarray, losses: np.ndarray) -> pa.RecordBatch:
-    one = {c: batch.column(c)[j].values for c in ("ids", "ties", *[c for c, _ in SUMS + POSTINGS])}
-    sums = [one[c].to_numpy().copy() for c, _ in SUMS]
-    if len(one["bigrams"]):
-        own, n = one["owners"].to_numpy(), one["counts"].to_numpy()
-        loss = losses[:, np.searchsorted(bigrams, one["bigrams"].to_numpy())] * n
-        for s, x in zip(sums, (*loss, n)):
-            s += np.bincount(own, x, len(s))
-    return pa.RecordBatch.from_arrays([one["ids"], one["ties"], *map(pa.array, sums)], ["id", "id_tie", *[c for c, _ in SUMS]])
+def _gathered(batches):
+    """Rows of a slice, that of its texts first: what each text costs in all."""
+    names = ["doc_id", "n_tokens", "target_loss", "background_loss"]
+
+    def done(ids, counts, sums):
+        return pa.RecordBatch.from_arrays([ids, pa.array(counts), *(pa.array(s / UNIT) for s in sums)], names)
+
+    now = None
+    for batch in batches:
+        for j in range(batch.num_rows):
+            if batch.column("ids")[j].is_valid:
+                if now is not None:
+                    yield done(*now)
+                now = batch.column("ids")[j].values, unpacked(batch.column("tokens")[j].as_py()), [unpacked(batch.column(c)[j].as_py()) for c in LOCAL[2:]]
+            else:
+                texts = unpacked(batch.column("texts")[j].as_py())
+                for s, c in zip(now[2], LOCAL[2:]):
+                    s[texts] += unpacked(batch.column(c)[j].as_py())
+    if now is not None:
+        yield done(*now)
+
+
+def score(docs: DataFrame, target_ids: DataFrame, hot: int = HOT, part: int = PART) -> DataFrame:
+    """Cross-entropy of each text under a target and a background bigram model, and the difference.
+
+    Returns one row per row of docs: doc_id, n_tokens, ce_target, ce_background (nats per word, the end of the text counted as one), ce_difference =
+    ce_target - ce_background: the lower, the more a text is like the target. The target model counts the texts whose doc_id is in
+    target_ids (a table with the column doc_id; null ids and repeats count for nothing), the background model all others; a text's
+    own counts are taken off the model that has them, so that every text is scored as if it were unseen. Both models
+    have one vocabulary, all words of docs, and the same order and smoothing: (count + S * prior(word)) /
+    (count of the word before + S), where prior(word) = (count of the word + 1) / (words of the model + vocabulary + 1).
+
+    Words are runs without white space, known by a 64-bit hash; null texts and texts without words have 0 tokens and 0.0 everywhere. Rows
+    that repeat a doc_id are scored each by itself. Other columns aren't read. An empty table gives an empty result. A
+    task that is repeated must find its rows in the same order, as those of a stored table are.
+
+    Counting and scoring are one shuffle: pairs go to the part of their word, where all counts that they need meet, and only sums per text and
+    part come back. Hot words and pairs (fewer than 2 * hot, whatever the input) are counted first and go to every task, so no part is hot.
+    """
+    docs = docs.select("doc_id", "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    spark = docs.sparkSession
+    targets = cut(target_ids.select(F.col("doc_id").alias("target_id")).where("target_id is not null").distinct(), "targets")
+    targets = F.broadcast(targets) if targets.count() <= BROADCAST_IDS else targets
+    flagged = docs.join(targets, F.col("doc_id") == F.col("target_id"), "left").select("doc_id", "text", F.col("target_id").isNotNull().alias("target"))
+    sums = [F.sum(c).alias(c) for c in COUNTS[2:]]
+    texts = flagged.select("text", "target")
+    counts = cut(texts.mapInArrow(_words_and_busy_pairs(hot), "is_pair boolean, key long, target long, background long").groupBy("is_pair", "key").agg(*sums), "counts")
+    whole = counts.where("not is_pair").agg(F.count(F.lit(1)).alias("words"), *[F.coalesce(s, F.lit(0)).alias(c) for s, c in zip(sums, COUNTS[2:])]).first()
+    total, often = whole["target"] + whole["background"], F.col("target") + F.col("background")
+    hot_words = counts.where(~F.col("is_pair") & (often * 2 * hot >= total)).collect()
+    # a hot pair has half of its count in slices where it is busy, so that what was counted there tells of it; its word is as frequent, so hot too
+    busy = spark.sparkContext.broadcast(np.sort(np.array([r["key"] for r in counts.where(F.col("is_pair") & (often * 2 * hot >= total)).select("key").collect()], np.int64)))
+    hot_pairs = texts.mapInArrow(_hot_pair_counts(busy), "key long, target long, background long").groupBy("key").agg(*sums).collect()
+    known = spark.sparkContext.broadcast(Hot((whole["target"], whole["background"]), whole["words"], hot_words, hot_pairs))
+    parts = max(1, total // part)
+    blobs = ", ".join(f"{c} binary" for c in [*LOCAL[1:], *BLOBS])
+    posted = flagged.mapInArrow(_posted(known, parts), f"part int, slice long, ids array<{kind}>, {blobs}")
+    dealt = posted.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "slice")
+    scored = dealt.mapInArrow(_scored(known), f"slice long, ids array<{kind}>, tokens binary, texts binary, target binary, background binary")
+    gathered = scored.repartition("slice").sortWithinPartitions("slice", F.col("ids").isNull())
+    out = gathered.mapInArrow(_gathered, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double")
+    target, background = (F.round(F.when(F.col("n_tokens") > 0, F.col(c) / (F.col("n_tokens") + 1)).otherwise(0.0), 6) for c in ("target_loss", "background_loss"))
+    return out.select("doc_id", "n_tokens", target.alias("ce_target"), background.alias("ce_background"), F.round(target - background, 6).alias("ce_difference"))

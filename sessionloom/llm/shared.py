@@ -1,8 +1,9 @@
-"""What the corpus operators share: scratch tables, text slices and word rules."""
+"""What the corpus operators share: scratch tables, text slices, words and their hashes."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -56,3 +57,66 @@ def text_slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, n
 
 def signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64).view(np.int64)
+
+
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+
+
+@cache
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2**64."""
+    up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+@cache
+def _letters() -> np.ndarray:
+    return np.random.default_rng(11).integers(1, 1 << 64, 256, dtype=np.uint64)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """The finaliser of SplitMix64."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+class Rolling:
+    """Hashes of any run of a sequence of 64-bit values, from prefix sums."""
+
+    def __init__(self, values: np.ndarray, base: int):
+        size = 1 << max(16, int(len(values)).bit_length())
+        self.up, self.down = _powers(base, size)
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * self.up[: len(values)])))
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[end] - self.sums[start]) * self.down[start])
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word in the bytes, and the first word of each text (with the number of words at the end)."""
+    word = ~_SPACE[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    before = np.concatenate(([False], word[:-1])) if len(data) else word
+    after = np.concatenate((word[1:], [False])) if len(data) else word
+    starts = np.flatnonzero(word & (~before | edge[:-1]))
+    ends = np.flatnonzero(word & (~after | edge[1:])) + 1
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every word."""
+    return mixed(Rolling(_letters()[data], 0x9E3779B97F4A7C15).of(starts, ends) + (ends - starts).astype(np.uint64))
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers that aren't negative, in as few bytes each as the largest needs."""
+    most = int(values.max()) if len(values) else 0
+    size = next(s for s in (1, 2, 4, 8) if most < 1 << 8 * s)
+    return bytes([size]) + values.astype(f"<u{size}").tobytes()
+
+
+def unpacked(body: bytes) -> np.ndarray:
+    return np.frombuffer(body, f"<u{body[0]}", offset=1).astype(np.int64)

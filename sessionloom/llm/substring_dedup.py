@@ -4,65 +4,19 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.llm.shared import cut, text_slices
+from sessionloom.llm.shared import Rolling, cut, mixed, text_slices, word_hashes, word_spans
 
 LENGTH, SEED = 50, 16  # words of a window, and of an anchor
 SLICE = 1 << 20
 
 
-@cache
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2**64."""
-    up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
-
-
-@cache
-def _letters() -> np.ndarray:
-    return np.random.default_rng(11).integers(1, 1 << 64, 256, dtype=np.uint64)
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    """The finaliser of SplitMix64."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-class Rolling:
-    """Hashes of any run of a sequence of 64-bit values, from prefix sums."""
-
-    def __init__(self, values: np.ndarray, base: int):
-        size = 1 << max(16, int(len(values)).bit_length())
-        self.up, self.down = _powers(base, size)
-        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * self.up[: len(values)])))
-
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mixed((self.sums[end] - self.sums[start]) * self.down[start])
-
-
-BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
-_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
-
-
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word in the bytes, and the first word of each text (with the number of words at the end)."""
-    word = ~_SPACE[data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[offsets] = True
-    before = np.concatenate(([False], word[:-1])) if len(data) else word
-    after = np.concatenate((word[1:], [False])) if len(data) else word
-    starts = np.flatnonzero(word & (~before | edge[:-1]))
-    ends = np.flatnonzero(word & (~after | edge[1:])) + 1
-    return starts, ends, np.searchsorted(starts, offsets)
+BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 
 
 class Words:
@@ -70,9 +24,8 @@ class Words:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         starts, ends, self.first = word_spans(data, offsets)
-        values = Rolling(_letters()[data], BASES[0]).of(starts, ends) + (ends - starts).astype(np.uint64)
-        values = _mixed(values)
-        self.a, self.b = Rolling(values, BASES[1]), Rolling(values, BASES[2])
+        values = word_hashes(data, starts, ends)
+        self.a, self.b = Rolling(values, BASES[0]), Rolling(values, BASES[1])
         self.counts = np.diff(self.first)
         self.text = np.repeat(np.arange(len(self.counts)), self.counts)
 
@@ -115,7 +68,7 @@ def _seeds(length: int, seed: int):
                 at = anchors(words, length, seed)
                 text = words.text[at]
                 lo, hi = _context(words, at, length, seed)
-                context = words.b.of(lo, hi) ^ _mixed(((at - lo) * 4096 + (hi - at)).astype(np.uint64))
+                context = words.b.of(lo, hi) ^ mixed(((at - lo) * 4096 + (hi - at)).astype(np.uint64))
                 ids = batch.column("doc_id").take(pa.array(text + row))
                 where = (ties[text + row] << 32) | (at - words.first[text])
                 yield pa.RecordBatch.from_arrays(

@@ -70,42 +70,59 @@ def test_classifier_odd_rows(spark):
     assert quality_cnn.score(docs.limit(0), quality_cnn.ByteCnn(), ["doc_id"]).count() == 0
 
 
-def test_language_models_against_counts(spark):
+def brute_language_models(rows, targets):
+    """(id, words, target, background) of each row, with its own counts taken off."""
+    smooth = lm_score.SMOOTHING
+    seqs = [["", *WORD.findall(t or ""), ""] for _, t, _ in rows]
+    seqs = [s if len(s) > 2 else [] for s in seqs]
+    pairs, words = [collections.Counter(), collections.Counter()], [collections.Counter(), collections.Counter()]
+    model = [0 if i in targets else 1 for i, _, _ in rows]
+    for m, s in zip(model, seqs):
+        pairs[m].update(zip(s, s[1:]))
+        words[m].update(s[1:])
+    size = len({w for m in words for w in m})
+    for (i, _, _), m, s in zip(rows, model, seqs):
+        ce, own, own_words = [], collections.Counter(zip(s, s[1:])), collections.Counter(s[1:])
+        for k in (0, 1):
+            less = lambda c, o, x: c[x] - (o[x] if k == m else 0)  # noqa: B023, E731
+            loss = 0.0
+            for h, w in zip(s, s[1:]):
+                prior = (less(words[k], own_words, w) + 1) / (words[k].total() + size + 1)
+                loss -= math.log((less(pairs[k], own, (h, w)) + smooth * prior) / (less(words[k], own_words, h) + smooth))
+            ce.append(loss / max(1, len(s) - 1))
+        yield str(i), max(0, len(s) - 2), *ce
+
+
+def test_language_models_against_counts(spark, monkeypatch):
     rows = [(i, prose(30 + i, i, 40), "a") for i in range(1, 30)] + [(40, None, "a"), (41, " \n", "a"), (None, prose(20, 99, 40), "b"), (7, prose(37, 7, 40), "a"), (50, prose(5000, 50, 300), "c")]
-    targets = spark.createDataFrame([(i,) for i in (1, 2, 3, 7, 7, 40, None)], "doc_id long")
-    size, smooth = 25, lm_score.SMOOTHING
-    words = [WORD.findall(t or "") for _, t, _ in rows]
-    n = collections.Counter(w for x in words for w in x)
-    reach = {c: sum(1 for k in n.values() if k >= c) for c in set(n.values())}
-    vocab = {w for w, c in n.items() if c > 1 and reach[c] <= size}
-    size = len(vocab)
-    seqs = [[w if w in vocab else "" for w in x] for x in words]
-    pairs = [list(zip(["", *s[:-1]], s)) for s in seqs]
-    count = [collections.Counter(), collections.Counter()]
-    for (i, _, _), p in zip(rows, pairs):
-        count[1].update(p)
-        if i in (1, 2, 3, 7, 40):
-            count[0].update(p)
-    want = []
-    for (i, _, _), p in zip(rows, pairs):
-        ce = []
-        for c in count:
-            hist, word = collections.Counter(), collections.Counter()
-            for (h, w), k in c.items():
-                hist[h] += k
-                word[w] += k
-            total = sum(word.values())
-            ce.append(sum(-math.log((c[h, w] + smooth * (word[w] + 1) / (total + size + 1)) / (hist[h] + smooth)) for h, w in p) / max(1, len(p)))
-        want.append((str(i), len(p), *ce))
-    for frequent in (0, 10, 10_000):
-        got = lm_score.score(table(spark, rows), targets, 25, frequent).collect()
+    rows += [(60 + i, "the same pair in the same text " * 3 + prose(9, i, 9), "d") for i in range(30)]
+    ids = (1, 2, 3, 7, 7, 40, 63, None)
+    targets = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    want = sorted(brute_language_models(rows, set(ids) - {None}))
+    for hot, part, size in ((1 << 16, 1 << 20, 1 << 22), (1, 300, 400), (40, 1000, 3000), (1 << 16, 50, 1 << 22)):
+        monkeypatch.setattr(lm_score, "SLICE", size)
+        got = lm_score.score(table(spark, rows), targets, hot, part).collect()
         assert len(got) == len(rows)
-        for r, (i, k, a, b) in zip(sorted(got, key=lambda r: (str(r["doc_id"]), r["n_tokens"])), sorted(want)):
-            assert str(r["doc_id"]) == i and r["n_tokens"] == k and r["ce_target"] == pytest.approx(a, abs=1e-6) and r["ce_background"] == pytest.approx(b, abs=1e-6)
-            assert r["ce_difference"] == pytest.approx(a - b, abs=1e-6)
+        for r, (i, k, a, b) in zip(sorted(got, key=lambda r: (str(r["doc_id"]), r["n_tokens"])), want):
+            assert str(r["doc_id"]) == i and r["n_tokens"] == k and r["ce_target"] == pytest.approx(a, abs=2e-6) and r["ce_background"] == pytest.approx(b, abs=2e-6)
+            assert r["ce_difference"] == pytest.approx(a - b, abs=4e-6)
+    monkeypatch.setattr(lm_score, "BROADCAST_IDS", 0)
+    assert sorted(map(str, lm_score.score(table(spark, rows), targets).collect())) == sorted(map(str, got))
     assert lm_score.score(table(spark, []), targets).count() == 0
 
 
+def test_language_models_keep_every_word(spark):
+    """70,000 words that are all as frequent have counts of their own, and ids may be strings."""
+    words = [f"w{i}" for i in range(70_000)]
+    docs = spark.createDataFrame([(f"d{i}", " ".join(words)) for i in range(3)], "doc_id string, text string")
+    got = lm_score.score(docs, spark.createDataFrame([("d0",)], "doc_id string")).collect()
+    for r in got:
+        seen = 1 if r["doc_id"] == "d0" else 0  # of the one target text, what is left without itself
+        left = [1 - seen, 1 + seen]
+        for ce, n, total in ((r["ce_target"], left[0], 70_001), (r["ce_background"], left[1], 140_002)):
+            assert ce == pytest.approx(-math.log((n + 10 * (n + 1) / (total + 70_002)) / (n + 10)), abs=2e-6)
+
+
 ODD = ["", "   ", "<|endoftext|>A<|startoftext|> x's 12 É é ΑΣ İ aaaaaaa aaaaaaaa \x1c a\x1db ﬁ Å \u0085z", "a" * 3000, "<|startoftext|>", "don't I'LL we'Ve", "ẞ straße 你好 😀😀 ¼½ ²", "é   x y"]
 
 
