@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sessionloom.llm.shared import cut, mixed, packed, text_slices, unpacked, word_hashes, word_spans
 
 HOT = 1 << 16  # a word or pair is hot if it makes up this part of all tokens or more, so that few are
-SMOOTHING = 10.0  # weight of the lower order
+SMOOTHING = 1000.0  # weight of the lower order
 BROADCAST_IDS = 4_000_000  # target ids up to which they are broadcast
 PART = 1 << 20  # tokens whose pairs are scored together, about
 SLICE = 1 << 22  # bytes of text that are worked on together
@@ -116,7 +116,9 @@ class Hot:
     def losses(self, model: int, pair: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Of a pair in a model, for one occurrence, with the loss that its word will cost as a head taken from the next pair to this one:
         every word is a head once for each time it occurs, so that the sum over a text is the same."""
-        prior = (word + 1) / (self.totals[model] + self.vocabulary + 1)
+        total = self.totals[model]
+        share = max(total, 1) / max(self.totals.sum(), 1)
+        prior = (word + share) / (total + share * (self.vocabulary + 1))
         return np.log(word + SMOOTHING) - np.log(pair + SMOOTHING * prior)
 
     def both(self, n: np.ndarray, own: np.ndarray, chosen: np.ndarray, pair: np.ndarray, word: np.ndarray) -> list[np.ndarray]:
@@ -284,7 +286,8 @@ def score(docs: DataFrame, target_ids: DataFrame, hot: int = HOT, part: int = PA
     target_ids (a table with the column doc_id; null ids and repeats count for nothing), the background model all others; a text's
     own counts are taken off the model that has them, so that every text is scored as if it were unseen. Both models
     have one vocabulary, all words of docs, and the same order and smoothing: (count + S * prior(word)) /
-    (count of the word before + S), where prior(word) = (count of the word + 1) / (words of the model + vocabulary + 1).
+    (count of the word before + S), where prior(word) = (count of the word + share) / (words of the model + share * (vocabulary + 1)) and share is
+    the model's part of all words: so a word that neither has seen costs the same in both, whatever their sizes.
 
     Words are runs without white space, known by a 64-bit hash; null texts and texts without words have 0 tokens and 0.0 everywhere. Rows
     that repeat a doc_id are scored each by itself. Other columns aren't read. An empty table gives an empty result. A

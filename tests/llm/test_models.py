@@ -87,7 +87,8 @@ def brute_language_models(rows, targets):
             less = lambda c, o, x: c[x] - (o[x] if k == m else 0)  # noqa: B023, E731
             loss = 0.0
             for h, w in zip(s, s[1:]):
-                prior = (less(words[k], own_words, w) + 1) / (words[k].total() + size + 1)
+                share = words[k].total() / (words[0].total() + words[1].total())
+                prior = (less(words[k], own_words, w) + share) / (words[k].total() + share * (size + 1))
                 loss -= math.log((less(pairs[k], own, (h, w)) + smooth * prior) / (less(words[k], own_words, h) + smooth))
             ce.append(loss / max(1, len(s) - 1))
         yield str(i), max(0, len(s) - 2), *ce
@@ -119,8 +120,9 @@ def test_language_models_keep_every_word(spark):
     for r in got:
         seen = 1 if r["doc_id"] == "d0" else 0  # of the one target text, what is left without itself
         left = [1 - seen, 1 + seen]
-        for ce, n, total in ((r["ce_target"], left[0], 70_001), (r["ce_background"], left[1], 140_002)):
-            assert ce == pytest.approx(-math.log((n + 10 * (n + 1) / (total + 70_002)) / (n + 10)), abs=2e-6)
+        for ce, n, k in ((r["ce_target"], left[0], 1), (r["ce_background"], left[1], 2)):
+            prior = (n + k / 3) / (k * 70_001 + k / 3 * 70_002)
+            assert ce == pytest.approx(-math.log((n + lm_score.SMOOTHING * prior) / (n + lm_score.SMOOTHING)), abs=2e-6)
 
 
 ODD = ["", "   ", "<|endoftext|>A<|startoftext|> x's 12 É é ΑΣ İ aaaaaaa aaaaaaaa \x1c a\x1db ﬁ Å \u0085z", "a" * 3000, "<|startoftext|>", "don't I'LL we'Ve", "ẞ straße 你好 😀😀 ¼½ ²", "é   x y"]
