@@ -17,7 +17,7 @@ HOT = 1 << 16  # a word or pair is hot if it makes up this part of all tokens or
 SMOOTHING = 1000.0  # weight of the lower order
 BROADCAST_IDS = 4_000_000  # target ids up to which they are broadcast
 PART = 1 << 20  # tokens whose pairs are scored together, about
-SLICE = 1 << 22  # bytes of text that are worked on together
+SLICE = 1 << 21  # bytes of text that are worked on together
 UNIT = 1 << 24  # losses are summed as whole multiples of 1 / UNIT, so that no order of addition shows
 EDGE = 0  # the word at either edge of a text
 
