@@ -35,10 +35,32 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else next(shifted) for b in range(256)]
 
 
+def check_spec(spec: dict) -> None:
+    """Raise for a file whose options this encoder doesn't follow, so that no text is encoded in another way than the file says."""
+    model, problems = spec["model"], []
+    steps = spec["normalizer"].get("normalizers", [spec["normalizer"]]) if spec.get("normalizer") else []
+    if [x["type"] for x in steps] not in (["NFC", "Replace", "Lowercase"], ["NFC", "Lowercase"]):
+        problems.append("normalizer")
+    if any(x["type"] == "Replace" and (x["pattern"], x["content"]) != ({"Regex": "\\s+"}, " ") for x in steps):
+        problems.append("replacement")
+    before = spec["pre_tokenizer"].get("pretokenizers", []) if spec.get("pre_tokenizer") else []
+    if [x["type"] for x in before] != ["Split", "ByteLevel"] or before[0].get("behavior") != "Removed" or not before[0].get("invert") or before[1].get("add_prefix_space"):
+        problems.append("pre_tokenizer")
+    if model.get("type", "BPE") != "BPE" or model.get("byte_fallback") or model.get("dropout") or model.get("ignore_merges") or model.get("continuing_subword_prefix") or not model.get("end_of_word_suffix"):
+        problems.append("model")
+    if any(not x["content"].startswith("<|") or x.get("single_word") or x.get("lstrip") or x.get("rstrip") or x.get("normalized") for x in spec["added_tokens"]):
+        problems.append("added_tokens")
+    if spec.get("decoder") is not None and spec["decoder"]:
+        problems.append("decoder")
+    if problems:
+        raise ValueError(f"unsupported in the vocabulary file: {', '.join(problems)}")
+
+
 class WordBpe:
     """The encoder of a vocabulary file whose merges work on bytes and whose words end in a suffix."""
 
     def __init__(self, spec: dict):
+        check_spec(spec)
         model = spec["model"]
         vocab, suffix = model["vocab"], model["end_of_word_suffix"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}

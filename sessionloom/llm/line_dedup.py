@@ -36,7 +36,8 @@ def without_boilerplate(docs: DataFrame, site: str = "source", sites: int = 3) -
     its own. Rows that repeat a doc_id and text all lose the same lines. Other columns aren't read. An
     empty table gives an empty result.
 
-    Lines are known by a 64-bit and a 32-bit hash. Only hashes are sketched, counted and joined; texts move once, to
+    Lines are known by a 64-bit and a 32-bit hash and aren't compared as texts: among n different lines two are taken for one with
+    a probability of about n * n / 2**97. Only hashes are sketched, counted and joined; texts move once, to
     meet the places of their own removed lines.
     """
     name = F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("n"))
@@ -47,7 +48,8 @@ def without_boilerplate(docs: DataFrame, site: str = "source", sites: int = 3) -
     places = found.groupBy("doc_id", "tie").agg(F.collect_set("pos").alias("places")).select(F.col("doc_id").alias("id"), F.col("tie").alias("id_tie"), "places")
     joined = tied.join(places, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("tie").eqNullSafe(F.col("id_tie")), "left")
     own = _lines(F.col("text"))
-    kept = F.when(F.col("places").isNull(), own).otherwise(F.filter(own, lambda x, i: ~F.array_contains("places", i)))
+    left = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), F.col("places"))
+    kept = F.when(F.col("places").isNull(), own).otherwise(F.transform(left, lambda i: F.get(own, i)))
     return joined.select(
         "doc_id", F.size(own).cast("long").alias("n_lines"), F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("n_removed"), F.array_join(kept, "\n").alias("kept_text")
     )

@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sessionloom.llm.shared import words
+from sessionloom.llm.shared import cut, words
 
 BINS, BITS, SHINGLE = 128, 8, 5
-RANGES = 4096  # ranges of doc_ids, at most
 NO_SHINGLE = "00" * BINS
 
 
@@ -68,51 +67,55 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).when((a == NO_SHINGLE) | (b == NO_SHINGLE), F.lit(0.0)).otherwise(estimate)
 
 
-def edited_fingerprints(docs: DataFrame, per_range: int = 2048) -> DataFrame:
+def _next_of(ids: DataFrame, per_range: int) -> DataFrame:
+    """For each key of ids its neighbour before it in descending doc_id (before_key, before_tie, before_chars, before_copies); the last stands before the first.
+
+    Ids alone are sorted, in ranges of about per_range rows. Only the head of a range needs the tail of another, and only tails, one per range, meet in one task.
+    """
+    ranges = max(1, ids.count() // per_range)
+    order = [F.desc_nulls_last("doc_id"), F.col("tie"), F.col("key")]
+    dealt = cut(ids.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()), "ordered")
+    inside = Window.partitionBy("range").orderBy(*order)
+    me = F.struct(*[F.col(c).alias(f"before_{c}") for c in ("key", "tie", "chars", "copies")])
+    rows = dealt.withColumn("me", me).withColumns({"before": F.lag("me").over(inside), "is_tail": F.lead("key").over(inside).isNull()})
+    tails = rows.where("is_tail").select("range", "me")
+    every = Window.orderBy("range")
+    whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    tails = tails.select("range", F.coalesce(F.lag("me").over(every), F.last("me").over(whole)).alias("before"))
+    heads = rows.where("before is null").drop("before").join(tails, "range")
+    return rows.where("before is not null").select("key", "tie", "before.*").unionByName(heads.select("key", "tie", "before.*"))
+
+
+def edited_fingerprints(docs: DataFrame, per_range: int = 100_000) -> DataFrame:
     """Fingerprints of each text and of the text with its second half replaced by the start of the next document.
 
-    Returns one row per row of docs: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. The next
+    Returns one row per row of docs: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_id. The next
     document is that of the next smaller doc_id, after the last the first; null ids come last, and rows of
-    one doc_id follow each other by a hash of the text. Null texts are empty; without words the
-    fingerprint is zeros, like only another such one. A single row is its own next. Only doc_id, a number, and text
+    one doc_id follow each other by a hash of the text, rows of one doc_id and text in any order. Null texts are empty; without words the
+    fingerprint is zeros, like only another such one. A single row is its own next. Only doc_id (of any type that sorts) and text
     are read. An empty table gives an empty result.
 
-    Rows are dealt by ranges of doc_id with about per_range rows each (quantiles of the ids alone set them), so that the next
-    text is met inside a range; only the last row of a range takes the first text of the range below, at most one per range.
-    Texts are shuffled once.
+    Texts are shuffled once by their own key, 128 bits of hashes of doc_id and text. A text's start, as long as its neighbour needs it, then moves to
+    that neighbour; the order is found from ids alone.
     """
-    ids = docs.select("doc_id")
-    ranges = max(1, min(RANGES, ids.count() // per_range))
-    marks = ids.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)] or [0.5], 20 * RANGES).alias("m")).first()["m"] or []
-    marks = sorted(set(marks))
-    coarse = marks[::64]
-
-    def range_of(c: Column) -> Column:
-        """Number of marks up to the id: first every 64th, then those in between."""
-        if not marks:
-            return F.when(c.isNull(), F.lit(-1)).otherwise(F.lit(0))
-        up_to = F.size(F.filter(F.array(*map(F.lit, coarse)), lambda x: x <= c))
-        fine = F.slice(F.array(*map(F.lit, marks)), F.greatest((up_to - 1) * 64 + 1, F.lit(1)), 64)
-        return F.when(c.isNull(), F.lit(-1)).when(up_to == 0, F.lit(0)).otherwise((up_to - 1) * 64 + F.size(F.filter(fine, lambda x: x <= c)))
-
-    heads = ids.groupBy(range_of(F.col("doc_id")).alias("range")).agg(F.max("doc_id").alias("head"))
-    every = Window.orderBy(F.desc("range"))
-    whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    below = heads.select("range", F.when(F.lead(F.lit(1)).over(every).isNull(), F.first("head").over(whole)).otherwise(F.lead("head").over(every)).alias("head"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    first = rows.join(F.broadcast(below), F.col("doc_id").eqNullSafe(F.col("head"))).withColumn("nth", F.row_number().over(Window.partitionBy("range").orderBy(F.xxhash64("text"), "text")))
-    first = first.where("nth = 1").select("range", F.col("text").alias("first_text"), fingerprint(F.col("text")).alias("first_print"))
-
-    rows = rows.withColumn("fingerprint", fingerprint(F.col("text"))).withColumn("range", range_of(F.col("doc_id")))
-    order = Window.partitionBy("range").orderBy(F.desc_nulls_last("doc_id"), F.xxhash64("text"), "text")
-    rows = rows.withColumns({"next_text": F.lead("text").over(order), "next_print": F.lead("fingerprint").over(order)}).join(first, "range", "left")
-    last = F.col("next_text").isNull()
-    next_text, next_print = F.when(last, F.col("first_text")).otherwise(F.col("next_text")), F.when(last, F.col("first_print")).otherwise(F.col("next_print"))
+    text = F.coalesce("text", F.lit(""))
+    named = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("tie"), F.xxhash64("doc_id", text).alias("key"))
+    ids = named.groupBy("key", "tie").agg(F.max("doc_id").alias("doc_id"), F.max(F.char_length("text")).alias("chars"), F.count(F.lit(1)).alias("copies"))
+    before = _next_of(cut(ids, "ids"), per_range)
+    rows = named.withColumn("fingerprint", fingerprint(F.col("text"))).withColumn("nth", F.row_number().over(Window.partitionBy("key", "tie").orderBy("key")))
+    half = lambda n: F.floor(n / 2).cast("int")
+    given = rows.where("nth = 1").join(before, ["key", "tie"]).select(
+        F.col("before_key").alias("key"), F.col("before_tie").alias("tie"), F.substring("text", F.lit(1), half(F.col("before_chars"))).alias("given"),
+        F.col("fingerprint").alias("next_print"), F.col("doc_id").alias("next_id"), F.col("before_copies").alias("copies"),
+    )
     n = F.char_length("text")
-    half = F.floor(n / 2).cast("int")
-    out = rows.select("doc_id", n.cast("long").alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - half), F.substring(next_text, F.lit(1), half)).alias("edited"), "fingerprint", next_print.alias("next_print"))
+    # of equal rows each but the last is followed by another of them
+    last = F.col("nth") == F.col("copies")
+    own = {"given": F.when(last, F.col("given")).otherwise(F.substring("text", F.lit(1), half(n))), "next_print": F.when(last, F.col("next_print")).otherwise(F.col("fingerprint")), "next_id": F.when(last, F.col("next_id")).otherwise(F.col("doc_id"))}
+    out = rows.join(given, ["key", "tie"]).withColumns(own)
+    out = out.select("doc_id", n.cast("long").alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - half(n)), "given").alias("edited"), "fingerprint", "next_print", "next_id")
     out = out.withColumn("edited_fingerprint", fingerprint(F.col("edited")))
     return out.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"),
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"), "next_id",
     )

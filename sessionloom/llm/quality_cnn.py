@@ -8,30 +8,37 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from sessionloom.llm.shared import text_slices
 
 CHUNK, STEP, WIDTH, STRIDE = 512, 496, 8, 4  # bytes; chunks overlap, so that no window is lost between them
 PAD, DEPTH, FILTERS = 256, 6, 24
 SAMPLE_ROWS = 2500  # labelled rows that the classifier is fitted on, at most
+SAMPLE_BYTES = 1 << 26  # bytes of their texts, at most
+BLOCK = 256  # chunks that are worked on together
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def _chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of CHUNK byte codes covering each text whole, and the first row of each text. An empty text has a row of padding."""
+def _layout(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the chunks that cover each text whole: the text of each, where it starts in it, and the first chunk of each text. An empty text has one of padding."""
     lengths = np.diff(offsets)
     counts = np.maximum(1, -(-(lengths - (CHUNK - STEP)) // STEP))
     first = np.concatenate(([0], np.cumsum(counts)[:-1]))
     owner = np.repeat(np.arange(len(lengths)), counts)
-    start = (np.arange(len(owner)) - first[owner]) * STEP
+    return owner, (np.arange(len(owner)) - first[owner]) * STEP, first
+
+
+def _codes(data: np.ndarray, offsets: np.ndarray, owner: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A row of CHUNK byte codes for each of the chunks."""
     at = start[:, None] + np.arange(CHUNK)
-    inside = at < lengths[owner][:, None]
+    inside = at < np.diff(offsets)[owner][:, None]
     at = np.minimum(at + offsets[:-1][owner][:, None], max(0, len(data) - 1))
     codes = data[at].astype(np.int16) if len(data) else np.zeros(at.shape, np.int16)
-    return np.where(inside, codes, PAD), first
+    return np.where(inside, codes, PAD)
 
 
 class ByteCnn:
@@ -62,19 +69,26 @@ class ByteCnn:
         return z.max(axis=1) + self.conv_bias, z
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        codes, first = _chunks(data, offsets)
-        top = np.concatenate([self.respond(codes[i : i + 256])[0] for i in range(0, len(codes), 256)])
+        owner, start, first = _layout(offsets)
+        top = np.empty((len(owner), FILTERS), self.conv.dtype)
+        for i in range(0, len(owner), BLOCK):
+            # blocks of one size, padded, so that a chunk's products don't depend on how texts are dealt; memory doesn't grow with a text
+            own = slice(i, i + BLOCK)
+            codes = np.full((BLOCK, CHUNK), PAD, np.int16)
+            codes[: len(owner[own])] = _codes(data, offsets, owner[own], start[own])
+            top[own] = self.respond(codes)[0][: len(owner[own])]
         return self._combine(np.maximum(top, 0), first)[0]
 
     def _combine(self, top: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        counts = np.diff(np.append(first, len(top)))[:, None].astype(np.float32)
-        pooled = np.concatenate((np.maximum.reduceat(top, first), np.add.reduceat(top, first) / counts), axis=1)
-        logit = pooled @ self.out + self.out_bias
-        return 1 / (1 + np.exp(-np.clip(logit, -30, 30).astype(np.float64))), pooled, counts
+        counts = np.diff(np.append(first, len(top)))[:, None]
+        pooled = np.concatenate((np.maximum.reduceat(top, first), np.add.reduceat(top.astype(np.float64), first) / counts), axis=1)
+        logit = (pooled * self.out).sum(axis=1) + self.out_bias
+        return 1 / (1 + np.exp(-np.clip(logit, -30, 30))), pooled, counts
 
     def gradients(self, data: np.ndarray, offsets: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
-        codes, first = _chunks(data, offsets)
-        parts = [self.respond(codes[i : i + 256]) for i in range(0, len(codes), 256)]
+        owner, start, first = _layout(offsets)
+        codes = _codes(data, offsets, owner, start)
+        parts = [self.respond(codes[i : i + BLOCK]) for i in range(0, len(codes), BLOCK)]
         raw = np.concatenate([p[0] for p in parts])
         where = np.concatenate([p[1].argmax(axis=1) for p in parts])
         top = np.maximum(raw, 0)
@@ -83,7 +97,7 @@ class ByteCnn:
         pooled_d = d[:, None] * self.out
         owner = np.repeat(np.arange(len(labels)), counts[:, 0].astype(np.int64))
         top_d = (pooled_d[:, FILTERS:] / counts)[owner]
-        largest = pooled[:, :FILTERS][owner]
+        largest = np.maximum.reduceat(top, first)[owner]
         tied = (top == largest) & (top > 0)
         share = np.add.reduceat(tied.astype(np.float32), first)
         top_d = (top_d + tied * (pooled_d[:, :FILTERS] / np.maximum(share, 1))[owner]) * (raw > 0)
@@ -123,29 +137,41 @@ class ByteCnn:
         return self
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> ByteCnn:
-    """Fit on at most sample_rows labelled rows that are not held out, taken by hash of doc_id.
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> ByteCnn:
+    """Fit on at most sample_rows labelled rows that are not held out, taken by hash of doc_id, whose texts have at most sample_bytes in all.
 
     labels: doc_id, quality (0 or 1; other values and null are no labels). Of repeated labels of a doc_id the
-    larger counts. Without any labelled row the network stays as it is seeded.
+    larger counts; of rows that repeat a doc_id one with the least hash of its text. A text that would pass sample_bytes is left
+    out, as is what comes after it. Without any labelled row the network stays as it is seeded.
     """
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    return ByteCnn().fit([r["text"].encode() for r in rows], np.array([r["quality"] for r in rows], np.float64))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    sizes = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min(F.struct("tie", F.octet_length("text").alias("size"))).alias("m"), F.max("quality").alias("quality"))
+    # one row per sampled id
+    rows, total = [], 0
+    for r in sorted(sizes.select("doc_id", "m.*", "quality", F.xxhash64("doc_id").alias("turn")).collect(), key=lambda r: (r["turn"], r["doc_id"])):
+        total += r["size"]
+        if total > sample_bytes:
+            break
+        rows.append((r["doc_id"], r["tie"], float(r["quality"])))
+    chosen = docs.sparkSession.createDataFrame(rows, StructType([docs.schema["doc_id"], StructField("tie", LongType()), StructField("quality", DoubleType())]))
+    found = {r["doc_id"]: r for r in texts.join(F.broadcast(chosen), ["doc_id", "tie"]).dropDuplicates(["doc_id"]).collect()}
+    found = [found[i] for i in sorted(found)]
+    return ByteCnn().fit([r["text"].encode() for r in found], np.array([r["quality"] for r in found], np.float64))
 
 
 def score(docs: DataFrame, model: ByteCnn, keep: list[str], threshold: float = 0.3) -> DataFrame:
     """The columns named in keep, score (0 to 1) and predicted (1 if score >= threshold) of every row of docs.
 
-    Whole texts are scored, whatever their length; null is empty and gets the score of padding. Nothing is shuffled.
+    Whole texts are scored, whatever their length; null is empty and gets the score of padding. Scores have six
+    decimals: rounding in products of single precision doesn't show. Nothing is shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             got = [model.score(data, offsets) for _, data, offsets in text_slices(batch.column("text" if "text" in keep else "score_text"), 1 << 18)]
-            got = np.concatenate(got) if got else np.zeros(0)
+            got = np.round(np.concatenate(got), 6) if got else np.zeros(0)
             arrays = [batch.column(c) for c in keep] + [pa.array(got, pa.float64()), pa.array((got >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(arrays, [*keep, "score", "predicted"])
 

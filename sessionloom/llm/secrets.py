@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sessionloom.llm.shared import cut
 
@@ -19,31 +20,27 @@ KINDS = {
 BASE = ("assign", "access", "hex")
 
 
-def _spans(text: Column, nth: int, kind: str) -> Column:
-    """array<struct<start, kind, end, value>> of the matches of a kind, in code points.
-
-    The texts between matches and the matches themselves, laid end to end, give the places.
-    """
+def _hits(text: Column, nth: int, kind: str) -> Column:
+    """array<struct<kind, pos, gap, size, hash, live, keep>> of the matches of a kind: in code points, how much text lies before each (since the
+    match before it), and how long it is. One scan for texts without a match."""
     pattern, group, least = KINDS[kind]
-    found = F.regexp_extract_all(text, F.lit(pattern), 0)
-    values = F.regexp_extract_all(text, F.lit(pattern), group) if group else found
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"), values.alias("value"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.char_length(x["gap"])
-        end = start + F.coalesce(F.char_length(x["hit"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(nth).alias("kind"), end.alias("end"), F.sha2(x["value"], 256).alias("hash"), (_looks_live(x["value"])).alias("live"))
-        keep = x["hit"].isNotNull() & (F.char_length(x["value"]) >= least)
+    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("hit"))
+
+    def hit(x: Column, i: Column) -> Column:
+        value = F.regexp_extract(x["hit"], pattern, group) if group else x["hit"]
+        keep = F.char_length(value) >= least
         if kind == "bare":
-            keep = keep & _mixed_classes(x["value"])
-        return F.struct(end.alias("at"), F.when(keep, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+            keep = keep & _mixed_classes(value)
+        return F.struct(
+            F.lit(nth).alias("kind"), i.alias("pos"), F.char_length(x["gap"]).alias("gap"), F.char_length(x["hit"]).alias("size"), F.sha2(value, 256).alias("hash"), _looks_live(value).alias("live"), keep.alias("keep")
+        )
 
-    none = F.array().cast(SPANS)
-    walked = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]
-    return F.when(F.regexp_like(text, F.lit(pattern)), walked).otherwise(none)
+    found = F.transform(F.filter(parts, lambda x: x["hit"].isNotNull()), hit)
+    return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(F.array().cast(HITS))
 
 
-SPANS = "array<struct<start:int,kind:int,end:int,hash:string,live:boolean>>"
+HITS = "array<struct<kind:int,pos:int,gap:int,size:int,hash:string,live:boolean,keep:boolean>>"
+SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
 def _mixed_classes(value: Column) -> Column:
@@ -60,39 +57,47 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, repository: str = "doc_id", owner: str = "source", copied_owners: int = 3) -> DataFrame:
+def scan(docs: DataFrame, repository: str = "doc_id", owner: str = "source", copied_owners: int = 3, copied_repositories: int = 20) -> DataFrame:
     """Spans of secrets in whole texts, and how widely each value is shared.
 
     Returns one row per row of docs: doc_id, n_assign, n_access, n_hex (base spans), base_sha256, spans (base ones and those
-    added, as kind:start:end), n_live and n_example. A null text is empty. Repeated rows count as one
-    repository. A null owner is an owner of its own. Only the three columns named and the text are read.
+    added, as kind:start:end), n_live, n_example and most_copies (repositories of the value that most have). A null text is empty. Repeated
+    rows count as one repository. A null owner is an owner of its own. Only the three columns named and the text are read.
     An empty table gives an empty result.
 
-    Every value is hashed, and the hash's distinct repositories and owners are counted over the whole corpus. A
-    value of `copied_owners` or more owners is an example; one of a single owner that looks live is live. What is
-    added: bare tokens of 20 or more characters with digits and letters of either case, outside of
-    base spans, whose value is live by this count.
+    Every value is hashed, and the hash's distinct repositories and owners are counted over the whole corpus. A value of
+    `copied_owners` owners or of `copied_repositories` repositories, or more, is an example, however few owners copied it so often; any other
+    that looks live is live. What is added: bare tokens of 20 or more characters with digits and letters of either case,
+    outside of base spans, whose value is live by these counts.
 
-    Texts are scanned once; the spans go to a table in the shared folder, and only hashes are shuffled.
+    Texts are scanned once; the matches go to a table in the shared folder, and only they are shuffled. Places are running sums over a text's
+    matches, so that a text of very many costs in proportion.
     """
     text = F.coalesce("text", F.lit(""))
     found = docs.select("doc_id", F.col(repository).alias("repo"), F.coalesce(F.concat(F.lit("s"), F.col(owner).cast("string")), F.lit("n")).alias("owner"), text.alias("text"))
-    found = found.select("doc_id", "repo", "owner", *[_spans(F.col("text"), n, k).alias(k) for n, k in enumerate(KINDS)])
-    found = cut(found.withColumn("row", F.monotonically_increasing_id()), "spans")
-    base = F.concat(*BASE)
-    outside = F.filter("bare", lambda b: ~F.exists(base, lambda s: (s["start"] < b["end"]) & (b["start"] < s["end"])))
-    values = found.select("row", "repo", "owner", F.explode(F.concat(base, outside)).alias("s"))
-    owners = values.select(F.col("s.hash").alias("hash"), "owner", "repo").distinct().groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"))
+    found = found.select("doc_id", "repo", "owner", F.concat(*[_hits(F.col("text"), n, k) for n, k in enumerate(KINDS)]).alias("hits"))
+    found = cut(found.withColumn("row", F.monotonically_increasing_id()), "hits")
+    each = found.where(F.size("hits") > 0).select("row", "repo", "owner", F.explode("hits").alias("h")).select("row", "repo", "owner", "h.*")
+    ahead = Window.partitionBy("row", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    each = each.withColumn("start", F.coalesce(F.sum(F.col("gap") + F.col("size")).over(ahead), F.lit(0)) + F.col("gap")).withColumn("end", F.col("start") + F.col("size")).where("keep")
+    # a bare token is outside if no base span that starts before it ends in it, and none starts in it
+    base = F.col("kind") < len(BASE)
+    before = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+    each = each.withColumns({"_end": F.max(F.when(base, F.col("end"))).over(before), "_start": F.min(F.when(base, F.col("start"))).over(behind)})
+    outside = F.coalesce(F.col("_end") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("_start") >= F.col("end"), F.lit(True))
+    values = cut(each.where(base | outside).select("row", "repo", "owner", "kind", "start", "end", "hash", "live"), "values")
+    owners = values.select("hash", "owner", "repo").distinct().groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"))
     spread = owners.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"))
-    judged = values.select("row", "s", F.col("s.hash").alias("hash")).join(spread, "hash")
-    live = (F.col("owners") == 1) & F.col("s.live")
+    judged = values.join(spread, "hash")
+    example = (F.col("owners") >= copied_owners) | (F.col("repos") >= copied_repositories)
+    live = ~example & F.col("live")
+    span = F.struct("start", "kind", "end")
     verdicts = judged.groupBy("row").agg(
-        F.count_if(live).alias("n_live"), F.count_if(F.col("owners") >= copied_owners).alias("n_example"),
-        F.collect_list(F.when(live & (F.col("s.kind") == len(BASE)), F.col("s"))).alias("added"), F.max("repos").alias("most_copies"),
-    )
-    out = found.select("doc_id", "row", *BASE).join(verdicts, "row", "left")
-    return out.select(
-        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE], F.sha2(_listed(base), 256).alias("base_sha256"),
-        _listed(F.concat(base, F.coalesce("added", F.array().cast(SPANS)))).alias("spans"),
-        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_example", "most_copies")],
+        *[F.count_if(F.col("kind") == n).alias(f"n_{k}") for n, k in enumerate(BASE)], F.count_if(live).alias("n_live"), F.count_if(example).alias("n_example"),
+        F.collect_list(F.when(base, span)).alias("base"), F.collect_list(F.when(base | live, span)).alias("all"), F.max("repos").alias("most_copies"),
     )
+    out = found.select("doc_id", "row").join(verdicts, "row", "left")
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    base_list, every = (F.coalesce(c, F.array().cast(SPANS)) for c in ("base", "all"))
+    return out.select("doc_id", *[count(f"n_{k}") for k in BASE], F.sha2(_listed(base_list), 256).alias("base_sha256"), _listed(every).alias("spans"), *[count(c) for c in ("n_live", "n_example", "most_copies")])

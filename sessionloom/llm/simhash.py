@@ -17,6 +17,7 @@ from sessionloom.llm.shared import cut, text_slices
 
 LEVELS = (16, 24, 32, 48, 64)  # leading bits of a variant by which it is dealt; later ones for places that hold too much
 ROOM = 1 << 22  # variants of a place that a task holds at a time
+TASK = 1 << 25  # variants that are dealt to a task, about
 LARGE = 1024  # a group of more than this part of all fingerprints is large
 
 
@@ -186,9 +187,10 @@ def links(fps: DataFrame, radius: int = 4, levels: tuple[int, ...] = LEVELS, roo
         raise ValueError("the radius must be even: both sides flip up to half of it")
     if not levels or levels[-1] != 64 or list(levels) != sorted(set(levels)):
         raise ValueError("levels must rise to 64")
-    # few bytes become many: as many tasks as a shuffle has, not as few as the bytes would get
-    tasks, half = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), radius // 2
+    half = radius // 2
     held = fps.count() * len(_flips(64, half))
+    # few bytes become many: as many tasks as a shuffle has or as the variants need, not as few as the bytes would get
+    tasks = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), held // TASK)
     levels = [b for b in levels if b == 64 or held >> b <= room]
     rows, before, found = fps.select(F.lit(0).cast("long").alias("place"), "fp"), 0, []
     for bits in levels:

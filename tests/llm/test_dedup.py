@@ -157,6 +157,21 @@ def test_substrings(spark, rows, length, seed):
     assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == brute_substrings(rows, length)
 
 
+def test_matches_with_others_than_the_leading_context(spark, monkeypatch):
+    """An anchor of many contexts, of which each agrees with the leading one less than with some other."""
+    monkeypatch.setattr(substring_dedup, "SHARE", 3)
+    rng, rows = random.Random(3), []
+    core = prose(6, 1, 9)
+    sides = [(prose(12, 10 + k, 5), prose(12, 30 + k, 5)) for k in range(4)]
+    for i in range(60):
+        (left, _), (_, right) = rng.choice(sides), rng.choice(sides)
+        own = rng.randrange(13)
+        rows.append((i, f"u{i} " + " ".join(left.split()[own:]) + f" {core} " + " ".join(right.split()[: 12 - own]) + f" v{i}", "a"))
+    got = substring_dedup.without_repeats(table(spark, rows), 12, 5).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == brute_substrings(rows, 12)
+    assert sum(r["n_removed"] for r in got) > 300
+
+
 def test_anchor_in_every_window():
     rng = np.random.default_rng(0)
     text = " ".join(f"w{x}" for x in rng.integers(0, 30, 3000)).encode()
@@ -183,6 +198,20 @@ def test_lines(spark):
         assert sorted((str(r["doc_id"]), r["n_lines"], r["n_removed"], r["kept_text"]) for r in got) == sorted(want)
 
 
+def test_sketches_decide_far_from_the_threshold(spark):
+    """Lines of 1 to 600 sites at a threshold of 100: near it all are exact, far from it sketches are right."""
+    spread = [1, 2, 50, 84, 95, 99, 100, 101, 110, 130, 300, 600]
+    lines = spark.createDataFrame([(k, k, f"s{x}") for k in spread for x in range(k) for _ in range(2)], "key long, check int, site string")
+    assert sorted(r["key"] for r in line_dedup.boilerplate(lines, 100).collect()) == [k for k in spread if k >= 100]
+
+
+def test_many_places_of_one_text(spark):
+    text = "\n".join(f"line {k}" if k % 2 else f"own {k}" for k in range(30_000))
+    other = "\n".join(f"line {k}" for k in range(1, 30_000, 2))
+    got = line_dedup.without_boilerplate(table(spark, [(1, text, "a"), (2, other, "b"), (3, other, "c")])).collect()
+    assert sorted((r["doc_id"], r["n_removed"], r["kept_text"].count("\n")) for r in got) == [(1, 15_000, 14_999), (2, 15_000, 0), (3, 15_000, 0)]
+
+
 def test_empty_tables(spark):
     docs = table(spark, [])
     for f in (exact_dedup.exact_groups, exact_dedup.without_copies, simhash.near_groups, simhash.first_of_groups, substring_dedup.without_repeats, line_dedup.without_boilerplate):

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from sessionloom.llm import bpe, lm_score, minhash, mixing, quality_cnn, secrets
@@ -56,12 +57,34 @@ def test_classifier_gradients():
 
 def test_classifier_covers_whole_texts():
     for n in (0, 1, 512, 513, 1008, 5000):
-        codes, first = quality_cnn._chunks(np.arange(n).astype(np.uint8), np.array([0, n]))
+        offsets = np.array([0, n])
+        owner, start, first = quality_cnn._layout(offsets)
+        codes = quality_cnn._codes(np.arange(n).astype(np.uint8), offsets, owner, start)
         assert first.tolist() == [0] and (codes != quality_cnn.PAD).sum() >= n
         for p in range(0, max(0, n - quality_cnn.WIDTH)):
             assert any(k * quality_cnn.STEP <= p and p + quality_cnn.WIDTH <= k * quality_cnn.STEP + quality_cnn.CHUNK for k in range(len(codes)))
 
 
+def test_classifier_scores_do_not_depend_on_batches(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.where("doc_id < 3").select(F.col("doc_id") + 1_000_000, F.repeat("text", 400).alias("text")).toDF("doc_id", "text"))
+    model = quality_cnn.ByteCnn(4)
+    scores = [sorted(map(tuple, quality_cnn.score(docs.repartition(n), model, ["doc_id"]).collect())) for n in (1, 7, 60)]
+    assert scores[0] == scores[1] == scores[2]
+
+
+def test_classifier_sample_is_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_cnn.ByteCnn, "fit", lambda self, texts, labels: seen.append((texts, labels.tolist())))
+    docs = table(spark, [(i, f"text {i} " * 10, "a") for i in range(1, 60)] + [(5, "again", "a")] * 40 + [(77, "x" * 5000, "a")])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 80)], "doc_id long, quality int")
+    quality_cnn.train(docs, labels, 1000)
+    quality_cnn.train(docs, labels, 10)
+    quality_cnn.train(docs, labels, 1000, 1500)
+    assert len(seen[0][0]) > 40 and len(set(seen[0][0])) == len(seen[0][0]) and len(seen[1][0]) <= 10 and 0 < sum(map(len, seen[2][0])) <= 1500
+    assert all(len(t) == len(y) for t, y in seen)
+
+
 def test_classifier_odd_rows(spark):
     docs = table(spark, [(1, None, "a"), (2, "", "a"), (None, "x " * 100_000, None), (3, "y", "b"), (3, "y", "b")])
     none = spark.createDataFrame([], "doc_id long, quality int, extra string")
@@ -220,11 +243,93 @@ def test_secrets(spark):
     assert secrets.scan(table(spark, [])).count() == 0
 
 
+def test_secrets_against_brute_force(spark):
+    """Verdicts of random values over random owners and repositories, and of a text of very many matches."""
+    rng = random.Random(5)
+    values = ["".join(rng.choice("abcDEF0123456789xyzQRS") for _ in range(24)) for _ in range(40)] + ["lowercase" * 4, "A" * 30]
+    rows = []
+    for i in range(400):
+        own = [rng.choice(values[: 1 + rng.randrange(len(values))]) for _ in range(rng.randrange(4))]
+        rows.append((i, " ".join(f"token={v}" if rng.random() < 0.5 else v for v in own) + " end", rng.choice(["big"] * 9 + ["a", "b", None])))
+    rows.append((1000, " ".join(f"secret={'k' * 8}{k} AKIA{k:012d}" for k in range(16_000)), "z"))
+    got = {r["doc_id"]: r for r in secrets.scan(table(spark, rows), copied_owners=3, copied_repositories=30).collect()}
+    marked, spread = {}, {}
+    for i, t, s in rows:
+        base = [(m.start(), 0, m.end(), m[2]) for m in ASSIGN.finditer(t) if len(m[2]) >= 8]
+        base += [(m.start(), 1, m.end(), m[0]) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+        base += [(m.start(), 2, m.end(), m[0]) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+        bare = [(m.start(), 3, m.end(), m[0]) for m in re.finditer("[A-Za-z0-9+/_-]{20,}", t) if all(re.search(c, m[0]) for c in ("[0-9]", "[A-Z]", "[a-z]"))]
+        bare = [b for b in bare if i == 1000 or not any(x[0] < b[2] and b[0] < x[2] for x in base)] if i != 1000 else []
+        marked[i] = base + bare
+        for *_, v in marked[i]:
+            spread.setdefault(v, set()).add((s, i))
+    live = lambda v: len(v) >= 16 and re.search("[0-9]", v) and re.search("[A-Za-z]", v) and len(set(v)) >= 8
+    example = {v: len({s for s, _ in x}) >= 3 or len(x) >= 30 for v, x in spread.items()}
+    assert len(set(example.values())) == 2
+    for i, _, _ in rows:
+        kept = [x for x in marked[i] if x[1] < 3 or (live(x[3]) and not example[x[3]])]
+        assert got[i]["spans"] == ",".join(f"{['assign', 'access', 'hex', 'bare'][k]}:{a}:{b}" for a, k, b, _ in sorted(kept)), i
+        assert got[i]["n_example"] == sum(example[x[3]] for x in marked[i]) and got[i]["n_live"] == sum(bool(live(x[3]) and not example[x[3]]) for x in marked[i])
+        assert got[i]["most_copies"] == max((len(spread[x[3]]) for x in marked[i]), default=0)
+    assert got[1000]["n_assign"] == got[1000]["n_access"] == 16_000
+    assert any(r["spans"].count("bare:") for r in got.values())
+
+
+def test_encoder_refuses_what_it_does_not_follow():
+    spec = json.loads(Path(bpe.default_vocabulary()).read_text())
+    for change in ({"normalizer": {"type": "NFKC"}}, {"model": spec["model"] | {"dropout": 0.1}}, {"added_tokens": [{"id": 1, "content": "<mask>"}]}, {"pre_tokenizer": {"type": "Whitespace"}}, {"decoder": {"type": "ByteLevel"}}):
+        with pytest.raises(ValueError, match=next(iter(change))):
+            bpe.WordBpe(spec | change)
+
+
 def shingles(text):
     w = WORD.findall(text)
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
+def brute_fingerprint(text):
+    """The bins of a text, with a hash library of its own and plain loops."""
+    def chain(parts):
+        h = 42
+        for x in parts:
+            h = xxhash.xxh64_intdigest(x, h)
+        return h
+
+    w = [x.encode() for x in WORD.findall(text)]
+    if not w:
+        return minhash.NO_SHINGLE
+    hashes = [chain(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [chain([b" ".join(w)])]
+    least = {}
+    shift = 64 - minhash.BINS.bit_length() + 1
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    for h in hashes:
+        least[h >> shift] = min(least.get(h >> shift, signed(h)), signed(h))
+    number = lambda b: int(b).to_bytes(4, "little")
+    out = ""
+    for b in range(minhash.BINS):
+        donor = b if b in least else min((signed(chain([number(b), number(c)])), c) for c in least)[1]
+        out += f"{least[donor] & 255:02x}"
+    return out
+
+
+def test_fingerprint_bits(spark):
+    texts = [prose(n, n) for n in (0, 1, 4, 5, 6, 40, 300, 3000)] + ["é 😀 x", "a a a a a a a", None]
+    got = minhash.edited_fingerprints(table(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()
+    assert all(r["fingerprint"] == brute_fingerprint(texts[r["doc_id"]] or "") for r in got)
+
+
+def test_fingerprints_of_string_ids_and_repeated_rows(spark):
+    rows = [(f"d{i:03}", prose(30, i)) for i in range(50)] + [("d007", prose(30, 7))] * 5 + [(None, prose(30, 99))] * 2
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or ""), reverse=True)
+    for per_range in (3, 1000):
+        got = minhash.edited_fingerprints(spark.createDataFrame(rows, "doc_id string, text string"), per_range).collect()
+        want = []
+        for (i, t), (j, u) in zip(order, [*order[1:], order[0]]):
+            half = len(t) // 2
+            want.append((str(i), str(j), hashlib.sha256((t[: len(t) - half] + u[:half]).encode()).hexdigest()))
+        assert sorted((str(r["doc_id"]), str(r["next_id"]), r["edited_sha256"]) for r in got) == sorted(want)
+
+
 def test_fingerprints(spark):
     rows = [(i, prose(400, i) if i % 3 else prose(200, 0) + " " + prose(200, i), "a") for i in range(40)] + [(50, None, "a"), (51, "", "a"), (52, "😀é", "a"), (53, "a b c", "a"), (54, prose(20_000, 1, 9000), "a"), (None, prose(300, 77), "a"), (None, "b", "a"), (7, prose(400, 7), "a")]
     for per_range in (5, 10_000):
