@@ -18,7 +18,7 @@ SMOOTHING = 1000.0  # weight of the lower order
 BROADCAST_IDS = 4_000_000  # target ids up to which they are broadcast
 PART = 1 << 20  # tokens whose pairs are scored together, about
 SLICE = 1 << 21  # bytes of text that are worked on together
-UNIT = 1 << 24  # losses are summed as whole multiples of 1 / UNIT, so that no order of addition shows
+UNIT = 1 << 20  # losses are summed as whole multiples of 1 / UNIT, so that no order of addition shows
 EDGE = 0  # the word at either edge of a text
 
 
@@ -137,7 +137,8 @@ LOCAL = ["ids", "tokens", "target", "background"]
 def _posted(hot, parts: int):
     """Per slice: by part, its texts' pairs to be scored there; and one row of its texts, with what hot pairs cost them.
 
-    A pair belongs to the part of its word, a pair of a hot word to a part of its own; so no part is much larger than others.
+    A pair belongs to the part of its word, a pair of a hot word to a part of its own; so no part is much larger than others. Beside its word, a pair is known
+    by 48 bits of its hash.
     """
 
     def run(batches):
@@ -166,7 +167,7 @@ def _posted(hot, parts: int):
             text, word, head, n, own, pair = (x[sent] for x in (text, word, head, n, own, pair))
             part = (np.where(word_busy[word], pair, mixed(kinds.view(np.uint64)).view(np.int64)[word]).view(np.uint64) % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((head, word, part))
-            text, word, head, n, own, part = (x[order] for x in (text, word, head, n, own, part))
+            text, word, head, n, own, part, short = (x[order] for x in (text, word, head, n, own, part, pair.view(np.uint64) >> np.uint64(16)))
             rows = {c: [] for c in ["part", *BLOBS]}
             edges = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
             for a, b in zip(edges, [*edges[1:], len(part)]):
@@ -177,7 +178,7 @@ def _posted(hot, parts: int):
                 rows["part"].append(int(part[a]))
                 rows["words"].append(kinds[w[new_word]].tobytes())
                 rows["fan"].append(packed(np.diff(np.append(np.flatnonzero(new_word[first]), len(first)))))
-                rows["heads"].append(kinds[h[first]].tobytes())
+                rows["heads"].append(packed(short[a:b][first]))
                 rows["runs"].append(packed(np.diff(np.append(first, b - a))))
                 rows["texts"].append(packed(2 * text[a:b] + chosen[text[a:b]]))
                 rows["n"].append(packed(n[a:b]))
@@ -201,7 +202,7 @@ def _scored(hot):
         known = hot.value
         blobs = {c: [x.as_py() for x in batch.column(c)] for c in BLOBS}
         words = [np.frombuffer(x, np.int64) for x in blobs["words"]]
-        heads = np.concatenate([np.frombuffer(x, np.int64) for x in blobs["heads"]])
+        heads = np.concatenate([unpacked(x) for x in blobs["heads"]])
         fan = [unpacked(x) for x in blobs["fan"]]
         words = np.repeat(np.concatenate(words), np.concatenate(fan))
         runs = np.concatenate([unpacked(x) for x in blobs["runs"]])

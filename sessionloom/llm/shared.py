@@ -113,10 +113,12 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 def packed(values: np.ndarray) -> bytes:
     """Whole numbers that aren't negative, in as few bytes each as the largest needs."""
-    most = int(values.max()) if len(values) else 0
-    size = next(s for s in (1, 2, 4, 8) if most < 1 << 8 * s)
-    return bytes([size]) + values.astype(f"<u{size}").tobytes()
+    size = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
+    return bytes([size]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
 
 
 def unpacked(body: bytes) -> np.ndarray:
-    return np.frombuffer(body, f"<u{body[0]}", offset=1).astype(np.int64)
+    size = body[0]
+    out = np.zeros(((len(body) - 1) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(body, np.uint8, offset=1).reshape(-1, size)
+    return out.view("<u8")[:, 0].astype(np.int64)
