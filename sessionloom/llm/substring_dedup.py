@@ -16,7 +16,7 @@ from sessionloom.llm.shared import Rolling, cut, text_slices, word_hashes, word_
 
 LENGTH, SEED = 50, 16  # words of a window, and of an anchor
 SLICE = 1 << 20
-SHARE = 4096  # contexts of one anchor that a task extends
+SHARE = 128  # contexts of one anchor that a task extends
 
 
 class Words:
