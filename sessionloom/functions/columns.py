@@ -49,6 +49,20 @@ def bad_number(c: Column) -> Column:
     return c.isNotNull() & c.cast("string").try_cast("double").isNull()
 
 
+def order_key(**digits: int) -> Column:
+    """One decimal that sorts like the columns named, whole numbers of so many digits at most (more are an error; 38 in all).
+
+    It has a fixed width, so that min_by and max_by over it are hash aggregates, which a struct's aren't.
+    """
+    names, out, low = list(digits), None, 0
+    if sum(digits.values()) > 38:
+        raise ValueError("an order key holds 38 digits")
+    for name in reversed(names):
+        part = F.col(name).cast(f"decimal({digits[name]},0)") * F.lit(str(10**low)).cast(f"decimal({low + 1},0)")
+        out, low = part if out is None else part + out, low + digits[name]
+    return out
+
+
 def one_hot(c: Column, values: list[str], prefix: str) -> list[Column]:
     return [F.when(c == v, 1.0).otherwise(0.0).alias(f"{prefix}_{v}") for v in values]
 

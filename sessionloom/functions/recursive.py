@@ -55,6 +55,9 @@ def recurse(rows: DataFrame, keys: list[str], order: str, position: str, specs:
         weighed[f"_x_{s.name}"] = F.when(pos < s.start, 0.0).when(pos == s.start, first).otherwise((1 - s.decay) * x)
     out = out.withColumns(weighed)
     place = F.col("_place")
+    # with decay 0 (a span or period of 1) the average is the value itself
+    made = {s.name: F.when(pos >= s.shown, F.col(f"_x_{s.name}")) for s in specs if not s.decay}
+    specs = [s for s in specs if s.decay]
     out = out.withColumns({f"_s_{s.name}": F.pow(F.lit(s.decay), place) * F.sum(F.col(f"_x_{s.name}") * F.pow(F.lit(s.decay), -place)).over(so_far) for s in specs})
     carried = {}
     for s in specs:
@@ -64,8 +67,7 @@ def recurse(rows: DataFrame, keys: list[str], order: str, position: str, specs:
             carry = carry + F.coalesce(F.lag(f"_s_{s.name}", 1 + BLOCK * m).over(segment), F.lit(0.0)) * s.decay ** (BLOCK * m)
         carried[f"_c_{s.name}"] = F.when(place == 0, carry)
     out = out.withColumns(carried)
-    made = {}
     for s in specs:
         carry = F.first(f"_c_{s.name}").over(so_far)
         made[s.name] = F.when(pos >= s.shown, F.col(f"_s_{s.name}") + carry * F.pow(F.lit(s.decay), place + 1))
-    return out.withColumns(made).drop("_block", "_place", *[f"{p}{s.name}" for s in specs for p in ("_x_", "_s_", "_c_")])
+    return out.withColumns(made).drop("_block", "_place", *[f"{p}{name}" for name in made for p in ("_x_", "_s_", "_c_")])

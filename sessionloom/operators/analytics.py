@@ -17,10 +17,12 @@ def prices(aligned: DataFrame) -> DataFrame:
 
 
 def common_window(table: DataFrame) -> DataFrame:
-    """One row: first and last date on which every symbol has a price, and how many such dates there are."""
+    """One row: first and last date on which every symbol has a price, and how many such dates there are. Fewer than two are an error."""
     n = table.agg(F.count_distinct("symbol").alias("n"))
     full = table.where("price is not null").groupBy("session_date").agg(F.count(F.lit(1)).alias("priced")).join(F.broadcast(n), F.col("priced") == F.col("n"))
-    return full.agg(F.min("session_date").alias("first_session"), F.max("session_date").alias("last_session"), F.count(F.lit(1)).alias("common_dates"))
+    out = full.agg(F.min("session_date").alias("first_session"), F.max("session_date").alias("last_session"), F.count(F.lit(1)).alias("common_dates"))
+    few = F.raise_error(F.lit("fewer than two dates on which every instrument has a price")).cast("long")
+    return out.withColumn("common_dates", F.when(F.col("common_dates") < 2, few).otherwise(F.col("common_dates"))).where("common_dates > 1")
 
 
 def window_prices(table: DataFrame) -> DataFrame:
@@ -74,16 +76,19 @@ def metrics(table: DataFrame, config: Analytics = Analytics()) -> DataFrame:
 
 
 def pair_statistics(rets: DataFrame, least: int = 30) -> DataFrame:
-    """Pairs and correlation of every two symbols over days on which both have a return. The panel stays long; the join is by day."""
+    """Pairs and correlation of every two symbols over days on which both have a return. The panel stays long; the join is by day, and each two symbols
+    meet once: the other order is a copy."""
     r = rets.where("ret is not null").select("session_date", "symbol", "ret")
-    both = r.alias("a").join(r.alias("b"), "session_date").select(F.col("a.symbol").alias("symbol"), F.col("b.symbol").alias("other"), F.col("a.ret").alias("x"), F.col("b.ret").alias("y"))
+    both = r.alias("a").join(r.alias("b"), "session_date").where("a.symbol <= b.symbol").select(F.col("a.symbol").alias("symbol"), F.col("b.symbol").alias("other"), F.col("a.ret").alias("x"), F.col("b.ret").alias("y"))
     agg = both.groupBy("symbol", "other").agg(F.count(F.lit(1)).alias("pairs"), F.covar_samp("x", "y").alias("cov"), F.stddev_samp("x").alias("sx"), F.stddev_samp("y").alias("sy"))
     spread = F.col("sx") * F.col("sy")
-    return agg.select("symbol", "other", "pairs", F.when((F.col("pairs") >= least) & (spread > 0), F.col("cov") / spread).alias("correlation"))
+    out = agg.select("symbol", "other", "pairs", F.when((F.col("pairs") >= least) & (spread > 0), F.col("cov") / spread).alias("correlation"))
+    swapped = F.explode(F.when(F.col("symbol") == F.col("other"), F.array(F.struct("symbol", "other"))).otherwise(F.array(F.struct("symbol", "other"), F.struct(F.col("other").alias("symbol"), F.col("symbol").alias("other")))))
+    return out.withColumn("p", swapped).select("p.symbol", "p.other", "pairs", "correlation")
 
 
 def sector_summary(table: DataFrame, sectors: DataFrame, benchmark: str) -> DataFrame:
-    return table.where(F.col("symbol") != benchmark).join(F.broadcast(sectors), "symbol").groupBy("sector").agg(
+    return table.where(F.col("symbol") != benchmark).join(sectors, "symbol").groupBy("sector").agg(
         F.count(F.lit(1)).alias("instruments"), F.avg("endpoint_return").alias("mean_return"), F.avg("annualized_volatility").alias("mean_volatility"), F.avg("beta").alias("mean_beta")
     )
 
@@ -102,10 +107,14 @@ def rolling(rets: DataFrame, config: Analytics = Analytics()) -> DataFrame:
     })
 
 
-def metric_violations(table: DataFrame, benchmark: str) -> DataFrame:
-    """One row of counts that must be zero: asymmetric correlations, correlations out of range, a benchmark beta other than 1."""
-    stats = pair_statistics(returns(window_prices(table)))
+def metric_violations(rets: DataFrame, stats: DataFrame, table: DataFrame, benchmark: str) -> DataFrame:
+    """One row of counts that must be zero: returns other than those of adjacent prices, asymmetric correlations, correlations out of range, a benchmark beta other than 1.
+
+    rets: symbol, session_date, price, ret. stats: as pair_statistics. table: as metrics.
+    """
+    again = F.col("price") / F.lag("price").over(by_symbol()) - 1
+    off = rets.withColumn("_again", again).agg(F.count_if(~F.col("ret").eqNullSafe(F.col("_again")) & F.coalesce(F.abs(F.col("ret") - F.col("_again")) > 1e-9, F.lit(True))).alias("wrong_returns"))
     mirror = stats.select(F.col("symbol").alias("other"), F.col("other").alias("symbol"), F.col("correlation").alias("mirrored"))
     sym = stats.join(mirror, ["symbol", "other"]).agg(F.count_if(F.abs(F.col("correlation") - F.col("mirrored")) > 1e-9).alias("asymmetric"), F.count_if(F.abs("correlation") > 1 + 1e-9).alias("out_of_range"))
-    beta = metrics(table, Analytics(benchmark=benchmark)).agg(F.count_if((F.col("symbol") == benchmark) & (F.abs(F.col("beta") - 1) > 1e-9)).alias("bad_benchmark_beta"))
-    return sym.join(beta)
+    beta = table.agg(F.count_if((F.col("symbol") == benchmark) & (F.abs(F.col("beta") - 1) > 1e-9)).alias("bad_benchmark_beta"))
+    return off.join(sym).join(beta)

@@ -6,15 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bars(ticks: DataFrame, symbol: Column, session: Column, price: Column, quantity: Column, order: list[str], adjustment: Column | None = None) -> DataFrame:
+def bars(ticks: DataFrame, symbol: Column, session: Column, price: Column, quantity: Column, order: Column, adjustment: Column | None = None) -> DataFrame:
     """One row per symbol and session_date: open, high, low, close, adj_close, volume.
 
-    Open and close are the first and last price by `order`, columns that together are unique. One aggregation with
-    partial sums per task; only one row per task and key is shuffled.
+    Open and close are the first and last price by `order`, which is unique within a symbol and session and of a fixed width (see order_key). One
+    hash aggregation with partial sums per task; only one row per task and key is shuffled.
     """
-    at = F.struct(*order)
     out = ticks.groupBy(symbol.alias("symbol"), session.alias("session_date")).agg(
-        F.min_by(price, at).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max_by(price, at).alias("close"),
-        F.max_by(adjustment if adjustment is not None else F.lit(1.0), at).alias("_adjustment"), F.sum(quantity).cast("long").alias("volume"),
+        F.min_by(price, order).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max_by(price, order).alias("close"),
+        F.max_by(adjustment if adjustment is not None else F.lit(1.0), order).alias("_adjustment"), F.sum(quantity).cast("long").alias("volume"),
     )
     return out.select("symbol", "session_date", "open", "high", "low", "close", (F.col("close") * F.col("_adjustment")).alias("adj_close"), "volume")

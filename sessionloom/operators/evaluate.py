@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionloom.functions.columns import is_finite
 from sessionloom.operators.labels import average_rank
 
 TINY = 2.220446049250313e-16
@@ -30,6 +31,16 @@ def regression(predictions: DataFrame, *keys: str) -> DataFrame:
     return predictions.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.avg(F.abs(miss)).alias("mae"), F.sqrt(F.avg(F.pow(miss, 2))).alias("rmse"))
 
 
+def scored(predictions: DataFrame, target: str) -> DataFrame:
+    """Metrics by model and fold with target, split and score: the Brier score of a direction, the mean absolute error of a return. predictions: model, fold, actual, prediction."""
+    direction = target.startswith("direction")
+    out = (classification if direction else regression)(predictions, "model", "fold")
+    absent = [c for c in ("balanced_accuracy", "roc_auc", "brier", "log_loss", "mae", "rmse") if c not in out.columns]
+    return out.withColumns({
+        "target": F.lit(target), "split": F.when(F.col("fold") < 0, "holdout").otherwise("validation"), "score": F.col("brier" if direction else "mae"), **{c: F.lit(None).cast("double") for c in absent},
+    })
+
+
 def score_summary(metrics: DataFrame) -> DataFrame:
     """Means over folds by target, model and split."""
     return metrics.groupBy("target", "model", "split").agg(*[F.avg(c).alias(c) for c in ("balanced_accuracy", "roc_auc", "brier", "mae", "rmse")])
@@ -53,9 +64,9 @@ def calibration(predictions: DataFrame, *keys: str) -> DataFrame:
 def prediction_violations(predictions: DataFrame, holdout: DataFrame) -> DataFrame:
     """One row of counts that must be zero: repeated keys, predictions that aren't finite, rows before the holdout (one row: start)."""
     one = predictions.crossJoin(F.broadcast(holdout.select("start"))).groupBy("symbol", "session_date").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isNull() | F.isnan("prediction")).alias("bad"), F.count_if(F.col("session_date") < F.col("start")).alias("early")
+        F.count(F.lit(1)).alias("n"), F.count_if(~is_finite(F.col("prediction"))).alias("bad"), F.count_if(F.col("session_date") < F.col("start")).alias("early")
     )
-    return one.agg(F.sum(F.col("n") - 1).alias("repeated"), F.sum("bad").alias("not_finite"), F.sum("early").alias("before_holdout"))
+    return one.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in ((F.col("n") - 1, "repeated"), ("bad", "not_finite"), ("early", "before_holdout"))])
 
 
 def forecast_scores(scored: DataFrame) -> DataFrame:

@@ -99,10 +99,22 @@ def features(aligned: DataFrame, config: Features = Features()) -> DataFrame:
     )
 
 
+METADATA = ["symbol", "session_date", "segment_age", "input_valid", "core_ready", "available_at", "feature_version"]
+
+
+def split_columns(table: DataFrame, config: Features = Features()) -> tuple[DataFrame, DataFrame]:
+    """(keys and predictors, metadata). A column that is neither, or a predictor that is absent, is an error: nothing else may reach a model."""
+    names = feature_names(config)
+    other = set(table.columns) ^ {*names, *METADATA}
+    if other:
+        raise ValueError(f"neither predictor nor metadata, or absent: {sorted(other)}")
+    return table.select("symbol", "session_date", *names), table.select(*METADATA)
+
+
 def coverage(table: DataFrame, names: list[str]) -> DataFrame:
     """Non-null and null values per symbol and feature."""
-    long = table.select("symbol", *names).unpivot("symbol", names, "feature", "value")
-    return long.groupBy("symbol", "feature").agg(F.count("value").alias("non_null"), F.count_if(F.col("value").isNull()).alias("nulls"))
+    wide = table.groupBy("symbol").agg(F.count(F.lit(1)).alias("_rows"), *[F.count(n).alias(n) for n in names])
+    return wide.unpivot(["symbol", "_rows"], names, "feature", "non_null").select("symbol", "feature", "non_null", (F.col("_rows") - F.col("non_null")).alias("nulls"))
 
 
 def build_summary(table: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def is_test(target: str, horizon: int) -> Column:
 
 def marked(rows: DataFrame, fold_table: DataFrame, config: Models = Models()) -> DataFrame:
     """rows for every fold with train_<target> and test_<target>: all folds in one pass over broadcast folds (a few rows per year)."""
-    out = rows.crossJoin(F.broadcast(fold_table))
+    out = rows.join(F.broadcast(fold_table), F.col("session_date") < F.col("end"))
     marks = {f"train_{t}": is_train(t) for t in config.targets} | {f"test_{t}": is_test(t, h) for t, h in config.targets.items()}
     out = out.withColumns(marks)
     return out.where(reduce(lambda a, b: a | b, [F.col(m) for m in marks]))
@@ -77,8 +77,22 @@ def audit_violations(audit: DataFrame, config: Models = Models()) -> DataFrame:
 
 
 def fold_medians(marks: DataFrame, names: list[str], target: str) -> DataFrame:
-    """Exact medians of the training rows of each fold."""
-    return marks.where(f"train_{target}").groupBy("fold").agg(*[F.median(n).alias(f"median_{n}") for n in names], *[F.count_if(F.col(n).isNull()).alias(f"nulls_{n}") for n in names])
+    """Exact medians of the training rows of each fold, and how many of their values are null.
+
+    Sketched quantiles bracket the median; only the few values between them are ranked, so no task holds all values of a fold.
+    """
+    train = marks.where(f"train_{target}").select("fold", *[F.col(n).cast("double").alias(n) for n in names])
+    nulls = train.groupBy("fold").agg(*[F.count_if(F.col(n).isNull()).alias(f"nulls_{n}") for n in names])
+    long = train.unpivot("fold", names, "feature", "value").where("value is not null")
+    keys = ["fold", "feature"]
+    bounds = long.groupBy(*keys).agg(F.percentile_approx("value", [0.499, 0.501], 10_000).alias("b"), F.count(F.lit(1)).alias("n"))
+    rows = long.join(bounds, keys).select(*keys, "value", "n", F.col("b")[0].alias("low"), F.col("b")[1].alias("high"))
+    below = rows.groupBy(*keys).agg(F.count_if(F.col("value") < F.col("low")).alias("below"))
+    ranked = rows.where("value between low and high").withColumn("at", F.row_number().over(Window.partitionBy(*keys).orderBy("value")))
+    at = F.col("at") + F.col("below")
+    middle = ranked.join(below, keys).where((at == F.floor((F.col("n") + 1) / 2)) | (at == F.ceil((F.col("n") + 1) / 2))).groupBy(*keys).agg(F.avg("value").alias("median"))
+    wide = middle.groupBy("fold").pivot("feature", names).agg(F.first("median")).withColumnsRenamed({n: f"median_{n}" for n in names})
+    return nulls.join(wide, "fold", "left")
 
 
 def imputed(marks: DataFrame, medians: DataFrame, names: list[str]) -> DataFrame:

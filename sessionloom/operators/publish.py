@@ -11,7 +11,7 @@ VALID, STALE, UNAVAILABLE = "Research baseline only", "Skipped: stale input or n
 
 def market(risk: DataFrame, latest_prices: DataFrame, instruments: DataFrame, today: Column, expected: Column) -> DataFrame:
     """Risk readings with price, return and sector, their age in days, and whether they miss the expected session."""
-    out = risk.drop("latest_input_missing").join(latest_prices, ["symbol", "session_date"]).join(F.broadcast(instruments.select("symbol", "sector")), "symbol")
+    out = risk.drop("latest_input_missing").join(latest_prices, ["symbol", "session_date"]).join(instruments.select("symbol", "sector"), "symbol")
     out = out.withColumns({"calendar_age_days": F.datediff(today, "session_date"), "latest_input_missing": F.col("session_date") < expected})
     return out.withColumn("data_status", F.when(F.col("latest_input_missing"), "No current risk reading").otherwise("Current indicators"))
 
@@ -53,19 +53,19 @@ def insights(counts: DataFrame, missing: DataFrame, expected: Column) -> DataFra
     both = counts.crossJoin(missing)
     texts = {
         "Market summary": F.format_string(
-            "Session %s, %d stocks with current indicators: %d bullish, %d bearish and %d neutral. %d show abnormal volume; %d exceed the volatility threshold.",
+            "On %s %d equities have current readings (bullish %d, bearish %d, neutral %d); unusual volume in %d, high volatility in %d.",
             F.date_format(expected, "yyyy-MM-dd"), "equities", "bullish", "bearish", "neutral", "abnormal", "high_risk",
         ),
-        "Data freshness": F.format_string("The source grid ends %s. %d instruments lack current indicators and are left out of the counts.", F.date_format("last_session", "yyyy-MM-dd"), "missing"),
-        "Model evidence": F.lit("Models are chosen on validation folds; a baseline may win."),
-        "Interpretation": F.lit("Technical labels describe observed conditions; anomaly flags require review."),
+        "Data freshness": F.format_string("Bars reach %s; %d instruments have no current reading and aren't counted.", F.date_format("last_session", "yyyy-MM-dd"), "missing"),
+        "Model evidence": F.lit("Scores of the validation folds choose the model, and that may be the baseline."),
+        "Interpretation": F.lit("Labels say what was observed, and a flag is a reason to look, not a finding."),
     }
     return both.select(F.explode(F.array(*[F.struct(F.lit(k).alias("topic"), v.alias("insight")) for k, v in texts.items()])).alias("r")).select("r.*")
 
 
 def release_violations(market_table: DataFrame, forecast_table: DataFrame, targets: int = 3) -> DataFrame:
     """One row of counts that must be zero."""
-    m = market_table.groupBy("symbol").count().agg(F.sum(F.col("count") - 1).alias("repeated_market_rows"), F.count(F.lit(1)).alias("_n"))
+    m = market_table.groupBy("symbol").count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("repeated_market_rows"), F.count(F.lit(1)).alias("_n"))
     f = forecast_table.agg(
         F.count(F.lit(1)).alias("_f"), F.count_if(F.col("status").startswith("Skipped") & F.col("value").isNotNull()).alias("skipped_with_value"),
         F.count_if((F.col("target") == "direction_1d") & ((F.col("value") < 0) | (F.col("value") > 1))).alias("bad_probability"),
@@ -91,6 +91,33 @@ def first_issued(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
 
 
+def run_log(steps: DataFrame) -> DataFrame:
+    """One row per run: status, its stages in order, the stage it stopped at, first start and last end.
+
+    steps: run_id, step (sorts in the order of the run), stage, started_at, finished_at (null: it didn't end), ok. What comes after the first step that
+    isn't ok or didn't end doesn't count as run.
+    """
+    broken = F.when(~F.coalesce("ok", F.lit(False)) | F.col("finished_at").isNull(), F.col("step"))
+    first = steps.groupBy("run_id").agg(F.min(broken).alias("_broken"))
+    run = steps.join(first, "run_id").where("_broken is null or step <= _broken")
+    out = run.groupBy("run_id").agg(
+        F.when(F.max("_broken").isNull(), "success").otherwise("failed").alias("status"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("step", "stage"))), lambda x: x["stage"]), ",").alias("stages"),
+        F.max(F.when(F.col("step") == F.col("_broken"), F.col("stage"))).alias("stopped_at"), F.min("started_at").alias("started_at"), F.max(F.coalesce("finished_at", "started_at")).alias("finished_at"),
+    )
+    return out
+
+
+def coherent(features_id: DataFrame, *other_ids: DataFrame) -> DataFrame:
+    """One row: whether what is published beside the features was made from the same dataset. Each table: one row of dataset_id; none or another id isn't coherent."""
+    out = features_id.select(F.col("dataset_id").alias("features_id"))
+    checks = F.lit(True)
+    for k, one in enumerate(other_ids):
+        out = out.join(one.agg(F.min("dataset_id").alias(f"_least{k}"), F.max("dataset_id").alias(f"_most{k}")), how="left")
+        checks = checks & F.col(f"_least{k}").eqNullSafe(F.col("features_id")) & F.col(f"_most{k}").eqNullSafe(F.col("features_id"))
+    return out.select("features_id", checks.alias("coherent"))
+
+
 def skip_run(pointer: DataFrame, expected: Column) -> DataFrame:
     """One row: whether what is published is current. pointer: expected_session, stale_instruments (one row or none)."""
     return pointer.agg(F.coalesce(F.bool_and((F.col("expected_session") == expected) & (F.col("stale_instruments") == 0)), F.lit(False)).alias("skip"))

@@ -13,6 +13,13 @@ RENAME = {"Open": "open", "High": "high", "Low": "low", "Close": "close", "Adj C
 PRICES = ["open", "high", "low", "close"]
 REQUIRED = [*PRICES, "adj_close", "volume"]
 NUMERIC = [*REQUIRED, "dividends", "stock_splits"]
+# fixed values: what published issue logs say, and the rules that it is said of
+DISPOSITIONS = {
+    "error": "quarantined", "session": "excluded_with_explicit_session_mask", "price_only": "retained_price_only; eligibility_masks_apply",
+    "other": "retained_source_observation; no_automatic_repair",
+}
+SESSION_RULES = ["missing_session", "unusable_session", "stale_latest_bar"]
+PRICE_ONLY_RULES = ["missing_adjusted_close", "missing_volume", "zero_volume"]
 ISSUE = "struct<rule:string,severity:string,detail:string>"
 
 
@@ -44,12 +51,12 @@ def row_rules(calendar: bool = True) -> list[Column]:
         *[_issue(bad_number(c(f"raw_{x}")), "invalid_numeric", detail=x) for x in NUMERIC],
         *[_issue(c(x).isNull() | (c(x) <= 0), "invalid_price", detail=x) for x in PRICES],
         _issue((c("raw_adj_close").try_cast("double").isNotNull() & ~is_finite(c("raw_adj_close").try_cast("double"))) | (c("adj_close") <= 0), "invalid_adjusted_close"),
-        _issue(c("adj_close").isNull(), "missing_adjusted_close", "warning", "Not label-ready"),
+        _issue(c("adj_close").isNull(), "missing_adjusted_close", "warning", "No label can be made"),
         _issue((c("high") < F.greatest(*PRICES)) | (c("low") > F.least(*PRICES)), "invalid_ohlc_order"),
         _issue((c("raw_volume").try_cast("double").isNotNull() & c("volume").isNull()) | (c("volume") < 0) | (c("volume") >= 2.0**63) | (c("volume") % 1 != 0), "invalid_volume"),
         _issue((c("kind") == "equity") & c("volume").isNull(), "missing_volume", "warning"),
         _issue((c("kind") == "equity") & (c("volume") == 0), "zero_volume", "warning"),
-        _issue((c("dividends") > 0) | (c("stock_splits") > 0), "corporate_action", "info", "Source event retained"),
+        _issue((c("dividends") > 0) | (c("stock_splits") > 0), "corporate_action", "info", "Kept as it came"),
         *[_issue(c(x) < 0, "invalid_corporate_action", detail=x) for x in ("dividends", "stock_splits")],
     ]
     return rules + [_issue(~c("expected_open"), "verified_closed_session", detail="Not a session")] * calendar
@@ -63,7 +70,7 @@ def checked(raw: DataFrame, calendar: DataFrame) -> DataFrame:
     rows = canonical(raw).withColumn("session_date", F.to_date("ts"))
     rows = rows.join(F.broadcast(calendar.select("session_date", "expected_open")), "session_date", "left")
     copies = F.count(F.lit(1)).over(Window.partitionBy("symbol", "session_date"))
-    repeated = _issue(F.col("session_date").isNotNull() & (copies > 1), "duplicate_date", detail="All copies quarantined")
+    repeated = _issue(F.col("session_date").isNotNull() & (copies > 1), "duplicate_date", detail="Date comes more than once")
     rows = rows.withColumn("issues", F.filter(F.array(*row_rules(), repeated), lambda x: x.isNotNull()))
     return rows.withColumn("bad", F.exists("issues", lambda x: x["severity"] == "error"))
 
@@ -96,8 +103,8 @@ def series_issues(good: DataFrame, config: Quality = Quality()) -> DataFrame:
     volume = F.col("volume").cast("double")
     base = F.when(F.count(volume).over(trail) >= config.spike_least, F.percentile(volume, 0.5).over(trail))
     rows = good.withColumns({"_change": F.abs(F.col("adj_close") / before - 1), "_base": base})
-    large = rows.where(F.col("_change") > config.large_return).select(*_row_issue("large_observed_return", "warning", "Between available bars; may span missing sessions"))
-    spike = rows.where((F.col("kind") == "equity") & (F.col("_base") > 0) & (volume > F.col("_base") * config.spike_multiple)).select(*_row_issue("volume_spike", "warning", "Versus trailing median"))
+    large = rows.where(F.col("_change") > config.large_return).select(*_row_issue("large_observed_return", "warning", "Change from the bar before, whatever lies between"))
+    spike = rows.where((F.col("kind") == "equity") & (F.col("_base") > 0) & (volume > F.col("_base") * config.spike_multiple)).select(*_row_issue("volume_spike", "warning", "Above the median of recent bars"))
     return large.unionByName(spike)
 
 
@@ -110,10 +117,10 @@ def session_issues(rows: DataFrame, calendar: DataFrame) -> DataFrame:
     state = grid.join(seen, ["symbol", "session_date"], "left")
     rule = F.when(F.col("usable").isNull(), "missing_session").otherwise("unusable_session")
     none = F.lit(None).cast("long").alias("source_row")
-    absent = state.where("coalesce(usable, false) = false").select("symbol", none, "session_date", rule.alias("rule"), F.lit("warning").alias("severity"), F.lit("Expected session; excluded, never filled").alias("detail"))
+    absent = state.where("coalesce(usable, false) = false").select("symbol", none, "session_date", rule.alias("rule"), F.lit("warning").alias("severity"), F.lit("Open day without a usable bar").alias("detail"))
     usable = rows.groupBy("symbol").agg(F.max(F.when(~F.col("bad"), F.col("session_date"))).alias("usable"))
     stale = grid.groupBy("symbol").agg(F.max("session_date").alias("session_date")).join(usable, "symbol").where("usable is null or usable < session_date")
-    stale = stale.select("symbol", none, "session_date", F.lit("stale_latest_bar").alias("rule"), F.lit("warning").alias("severity"), F.lit("No valid bar for the latest expected session").alias("detail"))
+    stale = stale.select("symbol", none, "session_date", F.lit("stale_latest_bar").alias("rule"), F.lit("warning").alias("severity"), F.lit("Last open day has no usable bar").alias("detail"))
     return absent.unionByName(stale)
 
 
@@ -121,7 +128,7 @@ def order_issues(rows: DataFrame) -> DataFrame:
     """Symbols whose rows weren't in order of time, by source row."""
     w = Window.partitionBy("symbol").orderBy("source_row")
     moved = rows.select("symbol", (F.lag("ts").over(w) > F.col("ts")).alias("back")).groupBy("symbol").agg(F.bool_or("back").alias("back")).where("back")
-    return moved.select("symbol", F.lit(None).cast("long").alias("source_row"), F.lit(None).cast("date").alias("session_date"), F.lit("unsorted_dates").alias("rule"), F.lit("info").alias("severity"), F.lit("Output sorted; source rows kept").alias("detail"))
+    return moved.select("symbol", F.lit(None).cast("long").alias("source_row"), F.lit(None).cast("date").alias("session_date"), F.lit("unsorted_dates").alias("rule"), F.lit("info").alias("severity"), F.lit("Rows came out of order").alias("detail"))
 
 
 def column_issues(raw: DataFrame, known: list[str]) -> DataFrame:
@@ -136,10 +143,10 @@ def row_issues(rows: DataFrame) -> DataFrame:
 
 
 def disposition(issues: DataFrame) -> DataFrame:
-    """issues with what became of them."""
+    """issues with what became of them, by severity and rule."""
     value = (
-        F.when(F.col("severity") == "error", "row_quarantined").when(F.col("rule").isin("missing_session", "unusable_session"), "session_excluded_no_imputation")
-        .when(F.col("severity") == "warning", "retained_with_warning").otherwise("recorded")
+        F.when(F.col("severity") == "error", DISPOSITIONS["error"]).when(F.col("rule").isin(SESSION_RULES), DISPOSITIONS["session"])
+        .when(F.col("rule").isin(PRICE_ONLY_RULES), DISPOSITIONS["price_only"]).otherwise(DISPOSITIONS["other"])
     )
     return issues.withColumn("disposition", value)
 
@@ -160,9 +167,14 @@ def summary(rows: DataFrame, aligned: DataFrame) -> DataFrame:
     return raw.join(grid, "symbol", "left")
 
 
-def conservation(rows: DataFrame) -> DataFrame:
-    """Per symbol: raw rows that are neither clean nor quarantined, or both."""
-    return rows.groupBy("symbol").agg((F.count(F.lit(1)) - F.count_if("bad") - F.count_if(~F.col("bad"))).alias("lost"))
+def conservation(raw: DataFrame, clean_rows: DataFrame, quarantined: DataFrame) -> DataFrame:
+    """Per symbol: source rows of raw that neither output has (lost), and rows of the outputs beyond one for each (extra)."""
+    key = ["symbol", "source_row"]
+    tagged = raw.select(*key, F.lit(1).alias("r"), F.lit(0).alias("o"))
+    for out in (clean_rows, quarantined):
+        tagged = tagged.unionByName(out.select(*key, F.lit(0).alias("r"), F.lit(1).alias("o")))
+    one = tagged.groupBy(*key).agg(F.sum("r").alias("r"), F.sum("o").alias("o"))
+    return one.groupBy("symbol").agg(F.sum(F.greatest(F.col("r") - F.col("o"), F.lit(0))).alias("lost"), F.sum(F.greatest(F.col("o") - F.col("r"), F.lit(0))).alias("extra"))
 
 
 def invariant_violations(aligned: DataFrame) -> DataFrame:

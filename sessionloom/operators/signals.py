@@ -40,7 +40,7 @@ def readings(table: DataFrame, config: Signals = Signals()) -> DataFrame:
 def latest_ready(table: DataFrame) -> DataFrame:
     """The last core-ready row per symbol, with source_last_session and latest_input_missing. Only one row per symbol and task is shuffled."""
     last = table.groupBy("symbol").agg(F.max("session_date").alias("source_last_session"), F.max(F.when(F.col("core_ready"), F.col("session_date"))).alias("session_date"))
-    return table.join(F.broadcast(last), ["symbol", "session_date"]).withColumn("latest_input_missing", F.col("session_date") != F.col("source_last_session"))
+    return table.join(last, ["symbol", "session_date"]).withColumn("latest_input_missing", F.col("session_date") != F.col("source_last_session"))
 
 
 def history(table: DataFrame, rows: int) -> DataFrame:
@@ -93,29 +93,27 @@ def _isolate(x: np.ndarray, points: np.ndarray, rng: np.random.Generator, sample
 def isolation(table: DataFrame, config: Signals = Signals()) -> DataFrame:
     """symbol, isolation_score, isolation_anomaly of the latest core-ready row by an isolation forest (Liu, Ting and Zhou, 2008).
 
-    Trained on up to forest_rows rows before it, medians in place of nulls; one small tree per task and (symbol, tree). The score is the
+    Trained on up to forest_rows rows before it, medians in place of nulls; a symbol's rows move once and its trees grow in one task. The score is the
     share of contamination among training scores taken off; below 0 is an anomaly. Null with too little history.
     """
     names = ["return_1d", "volatility_20", "rsi_14", "relative_volume_20"]
     past = history(table, config.forest_rows).select("symbol", "session_date", *names, F.lit(False).alias("now"))
     now = latest_ready(table).select("symbol", "session_date", *names, F.lit(True).alias("now"))
-    trees = F.broadcast(table.sparkSession.range(config.forest_trees).select(F.col("id").alias("tree")))
-    seed, sample = config.seed, config.forest_sample
+    seed, sample, trees, share = config.seed, config.forest_sample, config.forest_trees, config.contamination
 
-    def grow(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        symbol, tree = key
+    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("session_date")
         train = pdf.loc[~pdf["now"], names]
         used = [c for c in names if train[c].notna().any()]
+        if not used:
+            return pd.DataFrame({"symbol": [key[0]], "raw": [None], "offset": [None], "n": [len(train)]}).astype({"raw": float, "offset": float})
         x = pdf[used].astype(float).fillna(train[used].astype(float).median()).to_numpy()
-        rng = np.random.default_rng([seed, int(tree), *symbol.encode()])
-        depth = _isolate(x[~pdf["now"].to_numpy()], x, rng, sample) if len(train) and used else np.zeros(len(pdf))
-        norm = _path_length(np.array([min(sample, max(2, len(train)))]))[0]
-        return pd.DataFrame({"symbol": symbol, "session_date": pdf["session_date"], "now": pdf["now"], "depth": depth / norm})
-
-    grown = past.unionByName(now).crossJoin(trees).groupBy("symbol", "tree").applyInPandas(grow, "symbol string, session_date date, now boolean, depth double")
-    scores = grown.groupBy("symbol", "session_date", "now").agg((-F.pow(F.lit(2.0), -F.avg("depth"))).alias("raw"))
-    by = scores.groupBy("symbol").agg(F.max(F.when(F.col("now"), F.col("raw"))).alias("raw"), F.percentile(F.when(~F.col("now"), F.col("raw")), config.contamination).alias("offset"), F.count_if(~F.col("now")).alias("n"))
+        known = ~pdf["now"].to_numpy()
+        depth = np.mean([_isolate(x[known], x, np.random.default_rng([seed, k, *key[0].encode()]), sample) for k in range(trees)], axis=0)
+        raw = -(2.0 ** (-depth / _path_length(np.array([min(sample, max(2, len(train)))]))[0]))
+        return pd.DataFrame({"symbol": [key[0]], "raw": [raw[~known].max()], "offset": [np.quantile(raw[known], share)], "n": [len(train)]})
+
+    by = past.unionByName(now).groupBy("symbol").applyInPandas(grow, "symbol string, raw double, offset double, n long")
     score = F.when(F.col("n") >= config.forest_least, F.col("raw") - F.col("offset"))
     return by.select("symbol", score.alias("isolation_score"), (score < 0).alias("isolation_anomaly"))
 

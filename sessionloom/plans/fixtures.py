@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionloom.functions.columns import order_key
 from sessionloom.operators.bars import bars
 from sessionloom.operators.sessions import align, days, make_calendar
 from sessionloom.plans.registry import view
+from sessionloom.sources.scratch import stored
 
 BENCHMARK = "NO"
-ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+ORDER = {"l_orderkey": 11, "l_linenumber": 2, "l_partkey": 9, "l_suppkey": 8, "l_cents": 8}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,8 +23,8 @@ def trade_bars(spark: SparkSession, sf: str) -> DataFrame:
     """Instrument: return flag and line status; session: ship date; price: extended price by quantity."""
     c = F.col
     return bars(
-        table(spark, sf, "lineitem"), F.concat("l_returnflag", "l_linestatus"), c("l_shipdate").cast("date"),
-        c("l_extendedprice").cast("double") / c("l_quantity").cast("double"), c("l_quantity"), ORDER, 1 - c("l_discount").cast("double"),
+        table(spark, sf, "lineitem").withColumn("l_cents", F.round(c("l_extendedprice") * 100)), F.concat("l_returnflag", "l_linestatus"), c("l_shipdate").cast("date"),
+        c("l_extendedprice").cast("double") / c("l_quantity").cast("double"), c("l_quantity"), order_key(**ORDER), 1 - c("l_discount").cast("double"),
     )
 
 
@@ -40,7 +42,8 @@ select symbol, session_date, open, high, low, close, close * adj as adj_close, v
 def tick_bars(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly bars of the events table: symbol event_type, session_date the hour."""
     c = F.col
-    return bars(table(spark, sf, "events"), c("event_type"), F.date_trunc("hour", c("ts").cast("timestamp")), c("value").cast("double"), F.lit(1), ["ts", "event_id"])
+    rows = table(spark, sf, "events").withColumn("micros", F.unix_micros(c("ts").cast("timestamp")))
+    return bars(rows, c("event_type"), F.date_trunc("hour", c("ts").cast("timestamp")), c("value").cast("double"), F.lit(1), order_key(micros=19, event_id=18))
 
 
 def instruments(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,10 +65,11 @@ def every_day(bar_table: DataFrame) -> DataFrame:
 
 
 def panel(spark: SparkSession, sf: str) -> DataFrame:
-    """Bars on every day; kind and observed_at (the day after, at midnight) as features need them."""
-    bar_table = trade_bars(spark, sf)
+    """Bars on every day; kind and observed_at (the day after, at midnight) as features need them. The source is read once."""
+    bar_table = stored(trade_bars(spark, sf), "bars")
     kind = F.when(F.col("symbol") == BENCHMARK, "index").otherwise("equity")
-    return align(bar_table, every_day(bar_table)).withColumns({"kind": kind, "observed_at": F.when(F.col("price_valid"), F.date_add("session_date", 1))})
+    out = align(bar_table, every_day(bar_table)).withColumns({"kind": kind, "observed_at": F.when(F.col("price_valid"), F.date_add("session_date", 1))})
+    return stored(out, "panel")
 
 
 view("open_days", "select unnest(generate_series((select min(session_date) from bars)::timestamp, (select max(session_date) from bars)::timestamp, interval 1 day))::date as session_date")
@@ -107,7 +111,7 @@ def years_of(bar_table: DataFrame) -> DataFrame:
 def exchange_calendar(spark: SparkSession, sf: str) -> DataFrame:
     # the dates alone bound the calendar
     dates = table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("session_date"))
-    all_days = years_of(dates)
+    all_days = stored(years_of(dates), "days")
     return make_calendar(all_days, **reference(all_days), version="rule-1")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,12 +85,23 @@ def src_05_files(spark, sf):
     return some.agg(F.count(F.lit(1)).cast("int").alias("files"), F.count_distinct("sha256").cast("int").alias("distinct_files"), F.max(F.length("sha256")).alias("digits"))
 
 
-@query("src_06_manifest_check", "select 1 as missing, 0 as unknown, (select count(*) from manifest where run_id = 'run1' and symbol like 'N%') as different from (select count(*) from manifest)")
+@query("src_06_manifest_check", """select 'as written' as state, 0::bigint as missing, 0::bigint as unknown, 0::bigint as different, count(*) as n_rows from bars
+  union all select 'one file more', 0, 1, 0, count(*) + count(*) filter (where symbol = 'AF') from bars union all select 'manifest of other rows', count(distinct symbol), count(distinct symbol), 0, count(*) from bars
+  union all select 'rows miscounted', 0, 0, count(distinct symbol), count(*) from bars""")
 def src_06(spark, sf):
-    m = _manifest(spark, sf)
-    actual = m.where("not (run_id = 'run2' and symbol = 'AF')").withColumn("n_rows", F.col("n_rows") + F.when((F.col("run_id") == "run1") & F.col("symbol").startswith("N"), 1).otherwise(0))
-    out = files.manifest_mismatches(m, actual, "file", "n_rows")
-    return out.select(F.col("missing").cast("int").alias("missing"), F.col("unknown").cast("int").alias("unknown"), "different")
+    """Files of one symbol each against manifests: their own, with a file added, that of other rows, and one with wrong counts."""
+    path, rows = new_path(spark, "verified"), X.stored(X.trade_bars(spark, sf), "bars")
+    manifest = files.write_with_manifest(rows.repartition("symbol"), path, "symbol")
+    other = files.write_with_manifest(rows.withColumn("close", F.col("close") + 1).repartition("symbol"), new_path(spark, "verified"), "symbol")
+    checks = {"as written": manifest, "manifest of other rows": other, "rows miscounted": manifest.withColumn("n_rows", F.col("n_rows") + 1)}
+    n = files.verified(files.files_with_rows(spark, path), path).count()
+    now = files.files_with_rows(spark, path)
+    parts = [files.manifest_mismatches(m, now, "file", "sha256", "n_rows").withColumns({"state": F.lit(k), "n_rows": F.lit(n).cast("long")}) for k, m in checks.items()]
+    parts = [X.stored(p, "checked") for p in parts]
+    rows.where("symbol = 'AF'").coalesce(1).write.mode("append").partitionBy("symbol").parquet(path)
+    now = files.files_with_rows(spark, path)
+    parts.append(files.manifest_mismatches(manifest, now, "file", "sha256", "n_rows").withColumn("state", F.lit("one file more")).crossJoin(now.agg(F.sum("n_rows").alias("n_rows"))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("src_07_json", "select symbol, kind, sector from instruments")
@@ -141,10 +153,18 @@ def src_13(spark, sf):
     return store.replace_window(rows.withColumn("version", F.lit("old")), new, ["symbol"], "session_date", F.lit("1997-01-01").cast("date"), F.lit("1999-01-01").cast("date"))
 
 
-@query("src_14_load_once", "select 'd2' as dataset_id, count(*) as n from bars where session_date >= date '2000-01-01'")
+@query("src_14_load_once", "select 'd2' as dataset_id, count(*) as n, true as older_is_refused from bars where session_date >= date '2000-01-01'")
 def src_14(spark, sf):
-    rows = X.trade_bars(spark, sf).select("symbol", "session_date", F.when(F.col("session_date") < "2000-01-01", "d1").otherwise("d2").alias("dataset_id"))
-    return store.load_once(rows.where("dataset_id = 'd1'"), rows).groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n"))
+    """A second load of d1 adds nothing while d1 is in use, and is refused once d2 is."""
+    rows = X.stored(X.trade_bars(spark, sf).select("symbol", "session_date", F.when(F.col("session_date") < "2000-01-01", "d1").otherwise("d2").alias("dataset_id")), "datasets")
+    old = rows.where("dataset_id = 'd1'")
+    added = store.load_once(old, rows, rows.agg(F.min("dataset_id").alias("dataset_id")))
+    try:
+        store.load_once(rows, old, rows.agg(F.max("dataset_id").alias("dataset_id"))).count()
+        refused = False
+    except SparkRuntimeException:
+        refused = True
+    return added.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n")).withColumn("older_is_refused", F.lit(refused))
 
 
 @query("src_15_current", "select symbol, count(*) as n from bars where session_date >= date '2000-01-01' group by symbol")
@@ -158,8 +178,8 @@ def src_15(spark, sf):
 def src_16(spark, sf):
     root = new_path(spark, "published")
     counts = X.trade_bars(spark, sf).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
-    store.publish(counts.limit(0), root, "v1")
-    store.publish(counts, root, "v2")
+    store.publish(counts.limit(0), root)
+    store.publish(counts, root)
     return store.published(spark, root)
 
 
@@ -210,8 +230,7 @@ def prj_04(spark, sf):
 
 @query("prj_05_source_row", "select symbol, session_date, (row_number() over (partition by symbol order by session_date) - 1)::bigint as source_row from bars")
 def prj_05(spark, sf):
-    from pyspark.sql.window import Window
-
+    
     return X.trade_bars(spark, sf).select("symbol", "session_date", (F.row_number().over(Window.partitionBy("symbol").orderBy("session_date")) - 1).cast("long").alias("source_row"))
 
 
@@ -240,9 +259,13 @@ def prj_09(spark, sf):
     return adjusted(X.panel(spark, sf).where("feature_eligible")).select("symbol", "session_date", *"chl")
 
 
-@query("prj_10_allow_list", "select symbol, session_date, open as open, close as close from bars")
+@query("prj_10_allow_list", """select symbol, session_date, count as predictors, metadata from (select p.symbol, p.session_date, n.count, 'symbol,session_date,segment_age,input_valid,core_ready,available_at,feature_version' as metadata from panel p cross join (select 39::bigint as count) n)""")
 def prj_10(spark, sf):
-    return X.trade_bars(spark, sf).select("symbol", "session_date", *("open", "close"))
+    """The feature table split into its predictors, which are on the allow-list, and the columns that only describe a row."""
+    from sessionloom.operators import features as FT
+
+    predictors, metadata = FT.split_columns(FT.features(X.panel(spark, sf)))
+    return predictors.select("symbol", "session_date", F.lit(len(predictors.columns) - 2).cast("long").alias("predictors")).join(metadata.select("symbol", "session_date", F.lit(",".join(metadata.columns)).alias("metadata")), ["symbol", "session_date"])
 
 
 SYMBOLS = ["AF", "AO", "NF", "NO", "RF", "RO"]
@@ -297,7 +320,7 @@ def prj_18(spark, sf):
 
 
 def _checked(spark, sf):
-    return Q.checked(X.dirty(spark, sf), X.exchange_calendar(spark, sf))
+    return X.stored(Q.checked(X.dirty(spark, sf), X.exchange_calendar(spark, sf)), "checked")
 
 
 def _rule(number: str, rule: str, condition: str, details: dict[str, str] | None = None):
@@ -316,17 +339,17 @@ def _rule(number: str, rule: str, condition: str, details: dict[str, str] | None
 
 _rule("q_03", "invalid_date", X.RULES["invalid_date"])
 _rule("q_04", "non_daily_timestamp", X.RULES["non_daily_timestamp"])
-_rule("q_05", "duplicate_date", "", {"All copies quarantined": X.RULES["duplicate_date"]})
+_rule("q_05", "duplicate_date", "", {"Date comes more than once": X.RULES["duplicate_date"]})
 _rule("q_06", "date_out_of_range", X.RULES["date_out_of_range"])
 _rule("q_08", "invalid_numeric", "", {"close": "close_text"})
 _rule("q_09", "invalid_price", "", {c: f"{c} is null or {c} <= 0" for c in Q.PRICES})
 _rule("q_10", "invalid_adjusted_close", X.RULES["invalid_adjusted_close"])
-_rule("q_11", "missing_adjusted_close", "", {"Not label-ready": "adj_close is null"})
+_rule("q_11", "missing_adjusted_close", "", {"No label can be made": "adj_close is null"})
 _rule("q_12", "invalid_ohlc_order", X.RULES["invalid_ohlc_order"])
 _rule("q_13", "invalid_volume", X.RULES["invalid_volume"])
 _rule("q_14", "missing_volume", "kind = 'equity' and volume is null")
 _rule("q_15", "zero_volume", "kind = 'equity' and volume = 0")
-_rule("q_16", "corporate_action", "", {"Source event retained": "dividends > 0 or stock_splits > 0"})
+_rule("q_16", "corporate_action", "", {"Kept as it came": "dividends > 0 or stock_splits > 0"})
 _rule("q_17", "invalid_corporate_action", "", {"dividends": "dividends < 0"})
 _rule("q_18", "verified_closed_session", "", {"Not a session": "not expected_open"})
 
@@ -390,14 +413,25 @@ def q_24(spark, sf):
     return Q.quarantine(_checked(spark, sf)).select("symbol", "source_row", "reasons")
 
 
-@query("q_25_conservation", "select symbol, count(*) - count(*) filter (where bad) - count(*) filter (where not bad) as lost from judged group by symbol")
+@query("q_25_conservation", """select symbol, count(*) filter (where not bad and day(session_date) = 3) as lost, count(*) filter (where bad and coalesce(day(session_date) = 4, false)) as extra from judged group by symbol""")
 def q_25(spark, sf):
-    return Q.conservation(_checked(spark, sf))
+    """The outputs against the source rows, with the third of each month lost from one and the fourth twice in the other."""
+    rows = _checked(spark, sf)
+    bad = Q.quarantine(rows)
+    return Q.conservation(rows, Q.clean(rows).where("day(session_date) <> 3"), bad.unionByName(bad.where("day(session_date) = 4")))
 
 
-@query("q_26_invariants", "select 0::bigint as repeated, 0::bigint as bad_prices, 0::bigint as filled_gaps, 0::bigint as bad_masks from (select count(*) from panel)")
+@query("q_26_invariants", """select count(*) filter (where day(session_date) = 2) as repeated, (count(*) filter (where price_valid and day(session_date) = 5))::bigint as bad_prices, (count(*) filter (where gap and day(session_date) % 2 = 0))::bigint
+  + (count(*) filter (where gap and day(session_date) = 2))::bigint as filled_gaps, (count(*) filter (where target_1d_eligible and target_5d_eligible and day(session_date) = 7))::bigint as bad_masks from panel""")
 def q_26(spark, sf):
-    return Q.invariant_violations(X.panel(spark, sf))
+    """The panel with faults planted by day of the month."""
+    day = F.dayofmonth("session_date")
+    panel = X.panel(spark, sf)
+    rows = panel.withColumns({
+        "low": F.when(F.col("price_valid") & (day == 5), -F.col("low")).otherwise(F.col("low")), "close": F.when(F.col("gap") & (day % 2 == 0), 1.0).otherwise(F.col("close")),
+        "target_1d_eligible": F.col("target_1d_eligible") & (day != 7),
+    })
+    return Q.invariant_violations(rows.unionByName(rows.where(day == 2)))
 
 
 @query("q_27_run_gate", "select 1::bigint as missing, 0::bigint as unknown, 1::bigint as failed, false as may_run from (select count(*) from manifest)")
@@ -425,9 +459,22 @@ view("issue_rows", " union all ".join(
        "select symbol, source_row, session_date, 'zero_volume', 'warning' from judged where kind = 'equity' and volume = 0", "select symbol, source_row, session_date, 'corporate_action', 'info' from judged where dividends > 0"]))
 
 
-@query("prj_12_disposition", "select symbol, source_row, rule, case when severity = 'error' then 'row_quarantined' when severity = 'warning' then 'retained_with_warning' else 'recorded' end as disposition from issue_rows")
+view("issue_log", """select symbol, source_row, session_date, rule, severity from issue_rows
+  union all select symbol, source_row, session_date, 'large_observed_return', 'warning' from (select *, abs(adj_close / lag(adj_close) over (partition by symbol order by session_date) - 1) as change from good) where change > 0.2
+  union all select symbol, source_row, session_date, 'volume_spike', 'warning' from trail_base where kind = 'equity' and base > 0 and volume > base * 10
+  union all select e.symbol, null, day, case when usable is null then 'missing_session' else 'unusable_session' end, 'warning' from expected e
+    left join (select symbol, session_date, bool_or(not bad) as usable from judged where session_date is not null group by 1, 2) j on e.symbol = j.symbol and day = j.session_date where not coalesce(usable, false)
+  union all select e.symbol, null, max(day), 'stale_latest_bar', 'warning' from expected e left join (select symbol, max(session_date) as latest from good group by symbol) g on e.symbol = g.symbol group by e.symbol, latest having latest is null or latest < max(day)
+  union all select symbol, null, null, 'unsorted_dates', 'info' from (select symbol, lag(ts) over (partition by symbol order by source_row) > ts as back from dirty) where back group by symbol""")
+
+
+@query("prj_12_disposition", """select symbol, source_row, session_date, rule, case severity when 'error' then 'quarantined' else
+    case rule when 'missing_session' then 'excluded_with_explicit_session_mask' when 'unusable_session' then 'excluded_with_explicit_session_mask' when 'stale_latest_bar' then 'excluded_with_explicit_session_mask'
+      when 'missing_adjusted_close' then 'retained_price_only; eligibility_masks_apply' when 'missing_volume' then 'retained_price_only; eligibility_masks_apply' when 'zero_volume' then 'retained_price_only; eligibility_masks_apply'
+      else 'retained_source_observation; no_automatic_repair' end end as disposition from issue_log""")
 def prj_12(spark, sf):
-    return Q.disposition(Q.row_issues(_checked(spark, sf))).select("symbol", "source_row", "rule", "disposition")
+    """The whole issue log: rows, series, sessions and order."""
+    return Q.issue_log(_checked(spark, sf), X.exchange_calendar(spark, sf)).select("symbol", "source_row", "session_date", "rule", "disposition")
 
 
 @query("ag_01_validation_summary", """select j.symbol, n_raw, n_clean, n_quarantined, latest_usable, missing_sessions, excluded_sessions, eligible_1d, eligible_5d from (
@@ -440,7 +487,7 @@ def prj_12(spark, sf):
         left join (select distinct symbol, session_date from judged) d on s.symbol = d.symbol and c.session_date = d.session_date) window w as (partition by symbol order by session_date)) group by symbol) a on j.symbol = a.symbol""")
 def ag_01(spark, sf):
     rows = _checked(spark, sf)
-    return Q.summary(rows, S.align(Q.clean(rows).drop("kind"), X.exchange_calendar(spark, sf)))
+    return Q.summary(rows, X.stored(S.align(Q.clean(rows).drop("kind"), X.exchange_calendar(spark, sf)), "aligned"))
 
 
 @query("ag_02_issues_by_rule", "select rule, count(*) as n from issue_rows group by rule")
@@ -522,9 +569,13 @@ def cal_10(spark, sf):
     return S.later_session(X.exchange_calendar(spark, sf), 5)
 
 
-@query("cal_11_preconditions", "select symbol, 0::bigint as repeated, 0::bigint as bad_prices, 0::bigint as unobserved from panel group by symbol")
+@query("cal_11_preconditions", """select symbol, count(*) filter (where day(session_date) = 2) as repeated, count(*) filter (where feature_eligible and day(session_date) = 5) as bad_prices,
+  count(*) filter (where feature_eligible and day(session_date) = 6) as unobserved from panel group by symbol""")
 def cal_11(spark, sf):
-    return S.series_violations(X.panel(spark, sf))
+    """The panel with faults planted by day of the month."""
+    day = F.dayofmonth("session_date")
+    rows = X.panel(spark, sf).withColumns({"close": F.when(day == 5, 0.0).otherwise(F.col("close")), "observed_at": F.when(day != 6, F.col("observed_at"))})
+    return S.series_violations(rows.unionByName(rows.where(day == 2)))
 
 
 @query("cal_12_available_at", "select symbol, session_date, case when feature_eligible then max(observed_at) over (partition by symbol order by session_date) end as available_at from panel")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sessionloom.operators import publish as P
 from sessionloom.operators import quality as Q
 from sessionloom.operators import sessions as S
 from sessionloom.plans import fixtures as X
 from sessionloom.plans.landing import _manifest
 from sessionloom.plans.registry import query, r, view
-from sessionloom.sources import store
+from sessionloom.sources import files, store
 from sessionloom.sources.scratch import new_path
 from sessionloom.streaming import arrivals
 
@@ -56,8 +57,10 @@ def jn_06(spark, sf):
 @query("jn_08_all_pairs", "select a.symbol, b.symbol as other, count(*) as days from bars a join bars b on a.session_date = b.session_date group by 1, 2")
 def jn_08(spark, sf):
     rows = X.trade_bars(spark, sf).select("symbol", "session_date")
-    both = rows.join(rows.withColumnRenamed("symbol", "other"), "session_date")
-    return both.groupBy("symbol", "other").agg(F.count(F.lit(1)).alias("days"))
+    rows = X.stored(rows, "days")
+    both = rows.join(rows.withColumnRenamed("symbol", "other"), "session_date").where("symbol <= other")
+    each = both.groupBy("symbol", "other").agg(F.count(F.lit(1)).alias("days"))
+    return each.unionByName(each.where("symbol < other").select(F.col("other").alias("symbol"), F.col("symbol").alias("other"), "days"))
 
 
 @query("jn_10_reconcile", """select count(*) filter (where session_date >= date '2001-01-01') as left_only, 0::bigint as right_only, count(*) filter (where session_date < date '2001-01-01' and volume % 97 = 0) as different,
@@ -74,9 +77,16 @@ def jn_11(spark, sf):
     return rows.select("symbol").distinct().crossJoin(F.broadcast(X.every_day(rows).select("session_date"))).groupBy("symbol").agg(F.count(F.lit(1)).alias("sessions"))
 
 
-@query("jn_12_coherence", "select count(distinct run_id) = 1 as coherent from manifest where run_id = 'run2'")
+view("run_ids", """select run_id, sha256(string_agg(j, chr(10) order by j)) as dataset_id from (select run_id, '{"symbol":"' || symbol || '","n_rows":' || n_rows::varchar || '}' as j from manifest) group by run_id""")
+
+
+@query("jn_12_coherence", "select o.run_id as risk_run, f.dataset_id as features_id, o.dataset_id = f.dataset_id as coherent from run_ids f cross join run_ids o where f.run_id = 'run2'")
 def jn_12(spark, sf):
-    return _manifest(spark, sf).where("run_id = 'run2'").agg((F.count_distinct("run_id") == 1).alias("coherent"))
+    """Features and analytics of run2, risk of each of the runs: run3 has the same rows, run1 fewer."""
+    m = X.stored(_manifest(spark, sf), "manifest")
+    ids = {k: files.dataset_id(m.where(F.col("run_id") == k), "symbol", "n_rows") for k in ("run1", "run2", "run3")}
+    parts = [P.coherent(ids["run2"], ids["run2"], ids[k]).withColumn("risk_run", F.lit(k)) for k in ids]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("set_01_union", "select symbol, session_date from bars")
@@ -178,10 +188,11 @@ def event_bars(spark, sf):
 # streams: each is drained and its tables are read
 
 
-def _ticks(spark, sf) -> str:
+def _ticks(spark, sf, in_order: bool) -> str:
+    """Files of ticks as they arrive. in_order: one after the other by time, as a watermark needs them; else as the table is read."""
     path = new_path(spark, "ticks")
     rows = X.table(spark, sf, "events").select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("double").alias("price"), F.lit(1).cast("long").alias("quantity"), F.col("event_id").alias("tick_id"))
-    rows.orderBy("ts").coalesce(1).write.option("maxRecordsPerFile", 20_000).parquet(path)
+    (rows.orderBy("ts").coalesce(1) if in_order else rows).write.option("maxRecordsPerFile", 20_000).parquet(path)
     return path
 
 
@@ -191,7 +202,7 @@ view("day_bars", "select event_type as symbol, ts::date as session_date, arg_min
 
 @query("st_01_arrivals", "select event_type as symbol, count(*) as n from events group by 1")
 def st_01(spark, sf):
-    out, stream = new_path(spark, "arrived"), arrivals.arrivals(spark, _ticks(spark, sf), TICKS, 2)
+    out, stream = new_path(spark, "arrived"), arrivals.arrivals(spark, _ticks(spark, sf, False), TICKS, 2)
     stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", new_path(spark, "offsets")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(TICKS).parquet(out).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
 
@@ -215,7 +226,7 @@ def st_02(spark, sf):
 @query("st_03_completed_bars", f"select symbol, session_date, {r('open')} as open, {r('close')} as close, volume from day_bars where session_date + 1 <= (select max(ts) - interval 1 hour from events)")
 def st_03(spark, sf):
     out = new_path(spark, "completed")
-    stream = arrivals.completed_bars(arrivals.arrivals(spark, _ticks(spark, sf), TICKS, 1))
+    stream = arrivals.completed_bars(arrivals.arrivals(spark, _ticks(spark, sf, True), TICKS, 1))
     stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", new_path(spark, "offsets")).outputMode("append").trigger(availableNow=True).start().awaitTermination()
     rows = spark.read.schema("symbol string, session_date date, open double, high double, low double, close double, volume long").parquet(out)
     return rows.select("symbol", "session_date", F.round("open", 6).alias("open"), F.round("close", 6).alias("close"), "volume")
@@ -226,10 +237,11 @@ def st_04(spark, sf):
     """Two snapshots arrive; the second replaces the first within its range, so that every bar is there once."""
     path, root = new_path(spark, "snapshots"), new_path(spark, "store")
     rows = X.trade_bars(spark, sf).select("symbol", "session_date", "volume")
-    rows.where("session_date < '1998-01-01'").coalesce(1).write.parquet(path)
+    rows = X.stored(rows, "bars")
+    rows.where("session_date < '1998-01-01'").write.parquet(path)
     offsets = new_path(spark, "offsets")
     schema = "symbol string, session_date date, volume long"
-    arrivals.revise(arrivals.arrivals(spark, path, schema, 1), root, offsets, ["symbol"]).awaitTermination()
-    rows.where("session_date >= '1996-01-01'").coalesce(1).write.mode("append").parquet(path)
-    arrivals.revise(arrivals.arrivals(spark, path, schema, 1), root, offsets, ["symbol"]).awaitTermination()
+    arrivals.revise(arrivals.arrivals(spark, path, schema, 1000), root, offsets, ["symbol"]).awaitTermination()
+    rows.where("session_date >= '1996-01-01'").write.mode("append").parquet(path)
+    arrivals.revise(arrivals.arrivals(spark, path, schema, 1000), root, offsets, ["symbol"]).awaitTermination()
     return store.published(spark, root).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))

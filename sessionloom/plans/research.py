@@ -26,9 +26,15 @@ YEAR = "sqrt(252.0::double)"
 
 
 def _features(spark, sf):
+    """Features that a query reads once: what it doesn't return isn't computed."""
     return FT.features(X.panel(spark, sf))
 
 
+def _stored_features(spark, sf):
+    """Features that a query reads several times."""
+    return X.stored(_features(spark, sf), "features")
+
+
 # the feature views restate the definitions in another way: recursions as scaled running sums over the whole run
 
 view("run0", """
@@ -146,9 +152,16 @@ def ag_05(spark, sf):
     return FT.build_summary(_features(spark, sf))
 
 
-@query("ag_30_bounds", "select 0::bigint as bad_rsi, 0::bigint as bad_atr, 0::bigint as filled_gaps, 0::bigint as repeated from (select count(*) from bars)")
+@query("ag_30_bounds", """select count(*) filter (where rsi_14 is not null and day(session_date) = 5) as bad_rsi, count(*) filter (where atr_14 is not null and day(session_date) = 6) as bad_atr,
+  count(*) filter (where not input_valid and day(session_date) % 2 = 0) + count(*) filter (where not input_valid and day(session_date) = 2) as filled_gaps, count(*) filter (where day(session_date) = 2) as repeated from feats""")
 def ag_30(spark, sf):
-    return FT.bound_violations(_features(spark, sf))
+    """The feature table with faults planted by day of the month."""
+    day, rows = F.dayofmonth("session_date"), _stored_features(spark, sf)
+    rows = rows.withColumns({
+        "rsi_14": F.when(F.col("rsi_14").isNotNull() & (day == 5), 101.0).otherwise(F.col("rsi_14")), "atr_14": F.when(F.col("atr_14").isNotNull() & (day == 6), -1.0).otherwise(F.col("atr_14")),
+        "return_1d": F.when(~F.col("input_valid") & (day % 2 == 0), 0.0).otherwise(F.col("return_1d")),
+    })
+    return FT.bound_violations(rows.unionByName(rows.where(day == 2)))
 
 
 # analytics
@@ -225,9 +238,16 @@ def ag_17(spark, sf):
     return out.select("sector", "instruments", *[F.round(c, 6).alias(c) for c in ("mean_return", "mean_volatility", "mean_beta")])
 
 
-@query("ag_32_invariants", "select 0::bigint as asymmetric, 0::bigint as out_of_range, 0::bigint as bad_benchmark_beta from (select count(*) from bars)")
+@query("ag_32_invariants", f"""select (select count(*) from rets0 where ret is not null and day(session_date) = 5) as wrong_returns, (select count(*) from pair_stats where correlation is not null and ((symbol = 'AF' and other > 'AF') or (other = 'AF' and symbol > 'AF'))) as asymmetric,
+  (select count(*) from pair_stats where correlation is not null and symbol = 'RO' and other = 'RO') as out_of_range, (select count(*) from perf where symbol = '{X.BENCHMARK}' and beta is not null) as bad_benchmark_beta""")
 def ag_32(spark, sf):
-    return A.metric_violations(_prices(spark, sf), X.BENCHMARK)
+    """Analytics with faults planted: returns of each fifth of a month, correlations of AF, that of RO with itself, the benchmark's beta."""
+    rets, day = X.stored(_returns(spark, sf), "returns"), F.dayofmonth("session_date")
+    stats = X.stored(A.pair_statistics(rets), "pairs")
+    one, other = F.col("symbol"), F.col("other")
+    stats = stats.withColumn("correlation", F.when((one == "AF") & (other > "AF"), F.col("correlation") / 2 + 0.1).when((one == "RO") & (other == "RO"), 2.0).otherwise(F.col("correlation")))
+    table = A.metrics(rets.select("symbol", "session_date", "price"), Analytics(benchmark=X.BENCHMARK)).withColumn("beta", F.col("beta") + F.when(one == X.BENCHMARK, 1.0).otherwise(0.0))
+    return A.metric_violations(rets.withColumn("ret", F.col("ret") + F.when(day == 5, 0.1).otherwise(0.0)), stats, table, X.BENCHMARK)
 
 
 @query("wn_21_returns_drawdowns", f"select symbol, session_date, {r('ret')} as ret, {r('drawdown')} as drawdown from rets0")
@@ -308,7 +328,7 @@ view("latest", "select f.*, l.last as source_last_session, f.session_date <> l.l
 
 @query("sg_05_latest", "select symbol, session_date, source_last_session, latest_input_missing from latest")
 def sg_05(spark, sf):
-    return G.latest_ready(_features(spark, sf)).select("symbol", "session_date", "source_last_session", "latest_input_missing")
+    return G.latest_ready(_stored_features(spark, sf)).select("symbol", "session_date", "source_last_session", "latest_input_missing")
 
 
 view("z_runs", "select *, sum(case when input_valid then 0 else 1 end) over (partition by symbol order by session_date) as run from feats")
@@ -319,12 +339,12 @@ view("surprise", "select l.symbol, l.session_date, case when z.n >= 40 and z.sd
 
 @query("sg_06_return_surprise", f"select symbol, session_date, {r('return_z')} as return_z, abs(return_z) >= 3 as statistical_anomaly from surprise")
 def sg_06(spark, sf):
-    return G.return_surprise(_features(spark, sf)).select("symbol", "session_date", F.round("return_z", 6).alias("return_z"), "statistical_anomaly")
+    return G.return_surprise(_stored_features(spark, sf)).select("symbol", "session_date", F.round("return_z", 6).alias("return_z"), "statistical_anomaly")
 
 
 @query("sg_07_isolation_forest")
 def sg_07(spark, sf):
-    return G.isolation(_features(spark, sf))
+    return G.isolation(_stored_features(spark, sf))
 
 
 view("past_ready", "select * from (select symbol, session_date, row_number() over (partition by symbol order by session_date desc) as nth from feats where core_ready) where nth between 2 and 253")
@@ -332,7 +352,7 @@ view("past_ready", "select * from (select symbol, session_date, row_number() ove
 
 @query("sg_08_attention", "select l.symbol, l.risk_band = 'High Risk' or coalesce(l.abnormal_volume, false) or coalesce(abs(s.return_z) >= 3, false) as attention from latest l join surprise s on l.symbol = s.symbol")
 def sg_08(spark, sf):
-    return G.risk_table(_features(spark, sf)).select("symbol", "attention")
+    return G.risk_table(_stored_features(spark, sf)).select("symbol", "attention")
 
 
 @query("sg_09_provenance", "select symbol, count(*) as training_rows, max(session_date) as training_end from past_ready group by symbol")
@@ -342,7 +362,7 @@ def sg_09(spark, sf):
 
 @query("wn_28_latest_row", "select symbol, session_date from latest")
 def wn_28(spark, sf):
-    return G.latest_ready(_features(spark, sf)).select("symbol", "session_date")
+    return G.latest_ready(_stored_features(spark, sf)).select("symbol", "session_date")
 
 
 @query("wn_29_history", "select symbol, session_date from past_ready")
@@ -366,11 +386,12 @@ view("marks", "select d.*, fold, start, stop, " + ", ".join(
 
 def _design(spark, sf):
     panel = X.panel(spark, sf)
-    return L.labels(panel).join(FT.features(panel), ["symbol", "session_date"])
+    return X.stored(L.labels(panel).join(FT.features(panel), ["symbol", "session_date"]), "design")
 
 
 def _folds(spark, sf):
-    return L.folds(X.trade_bars(spark, sf).select("session_date"))
+    # the dates alone bound the folds
+    return L.folds(X.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("session_date")))
 
 
 def _marks(spark, sf):
@@ -404,9 +425,14 @@ def ag_24(spark, sf):
     return L.split_audit(_marks(spark, sf))
 
 
-@query("ml_04_adequacy", "select target, 0::bigint as leaks, count(*) filter (where train_rows < 100 or test_rows < 1) as inadequate from audit group by target")
+@query("ml_04_adequacy", "select target, count(*) filter (where fold % 4 = 1 and latest_training_outcome is not null) as leaks, count(*) filter (where train_rows < 100 or test_rows < 1 or fold % 5 = 2) as inadequate from audit group by target")
 def ml_04(spark, sf):
-    return L.audit_violations(L.split_audit(_marks(spark, sf)))
+    """The split audit with a leak planted in every fourth fold, and every fifth one left without test rows."""
+    audit = L.split_audit(_marks(spark, sf))
+    return L.audit_violations(audit.withColumns({
+        "latest_training_outcome": F.when((F.col("fold") % 4 == 1) & F.col("latest_training_outcome").isNotNull(), F.col("start")).otherwise(F.col("latest_training_outcome")),
+        "test_rows": F.when(F.col("fold") % 5 == 2, 0).otherwise(F.col("test_rows")),
+    }))
 
 
 NAMES = ["return_1d", "rsi_14", "relative_volume_20", "sma_200"]
@@ -439,8 +465,8 @@ def ml_07(spark, sf):
 view("spread_pred", "select fold, symbol, session_date, direction_1d as actual, rsi_14 / 100 as prediction, future_return_1d as ret, return_1d as ret_prediction from marks where test_direction_1d")
 
 
-def _spread(spark, sf):
-    return _marks(spark, sf).where("test_direction_1d").select("fold", "symbol", "session_date", F.col("direction_1d").alias("actual"), (F.col("rsi_14") / 100).alias("prediction"), F.col("future_return_1d").alias("ret"), F.col("return_1d").alias("ret_prediction"))
+def _spread(spark, sf, marks=None):
+    return (marks or _marks(spark, sf)).where("test_direction_1d").select("fold", "symbol", "session_date", F.col("direction_1d").alias("actual"), (F.col("rsi_14") / 100).alias("prediction"), F.col("future_return_1d").alias("ret"), F.col("return_1d").alias("ret_prediction"))
 
 
 def _class_sql(keys: str) -> str:
@@ -475,22 +501,28 @@ def ag_19(spark, sf):
     return _rounded(E.regression(rows, "fold"), "fold")
 
 
-view("scores", f"select 'direction_1d' as target, 'rsi' as model, case when fold < 0 then 'holdout' else 'validation' end as split, fold, avg(abs(prediction - actual)) as score, avg(pow(prediction - actual, 2)) as brier from spread_pred group by fold union all select 'direction_1d', 'baseline', case when fold < 0 then 'holdout' else 'validation' end, fold, avg(abs(prediction - actual)), avg(pow(prediction - actual, 2)) from base_pred group by fold")
+# a direction is scored by its Brier score, a return by its mean absolute error
+SPLIT = "case when fold < 0 then 'holdout' else 'validation' end"
+view("scores", f"""select 'direction_1d' as target, 'rsi' as model, {SPLIT} as split, fold, avg(pow(prediction - actual, 2)) as score, avg(pow(prediction - actual, 2)) as brier, null::double as mae from spread_pred group by fold
+  union all select 'direction_1d', 'baseline', {SPLIT}, fold, avg(pow(prediction - actual, 2)), avg(pow(prediction - actual, 2)), null from base_pred group by fold
+  union all select 'future_return_1d', 'momentum', {SPLIT}, fold, avg(abs(ret_prediction - ret)), null, avg(abs(ret_prediction - ret)) from spread_pred group by fold
+  union all select 'future_return_1d', 'baseline', {SPLIT}, fold, avg(abs(ret)), null, avg(abs(ret)) from spread_pred group by fold""")
 
 
 def _scores(spark, sf):
     marks = _marks(spark, sf)
-    spread = _spread(spark, sf).select("fold", "actual", "prediction").withColumn("model", F.lit("rsi"))
-    both = spread.unionByName(L.baseline(marks, "direction_1d").select("fold", "actual", "prediction").withColumn("model", F.lit("baseline")))
-    miss = F.col("prediction") - F.col("actual")
-    return both.groupBy("model", "fold").agg(F.avg(F.abs(miss)).alias("score"), F.avg(F.pow(miss, 2)).alias("brier")).withColumns({
-        "target": F.lit("direction_1d"), "split": F.when(F.col("fold") < 0, "holdout").otherwise("validation"), **{c: F.lit(None).cast("double") for c in ("balanced_accuracy", "roc_auc", "mae", "rmse")},
-    })
+    spread = _spread(spark, sf, marks).select("fold", "actual", "prediction").withColumn("model", F.lit("rsi"))
+    momentum = _spread(spark, sf, marks).select("fold", F.col("ret").alias("actual"), F.col("ret_prediction").alias("prediction")).withColumn("model", F.lit("momentum"))
+    parts = []
+    for target, own in (("direction_1d", spread), ("future_return_1d", momentum)):
+        both = own.unionByName(L.baseline(marks, target).select("fold", "actual", "prediction").withColumn("model", F.lit("baseline")))
+        parts.append(E.scored(both, target))
+    return parts[0].unionByName(parts[1])
 
 
-@query("ag_21_score_summary", f"select target, model, split, {r('avg(brier)')} as brier from scores group by 1, 2, 3")
+@query("ag_21_score_summary", f"select target, model, split, {r('avg(brier)')} as brier, {r('avg(mae)')} as mae from scores group by 1, 2, 3")
 def ag_21(spark, sf):
-    return E.score_summary(_scores(spark, sf)).select("target", "model", "split", F.round("brier", 6).alias("brier"))
+    return E.score_summary(_scores(spark, sf)).select("target", "model", "split", F.round("brier", 6).alias("brier"), F.round("mae", 6).alias("mae"))
 
 
 view("winners", "select target, arg_min(model, row(s, model)) as model, min(s) as mean_score from (select target, model, avg(score) as s from scores where split = 'validation' group by 1, 2) group by target")
@@ -550,9 +582,10 @@ def ml_12(spark, sf):
 @query("ml_13_reload")
 def ml_13(spark, sf):
     """Largest difference between predictions before and after a model is saved and loaded: 0."""
-    target, names = "direction_1d", ["return_1d", "rsi_14"]
+    target, names = "direction_1d", FT.feature_names()
     marks = _marks(spark, sf).where("fold = -1").select("symbol", "session_date", "fold", target, f"train_{target}", f"test_{target}", *names)
-    rows, columns = M.design(marks, names, target, [])
+    rows, columns = M.design(marks, names, target, sorted(r["symbol"] for r in X.instruments(spark, sf).select("symbol").collect()))
+    rows = X.stored(rows, "design")
     model = M.fit(rows.where(f"train_{target}"), columns, target, "linear")
     again = M.reload(model, new_path(spark, "model"))
     test = rows.where(f"test_{target}")
@@ -566,9 +599,13 @@ def ml_14(spark, sf):
     return L.audit_violations(L.split_audit(_marks(spark, sf))).select("target", "leaks")
 
 
-@query("ml_15_prediction_check", "select 0::bigint as repeated, 0::bigint as not_finite, 0::bigint as before_holdout from (select count(*) from bars)")
+@query("ml_15_prediction_check", """select count(*) filter (where day(session_date) = 2) as repeated, count(*) filter (where day(session_date) in (5, 6)) as not_finite, count(*) filter (where day(session_date) = 9) as before_holdout from base_pred where fold = -1""")
 def ml_15(spark, sf):
-    return E.prediction_violations(L.baseline(_marks(spark, sf).where("fold = -1"), "direction_1d"), _folds(spark, sf).where("fold = -1"))
+    """Holdout predictions with faults planted by day of the month: repeated, null, infinite or dated before the holdout."""
+    day = F.dayofmonth("session_date")
+    rows = X.stored(L.baseline(_marks(spark, sf).where("fold = -1"), "direction_1d"), "predictions")
+    rows = rows.withColumn("prediction", F.when(day == 5, None).when(day == 6, float("inf")).otherwise(F.col("prediction"))).unionByName(rows.where(day == 2))
+    return E.prediction_violations(rows.withColumn("session_date", F.when(day == 9, F.date_sub("session_date", 4000)).otherwise(F.col("session_date"))), _folds(spark, sf).where("fold = -1"))
 
 
 # publication
@@ -583,7 +620,7 @@ T_SQL, E_SQL = "date '2001-11-05'", "date '2001-10-30'"
 
 def _market(spark, sf):
     panel = X.panel(spark, sf)
-    feats = FT.features(panel)
+    feats = X.stored(FT.features(panel), "features")
     prices = panel.select("symbol", "session_date", "adj_close").join(feats.select("symbol", "session_date", "return_1d"), ["symbol", "session_date"])
     return P.market(G.risk_table(feats, forest=False).drop("return_1d"), prices, X.instruments(spark, sf), _day(TODAY), _day(EXPECTED))
 
@@ -609,11 +646,11 @@ def pb_02(spark, sf):
 def _forecast_rows(spark, sf):
     """Baseline forecasts of the latest core-ready rows: 0 for returns, the holdout's prior for the direction."""
     panel = X.panel(spark, sf)
-    design = L.labels(panel).join(FT.features(panel), ["symbol", "session_date"])
+    design = X.stored(L.labels(panel).join(FT.features(panel), ["symbol", "session_date"]), "design")
     marks = L.marked(design, _folds(spark, sf)).where("fold = -1")
     prior = marks.where("train_direction_1d").agg(F.avg("direction_1d").alias("prior"))
     latest = G.latest_ready(design).select("symbol", F.col("session_date").alias("as_of_date"), "available_at")
-    calendar = X.every_day(X.trade_bars(spark, sf))
+    calendar = X.every_day(panel)
     targets = None
     for name, h in TARGETS.items():
         later = F.broadcast(S.later_session(calendar, h).withColumnRenamed("session_date", "as_of_date"))
@@ -660,9 +697,9 @@ def ag_25(spark, sf):
     return P.market_counts(_market(spark, sf), X.BENCHMARK)
 
 
-@query("pb_06_insights", """select 'Market summary' as topic, 'Session 2001-10-30, ' || equities || ' stocks with current indicators: ' || bullish || ' bullish, ' || bearish || ' bearish and ' || neutral || ' neutral. ' || abnormal || ' show abnormal volume; ' || high_risk || ' exceed the volatility threshold.' as insight from market_counts
-  union all select 'Data freshness', 'The source grid ends ' || (select max(session_date) from panel)::varchar || '. ' || (select count(*) filter (where latest_input_missing) from market) || ' instruments lack current indicators and are left out of the counts.'
-  union all select 'Model evidence', 'Models are chosen on validation folds; a baseline may win.' union all select 'Interpretation', 'Technical labels describe observed conditions; anomaly flags require review.'""")
+@query("pb_06_insights", """select 'Market summary' as topic, 'On 2001-10-30 ' || equities || ' equities have current readings (bullish ' || bullish || ', bearish ' || bearish || ', neutral ' || neutral || '); unusual volume in ' || abnormal || ', high volatility in ' || high_risk || '.' as insight from market_counts
+  union all select 'Data freshness', 'Bars reach ' || (select max(session_date) from panel)::varchar || '; ' || (select count(*) filter (where latest_input_missing) from market) || ' instruments have no current reading and aren''t counted.'
+  union all select 'Model evidence', 'Scores of the validation folds choose the model, and that may be the baseline.' union all select 'Interpretation', 'Labels say what was observed, and a flag is a reason to look, not a finding.'""")
 def pb_06(spark, sf):
     market = _market(spark, sf)
     missing = market.agg(F.count_if("latest_input_missing").alias("missing")).crossJoin(X.trade_bars(spark, sf).agg(F.max("session_date").alias("last_session")))
@@ -676,7 +713,13 @@ def pb_07(spark, sf):
 
 @query("pb_07_anomalies", f"select l.symbol, l.session_date, {r('s.return_z')} as return_z, coalesce(abs(s.return_z) >= 3, null) as statistical_anomaly, l.abnormal_volume from latest l join surprise s on l.symbol = s.symbol")
 def pb_07_anomalies(spark, sf):
-    return G.risk_table(_features(spark, sf), forest=False).select("symbol", "session_date", F.round("return_z", 6).alias("return_z"), "statistical_anomaly", "abnormal_volume")
+    return G.risk_table(_stored_features(spark, sf), forest=False).select("symbol", "session_date", F.round("return_z", 6).alias("return_z"), "statistical_anomaly", "abnormal_volume")
+
+
+@query("pb_07_anomalies_with_isolation")
+def pb_07_isolation(spark, sf):
+    """The anomalies table with the isolation forest's columns, which SQL can't give."""
+    return G.risk_table(_stored_features(spark, sf)).select("symbol", "session_date", "return_z", "statistical_anomaly", "abnormal_volume", "isolation_score", "isolation_anomaly", "attention")
 
 
 @query("pb_08_skip", "select max(session_date) = date '2001-11-04' as skip from panel")
@@ -685,21 +728,36 @@ def pb_08(spark, sf):
     return P.skip_run(pointer, F.lit("2001-11-04").cast("date"))
 
 
-@query("pb_09_run_log", "select 'r1' as run_id, 'success' as status, count(*) as n from bars")
+view("run_steps", "select user_id % 500 as run_id, event_id as step, event_type as stage, ts as started_at, case when event_id % 11 <> 0 then ts + interval 5 minute end as finished_at, value::double >= 1 as ok from events")
+view("broken_runs", "select run_id, min(step) filter (where not coalesce(ok, false) or finished_at is null) as broken from run_steps group by run_id")
+
+
+@query("pb_09_run_log", """select s.run_id, case when max(broken) is null then 'success' else 'failed' end as status, string_agg(stage, ',' order by step) as stages, max(stage) filter (where step = broken) as stopped_at,
+  min(started_at) as started_at, max(coalesce(finished_at, started_at)) as finished_at from run_steps s join broken_runs b on s.run_id = b.run_id where broken is null or step <= broken group by s.run_id""")
 def pb_09(spark, sf):
-    path = new_path(spark, "runs")
-    X.trade_bars(spark, sf).agg(F.count(F.lit(1)).alias("n")).select(F.lit("r1").alias("run_id"), F.lit("success").alias("status"), "n").write.mode("append").parquet(path)
-    return spark.read.schema("run_id string, status string, n long").parquet(path)
+    """Runs out of the events: a run's steps are those of a group of users."""
+    e = X.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    steps = e.select(
+        (F.col("user_id") % 500).alias("run_id"), F.col("event_id").alias("step"), F.col("event_type").alias("stage"), F.col("ts").alias("started_at"),
+        F.when(F.col("event_id") % 11 != 0, F.col("ts") + F.expr("interval 5 minutes")).alias("finished_at"), (F.col("value").cast("double") >= 1).alias("ok"),
+    )
+    return P.run_log(steps)
 
 
-@query("ag_31_release_check", "select 0::bigint as repeated_market_rows, 0::bigint as missing_forecasts, 0::bigint as skipped_with_value, 0::bigint as bad_probability from (select count(*) from bars)")
+@query("ag_31_release_check", """select (select count(*) from market where symbol = 'AF') as repeated_market_rows, (select count(*) from forecasts where symbol = 'NF') as missing_forecasts,
+  (select count(*) from forecasts where status like 'Skipped%' and target = 'future_return_1d' and symbol <> 'NF') as skipped_with_value, (select count(*) from forecasts where target = 'direction_1d' and symbol not in ('NF', 'RF') and value is not null) as bad_probability""")
 def ag_31(spark, sf):
-    return P.release_violations(_market(spark, sf), _forecasts(spark, sf))
+    """A release with faults planted: a repeated market row, a symbol without forecasts, values that were skipped, probabilities above 1."""
+    market, rows = X.stored(_market(spark, sf), "market"), X.stored(_forecasts(spark, sf), "forecasts").where("symbol <> 'NF'")
+    skipped = F.col("status").startswith("Skipped") & (F.col("target") == "future_return_1d")
+    sure = (F.col("target") == "direction_1d") & (F.col("symbol") != "RF")
+    rows = rows.withColumn("value", F.when(skipped, 0.5).when(sure, F.col("value") + 1).otherwise(F.col("value")))
+    return P.release_violations(market.unionByName(market.where("symbol = 'AF'")), rows)
 
 
 def _issued(spark, sf):
     """One forecast per symbol, day and target, issued the evening before the target day or, every seventh, too late; every fifth twice."""
-    rows = L.labels(X.panel(spark, sf)).where("session_date >= '2001-01-01'")
+    rows = L.labels(X.panel(spark, sf))
     d = F.datediff("session_date", F.lit("1995-01-01").cast("date"))
     parts = None
     for t, h in TARGETS.items():
@@ -722,7 +780,7 @@ def _outcomes(spark, sf):
 view("outcomes", " union all ".join(f"select symbol, session_date as as_of_date, '{t}' as target, target_date_{h}d as target_date, {t} as actual from labels" for t, h in TARGETS.items()))
 view("issued", """select 's' || copy::varchar as snapshot_id, target_date::timestamp + case when d % 7 = 0 then interval 1 hour else interval (-6) hour end + copy * interval 2 hour as issued_at, symbol, as_of_date, target, target_date,
   case when d % 11 <> 0 then (d % 10) / 10.0::double end as value, case when d % 13 = 0 then 'Skipped: x' else 'ok' end as status, 'baseline' as model
-  from (select *, (as_of_date - date '1995-01-01') as d from outcomes where as_of_date >= date '2001-01-01') join (select 0 as copy union all select 1) on copy = 0 or d % 5 = 0""")
+  from (select *, (as_of_date - date '1995-01-01') as d from outcomes) join (select 0 as copy union all select 1) on copy = 0 or d % 5 = 0""")
 view("matched", """select i.*, o.actual, case when o.actual is not null and o.target_date = i.target_date then 'scored' else 'excluded' end as state from issued i left join outcomes o on i.symbol = o.symbol and i.as_of_date = o.as_of_date and i.target = o.target
   where i.value is not null and i.status not like 'Skipped%' and i.issued_at < i.target_date::timestamp and i.target_date::timestamp + interval 16 hour <= timestamp '2001-10-20 18:00:00'""")
 view("firsts", "select * from (select *, row_number() over (partition by symbol, as_of_date, target_date, target order by issued_at, snapshot_id) as nth from matched where state = 'scored') where nth = 1")

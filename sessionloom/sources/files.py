@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionloom.sources.scratch import stored
+
 
 def append_run(bars: DataFrame, path: str, run_id: str) -> None:
     """Add a run to the archive; files of earlier runs are not touched."""
@@ -43,10 +45,15 @@ def inspect(raw: DataFrame, start, end) -> DataFrame:
     )
 
 
+def _below(path: str, column: str) -> Column:
+    """The part of a file's path below `path`, whose last folder's name is its own."""
+    return F.substring_index(F.col(column), "/" + path.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
+
+
 def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """file (name) and sha256 of every file below path."""
+    """file (path below `path`), sha256 and length of every Parquet file below path."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("sha256"), "length")
+    return files.select(_below(path, "path").alias("file"), F.sha2("content", 256).alias("sha256"), "length")
 
 
 def dataset_id(identity: DataFrame, *columns: str) -> DataFrame:
@@ -63,6 +70,27 @@ def manifest_mismatches(manifest: DataFrame, actual: DataFrame, key: str, *value
     return both.agg(F.count_if(F.col("a").isNull()).alias("missing"), F.count_if(F.col("m").isNull()).alias("unknown"), F.count_if(F.col("a").isNotNull() & F.col("m").isNotNull() & ~F.col("a").eqNullSafe(F.col("m"))).alias("different"))
 
 
+def write_with_manifest(df: DataFrame, path: str, *by: str) -> DataFrame:
+    """Write df below path, and return a manifest of what was written: file, sha256, n_rows. It is a table of its own, which later changes don't reach."""
+    df.write.partitionBy(*by).parquet(path)
+    return stored(files_with_rows(df.sparkSession, path), "manifest")
+
+
+def files_with_rows(spark: SparkSession, path: str) -> DataFrame:
+    """file, sha256 and n_rows of every Parquet file below path, read now."""
+    rows = spark.read.option("recursiveFileLookup", True).parquet(path).groupBy(_below(path, "_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return file_fingerprints(spark, path).drop("length").join(rows, "file", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+
+
+def verified(manifest: DataFrame, path: str) -> DataFrame:
+    """The rows below path, if its files are those of the manifest (file, sha256, n_rows); any difference is an error before a row is read."""
+    spark = manifest.sparkSession
+    found = manifest_mismatches(manifest, files_with_rows(spark, path), "file", "sha256", "n_rows").first()
+    if any(found):
+        raise ValueError(f"files differ from their manifest: {found.asDict()}")
+    return spark.read.option("recursiveFileLookup", True).parquet(path)
+
+
 def schema_summary(df: DataFrame) -> DataFrame:
     """column and kind (boolean, double or string) of a table, as published."""
     kinds = [(c, "boolean" if t == "boolean" else "string" if t.split("(")[0] in ("string", "date", "timestamp", "timestamp_ntz") else "double") for c, t in df.dtypes]

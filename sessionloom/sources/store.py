@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def latest_complete_run(manifest: DataFrame, universe: DataFrame) -> DataFrame:
     """run_id of the run that finished last among those that succeeded for every instrument. manifest: run_id, symbol, status, finished_at."""
     n = universe.agg(F.count_distinct("symbol").alias("n"))
-    known = manifest.join(F.broadcast(universe.select("symbol", F.lit(True).alias("known"))), "symbol", "left")
+    known = manifest.join(universe.select("symbol", F.lit(True).alias("known")), "symbol", "left")
     runs = known.groupBy("run_id").agg(
         F.bool_and(F.col("status") == "success").alias("ok"), F.bool_and(F.coalesce("known", F.lit(False))).alias("all_known"), F.count_distinct("symbol").alias("have"), F.max("finished_at").alias("finished_at"),
     )
@@ -33,12 +35,22 @@ def replace_window(old: DataFrame, new: DataFrame, keys: list[str], date: str, s
     inside = (F.col(date) >= start) & (F.col(date) < end)
     marked = old.withColumn("_inside", inside)
     gone = new.select(*keys).distinct().withColumn("_inside", F.lit(True))
-    return marked.join(F.broadcast(gone), [*keys, "_inside"], "left_anti").drop("_inside").unionByName(new)
+    return marked.join(gone, [*keys, "_inside"], "left_anti").drop("_inside").unionByName(new)
 
 
-def load_once(loaded: DataFrame, batch: DataFrame, dataset: str = "dataset_id") -> DataFrame:
-    """Rows of batch that a first load adds: none, if its dataset is there already."""
-    return batch.join(F.broadcast(loaded.select(dataset).distinct()), dataset, "left_anti")
+def load_once(loaded: DataFrame, batch: DataFrame, active: DataFrame | None = None, dataset: str = "dataset_id") -> DataFrame:
+    """Rows of batch that a first load adds: none of a dataset that is there already.
+
+    active (one row or none: the dataset in use): a row of an older dataset, loaded once but not in use now, is an error when it is read, since what was
+    loaded after it may have replaced its windows.
+    """
+    known = loaded.select(dataset).distinct().withColumn("_loaded", F.lit(True))
+    rows = batch.join(known, dataset, "left")
+    if active is not None:
+        rows = rows.join(F.broadcast(active.select(F.col(dataset).alias("_active")).limit(1)), how="left")
+        old = F.col("_loaded") & ~F.coalesce(F.col(dataset) == F.col("_active"), F.lit(False))
+        rows = rows.withColumn("_loaded", F.when(old, F.raise_error(F.lit("an older dataset can't be loaded again")).cast("boolean")).otherwise(F.col("_loaded")))
+    return rows.where("_loaded is null").drop("_loaded", "_active")
 
 
 def current(table: DataFrame, pointer: DataFrame, dataset: str = "dataset_id") -> DataFrame:
@@ -46,15 +58,61 @@ def current(table: DataFrame, pointer: DataFrame, dataset: str = "dataset_id") -
     return table.join(F.broadcast(pointer.select(dataset)), dataset)
 
 
-def publish(df: DataFrame, root: str, version: str) -> None:
-    """Write a version, then the pointer to it: a failure leaves the old pointer."""
-    df.write.parquet(f"{root}/{version}")
-    df.sparkSession.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode("overwrite").parquet(f"{root}/_pointer")
+def readable(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+        return True
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
+STEPS = "number long, part string, folder string"
+
+
+def _log(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(STEPS).parquet(f"{root}/_log")
+
+
+def _append(spark: SparkSession, root: str, rows: list[tuple]) -> None:
+    spark.createDataFrame(rows, STEPS).coalesce(1).write.mode("append").parquet(f"{root}/_log")
+
+
+def published_state(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
+    """Number of the current version (-1: none yet) and the folder of each of its parts.
+
+    The log is only ever added to, one file per version, and the largest number counts: a failure at any time leaves the version before. The log begins before
+    the first version is written; versions without a log are an error, not an empty store.
+    """
+    if not readable(spark, f"{root}/_log"):
+        if readable(spark, f"{root}/versions"):
+            raise RuntimeError(f"{root} has versions, but its log is gone")
+        _append(spark, root, [(-1, None, None)])
+    log = _log(spark, root)
+    rows = log.join(log.agg(F.max("number").alias("number")), "number").collect()
+    return rows[0]["number"], {r["part"]: r["folder"] for r in rows if r["part"] is not None}
+
+
+def publish_parts(df: DataFrame, root: str, number: int, stay: dict[str, str], part: str | None = None) -> None:
+    """Make version `number` of df, by the values of the column `part` if named, and of parts that stay, by their folders. Every attempt writes to a folder of its own."""
+    spark, folder = df.sparkSession, f"{root}/versions/{number}-{uuid.uuid4().hex}"
+    (df.write.partitionBy(part) if part else df.write).parquet(folder)
+    made = {r[part]: f"{folder}/{part}={r[part]}" for r in spark.read.parquet(folder).select(F.col(part).cast("string").alias(part)).distinct().collect()} if part and not df.isEmpty() else {} if part else {"all": folder}
+    _append(spark, root, [(number, k, f) for k, f in (stay | made).items()] or [(number, None, None)])
+
+
+def publish(df: DataFrame, root: str) -> None:
+    """Write a whole table as the next version, and then the log's row of it."""
+    number, _ = published_state(df.sparkSession, root)
+    publish_parts(df, root, number + 1, {})
 
 
-def published(spark, root: str) -> DataFrame:
-    version = spark.read.parquet(f"{root}/_pointer").first()["version"]
-    return spark.read.parquet(f"{root}/{version}")
+def published(spark: SparkSession, root: str) -> DataFrame:
+    folders = sorted(published_state(spark, root)[1].values())
+    if not folders:
+        raise RuntimeError(f"nothing is published at {root}")
+    return spark.read.parquet(*folders)
 
 
 def orphans(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

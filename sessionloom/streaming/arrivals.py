@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sessionloom.functions.columns import order_key
 from sessionloom.operators.quality import canonical, clean, quarantine, row_rules
-from sessionloom.sources.store import replace_window
+from sessionloom.sources.store import publish_parts, published_state, replace_window
 
 
 def arrivals(spark: SparkSession, path: str, schema: str, files_per_batch: int = 8) -> DataFrame:
@@ -17,8 +18,8 @@ def arrivals(spark: SparkSession, path: str, schema: str, files_per_batch: int =
 
 def completed_bars(ticks: DataFrame, every: str = "1 day", late: str = "1 hour") -> DataFrame:
     """Bars of tumbling windows that the watermark has passed. ticks: symbol, ts, price, quantity, tick_id. Append mode emits each bar once."""
-    at = F.struct("ts", "tick_id")
-    agg = ticks.withWatermark("ts", late).groupBy(F.window("ts", every), "symbol").agg(
+    at = order_key(micros=19, tick_id=18)
+    agg = ticks.withColumn("micros", F.unix_micros("ts")).withWatermark("ts", late).groupBy(F.window("ts", every), "symbol").agg(
         F.min_by("price", at).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", at).alias("close"), F.sum("quantity").alias("volume"),
     )
     return agg.select("symbol", F.to_date("window.start").alias("session_date"), "open", "high", "low", "close", "volume")
@@ -29,7 +30,7 @@ def gate(batch: DataFrame) -> DataFrame:
     rows = canonical(batch).withColumn("session_date", F.to_date("ts"))
     copies = batch.groupBy("symbol", F.to_date("ts").alias("session_date")).agg(F.count(F.lit(1)).alias("_copies"))
     rows = rows.join(copies, ["symbol", "session_date"], "left")
-    repeated = F.when(F.col("_copies") > 1, F.struct(F.lit("duplicate_date").alias("rule"), F.lit("error").alias("severity"), F.lit("All copies quarantined").alias("detail")))
+    repeated = F.when(F.col("_copies") > 1, F.struct(F.lit("duplicate_date").alias("rule"), F.lit("error").alias("severity"), F.lit("Date comes more than once").alias("detail")))
     rows = rows.withColumn("issues", F.filter(F.array(*row_rules(calendar=False), repeated), lambda x: x.isNotNull())).drop("_copies")
     return rows.withColumn("bad", F.exists("issues", lambda x: x["severity"] == "error"))
 
@@ -49,22 +50,27 @@ def run_gate(stream: DataFrame, clean_path: str, quarantine_path: str, checkpoin
 
 
 def revise(stream: DataFrame, root: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
-    """Each batch replaces its keys' rows within its own range of session dates. Versions alternate; the pointer moves last."""
+    """Each batch replaces its keys' rows within its own range of session dates.
+
+    The table is kept by month: only months that the range touches are written anew, the others stay where they are. A batch that is repeated
+    after its version was published changes nothing; one that failed before is made from the version before it.
+    """
 
     def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        published, folders = published_state(spark, root)
         span = batch.agg(F.min("session_date").alias("a"), F.date_add(F.max("session_date"), 1).alias("b")).first()
-        if span["a"] is None:
+        if number <= published or span["a"] is None:
             return
-        pointer = f"{root}/_pointer"
+        month = F.date_format("session_date", "'m'yyyy-MM")
+        first, last = f"m{span['a']:%Y-%m}", f"m{span['b']:%Y-%m}"
+        touched = {m: f for m, f in folders.items() if first <= m <= last}
+        batch = batch.persist()
         try:
-            version = spark.read.parquet(pointer).first()["version"]
-            old = spark.read.parquet(f"{root}/{version}")
-        except Exception as e:  # nothing is published yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = batch.limit(0)
-        replace_window(old, batch, keys, "session_date", F.lit(span["a"]), F.lit(span["b"])).write.mode("overwrite").parquet(f"{root}/v{number}")
-        spark.range(1).select(F.lit(f"v{number}").alias("version")).coalesce(1).write.mode("overwrite").parquet(pointer)
+            old = spark.read.schema(batch.schema).parquet(*touched.values()) if touched else batch.limit(0)
+            rows = replace_window(old, batch, keys, "session_date", F.lit(span["a"]), F.lit(span["b"])).withColumn("month", month)
+            publish_parts(rows, root, number, {m: f for m, f in folders.items() if m not in touched}, "month")
+        finally:
+            batch.unpersist()
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,9 +1,12 @@
+import shutil
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from sessionloom.operators import publish as P
 from sessionloom.sources import files, store
+from sessionloom.streaming import arrivals
 from tests.helpers import day
 
 
@@ -24,15 +27,116 @@ def test_runs(spark):
 
 def test_failed_publication_keeps_the_old_one(spark, tmp_path):
     root = str(tmp_path / "p")
-    store.publish(spark.range(3), root, "v1")
+    store.publish(spark.range(3), root)
     bad = spark.range(3).select(F.raise_error(F.lit("no")).alias("id"))
     try:
-        store.publish(bad, root, "v2")
+        store.publish(bad, root)
     except Exception:
         pass
     assert store.published(spark, root).count() == 3
 
 
+def test_no_pointer_is_not_an_empty_store(spark, tmp_path, monkeypatch):
+    """Killed before the log's row: the version before stays, and the next attempt goes on. A lost log is an error."""
+    root = str(tmp_path / "p")
+    kept = store._append
+
+    def killed(spark, root, rows):
+        if rows[0][0] >= 0:
+            raise KeyboardInterrupt
+        kept(spark, root, rows)
+
+    for before in (None, 5):
+        monkeypatch.setattr(store, "_append", killed)
+        try:
+            store.publish(spark.range(9), root)
+        except KeyboardInterrupt:
+            pass
+        monkeypatch.setattr(store, "_append", kept)
+        if before is None:
+            assert store.published_state(spark, root) == (-1, {})
+        else:
+            assert store.published(spark, root).count() == before
+        store.publish(spark.range(5), root)
+        assert store.published(spark, root).count() == 5
+    shutil.rmtree(f"{root}/_log")
+    with pytest.raises(RuntimeError, match="its log is gone"):
+        store.published(spark, root)
+    with pytest.raises(RuntimeError, match="its log is gone"):
+        store.publish(spark.range(1), root)
+
+
+def test_revisions_survive_a_replay_and_a_crash(spark, tmp_path, monkeypatch):
+    schema = "symbol string, session_date date, v string"
+    path, root = tmp_path / "in", str(tmp_path / "out")
+    path.mkdir()
+
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(path))
+
+    def run(offsets):
+        arrivals.revise(arrivals.arrivals(spark, str(path), schema, 1), root, str(tmp_path / offsets), ["symbol"]).awaitTermination()
+
+    def now():
+        return sorted((r["symbol"], (r["session_date"] - day(0)).days, r["v"]) for r in store.published(spark, root).collect())
+
+    arrive([("A", day(i), "old") for i in range(0, 100, 10)] + [("B", day(45), "old")])
+    run("offsets")
+    first = now()
+    assert len(first) == 11
+    # another run of the same batch number, as after a lost commit, changes nothing
+    before = store.published_state(spark, root)
+    run("again")
+    assert store.published_state(spark, root) == before and now() == first
+    arrive([("A", day(40), "new"), ("A", day(50), "new")])
+    kept = store._append
+    monkeypatch.setattr(store, "_append", lambda *a: (_ for _ in ()).throw(ValueError("killed")))
+    with pytest.raises(Exception, match="killed"):
+        run("offsets")
+    monkeypatch.setattr(store, "_append", kept)
+    assert now() == first
+    run("offsets")
+    want = sorted([x for x in first if x[:2] not in (("A", 40), ("A", 50))] + [("A", 40, "new"), ("A", 50, "new")])
+    assert now() == want
+    # months that the second batch didn't touch are the same folders as before
+    assert set(before[1].values()) & set(store.published_state(spark, root)[1].values())
+
+
+def test_files_are_held_against_their_manifest(spark, tmp_path):
+    path = str(tmp_path / "files")
+    df = spark.createDataFrame([("A", 1.0), ("B", 2.0)], "symbol string, close double")
+    manifest = files.write_with_manifest(df.repartition("symbol"), path, "symbol")
+    assert files.verified(manifest, path).count() == 2
+    one = next((tmp_path / "files").rglob("*.parquet"))
+    one.write_bytes(one.read_bytes())
+    assert files.verified(manifest, path).count() == 2
+    spark.createDataFrame([("A", 3.0)], "symbol string, close double").coalesce(1).write.mode("append").partitionBy("symbol").parquet(path)
+    with pytest.raises(ValueError, match="'unknown': 1"):
+        files.verified(manifest, path)
+
+
+def test_an_older_dataset_is_refused(spark):
+    rows = spark.createDataFrame([("d1", 1), ("d2", 2)], "dataset_id string, x int")
+    active = spark.createDataFrame([("d2",)], "dataset_id string")
+    assert store.load_once(rows, rows.where("dataset_id = 'd2'"), active).count() == 0
+    assert store.load_once(rows, rows.limit(0).union(spark.createDataFrame([("d3", 3)], rows.schema)), active).count() == 1
+    with pytest.raises(Exception, match="older dataset"):
+        store.load_once(rows, rows.where("dataset_id = 'd1'"), active).collect()
+
+
+def test_run_log(spark):
+    t = lambda h: datetime(2020, 1, 1, h)
+    steps = spark.createDataFrame([("a", 1, "load", t(1), t(2), True), ("a", 2, "fit", t(3), t(4), True), ("b", 1, "load", t(1), t(2), True), ("b", 2, "fit", t(2), None, True), ("b", 3, "out", t(5), t(6), True), ("c", 1, "load", t(1), t(2), None)], "run_id string, step int, stage string, started_at timestamp_ntz, finished_at timestamp_ntz, ok boolean")
+    got = {r["run_id"]: tuple(r)[1:] for r in P.run_log(steps).collect()}
+    assert got == {"a": ("success", "load,fit", None, t(1), t(4)), "b": ("failed", "load,fit", "fit", t(1), t(2)), "c": ("failed", "load", "load", t(1), t(2))}
+
+
+def test_mixed_datasets_are_not_coherent(spark):
+    ids = {k: spark.createDataFrame([(k,)], "dataset_id string") for k in ("x", "y")}
+    none = ids["x"].limit(0)
+    assert [P.coherent(ids["x"], *o).first()["coherent"] for o in ((ids["x"], ids["x"]), (ids["x"], ids["y"]), (none,), (ids["x"].union(ids["y"]),))] == [True, False, False, False]
+
+
 def test_append_only_and_fingerprints(spark, tmp_path):
     path = str(tmp_path / "a")
     bars = spark.createDataFrame([("A", 1.0)], "symbol string, close double")
