@@ -213,17 +213,20 @@ def _scored(hot):
         pairs, pair_of = np.unique(pair_keys(heads, words), return_inverse=True)
         kinds, word_of = np.unique(words, return_inverse=True)
         pair_of, word_of = np.repeat(pair_of, runs), np.repeat(word_of, runs)
-        weight = [n * counted for counted in (chosen, ~chosen)]
+        weight = [(n * counted).astype(np.float64) for counted in (chosen, ~chosen)]
         pair_counts = np.array([np.bincount(pair_of, x, len(pairs)) for x in weight])
         word_counts = np.array([np.bincount(word_of, x, len(kinds)) for x in weight])
         at, busy = _place(known.words, kinds)
         word_counts[:, busy] = known.word_counts[:, at[busy]]
-        losses = known.both(n, own, chosen, pair_counts[:, pair_of], word_counts[:, word_of])
+        del words, heads, runs, weight
         # sums by blob and text
         keys, of = np.unique(np.repeat(np.arange(len(sizes)), sizes) << 40 | texts >> 1, return_inverse=True)
         sums = [np.zeros(len(keys), np.int64) for _ in range(2)]
-        for s, loss in zip(sums, losses):
-            np.add.at(s, of, loss)
+        for i in range(0, len(n), 1 << 16):
+            own_rows = slice(i, i + (1 << 16))
+            losses = known.both(n[own_rows], own[own_rows], chosen[own_rows], pair_counts[:, pair_of[own_rows]], word_counts[:, word_of[own_rows]])
+            for s, loss in zip(sums, losses):
+                np.add.at(s, of[own_rows], loss)
         edges = np.searchsorted(keys >> 40, np.arange(len(sizes) + 1))
         return [[packed(x[a:b]) for a, b in zip(edges, edges[1:])] for x in (keys & (1 << 40) - 1, *sums)]
 

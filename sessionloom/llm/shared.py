@@ -107,8 +107,13 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every word."""
-    return mixed(Rolling(_letters()[data], 0x9E3779B97F4A7C15).of(starts, ends) + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of every word. Runs of words are worked on in turn, so that what is held beside the text doesn't grow with it."""
+    out = np.empty(len(starts), np.uint64)
+    for i in range(0, len(starts), 1 << 15):
+        a, b = starts[i : i + (1 << 15)], ends[i : i + (1 << 15)]
+        rolling = Rolling(_letters()[data[a[0] : b[-1]]], 0x9E3779B97F4A7C15)
+        out[i : i + (1 << 15)] = mixed(rolling.of(a - a[0], b - a[0]) + (b - a).astype(np.uint64))
+    return out
 
 
 def packed(values: np.ndarray) -> bytes:
