@@ -104,7 +104,8 @@ def edited_fingerprints(docs: DataFrame, per_range: int = 100_000) -> DataFrame:
     before = _next_of(cut(ids, "ids"), per_range)
     rows = named.withColumn("fingerprint", fingerprint(F.col("text"))).withColumn("nth", F.row_number().over(Window.partitionBy("key", "tie").orderBy("key")))
     half = lambda n: F.floor(n / 2).cast("int")
-    given = rows.where("nth = 1").join(before, ["key", "tie"]).select(
+    # a plain nth = 1 would be pushed below the exchange, which both joins share
+    given = rows.where((F.col("nth") - 1) == 0).join(before, ["key", "tie"]).select(
         F.col("before_key").alias("key"), F.col("before_tie").alias("tie"), F.substring("text", F.lit(1), half(F.col("before_chars"))).alias("given"),
         F.col("fingerprint").alias("next_print"), F.col("doc_id").alias("next_id"), F.col("before_copies").alias("copies"),
     )

@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionloom.llm import similar
 from sessionloom.llm.components import components
 from sessionloom.llm.shared import cut, text_slices
 
@@ -217,23 +218,47 @@ def near_groups(docs: DataFrame, k: int = 4, radius: int = 4, levels: tuple[int,
     levels and room: see links.
     """
     fps = cut(fingerprints(docs, k), "fingerprints")
+    edges = links(fps.select("fp").distinct(), radius, levels, room)
+    return grouped(fps.withColumn("node", F.col("fp")), edges).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "tie", "kept")
+
+
+def grouped(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """rows (doc_id, tie, node) with component_id, the smallest doc_id of the nodes that edges (u, v) connect, and kept, true for that row."""
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
-    classes = fps.groupBy("fp").agg(F.min(first).alias("least"))
-    roots = cut(components(links(classes.select("fp"), radius, levels, room)), "roots")
-    rooted = cut(classes.join(roots, classes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least"), "rooted")
+    classes = rows.groupBy("node").agg(F.min(first).alias("least"))
+    roots = cut(components(edges), "roots").withColumnRenamed("node", "_node")
+    rooted = cut(classes.join(roots, F.col("node") == F.col("_node"), "left").select("node", F.coalesce("root", "node").alias("root"), "least"), "rooted")
     least = cut(rooted.groupBy("root").agg(F.min("least").alias("best"), F.count(F.lit(1)).alias("n")), "least")
     # fewer than LARGE groups can hold more than that share of all: they are broadcast, so that none of them meets in a task
     large = F.broadcast(least.where(F.col("n") * LARGE > rooted.count()))
-    named = rooted.join(large, "root").select("fp", "best").unionByName(
-        rooted.join(large.select("root"), "root", "left_anti").join(least, "root").select("fp", "best")
-    )
-    return fps.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("best.doc_id").alias("component_id"), "tie",
-        (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & F.col("tie").eqNullSafe(F.col("best.tie"))).alias("kept"),
+    named = rooted.join(large, "root").select("node", "best").unionByName(
+        rooted.join(large.select("root"), "root", "left_anti").join(least, "root").select("node", "best")
     )
+    kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & F.col("tie").eqNullSafe(F.col("best.tie"))
+    return rows.join(named, "node").withColumns({"component_id": F.col("best.doc_id"), "kept": kept})
 
 
-def first_of_groups(docs: DataFrame, k: int = 4, radius: int = 4) -> DataFrame:
-    """The rows of docs that near_groups keeps: one document of each group, identical rows of it included."""
-    kept = near_groups(docs, k, radius).where("kept").select(F.col("doc_id").alias("__kept_id"), F.col("tie").alias("__kept_tie")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept_id")) & F.xxhash64("text").eqNullSafe(F.col("__kept_tie")), "left_semi")
+def similar_groups(docs: DataFrame, k: int = 5, similarity: float = 0.8, radius: int = 4) -> DataFrame:
+    """Groups of texts whose shingles of k words have a Jaccard similarity of `similarity` or more, over chains of such pairs.
+
+    Returns one row per row of docs: doc_id, tie, component_id, kept, as near_groups does, and with its cases; texts without words are alike. Fingerprints
+    within the radius propose pairs by ball hashing. Few pairs of that similarity have such near fingerprints, so bands of least hashes propose
+    too. All proposals are verified, by signatures of 256 bytes where their estimate is clear and else by the sets of shingles.
+    """
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    prints = cut(similar.signatures(texts, k).distinct(), "signatures")
+    fps = cut(fingerprints(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), k), "fingerprints")
+    reps = cut(fps.groupBy("fp").agg(F.min("tie").alias("rep")), "reps")
+    near = links(reps.select("fp"), radius)
+    near = near.join(reps.select(F.col("fp").alias("u"), F.col("rep").alias("a")), "u").join(reps.select(F.col("fp").alias("v"), F.col("rep").alias("b")), "v")
+    same = fps.join(reps, "fp").where("tie <> rep").select(F.col("tie").alias("u"), F.col("rep").alias("v")).distinct()
+    pairs = near.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same)
+    edges = similar.links(prints, pairs, texts.select("tie", "text"), k, similarity)
+    return grouped(fps.withColumn("node", F.col("tie")), edges).select("doc_id", "tie", "component_id", "kept")
+
+
+def first_of_groups(docs: DataFrame, k: int = 5, similarity: float = 0.8, radius: int = 4) -> DataFrame:
+    """The rows of docs that similar_groups keeps: one document of each group, identical rows of it included."""
+    text = F.coalesce("text", F.lit(""))
+    kept = similar_groups(docs, k, similarity, radius).where("kept").select(F.col("doc_id").alias("__kept_id"), F.col("tie").alias("__kept_tie")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (F.xxhash64(text) == F.col("__kept_tie")), "left_semi")

@@ -209,7 +209,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
     span = lambda lo, hi: ["doc_id", tie.alias("tie"), lo.cast("int").alias("lo"), hi.cast("int").alias("hi")]
     whole = found.where("same").select(*span(pos - F.col("ahead"), pos + F.col("behind")))
     open_places = found.where("not same and contexts > 1")
-    leads = open_places.where("may_lead").groupBy("anchor").agg(F.min("context").alias("lead"))
+    leads = cut(open_places.where("may_lead").groupBy("anchor").agg(F.min("context").alias("lead")), "leads")
     chosen = open_places.groupBy("anchor", "context", "doc_id").agg(F.min("place").alias("place"), F.max("contexts").alias("contexts")).join(leads, "anchor")
     chosen = chosen.select("doc_id", tie.alias("tie"), F.struct("anchor", "context", "contexts", (F.col("context") == F.col("lead")).alias("leads"), "place").alias("c"))
     chosen = chosen.groupBy("doc_id", "tie").agg(F.collect_list("c").alias("chosen"))
