@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -63,9 +65,13 @@ def predict(model: PipelineModel, rows: DataFrame, target: str) -> DataFrame:
 
 
 def written_design(marks: DataFrame, names: list[str], target: str, symbols: list[str], fold_ids: list[int], config: Models = Models()) -> tuple[DataFrame, list[str]]:
-    """The design of a target, written once, by fold. A fold with fewer than least_train training rows or without a test row is an error."""
+    """The design of a target, written once, by fold. A fold with fewer than least_train training rows or without a test row is an error.
+
+    Rows that are neither are left out, but for those to forecast, which a column `latest` of marks may name.
+    """
     train, test = f"train_{target}", f"test_{target}"
-    marks = marks.where(F.col(train) | F.col(test)).select("symbol", "session_date", "fold", target, train, test, *names)
+    latest = F.col("latest") if "latest" in marks.columns else F.lit(False)
+    marks = marks.withColumn("latest", latest).where(F.col(train) | F.col(test) | F.col("latest")).select("symbol", "session_date", "fold", target, train, test, "latest", *names)
     rows, columns = design(marks, names, target, symbols)
     path = new_path(marks.sparkSession, "design")
     rows.write.partitionBy("fold").parquet(path)
@@ -105,32 +111,64 @@ def walk_forward(marks: DataFrame, names: list[str], target: str, name: str, sym
     return fold_predictions(rows, columns, target, [(name, fold) for fold in fold_ids], config)
 
 
+@dataclass
+class Selection:
+    """What the walk-forward found for a target: its design, the scores of the validation folds, and the model chosen by them."""
+
+    target: str
+    rows: DataFrame
+    columns: list[str]
+    scores: DataFrame
+    winner: str
+
+
+def select(marks: DataFrame, names: list[str], target: str, symbols: list[str], fold_ids: list[int], models: tuple[str, ...] = FITTED, config: Models = Models()) -> Selection:
+    """Fit every model on every validation fold; the winner is that of the lowest mean score (Brier for a direction, mean absolute error for a return)."""
+    validation = [k for k in fold_ids if k >= 0]
+    rows, columns = written_design(marks, names, target, symbols, [*validation, -1], config)
+    base = _baseline(rows, target)
+    found = fold_predictions(rows, columns, target, [(m, k) for m in models for k in validation], config).select(base.columns)
+    scores = E.scored(base.where("fold >= 0").unionByName(found), target)
+    return Selection(target, rows, columns, scores, E.winners(scores).where(F.col("target") == target).first()["model"])
+
+
+def _baseline(rows: DataFrame, target: str) -> DataFrame:
+    return baseline(rows, target).withColumn("model", F.lit("baseline"))
+
+
+def holdout(chosen: Selection, config: Models = Models()) -> DataFrame:
+    """Predictions of the holdout (fold -1) by the baseline and by the winner, fitted anew on all rows before it: fold, symbol, session_date, actual, prediction, model."""
+    last = _baseline(chosen.rows, chosen.target).where("fold = -1")
+    if chosen.winner == "baseline":
+        return last
+    return last.unionByName(fold_predictions(chosen.rows, chosen.columns, chosen.target, [(chosen.winner, -1)], config).select(last.columns))
+
+
+def forecast(chosen: Selection, config: Models = Models()) -> DataFrame:
+    """Predictions of the rows that are latest by the winner, fitted on all rows before the holdout: symbol, session_date, prediction, model."""
+    own = chosen.rows.where("fold = -1")
+    train, latest = own.where(f"train_{chosen.target}"), own.where("latest")
+    if chosen.winner != "baseline":
+        made = predict(fit(train, chosen.columns, chosen.target, chosen.winner, config), latest, chosen.target)
+    elif chosen.target.startswith("direction"):
+        made = latest.crossJoin(train.agg(F.avg(chosen.target).alias("prediction")))
+    else:
+        made = latest.withColumn("prediction", F.lit(0.0))
+    return made.select("symbol", "session_date", F.col("prediction").cast("double").alias("prediction"), F.lit(chosen.winner).alias("model"))
+
+
 def select_and_score(marks: DataFrame, names: list[str], symbols: list[str], fold_ids: list[int], models: tuple[str, ...] = FITTED, config: Models = Models()) -> DataFrame:
-    """Scores of the baseline and every model by target and fold; the winner is that of the lowest mean validation score (Brier for a
-    direction, mean absolute error for a return), and on the holdout (fold -1) only winner and baseline are fitted and scored.
+    """Scores of the baseline and every model by target and fold; on the holdout (fold -1) only winner and baseline are fitted and scored.
 
     Columns: target, model, split, fold, n_rows, balanced_accuracy, roc_auc, brier, log_loss (null for returns), mae, rmse
     (null for a direction), winner.
     """
-    validation, out = [k for k in fold_ids if k >= 0], None
+    out = []
     for target in config.targets:
-        direction = target.startswith("direction")
-        measure, kept = (E.classification, ("balanced_accuracy", "roc_auc", "brier", "log_loss")) if direction else (E.regression, ("mae", "rmse"))
-        rows, columns = written_design(marks, names, target, symbols, [*validation, -1], config)
-        base = baseline(rows, target).select("fold", "actual", "prediction").withColumn("model", F.lit("baseline"))
-        found = fold_predictions(rows, columns, target, [(m, k) for m in models for k in validation], config).select(base.columns)
-        scored = measure(base.where("fold >= 0").unionByName(found), "model", "fold").withColumn("target", F.lit(target))
-        winner = E.winners(scored, "brier" if direction else "mae").first()["model"]
-        last = base.where("fold = -1")
-        if winner != "baseline":
-            last = last.unionByName(fold_predictions(rows, columns, target, [(winner, -1)], config).select(base.columns))
-        both = scored.unionByName(measure(last, "model", "fold").withColumn("target", F.lit(target)))
-        both = both.select(
-            "target", "model", F.when(F.col("fold") < 0, "holdout").otherwise("validation").alias("split"), "fold", "n_rows",
-            *[F.col(c) if c in kept else F.lit(None).cast("double").alias(c) for c in ("balanced_accuracy", "roc_auc", "brier", "log_loss", "mae", "rmse")], F.lit(winner).alias("winner"),
-        )
-        out = both if out is None else out.unionByName(both)
-    return out
+        chosen = select(marks, names, target, symbols, fold_ids, models, config)
+        both = chosen.scores.unionByName(E.scored(holdout(chosen, config), target))
+        out.append(both.select("target", "model", "split", "fold", "n_rows", "balanced_accuracy", "roc_auc", "brier", "log_loss", "mae", "rmse", F.lit(chosen.winner).alias("winner")))
+    return reduce(DataFrame.unionByName, out)
 
 
 def reload(model: PipelineModel, path: str) -> PipelineModel:

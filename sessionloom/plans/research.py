@@ -579,6 +579,30 @@ def ml_12(spark, sf):
     return out.select("symbol", "session_date", "target_date", "actual", F.round("prediction", 6).alias("prediction"), F.lit("direction_1d").alias("target"), F.lit("baseline").alias("model"))
 
 
+@query("ml_12_pb_03_selected")
+def ml_12_pb_03_selected(spark, sf):
+    """The holdout's predictions by baseline and selected model, and the selected models' forecasts of each instrument's latest core-ready row.
+
+    kind is holdout or forecast. Selection takes all models, folds and predictors, so this runs the whole walk-forward.
+    """
+    design = _design(spark, sf)
+    flags = {f"{p}_{t}": F.lit(False) for t in TARGETS for p in ("train", "test")}
+    latest = G.latest_ready(design).select(design.columns).withColumns({"fold": F.lit(-1), "latest": F.lit(True), **flags})
+    marks = L.marked(design, _folds(spark, sf)).drop("start", "end").withColumn("latest", F.lit(False)).unionByName(latest)
+    marks = X.stored(marks, "marks")
+    symbols = sorted(r["symbol"] for r in X.instruments(spark, sf).select("symbol").collect())
+    folds = sorted(r["fold"] for r in _folds(spark, sf).collect())
+    dates = design.select("symbol", "session_date", "target_date_1d", "target_date_5d")
+    calendar, out = X.every_day(X.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("session_date"))), []
+    for target, h in TARGETS.items():
+        chosen = M.select(marks, FT.feature_names(), target, symbols, folds)
+        held = M.holdout(chosen).join(dates, ["symbol", "session_date"]).withColumnRenamed(f"target_date_{h}d", "target_date").withColumn("kind", F.lit("holdout"))
+        later = S.later_session(calendar, h)
+        made = M.forecast(chosen).join(F.broadcast(later), "session_date", "left").withColumns({"kind": F.lit("forecast"), "actual": F.lit(None).cast("double")})
+        out += [x.select("kind", F.lit(target).alias("target"), "symbol", "session_date", "target_date", "actual", "prediction", "model") for x in (held, made)]
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("ml_13_reload")
 def ml_13(spark, sf):
     """Largest difference between predictions before and after a model is saved and loaded: 0."""

@@ -46,6 +46,21 @@ def test_select_and_score(spark, marks):
     assert {(r["fold"], r["n_rows"]) for r in rows} == {(0, 80), (1, 40), (2, 40), (-1, 80)}
 
 
+def test_selected_model_is_refitted_and_forecasts(spark, marks):
+    last = F.col("i") == 199
+    rows = marks.withColumn("latest", last & (F.col("fold") == -1))
+    for target, winner in (("direction_1d", "linear"), ("future_return_1d", None)):
+        chosen = M.select(rows, ["x"], target, ["A", "B"], [-1, 0, 1, 2], ("linear",))
+        assert chosen.winner == (winner or chosen.winner)
+        held = M.holdout(chosen).collect()
+        assert {r["model"] for r in held} == {"baseline", chosen.winner} and all(r["fold"] == -1 for r in held)
+        made = M.forecast(chosen).collect()
+        assert sorted(r["symbol"] for r in made) == ["A", "B"] and {r["model"] for r in made} == {chosen.winner}
+        if chosen.winner == "linear":  # the same model as that of the holdout
+            same = {(r["symbol"], r["session_date"]): r["prediction"] for r in held if r["model"] == "linear"}
+            assert all(same[r["symbol"], r["session_date"]] == pytest.approx(r["prediction"]) for r in made)
+
+
 @pytest.mark.parametrize("model", M.FITTED)
 def test_every_model_predicts_every_fold(spark, marks, model):
     for target in ("direction_1d", "future_return_5d"):
