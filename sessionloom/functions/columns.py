@@ -50,16 +50,31 @@ def bad_number(c: Column) -> Column:
 
 
 def order_key(**digits: int) -> Column:
-    """One decimal that sorts like the columns named, whole numbers of so many digits at most (more are an error; 38 in all).
+    """One decimal that sorts like the columns named, whole numbers of so many digits at most (more are an error; 38 in all). Only the first may be negative.
 
-    It has a fixed width, so that min_by and max_by over it are hash aggregates, which a struct's aren't.
+    It has a fixed width, so that min_by and max_by over it are hash aggregates, which a struct's aren't. Neighbours are packed as longs first, as
+    arithmetic on decimals is slow.
     """
-    names, out, low = list(digits), None, 0
     if sum(digits.values()) > 38:
         raise ValueError("an order key holds 38 digits")
-    for name in reversed(names):
-        part = F.col(name).cast(f"decimal({digits[name]},0)") * F.lit(str(10**low)).cast(f"decimal({low + 1},0)")
-        out, low = part if out is None else part + out, low + digits[name]
+    longs: list[tuple[Column, int]] = []
+    for name, n in digits.items():
+        c = F.col(name).cast("long")
+        low = 0 if longs else -(10**n) + 1
+        if n < 19:  # 19 digits hold every long
+            c = F.when((c < low) | (c >= 10**n), F.raise_error(F.lit(f"{name} is out of its {n} digits"))).otherwise(c)
+        elif longs:
+            c = F.when(c < 0, F.raise_error(F.lit(f"{name} is negative"))).otherwise(c)
+        if longs and longs[-1][1] + n <= 18:
+            before, width = longs.pop()
+            longs.append((before * F.lit(10**n).cast("long") + c, width + n))
+        else:
+            longs.append((c, n))
+    out, width = None, 0
+    for c, n in reversed(longs):
+        part = c.cast(f"decimal({n},0)")
+        out = part if out is None else part * F.lit(str(10**width)).cast(f"decimal({width + 1},0)") + out
+        width += n
     return out
 
 

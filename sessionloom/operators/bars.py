@@ -12,8 +12,12 @@ def bars(ticks: DataFrame, symbol: Column, session: Column, price: Column, quant
     Open and close are the first and last price by `order`, which is unique within a symbol and session and of a fixed width (see order_key). One
     hash aggregation with partial sums per task; only one row per task and key is shuffled.
     """
-    out = ticks.groupBy(symbol.alias("symbol"), session.alias("session_date")).agg(
-        F.min_by(price, order).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max_by(price, order).alias("close"),
-        F.max_by(adjustment if adjustment is not None else F.lit(1.0), order).alias("_adjustment"), F.sum(quantity).cast("long").alias("volume"),
+    # what several aggregates use is computed once per row
+    rows = ticks.select(
+        symbol.alias("symbol"), session.alias("session_date"), price.alias("price"), quantity.alias("quantity"), order.alias("order"), (adjustment if adjustment is not None else F.lit(1.0)).alias("adjustment")
+    )
+    out = rows.groupBy("symbol", "session_date").agg(
+        F.min_by("price", "order").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", "order").alias("close"),
+        F.max_by("adjustment", "order").alias("_adjustment"), F.sum("quantity").cast("long").alias("volume"),
     )
     return out.select("symbol", "session_date", "open", "high", "low", "close", (F.col("close") * F.col("_adjustment")).alias("adj_close"), "volume")

@@ -1,9 +1,11 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from sessionloom.config import Models
+from sessionloom.functions.columns import order_key
 from sessionloom.operators import labels as L
 from sessionloom.operators import sessions as S
 from tests.helpers import by_day, day, panel
@@ -74,3 +76,18 @@ def test_imputation_uses_training_only(spark):
     rows = spark.createDataFrame([(0, 1.0, True), (0, 3.0, True), (0, None, True), (0, 99.0, False), (0, None, False)], "fold int, x double, train_t boolean")
     out = L.imputed(rows, L.fold_medians(rows, ["x"], "t"), ["x"]).collect()
     assert sorted(r["x"] for r in out) == [1, 2, 2, 3, 99] and sum(r["missing_x"] for r in out) == 2
+
+
+def test_order_key(spark):
+    """Sorts like the columns, keeps nulls, and refuses what its digits can't hold."""
+    rows = spark.createDataFrame([(5, 2, 7), (5, 2, 6), (-4, 99, 0), (-5, 0, 3), (5, 10, 0), (None, 1, 1), (9_000_000_000_000_000_000, 0, 1)], "a long, b int, c long")
+    out = rows.withColumn("k", order_key(a=19, b=2, c=17)).collect()
+    assert [r["k"] for r in out if r["a"] is None] == [None]
+    known = [r for r in out if r["a"] is not None]
+    assert sorted(known, key=lambda r: r["k"]) == sorted(known, key=lambda r: (r["a"], r["b"], r["c"]))
+    assert [int(r["k"]) for r in rows.withColumn("k", order_key(b=2, c=3)).limit(2).collect()] == [2007, 2006]
+    for digits in ({"a": 2, "b": 2}, {"b": 1, "c": 1}, {"b": 2, "a": 19}):
+        with pytest.raises(SparkRuntimeException):
+            rows.select(order_key(**digits)).collect()
+    with pytest.raises(ValueError, match="38"):
+        order_key(a=19, b=19, c=1)
