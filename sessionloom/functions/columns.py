@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -34,6 +34,15 @@ def over_full(aggregate, c: Column, window: WindowSpec, first: int, last: int) -
     return F.when(F.count(c).over(frame) == last - first + 1, aggregate(c).over(frame))
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """rows by keys in as many partitions as a shuffle has.
+
+    Windows over the keys need no other exchange. The adaptive planner sizes tasks by bytes and would merge these, but sliding windows cost far more
+    than their bytes.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def exchange_date(ts: Column, zone: str = "Asia/Kolkata") -> Column:
     """Date of an instant (UTC) at the exchange."""
     return F.to_date(F.from_utc_timestamp(ts, zone))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from sessionloom.config import Features
-from sessionloom.functions.columns import divide, finite, over_full
+from sessionloom.functions.columns import divide, finite, over_full, spread
 from sessionloom.functions.recursive import ema, recurse, wilder
 from sessionloom.operators.sessions import available_at
 
@@ -58,7 +58,7 @@ def _simple(config: Features) -> dict[str, Column]:
 def run_features(rows: DataFrame, config: Features = Features()) -> DataFrame:
     """Features of eligible rows. Every window and recursion starts anew in each (symbol, segment_id)."""
     c = F.col("c")
-    out = adjusted(rows).withColumns({"_pos": F.row_number().over(in_run()) - 1, "_before": F.lag("c", 1).over(in_run())})
+    out = adjusted(spread(rows, *KEYS)).withColumns({"_pos": F.row_number().over(in_run()) - 1, "_before": F.lag("c", 1).over(in_run())})
     change = c - F.col("_before")
     out = out.withColumns({
         "log_return_1d": F.ln(c / F.col("_before")), "_gain": F.greatest(change, F.lit(0.0)), "_loss": F.greatest(-change, F.lit(0.0)),
