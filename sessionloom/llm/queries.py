@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm import bpe, exact_dedup, line_dedup, lm_score, minhash, mixing, quality_cnn, secrets, simhash, substring_dedup
+from sessionloom.llm import bpe, divergence, exact_dedup, line_dedup, lm_score, minhash, mixing, quality_cnn, secrets, simhash, substring_dedup, warc
+from sessionloom.sources.scratch import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,8 +60,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, path = _table(spark, sf_dir, "pages"), new_path(spark, "archive")
+    warc.write(pages, path)
+    return warc.pages(spark, path, pages.schema["page_id"].dataType.simpleString()).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_simhash, op2_lm_score, op3_secrets, op4_quality, op5_line_dedup, op6_mixing, op7_bpe, op8_substring_dedup, op9_exact_dedup, op10_fingerprints,
+    op1_simhash, op2_lm_score, op3_secrets, op4_quality, op5_line_dedup, op6_mixing, op7_bpe, op8_substring_dedup, op9_exact_dedup, op10_fingerprints, op12_warc, op13_divergence,
 )}
 
 ORACLES: dict[str, str] = {
@@ -103,4 +114,38 @@ with t as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVW
 select doc_id, max(doc_id) over (partition by body) as keep_id, count(*) over (partition by body) as group_size,
        doc_id = max(doc_id) over (partition by body) as kept, sha256(body) as text_sha256
 from t""",
+    "op12_warc": """
+with p as (select page_id, sha256(coalesce(html, '')) as payload_digest, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes,
+                  coalesce(html, '') as body, row_number() over (order by page_id nulls last) as row from pages),
+f as (select *, first_value(row) over w as lead, first_value(page_id) over w as first from p window w as (partition by body order by page_id nulls last, row))
+select page_id, payload_bytes, payload_digest, case when payload_bytes >= 100 and row <> lead then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and row <> lead then first end as refers_to
+from f""",
+    "op13_divergence": r"""
+with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body,
+                  row_number() over () as row from documents),
+hits as (select lang, source, row, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+kept as (select lang, term from hits group by lang, term having count(distinct row) >= 30),
+counts as (select h.lang, h.source, h.term, count(*) as n from hits h join kept k using (lang, term) group by all),
+grps as (select distinct lang, source from d),
+sizes as (select lang, count(*) as v from kept group by lang),
+sums as (select lang, source, sum(n)::hugeint as total from counts group by all),
+g as (select lang, source, coalesce(total, 0)::hugeint as total, coalesce(v, 0)::hugeint as v
+      from grps left join sums using (lang, source) left join sizes using (lang)),
+cells as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n, 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // (g.total + 5 * g.v) as p
+          from g join kept k on k.lang = g.lang left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+langs as (select lang, sum(total) as total, max(v) as v from g group by lang),
+whole as (select c.lang, c.term, 1 + (1000000000::hugeint * (sum(c.n) + 5)) // (max(l.total) + 5 * max(l.v)) as q
+          from counts c join langs l using (lang) group by c.lang, c.term),
+far as (select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+        from cells a join cells b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(f.value, 0)::bigint as value
+          from grps a join grps b on a.lang = b.lang and a.source <> b.source
+          left join far f on f.lang = a.lang and f.source = a.source and f.item = b.source),
+terms as (select c.lang, c.source, 'term' as part, c.term as item, (c.p - w.q)::bigint as value
+          from cells c join whole w using (lang, term) where c.n > 0 and c.p > w.q),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+           from (select * from pairs union all select * from terms))
+select * from ranked where part = 'pair' or rank <= 50""",
 }
