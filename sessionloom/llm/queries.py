@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.llm import bpe, divergence, exact_dedup, line_dedup, lm_score, minhash, mixing, quality_cnn, secrets, simhash, substring_dedup, warc
+from sessionloom.llm import bpe, divergence, exact_dedup, line_dedup, lm_score, minhash, mixing, periodic_runs, quality_cnn, secrets, simhash, substring_dedup, warc
 from sessionloom.sources.scratch import new_path
 
 
@@ -60,6 +60,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.described(periodic_runs.find_runs(periodic_runs.planted(docs)))
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, path = _table(spark, sf_dir, "pages"), new_path(spark, "archive")
     warc.write(pages, path)
@@ -71,7 +76,7 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_simhash, op2_lm_score, op3_secrets, op4_quality, op5_line_dedup, op6_mixing, op7_bpe, op8_substring_dedup, op9_exact_dedup, op10_fingerprints, op12_warc, op13_divergence,
+    op1_simhash, op2_lm_score, op3_secrets, op4_quality, op5_line_dedup, op6_mixing, op7_bpe, op8_substring_dedup, op9_exact_dedup, op10_fingerprints, op11_periodic_runs, op12_warc, op13_divergence,
 )}
 
 ORACLES: dict[str, str] = {
