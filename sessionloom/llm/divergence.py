@@ -13,8 +13,8 @@ from pyspark.sql.window import Window
 from sessionloom.llm.shared import cut, lower_ascii
 from sessionloom.sources.scratch import new_path
 
-TERMS = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
-MARK = "\x1f"  # ends the language in a vectorizer's word; no term has it
+BETWEEN = "[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"  # what no term has
+MARK = "\x1f"  # ends the language, in hex digits, in a vectorizer's word
 MOST_TERMS = 2**31 - 1
 UNIT = 1_000_000_000  # shares are in billionths
 ADDED = 5  # what every count of a kept term is raised by
@@ -23,10 +23,12 @@ VECTORS = "lang string, source string, vector struct<type:tinyint,size:int,indic
 
 
 def _words(docs: DataFrame) -> DataFrame:
-    """lang, source, and the terms of the text, each behind its language."""
+    """lang, source, and the terms of the text, each behind its language. Only ASCII texts, where it lower-cases A-Z alone, go through lower()."""
     texts = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    found = F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(TERMS), 0)
-    return texts.select("lang", "source", F.transform(found, lambda t: F.concat("lang", F.lit(MARK), t)).alias("words"))
+    text = F.when(F.octet_length("text") == F.char_length("text"), F.lower("text")).otherwise(lower_ascii(F.col("text")))
+    head = F.concat(F.hex(F.col("lang").cast("binary")), F.lit(MARK))
+    marked = F.split(F.regexp_replace(F.concat(F.lit(" "), text), BETWEEN, F.concat(F.lit(" "), head)), " ")
+    return texts.select("lang", "source", F.array_remove(F.array_remove(marked, ""), head).alias("words"))
 
 
 def _share(count: Column | str, total: Column | str, terms: Column | str) -> Column:
@@ -63,9 +65,9 @@ def term_counts(docs: DataFrame, least_docs: int = 30) -> tuple[DataFrame, DataF
     saved, vectors = new_path(spark, "vocabulary"), new_path(spark, "vectors")
     model.write().save(saved)
     model.transform(words).select("lang", "source", "vector").write.parquet(vectors)
-    term = F.substring_index("word", MARK, -1)
     vocabulary = spark.read.parquet(f"{saved}/data").select(F.posexplode("vocabulary").alias("index", "word")).where(F.col("word") != MARK)
-    vocabulary = vocabulary.select("index", F.expr(f"left(word, char_length(word) - char_length(substring_index(word, '{MARK}', -1)) - 1)").alias("lang"), term.alias("term"))
+    lang, term = (F.split_part("word", F.lit(MARK), F.lit(k)) for k in (1, 2))
+    vocabulary = vocabulary.select("index", F.unhex(lang).cast("string").alias("lang"), term.alias("term"))
     vectors = spark.read.schema(VECTORS).parquet(vectors)
     groups = cut(vectors.select("lang", "source").distinct(), "groups")
     each = vectors.select("lang", "source", F.inline(F.arrays_zip(F.col("vector.indices").alias("index"), F.col("vector.values").alias("n"))))
