@@ -58,6 +58,28 @@ def marked(rows: DataFrame, fold_table: DataFrame, config: Models = Models()) ->
     return out.where(reduce(lambda a, b: a | b, [F.col(m) for m in marks]))
 
 
+def windows(rows: DataFrame, fold_table: DataFrame, names: list[str], config: Models = Models()) -> tuple[DataFrame, list[int]]:
+    """What marked says of rows and folds, without a copy per fold: symbol, session_date, targets, x (the predictors as an array), and for each target
+    since_<t>, the place of the first fold that trains on the row (as do all later ones), and test_<t>, the place of the fold that it tests; null for none.
+
+    Also returns the ids of folds by place: in the order of their starts, so that the holdout (-1) is last. Folds are a few rows per year.
+    """
+    table = sorted((r["start"], r["end"], r["fold"]) for r in fold_table.collect())
+    starts, ends = (F.array(*[F.lit(r[k]) for r in table]).cast("array<date>") for k in (0, 1))
+
+    def reached(day: Column) -> Column:
+        return F.size(F.filter(starts, lambda s: s <= day))
+
+    first, own = reached(F.greatest("session_date", "target_date_5d")), reached(F.col("session_date")) - 1
+    out = {}
+    for t, h in config.targets.items():
+        out[f"since_{t}"] = F.when(F.coalesce(ready(t), F.lit(False)) & F.col("target_date_5d").isNotNull() & (first < len(table)), first)
+        end = F.get(ends, own)
+        out[f"test_{t}"] = F.when(F.coalesce(ready(t) & (own >= 0) & (F.col("session_date") < end) & (F.col(f"target_date_{h}d") < end), F.lit(False)), own)
+    x = F.array(*[F.col(n).cast("double") for n in names])
+    return rows.select("symbol", "session_date", *config.targets, x.alias("x"), *[v.alias(k) for k, v in out.items()]), [r[2] for r in table]
+
+
 def split_audit(marks: DataFrame, config: Models = Models()) -> DataFrame:
     """Per target and fold: bounds, train and test rows, latest training outcome."""
     parts = []

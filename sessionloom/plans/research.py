@@ -10,9 +10,11 @@ from pyspark.sql.window import Window
 
 from sessionloom.config import Analytics, Features, Models, Signals
 from sessionloom.operators import analytics as A
+from sessionloom.operators import bundles as B
 from sessionloom.operators import evaluate as E
 from sessionloom.operators import features as FT
 from sessionloom.operators import labels as L
+from sessionloom.operators import linear as LN
 from sessionloom.operators import models as M
 from sessionloom.operators import publish as P
 from sessionloom.operators import sessions as S
@@ -20,7 +22,8 @@ from sessionloom.operators import signals as G
 from sessionloom.plans import fixtures as X
 from sessionloom.plans.registry import ORACLES, QUERIES, query, r, view, with_views
 from sessionloom.sources import store
-from sessionloom.sources.scratch import new_path
+from sessionloom.sources.scratch import new_path, scratch_dir
+from sessionloom.sources.store import publish, published, readable
 
 YEAR = "sqrt(252.0::double)"
 
@@ -540,20 +543,19 @@ def ag_23(spark, sf):
     return out.select("bin", "lower", "n_rows", F.round("mean_probability", 6).alias("mean_probability"), F.round("positive_rate", 6).alias("positive_rate"))
 
 
-def _walk_forward(spark, sf):
-    """Marks with all predictors, written once; the symbols; the ids of all folds."""
-    marks = _marks(spark, sf)
-    path = new_path(spark, "marks")
-    marks.write.parquet(path)
-    symbols = sorted(r["symbol"] for r in X.instruments(spark, sf).select("symbol").collect())
-    return spark.read.schema(marks.schema).parquet(path), symbols, sorted(r["fold"] for r in _folds(spark, sf).collect())
+def _walk(spark, sf):
+    """The walk-forward's panel with all predictors, written once, each instrument's latest core-ready row marked."""
+    design, names = _design(spark, sf), FT.feature_names()
+    rows, folds = L.windows(design, _folds(spark, sf), names)
+    latest = G.latest_ready(design).select("symbol", "session_date", F.lit(True).alias("latest"))
+    return M.walk(rows.join(latest, ["symbol", "session_date"], "left").withColumn("latest", F.coalesce("latest", F.lit(False))), folds, names)
 
 
 def _model_query(name: str, model: str, *targets: str) -> None:
     def run(spark, sf):
         """Predictions of every fold and the holdout."""
-        marks, symbols, folds = _walk_forward(spark, sf)
-        return reduce(DataFrame.unionByName, [M.walk_forward(marks, FT.feature_names(), t, model, symbols, folds) for t in targets])
+        walk = _walk(spark, sf)
+        return reduce(DataFrame.unionByName, [M.walk_forward(walk, t, model) for t in targets])
 
     QUERIES[name] = run
 
@@ -564,11 +566,66 @@ _model_query("ml_09_random_forest", "random_forest", *TARGETS)
 _model_query("ml_10_boosted", "boosted", *TARGETS)
 
 
+@query("ml_08_optimality", " union all ".join(f"select '{t}' as target, fold, count(*) filter (where train_{t}) as train_rows, true as optimal from marks group by fold" for t in TARGETS))
+def ml_08_optimality(spark, sf):
+    """Whether the slope of every linear model's objective, taken from its predictions row by row, is below 1e-6 in every direction."""
+    walk, out = _walk(spark, sf), []
+    fold = F.get(F.array(*map(F.lit, walk.folds)), F.col("position")).cast("int")
+    for t in TARGETS:
+        out.append(LN.steepest(walk.rows, walk.lines(t), t).select(F.lit(t).alias("target"), fold.alias("fold"), F.col("n").alias("train_rows"), (F.col("slope") < 1e-6).alias("optimal")))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("ml_09_random_forest_frame", " union all ".join(f"select '{t}' as target, fold, count(*) filter (where test_{t}) as test_rows, true as inside from marks group by fold" for t in TARGETS))
+def ml_09_frame(spark, sf):
+    """Test rows that the forests predict, and whether all predictions lie between the least and largest training outcome, as means of outcomes do."""
+    walk, out = _walk(spark, sf), []
+    for t in TARGETS:
+        span = walk.rows.where(F.col(f"since_{t}").isNotNull()).agg(F.min(t).alias("low"), F.max(t).alias("high"))
+        rows = M.walk_forward(walk, t, "random_forest").crossJoin(F.broadcast(span))
+        out.append(rows.groupBy("target", "fold").agg(F.count(F.lit(1)).alias("test_rows"), F.bool_and(F.col("prediction").between(F.col("low") - 1e-12, F.col("high") + 1e-12)).alias("inside")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _selected(spark, sf):
+    """Bundles of the selected models by target, their design, and the folder of what the selection found: tables scores and holdout.
+
+    The first query that asks runs the whole walk-forward and publishes; later ones of a session read what is published, if its dataset is theirs.
+    """
+    design = _design(spark, sf)
+    dataset = B.content_id(design.select("symbol", "session_date", *TARGETS, *FT.feature_names()))
+    root = f"{scratch_dir(spark)}/selection-{dataset}"
+    if not readable(spark, f"{root}/_log"):
+        names = FT.feature_names()
+        walk = M.walk(*L.windows(design, _folds(spark, sf), names), names)
+        chosen = M.select_all(walk)
+        found = new_path(spark, "found")
+        reduce(DataFrame.unionByName, map(M.holdout, chosen)).write.parquet(f"{found}/holdout")
+        held = spark.read.schema(M.PREDICTIONS).parquet(f"{found}/holdout")
+        M.all_scores(chosen, held).write.parquet(f"{found}/scores")
+        publish(spark.createDataFrame([(found,)], "folder string").coalesce(1), f"{root}/found")
+        start = _folds(spark, sf).where("fold = -1").first()["start"]
+        B.publish(chosen, root, dataset, start)
+    return B.load(spark, root, dataset), design, published(spark, f"{root}/found").first()["folder"]
+
+
 @query("ml_11_select_and_score")
 def ml_11(spark, sf):
     """Validation scores of baseline and every model by target and fold, the winners, and holdout scores of winner and baseline."""
-    marks, symbols, folds = _walk_forward(spark, sf)
-    return M.select_and_score(marks, FT.feature_names(), symbols, folds)
+    return spark.read.parquet(f"{_selected(spark, sf)[2]}/scores")
+
+
+@query("ml_11_selection_frame", " union all ".join(f"""select '{t}' as target, model, fold, count(*) filter (where test_{t}) as n_rows, true as sound from marks cross join (select unnest(['baseline', 'boosted', 'linear', 'random_forest']) as model)
+  where fold >= 0 group by model, fold union all select '{t}', 'selected', -1, count(*) filter (where test_{t} and fold = -1), true from marks""" for t in TARGETS))
+def ml_11_frame(spark, sf):
+    """Rows scored by target, model and fold; sound: the scores are in their range, and no model's mean validation score is below the winner's."""
+    bundles, _, found = _selected(spark, sf)
+    scores = spark.read.parquet(f"{found}/scores").withColumn("score", F.coalesce("brier", "mae"))
+    best = scores.where("split = 'validation'").groupBy("target", "model").agg(F.avg("score").alias("mean")).groupBy("target").agg(F.min("mean").alias("least"))
+    known = spark.createDataFrame([(b.target, b.model, float(b.score)) for b in bundles.values()], "target string, chosen string, mean double")
+    rows = scores.join(F.broadcast(known), "target").join(F.broadcast(best), "target").where((F.col("split") == "validation") | (F.col("model") == F.col("winner")))
+    sound = F.col("score").between(0, 1) & (F.col("chosen") == F.col("winner")) & (F.abs(F.col("mean") - F.col("least")) < 1e-12)
+    return rows.select("target", F.when(F.col("split") == "holdout", "selected").otherwise(F.col("model")).alias("model"), "fold", "n_rows", sound.alias("sound"))
 
 
 @query("ml_12_holdout_predictions", f"select symbol, session_date, target_date_1d as target_date, direction_1d as actual, {r('prior')} as prediction, 'direction_1d' as target, 'baseline' as model from marks m cross join (select avg(direction_1d) as prior from marks where train_direction_1d and fold = -1) where fold = -1 and test_direction_1d")
@@ -579,43 +636,54 @@ def ml_12(spark, sf):
     return out.select("symbol", "session_date", "target_date", "actual", F.round("prediction", 6).alias("prediction"), F.lit("direction_1d").alias("target"), F.lit("baseline").alias("model"))
 
 
-@query("ml_12_pb_03_selected")
-def ml_12_pb_03_selected(spark, sf):
-    """The holdout's predictions by baseline and selected model, and the selected models' forecasts of each instrument's latest core-ready row.
-
-    kind is holdout or forecast. Selection takes all models, folds and predictors, so this runs the whole walk-forward.
-    """
-    design = _design(spark, sf)
-    flags = {f"{p}_{t}": F.lit(False) for t in TARGETS for p in ("train", "test")}
-    latest = G.latest_ready(design).select(design.columns).withColumns({"fold": F.lit(-1), "latest": F.lit(True), **flags})
-    marks = L.marked(design, _folds(spark, sf)).drop("start", "end").withColumn("latest", F.lit(False)).unionByName(latest)
-    marks = X.stored(marks, "marks")
-    symbols = sorted(r["symbol"] for r in X.instruments(spark, sf).select("symbol").collect())
-    folds = sorted(r["fold"] for r in _folds(spark, sf).collect())
-    dates = design.select("symbol", "session_date", "target_date_1d", "target_date_5d")
+def _selected_forecasts(spark, sf):
+    """Forecasts of each instrument's latest core-ready row by the published models, without another fit."""
+    bundles, design, _ = _selected(spark, sf)
+    latest = G.latest_ready(design).select("symbol", F.col("session_date").alias("as_of_date"), "available_at", *FT.feature_names())
     calendar, out = X.every_day(X.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("session_date"))), []
     for target, h in TARGETS.items():
-        chosen = M.select(marks, FT.feature_names(), target, symbols, folds)
-        held = M.holdout(chosen).join(dates, ["symbol", "session_date"]).withColumnRenamed(f"target_date_{h}d", "target_date").withColumn("kind", F.lit("holdout"))
-        later = S.later_session(calendar, h)
-        made = M.forecast(chosen).join(F.broadcast(later), "session_date", "left").withColumns({"kind": F.lit("forecast"), "actual": F.lit(None).cast("double")})
-        out += [x.select("kind", F.lit(target).alias("target"), "symbol", "session_date", "target_date", "actual", "prediction", "model") for x in (held, made)]
+        later = F.broadcast(S.later_session(calendar, h).withColumnRenamed("session_date", "as_of_date"))
+        made = bundles[target].predict(latest).join(later, "as_of_date", "left")
+        out.append(made.select("symbol", "as_of_date", "available_at", F.lit(target).alias("target"), "target_date", "prediction", F.lit(bundles[target].model).alias("model")))
     return reduce(DataFrame.unionByName, out)
 
 
-@query("ml_13_reload")
+@query("ml_12_pb_03_selected")
+def ml_12_pb_03_selected(spark, sf):
+    """The holdout's predictions by baseline and selected model, and the selected models' forecasts of each instrument's latest core-ready row. kind is holdout or forecast."""
+    _, design, found = _selected(spark, sf)
+    dates = design.select("symbol", "session_date", "target_date_1d", "target_date_5d")
+    own = F.coalesce(*[F.when(F.col("target") == t, F.col(f"target_date_{h}d")) for t, h in TARGETS.items()])
+    held = spark.read.schema(M.PREDICTIONS).parquet(f"{found}/holdout").join(dates, ["symbol", "session_date"]).withColumns({"target_date": own, "kind": F.lit("holdout")})
+    made = _selected_forecasts(spark, sf).withColumnRenamed("as_of_date", "session_date").withColumns({"kind": F.lit("forecast"), "actual": F.lit(None).cast("double")})
+    return reduce(DataFrame.unionByName, [x.select("kind", "target", "symbol", "session_date", "target_date", "actual", "prediction", "model") for x in (held, made)])
+
+
+@query("ml_12_holdout_frame", " union all ".join(f"select '{t}' as target, session_date, count(*) as n_rows, count(distinct symbol) as symbols, true as sound from marks where fold = -1 and test_{t} group by session_date" for t in TARGETS))
+def ml_12_frame(spark, sf):
+    """Holdout rows of the selected models by day, and whether each symbol comes once, with the actual outcome and a finite prediction."""
+    bundles, design, found = _selected(spark, sf)
+    truth = design.select("symbol", "session_date", F.map_from_arrays(F.array(*map(F.lit, TARGETS)), F.array(*[F.col(t).cast("double") for t in TARGETS])).alias("truth"))
+    chosen = spark.createDataFrame([(b.target, b.model) for b in bundles.values()], "target string, model string")
+    rows = spark.read.schema(M.PREDICTIONS).parquet(f"{found}/holdout").join(F.broadcast(chosen), ["target", "model"]).join(truth, ["symbol", "session_date"])
+    sound = (F.try_element_at("truth", F.col("target")) == F.col("actual")) & (F.abs("prediction") < 1e3)
+    return rows.groupBy("target", "session_date").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("symbol").alias("symbols"), F.bool_and(sound).alias("sound"))
+
+
+@query("ml_13_reload", "select count(*) as n, 0.0::double as largest from marks where fold = -1 and test_direction_1d")
 def ml_13(spark, sf):
-    """Largest difference between predictions before and after a model is saved and loaded: 0."""
-    target, names = "direction_1d", FT.feature_names()
-    marks = _marks(spark, sf).where("fold = -1").select("symbol", "session_date", "fold", target, f"train_{target}", f"test_{target}", *names)
-    rows, columns = M.design(marks, names, target, sorted(r["symbol"] for r in X.instruments(spark, sf).select("symbol").collect()))
-    rows = X.stored(rows, "design")
-    model = M.fit(rows.where(f"train_{target}"), columns, target, "linear")
-    again = M.reload(model, new_path(spark, "model"))
-    test = rows.where(f"test_{target}")
-    a = M.predict(model, test, target).select("symbol", "session_date", "prediction")
-    b = M.predict(again, test, target).select("symbol", "session_date", F.col("prediction").alias("reloaded"))
-    return a.join(b, ["symbol", "session_date"]).agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("prediction") - F.col("reloaded"))).alias("largest"))
+    """Largest difference between predictions before and after a fitted bundle is published and loaded: 0."""
+    target, walk = "direction_1d", _walk(spark, sf)
+    root = new_path(spark, "bundles")
+    dataset = B.content_id(walk.rows.select("symbol", "session_date", target))
+    scores = spark.createDataFrame([("linear", 0.0)], "model string, score double")
+    B.publish([M.Selection(walk, target, scores, "linear")], root, dataset, None)
+    bundle = B.load(spark, root, dataset)[target]
+    test = walk.rows.where(F.col(f"test_{target}") == walk.place(-1))
+    before = M.walk_forward(walk, target, "linear", [-1]).select("symbol", "session_date", "prediction")
+    named = test.select("symbol", "session_date", *[F.get("x", F.lit(j)).alias(n) for j, n in enumerate(walk.names)])
+    after = bundle.predict(named).select("symbol", "session_date", F.col("prediction").alias("reloaded"))
+    return before.join(after, ["symbol", "session_date"]).agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("prediction") - F.col("reloaded"))).alias("largest"))
 
 
 @query("ml_14_split_check", "select target, count(*) filter (where latest_training_outcome >= start) as leaks from audit group by target")
