@@ -39,15 +39,15 @@ class Scales:
 def scales(rows: DataFrame, n: int) -> tuple[Scales, list[list[float]]]:
     """Scales and bounds of BINS bins of every one of the n predictors, in one scan."""
     at = [k / BINS for k in range(1, BINS)]
-    x = [F.get("x", F.lit(j)) for j in range(n)]
-    found = rows.agg(F.array(*map(F.avg, x)).alias("m"), F.array(*map(F.stddev_pop, x)).alias("s"), F.array(*[F.percentile_approx(v, at, 1000) for v in x]).alias("q")).first()
-    fill = lambda values, default: np.array([default if v is None else v for v in values])
-    scale = fill(found["s"], 1.0)
-    return Scales(fill(found["m"], 0.0), np.where(scale > 0, scale, 1.0)), [sorted(set(q or [])) for q in found["q"]]
+    long = rows.select(F.posexplode("x").alias("feature", "value")).groupBy("feature")
+    found = {r["feature"]: r for r in long.agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("s"), F.percentile_approx("value", at, 1000).alias("q")).collect()}
+    of = lambda j, c, default: default if j not in found or found[j][c] is None else found[j][c]
+    scale = np.array([of(j, "s", 1.0) for j in range(n)])
+    return Scales(np.array([of(j, "m", 0.0) for j in range(n)]), np.where(scale > 0, scale, 1.0)), [sorted(set(of(j, "q", []))) for j in range(n)]
 
 
-def medians(rows: DataFrame, targets: list[str], folds: int, bounds: list[list[float]]) -> dict[tuple[str, int], np.ndarray]:
-    """Exact medians of every predictor over every fold's training rows (NaN where it has no value), by target and position of the fold.
+def medians(rows: DataFrame, targets: list[str], folds: int, bounds: list[list[float]]) -> tuple[dict[tuple[str, int], np.ndarray], dict[tuple[str, int], np.ndarray]]:
+    """By target and position of the fold, over the fold's training rows: the exact median of every predictor (NaN where it has no value), and how many values it has.
 
     Values are counted by bin and first fold; the counts, which don't grow with the rows, say in which bins the medians lie and at which rank, and only values in these are ordered.
     """
@@ -55,6 +55,7 @@ def medians(rows: DataFrame, targets: list[str], folds: int, bounds: list[list[f
     long = rows.select(*[f"since_{t}" for t in targets], F.posexplode("x").alias("feature", "value")).where("value is not null")
     long = long.withColumn("bin", F.size(F.filter(F.get(edges, F.col("feature")), lambda e: e < F.col("value"))))
     held = long.groupBy("feature", "bin", *[f"since_{t}" for t in targets]).agg(F.count(F.lit(1)).alias("n")).toArrow().to_pandas()
+    values = {}
     wanted = []
     for t in targets:
         own = held[held[f"since_{t}"].notna()]
@@ -62,6 +63,7 @@ def medians(rows: DataFrame, targets: list[str], folds: int, bounds: list[list[f
         np.add.at(count, (own["feature"].to_numpy(), own["bin"].to_numpy(), own[f"since_{t}"].to_numpy().astype(int)), own["n"].to_numpy())
         upto = count.cumsum(axis=2)
         total = upto.sum(axis=1)
+        values |= {(t, p): total[:, p] for p in range(folds)}
         below = upto.cumsum(axis=1)
         for j, p in zip(*np.nonzero(total)):
             places: dict[int, list[int]] = {}
@@ -71,7 +73,7 @@ def medians(rows: DataFrame, targets: list[str], folds: int, bounds: list[list[f
             wanted += [(t, int(p), int(j), b, ranks) for b, ranks in places.items()]
     out = {(t, p): np.full(len(bounds), np.nan) for t in targets for p in range(folds)}
     if not wanted:
-        return out
+        return out, values
     wanted = F.broadcast(rows.sparkSession.createDataFrame(wanted, "target string, position int, feature int, bin int, ranks array<int>"))
     near = long.join(wanted, ["feature", "bin"])
     trained = reduce(lambda a, b: a | b, [(F.col("target") == t) & (F.col(f"since_{t}") <= F.col("position")) for t in targets])
@@ -79,7 +81,7 @@ def medians(rows: DataFrame, targets: list[str], folds: int, bounds: list[list[f
     found = near.where(trained).withColumn("rank", rank).where(F.array_contains("ranks", F.col("rank")))
     for r in found.groupBy("target", "position", "feature").agg(F.avg("value").alias("median")).collect():
         out[r["target"], r["position"]][r["feature"]] = r["median"]
-    return out
+    return out, values
 
 
 def _z(batch: pa.RecordBatch, by: Scales) -> np.ndarray:

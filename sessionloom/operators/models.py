@@ -81,18 +81,15 @@ def walk(rows: DataFrame, folds: list[int], names: list[str], config: Models = M
         raise ValueError("no row is in a fold")
     identity = CountVectorizerModel.from_vocabulary(symbols, inputCol="_symbols", outputCol="identity", binary=True)
     rows = stored(identified(identity, rows), "panel")
-    targets, sizes, missing = list(config.targets), {}, {}
+    targets, n = list(config.targets), len(folds)
+    marks = [f"{p}_{t}" for p in ("since", "test") for t in targets]
+    held, sizes = rows.groupBy(*marks).agg(F.count(F.lit(1)).alias("n")).collect(), {}
     for t in targets:
-        empty = F.array(*[F.count_if(F.get("x", F.lit(j)).isNull()) for j in range(len(names))])
-        train = {r["p"]: r for r in rows.groupBy(F.col(f"since_{t}").alias("p")).agg(F.count(F.lit(1)).alias("n"), empty.alias("nulls")).collect() if r["p"] is not None}
-        test = {r["p"]: r["n"] for r in rows.groupBy(F.col(f"test_{t}").alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        n, nulls = 0, np.zeros(len(names), np.int64)
-        for p in range(len(folds)):
-            if p in train:
-                n, nulls = n + train[p]["n"], nulls + np.array(train[p]["nulls"])
-            sizes[t, p], missing[t, p] = (n, test.get(p, 0)), nulls
+        train, test = (np.array([sum(r["n"] for r in held if r[f"{c}_{t}"] == p) for p in range(n)]) for c in ("since", "test"))
+        sizes |= {(t, p): (int(train[: p + 1].sum()), int(test[p])) for p in range(n)}
     scales, bounds = linear.scales(rows, len(names))
-    return Walk(rows, folds, names, config, sizes, scales, linear.medians(rows, targets, len(folds), bounds), missing, identity)
+    medians, values = linear.medians(rows, targets, n, bounds)
+    return Walk(rows, folds, names, config, sizes, scales, medians, {k: sizes[k][0] - v for k, v in values.items()}, identity)
 
 
 def identified(identity: CountVectorizerModel, rows: DataFrame) -> DataFrame:
