@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -68,44 +69,65 @@ def readable(spark: SparkSession, path: str) -> bool:
         raise
 
 
-STEPS = "number long, part string, folder string"
+STEPS = "number long, part string, folder string, stream string, batch long, epoch int"
+EPOCH = 100  # versions of a folder of the log
 
 
-def _log(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(STEPS).parquet(f"{root}/_log")
+@dataclass
+class State:
+    """The current version: its number (-1: none yet), the folder of each of its parts, and the last batch that each stream has committed."""
 
+    number: int
+    folders: dict[str, str]
+    commits: dict[str, int]
 
-def _append(spark: SparkSession, root: str, rows: list[tuple]) -> None:
-    spark.createDataFrame(rows, STEPS).coalesce(1).write.mode("append").parquet(f"{root}/_log")
 
+def _append(spark: SparkSession, root: str, rows: list[tuple]) -> None:
+    """Add one version's rows. Every version says all, so epochs before the last but one are emptied, and the log's files stay few."""
+    number = rows[0][0]
+    own, kind = max(0, number) // EPOCH, STEPS.rpartition(",")[0]
+    spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(f"{root}/_log/epoch={own}")
+    if number > 0 and number % EPOCH == 0 and own > 1:
+        spark.createDataFrame([], kind).coalesce(1).write.mode("overwrite").parquet(f"{root}/_log/epoch={own - 2}")
 
-def published_state(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
-    """Number of the current version (-1: none yet) and the folder of each of its parts.
 
-    The log is only ever added to, one file per version, and the largest number counts: a failure at any time leaves the version before. The log begins before
+def state(spark: SparkSession, root: str) -> State:
+    """The log is only added to, one file per version, and the largest number counts: a failure at any time leaves the version before. The log begins before
     the first version is written; versions without a log are an error, not an empty store.
     """
     if not readable(spark, f"{root}/_log"):
         if readable(spark, f"{root}/versions"):
             raise RuntimeError(f"{root} has versions, but its log is gone")
-        _append(spark, root, [(-1, None, None)])
-    log = _log(spark, root)
+        _append(spark, root, [(-1, None, None, None, None)])
+    log = spark.read.schema(STEPS).parquet(f"{root}/_log")
     rows = log.join(log.agg(F.max("number").alias("number")), "number").collect()
-    return rows[0]["number"], {r["part"]: r["folder"] for r in rows if r["part"] is not None}
+    return State(rows[0]["number"], {r["part"]: r["folder"] for r in rows if r["part"] is not None}, {r["stream"]: r["batch"] for r in rows if r["stream"] is not None})
+
+
+def published_state(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
+    """Number of the current version (-1: none yet) and the folder of each of its parts."""
+    now = state(spark, root)
+    return now.number, now.folders
 
 
-def publish_parts(df: DataFrame, root: str, number: int, stay: dict[str, str], part: str | None = None) -> None:
-    """Make version `number` of df, by the values of the column `part` if named, and of parts that stay, by their folders. Every attempt writes to a folder of its own."""
-    spark, folder = df.sparkSession, f"{root}/versions/{number}-{uuid.uuid4().hex}"
+def publish_parts(df: DataFrame, root: str, now: State, stay: dict[str, str], part: str | None = None, commit: tuple[str, int] | None = None) -> None:
+    """Make the version after `now` of df, by the values of the column `part` if named, and of parts that stay, by their folders. Every attempt writes to a folder of its own.
+
+    commit: the stream and its batch that df is; the log's row of it comes with the version's.
+    """
+    spark, number = df.sparkSession, now.number + 1
+    folder = f"{root}/versions/{number}-{uuid.uuid4().hex}"
     (df.write.partitionBy(part) if part else df.write).parquet(folder)
     made = {r[part]: f"{folder}/{part}={r[part]}" for r in spark.read.parquet(folder).select(F.col(part).cast("string").alias(part)).distinct().collect()} if part and not df.isEmpty() else {} if part else {"all": folder}
-    _append(spark, root, [(number, k, f) for k, f in (stay | made).items()] or [(number, None, None)])
+    if None in made:
+        raise ValueError(f"rows without a {part} can't be published")
+    rows = [(number, k, f, None, None) for k, f in (stay | made).items()] + [(number, None, None, s, b) for s, b in (now.commits | dict([commit] if commit else [])).items()]
+    _append(spark, root, rows or [(number, None, None, None, None)])
 
 
 def publish(df: DataFrame, root: str) -> None:
     """Write a whole table as the next version, and then the log's row of it."""
-    number, _ = published_state(df.sparkSession, root)
-    publish_parts(df, root, number + 1, {})
+    publish_parts(df, root, state(df.sparkSession, root), {})
 
 
 def published(spark: SparkSession, root: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sessionloom.functions.columns import order_key
 from sessionloom.operators.quality import canonical, clean, quarantine, row_rules
-from sessionloom.sources.store import publish_parts, published_state, replace_window
+from sessionloom.sources.store import publish_parts, replace_window, state
 
 
 def arrivals(spark: SparkSession, path: str, schema: str, files_per_batch: int = 8) -> DataFrame:
@@ -49,28 +51,39 @@ def run_gate(stream: DataFrame, clean_path: str, quarantine_path: str, checkpoin
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def revise(stream: DataFrame, root: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
-    """Each batch replaces its keys' rows within its own range of session dates.
+def revise_batch(batch: DataFrame, root: str, keys: list[str], stream: str, number: int) -> None:
+    """Batch `number` of a stream replaces its keys' rows within its own range of session dates, and those without a date by its own without one.
 
-    The table is kept by month: only months that the range touches are written anew, the others stay where they are. A batch that is repeated
-    after its version was published changes nothing; one that failed before is made from the version before it.
+    The table is kept by month, rows without a date in a part of their own (`undated`): only parts that the batch touches are written anew, the others stay where they
+    are. The version's row of the log names stream and batch: one that was published before changes nothing, whatever other streams or whole tables were published since; one that
+    failed before is made from the current version. Batches of one root are applied one after another.
     """
+    spark, now = batch.sparkSession, state(batch.sparkSession, root)
+    if number <= now.commits.get(stream, -1):
+        return
+    batch = batch.persist()
+    try:
+        span = batch.agg(F.min("session_date").alias("a"), F.date_add(F.max("session_date"), 1).alias("b"), F.count_if(F.col("session_date").isNull()).alias("undated"), F.count(F.lit(1)).alias("n")).first()
+        if not span["n"]:
+            return
+        first, last = (f"m{span['a']:%Y-%m}", f"m{span['b']:%Y-%m}") if span["a"] else ("", "")
+        touched = {m: f for m, f in now.folders.items() if m == "all" or m == "undated" and span["undated"] or m != "undated" and first <= m <= last}
+        old = spark.read.schema(batch.schema).parquet(*touched.values()) if touched else batch.limit(0)
+        if span["undated"]:
+            old = old.withColumn("_undated", F.col("session_date").isNull())
+            old = old.join(batch.where("session_date is null").select(*keys, F.lit(True).alias("_undated")).distinct(), [*keys, "_undated"], "left_anti").select(*batch.columns)
+        rows = replace_window(old, batch, keys, "session_date", F.lit(span["a"]).cast("date"), F.lit(span["b"]).cast("date"))
+        rows = rows.withColumn("month", F.coalesce(F.date_format("session_date", "'m'yyyy-MM"), F.lit("undated")))
+        publish_parts(rows, root, now, {m: f for m, f in now.folders.items() if m not in touched}, "month", (stream, number))
+    finally:
+        batch.unpersist()
+
+
+def revise(stream: DataFrame, root: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
+    """revise_batch for every batch of a stream, which is known by the id that its checkpoint holds: a stream with a new checkpoint is another stream, and its rows count."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        published, folders = published_state(spark, root)
-        span = batch.agg(F.min("session_date").alias("a"), F.date_add(F.max("session_date"), 1).alias("b")).first()
-        if number <= published or span["a"] is None:
-            return
-        month = F.date_format("session_date", "'m'yyyy-MM")
-        first, last = f"m{span['a']:%Y-%m}", f"m{span['b']:%Y-%m}"
-        touched = {m: f for m, f in folders.items() if first <= m <= last}
-        batch = batch.persist()
-        try:
-            old = spark.read.schema(batch.schema).parquet(*touched.values()) if touched else batch.limit(0)
-            rows = replace_window(old, batch, keys, "session_date", F.lit(span["a"]), F.lit(span["b"])).withColumn("month", month)
-            publish_parts(rows, root, number, {m: f for m, f in folders.items() if m not in touched}, "month")
-        finally:
-            batch.unpersist()
+        known = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        revise_batch(batch, root, keys, known, number)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -84,9 +84,10 @@ def test_revisions_survive_a_replay_and_a_crash(spark, tmp_path, monkeypatch):
     run("offsets")
     first = now()
     assert len(first) == 11
-    # another run of the same batch number, as after a lost commit, changes nothing
+    # the same batch again, as after a lost commit, changes nothing
     before = store.published_state(spark, root)
-    run("again")
+    (own,) = store.state(spark, root).commits
+    arrivals.revise_batch(spark.createDataFrame([("A", day(0), "twice")], schema), root, ["symbol"], own, 0)
     assert store.published_state(spark, root) == before and now() == first
     arrive([("A", day(40), "new"), ("A", day(50), "new")])
     kept = store._append
@@ -102,6 +103,47 @@ def test_revisions_survive_a_replay_and_a_crash(spark, tmp_path, monkeypatch):
     assert set(before[1].values()) & set(store.published_state(spark, root)[1].values())
 
 
+def test_streams_have_batches_of_their_own(spark, tmp_path):
+    """Two checkpoints, a whole table published between them, and rows without a date: none is lost."""
+    schema, root = "symbol string, session_date date, v string", str(tmp_path / "out")
+
+    def run(name, rows):
+        path = tmp_path / f"in-{name}"
+        path.mkdir(exist_ok=True)
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(path))
+        arrivals.revise(arrivals.arrivals(spark, str(path), schema, 1), root, str(tmp_path / name), ["symbol"]).awaitTermination()
+
+    def now():
+        return [(r["symbol"], r["session_date"] and (r["session_date"] - day(0)).days, r["v"]) for r in store.published(spark, root).collect()]
+
+    run("a", [("A", day(1), "a0"), ("A", day(40), "a0"), ("N", None, "a0"), ("M", None, "a0")])
+    assert len(now()) == 4
+    run("b", [("B", day(1), "b0"), ("N", None, "b0")])
+    assert sorted(now(), key=str) == sorted([("A", 1, "a0"), ("A", 40, "a0"), ("B", 1, "b0"), ("M", None, "a0"), ("N", None, "b0")], key=str)
+    run("a", [("A", day(40), "a1")])
+    run("b", [("O", None, "b1")])
+    have = [("A", 1, "a0"), ("A", 40, "a1"), ("B", 1, "b0"), ("M", None, "a0"), ("N", None, "b0"), ("O", None, "b1")]
+    assert sorted(now(), key=str) == sorted(have, key=str)
+    assert sorted(store.state(spark, root).commits.values()) == [1, 1]
+    # a whole table counts as a version of its own, and both streams go on
+    store.publish(store.published(spark, root).where("symbol <> 'M'").select("symbol", "session_date", "v"), root)
+    run("a", [("C", day(2), "a2")])
+    assert sorted(now(), key=str) == sorted([x for x in have if x[0] != "M"] + [("C", 2, "a2")], key=str)
+    run("a", [])
+    assert len(now()) == 6
+
+
+def test_log_is_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "EPOCH", 2)
+    root = str(tmp_path / "p")
+    for n in range(7):
+        store.publish(spark.range(n + 1), root)
+        assert store.published(spark, root).count() == n + 1
+    assert store.state(spark, root).number == 6
+    held = {p.name: spark.read.parquet(str(p)).count() for p in (tmp_path / "p/_log").iterdir() if p.is_dir()}
+    assert held == {"epoch=0": 0, "epoch=1": 0, "epoch=2": 2, "epoch=3": 1}
+
+
 def test_files_are_held_against_their_manifest(spark, tmp_path):
     path = str(tmp_path / "files")
     df = spark.createDataFrame([("A", 1.0), ("B", 2.0)], "symbol string, close double")
