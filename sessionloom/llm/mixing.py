@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sessionloom.llm.shared import cut, words
+from sessionloom.llm.shared import cut
 
 BUCKET = 1024  # rows of a range of hash keys of one source, about
 
@@ -76,12 +76,10 @@ def mix(docs: DataFrame, weights: list[int] | None = None, most: int = 3, bucket
 
 
 def mixed_documents(docs: DataFrame, weights: list[int] | None = None, most: int = 3) -> DataFrame:
-    """The mix itself: rows with the columns doc_id, text, lang, source and n_chars, each document as often as it is taken whole.
+    """The mix itself: rows with the columns doc_id, text, lang, source and n_chars, each document as often as it is taken, always whole.
 
-    A document that is taken in part comes as its first words, joined by single spaces.
+    The document that mix takes in part comes whole too, so that a source is above its target by less than one document, and no text is cut or rewritten.
     """
     taken = mix(docs, weights, most, keep=["text", "lang", "n_chars"]).where("taken > 0")
     copies = taken.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")).cast("long"))))
-    left = F.col("taken") - (F.col("nth") - 1) * F.col("size")
-    text = F.when(left >= F.col("size"), F.col("text")).otherwise(F.array_join(F.slice(words(F.col("text")), 1, left.cast("int")), " "))
-    return copies.withColumn("part", text).select("doc_id", F.col("part").alias("text"), "lang", "source", F.when(left >= F.col("size"), F.col("n_chars")).otherwise(F.char_length("part")).cast("long").alias("n_chars"))
+    return copies.select("doc_id", "text", "lang", "source", "n_chars")

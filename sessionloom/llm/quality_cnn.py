@@ -57,26 +57,25 @@ class ByteCnn:
     def weights(self) -> list[np.ndarray]:
         return [self.embed, self.conv, self.conv_bias, self.out, self.out_bias]
 
-    def windows(self, codes: np.ndarray) -> np.ndarray:
-        x = self.embed[codes].reshape(len(codes), CHUNK * DEPTH)
-        view = np.lib.stride_tricks.sliding_window_view(x, WIDTH * DEPTH, axis=1)[:, :: STRIDE * DEPTH]
-        return view
+    def settled(self) -> tuple[np.ndarray, np.ndarray]:
+        """Embedding and filters in whole 128ths and 256ths, within 4 and 2: sums of WIDTH * DEPTH of their products are exact in single precision, in whatever order they are added."""
+        return np.clip(np.round(self.embed * 128) / 128, -4, 4).astype(np.float32), np.clip(np.round(self.conv * 256) / 256, -2, 2).astype(np.float32)
 
-    def respond(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Largest response of each filter in each chunk, and the window that has it."""
-        view = self.windows(codes)
-        z = (view.reshape(-1, WIDTH * DEPTH) @ self.conv).reshape(len(codes), -1, FILTERS)
+    def respond(self, codes: np.ndarray, embed: np.ndarray, conv: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Largest response of each filter in each chunk, and the responses of all windows."""
+        x = embed[codes].reshape(len(codes), CHUNK * DEPTH)
+        view = np.lib.stride_tricks.sliding_window_view(x, WIDTH * DEPTH, axis=1)[:, :: STRIDE * DEPTH]
+        z = (view.reshape(-1, WIDTH * DEPTH) @ conv).reshape(len(codes), -1, FILTERS)
         return z.max(axis=1) + self.conv_bias, z
 
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def score(self, data: np.ndarray, offsets: np.ndarray, settled: bool = True) -> np.ndarray:
+        """The probability of each text, by settled weights; otherwise by those that are learned."""
         owner, start, first = _layout(offsets)
-        top = np.empty((len(owner), FILTERS), self.conv.dtype)
+        top, weights = np.empty((len(owner), FILTERS), self.conv.dtype), self.settled() if settled else (self.embed, self.conv)
         for i in range(0, len(owner), BLOCK):
-            # blocks of one size, padded, so that a chunk's products don't depend on how texts are dealt; memory doesn't grow with a text
+            # memory doesn't grow with a text
             own = slice(i, i + BLOCK)
-            codes = np.full((BLOCK, CHUNK), PAD, np.int16)
-            codes[: len(owner[own])] = _codes(data, offsets, owner[own], start[own])
-            top[own] = self.respond(codes)[0][: len(owner[own])]
+            top[own] = self.respond(_codes(data, offsets, owner[own], start[own]), *weights)[0]
         return self._combine(np.maximum(top, 0), first)[0]
 
     def _combine(self, top: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -86,28 +85,30 @@ class ByteCnn:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30))), pooled, counts
 
     def gradients(self, data: np.ndarray, offsets: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
+        """Chunks are worked on in blocks both ways: beside the text, some hundred bytes are held for each of its chunks and a few MB for a block."""
         owner, start, first = _layout(offsets)
-        codes = _codes(data, offsets, owner, start)
-        parts = [self.respond(codes[i : i + BLOCK]) for i in range(0, len(codes), BLOCK)]
-        raw = np.concatenate([p[0] for p in parts])
-        where = np.concatenate([p[1].argmax(axis=1) for p in parts])
+        blocks = [slice(i, i + BLOCK) for i in range(0, len(owner), BLOCK)]
+        raw, where = np.empty((len(owner), FILTERS), self.conv.dtype), np.empty((len(owner), FILTERS), np.int16)
+        for own in blocks:
+            raw[own], responses = self.respond(_codes(data, offsets, owner[own], start[own]), self.embed, self.conv)
+            where[own] = responses.argmax(axis=1)
         top = np.maximum(raw, 0)
         p, pooled, counts = self._combine(top, first)
         d = ((p - labels) / len(labels)).astype(np.float32)
         pooled_d = d[:, None] * self.out
-        owner = np.repeat(np.arange(len(labels)), counts[:, 0].astype(np.int64))
-        top_d = (pooled_d[:, FILTERS:] / counts)[owner]
+        top_d = (pooled_d[:, FILTERS:] / counts).astype(raw.dtype)[owner]
         largest = np.maximum.reduceat(top, first)[owner]
         tied = (top == largest) & (top > 0)
         share = np.add.reduceat(tied.astype(np.float32), first)
-        top_d = (top_d + tied * (pooled_d[:, :FILTERS] / np.maximum(share, 1))[owner]) * (raw > 0)
-        bytes_of = codes[np.arange(len(codes))[:, None, None], where[:, :, None] * STRIDE + np.arange(WIDTH)]
-        x = self.embed[bytes_of].reshape(len(codes), FILTERS, -1)
-        conv_d = np.einsum("cf,cfd->df", top_d, x)
-        embed_d = np.zeros_like(self.embed)
-        spread = np.einsum("cf,df->cfd", top_d, self.conv).reshape(-1, DEPTH)
-        for k in range(DEPTH):
-            embed_d[:, k] = np.bincount(bytes_of.ravel(), spread[:, k], 257)
+        top_d = (top_d + tied * (pooled_d[:, :FILTERS] / np.maximum(share, 1)).astype(raw.dtype)[owner]) * (raw > 0)
+        conv_d, embed_d = np.zeros_like(self.conv), np.zeros_like(self.embed)
+        for own in blocks:
+            codes = _codes(data, offsets, owner[own], start[own])
+            bytes_of = codes[np.arange(len(codes))[:, None, None], where[own][:, :, None] * STRIDE + np.arange(WIDTH)]
+            conv_d += np.einsum("cf,cfd->df", top_d[own], self.embed[bytes_of].reshape(len(codes), FILTERS, -1))
+            spread = np.einsum("cf,df->cfd", top_d[own], self.conv).reshape(-1, DEPTH)
+            for k in range(DEPTH):
+                embed_d[:, k] += np.bincount(bytes_of.ravel(), spread[:, k], 257)
         embed_d[PAD] = 0
         return [embed_d, conv_d, top_d.sum(axis=0), pooled.T @ d, d.sum(keepdims=True)]
 
@@ -142,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
 
     labels: doc_id, quality (0 or 1; other values and null are no labels). Of repeated labels of a doc_id the
     larger counts; of rows that repeat a doc_id one with the least hash of its text. A text that would pass sample_bytes is left
-    out, as is what comes after it. Without any labelled row the network stays as it is seeded.
+    out, and the next ones that fit are taken. Without any labelled row the network stays as it is seeded.
     """
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
@@ -151,9 +152,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
     # one row per sampled id
     rows, total = [], 0
     for r in sorted(sizes.select("doc_id", "m.*", "quality", F.xxhash64("doc_id").alias("turn")).collect(), key=lambda r: (r["turn"], r["doc_id"])):
+        if total + r["size"] > sample_bytes:
+            continue
         total += r["size"]
-        if total > sample_bytes:
-            break
         rows.append((r["doc_id"], r["tie"], float(r["quality"])))
     chosen = docs.sparkSession.createDataFrame(rows, StructType([docs.schema["doc_id"], StructField("tie", LongType()), StructField("quality", DoubleType())]))
     found = {r["doc_id"]: r for r in texts.join(F.broadcast(chosen), ["doc_id", "tie"]).dropDuplicates(["doc_id"]).collect()}
@@ -162,10 +163,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
 
 
 def score(docs: DataFrame, model: ByteCnn, keep: list[str], threshold: float = 0.3) -> DataFrame:
-    """The columns named in keep, score (0 to 1) and predicted (1 if score >= threshold) of every row of docs.
+    """The columns named in keep (none called score, predicted or score_text), score (0 to 1) and predicted (1 if score >= threshold) of every row of docs.
 
     Whole texts are scored, whatever their length; null is empty and gets the score of padding. Scores have six
-    decimals: rounding in products of single precision doesn't show. Nothing is shuffled.
+    decimals and don't depend on how rows are dealt. Nothing is shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]):

@@ -238,7 +238,7 @@ def grouped(rows: DataFrame, edges: DataFrame) -> DataFrame:
     return rows.join(named, "node").withColumns({"component_id": F.col("best.doc_id"), "kept": kept})
 
 
-def similar_groups(docs: DataFrame, k: int = 5, similarity: float = 0.8, radius: int = 4) -> DataFrame:
+def similar_groups(docs: DataFrame, k: int = 5, similarity: float = 0.8, radius: int = 4, group: int = similar.GROUP) -> DataFrame:
     """Groups of texts whose shingles of k words have a Jaccard similarity of `similarity` or more, over chains of such pairs.
 
     Returns one row per row of docs: doc_id, tie, component_id, kept, as near_groups does, and with its cases; texts without words are alike. Fingerprints
@@ -253,7 +253,7 @@ def similar_groups(docs: DataFrame, k: int = 5, similarity: float = 0.8, radius:
     near = near.join(reps.select(F.col("fp").alias("u"), F.col("rep").alias("a")), "u").join(reps.select(F.col("fp").alias("v"), F.col("rep").alias("b")), "v")
     same = fps.join(reps, "fp").where("tie <> rep").select(F.col("tie").alias("u"), F.col("rep").alias("v")).distinct()
     pairs = near.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same)
-    edges = similar.links(prints, pairs, texts.select("tie", "text"), k, similarity)
+    edges = similar.links(prints, pairs, texts.select("tie", "text"), k, similarity, group)
     return grouped(fps.withColumn("node", F.col("tie")), edges).select("doc_id", "tie", "component_id", "kept")
 
 
