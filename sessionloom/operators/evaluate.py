@@ -6,20 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionloom.functions.columns import is_finite
-from sessionloom.operators.labels import average_rank
+from sessionloom.operators.labels import average_ranks
 
 TINY = 2.220446049250313e-16
 
 
 def classification(predictions: DataFrame, *keys: str) -> DataFrame:
-    """n_rows, balanced_accuracy, roc_auc (null with one class), brier and log_loss. predictions: keys, actual (0 or 1), prediction."""
+    """n_rows, balanced_accuracy, roc_auc (null with one class), brier and log_loss. predictions: keys, actual (0 or 1), prediction.
+
+    Rows of one prediction are added up first; ranks of predictions come from ranges of them (labels.average_ranks), so no task holds a whole key.
+    """
     y, p = F.col("actual"), F.col("prediction")
-    ranked = predictions.withColumn("_rank", average_rank("prediction", *keys))
     clipped = F.least(F.greatest(p, F.lit(TINY)), F.lit(1 - TINY))
-    agg = ranked.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(y).alias("_pos"), F.avg(F.when(y == 1, (p >= 0.5).cast("double"))).alias("_tpr"), F.avg(F.when(y == 0, (p < 0.5).cast("double"))).alias("_tnr"),
-        F.sum(F.when(y == 1, F.col("_rank"))).alias("_sum"), F.avg(F.pow(p - y, 2)).alias("brier"), F.avg(-F.when(y == 1, F.ln(clipped)).otherwise(F.ln(1 - clipped))).alias("log_loss"),
+    # all metrics are sums over rows of one prediction and outcome
+    tally = predictions.groupBy(*keys, "prediction").agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("_ones"))
+    ones, zeros, n = F.col("_ones"), F.col("n") - F.col("_ones"), F.sum("n")
+    over = (p >= 0.5).cast("double")
+    agg = average_ranks(tally, "prediction", *keys).groupBy(*keys).agg(
+        n.alias("n_rows"), F.sum(ones).alias("_pos"), F.sum(ones * over).alias("_true_pos"), F.sum(zeros * (1 - over)).alias("_true_neg"), F.sum(ones * F.col("average_rank")).alias("_sum"),
+        (F.sum(ones * F.pow(p - 1, 2) + zeros * F.pow(p, 2)) / n).alias("brier"), (-F.sum(ones * F.ln(clipped) + zeros * F.ln(1 - clipped)) / n).alias("log_loss"),
     )
+    agg = agg.withColumns({"_tpr": F.col("_true_pos") / F.nullif(F.col("_pos"), F.lit(0.0)), "_tnr": F.col("_true_neg") / F.nullif(F.col("n_rows") - F.col("_pos"), F.lit(0.0))})
     pos, neg = F.col("_pos"), F.col("n_rows") - F.col("_pos")
     balanced = F.coalesce((F.col("_tpr") + F.col("_tnr")) / 2, F.col("_tpr"), F.col("_tnr"))
     auc = F.when((pos > 0) & (neg > 0), (F.col("_sum") - pos * (pos + 1) / 2) / F.nullif(pos * neg, F.lit(0.0)))

@@ -142,7 +142,21 @@ def baseline(marks: DataFrame, target: str) -> DataFrame:
     return test.join(F.broadcast(prior), "fold")
 
 
-def average_rank(c: str, *keys: str) -> Column:
-    """Rank with ties averaged, from 1."""
-    w = Window.partitionBy(*keys)
-    return F.rank().over(w.orderBy(c)) + (F.count(F.lit(1)).over(Window.partitionBy(*keys, c)) - 1) / 2.0
+RANGES = 64  # of the values of one key, ranked apart
+
+
+def average_ranks(tally: DataFrame, c: str, *keys: str, ranges: int = RANGES) -> DataFrame:
+    """tally (a row per distinct value c of keys, with n, how many rows have it) with average_rank: the rank of its rows among all of the same keys, ties averaged, from 1.
+
+    Sketched quantiles cut a key's values into ranges, and ranks are prefix sums of the ranges' counts plus those inside a range, so that no task holds all values of a key. A value
+    has one row, so ties never meet. c and keys aren't null.
+    """
+    at = [k / ranges for k in range(1, ranges)]
+    cuts = tally.groupBy(*keys).agg(F.percentile_approx(c, at, 100 * ranges).alias("_cuts"))
+    rows = tally.join(cuts, [*keys]).withColumn("_range", F.size(F.filter("_cuts", lambda x: x < F.col(c)))).drop("_cuts")
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(*keys, "_range").agg(F.sum("n").alias("_n"))
+    parts = parts.select(*keys, "_range", F.coalesce(F.sum("_n").over(before.partitionBy(*keys).orderBy("_range")), F.lit(0)).alias("_ahead"))
+    inside = F.coalesce(F.sum("n").over(before.partitionBy(*keys, "_range").orderBy(c)), F.lit(0))
+    ranked = rows.withColumn("_inside", inside).join(parts, [*keys, "_range"])
+    return ranked.withColumn("average_rank", F.col("_ahead") + F.col("_inside") + (F.col("n") + 1) / 2.0).drop("_range", "_inside", "_ahead")

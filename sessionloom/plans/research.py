@@ -495,7 +495,9 @@ def ag_20(spark, sf):
 
 @query("wn_26_average_rank", "select symbol, session_date, fold, (rank() over (partition by fold order by prediction) + (count(*) over (partition by fold, prediction) - 1) / 2.0)::double as average_rank from spread_pred")
 def wn_26(spark, sf):
-    return _spread(spark, sf).select("symbol", "session_date", "fold", L.average_rank("prediction", "fold").cast("double").alias("average_rank"))
+    rows = _spread(spark, sf).select("symbol", "session_date", "fold", "prediction")
+    ranks = L.average_ranks(rows.groupBy("fold", "prediction").agg(F.count(F.lit(1)).alias("n")), "prediction", "fold")
+    return rows.join(ranks, ["fold", "prediction"]).select("symbol", "session_date", "fold", "average_rank")
 
 
 @query("ag_19_regression", f"select fold, count(*) as n_rows, {r('avg(abs(ret_prediction - ret))')} as mae, {r('sqrt(avg(pow(ret_prediction - ret, 2)))')} as rmse from spread_pred group by fold")
@@ -781,6 +783,17 @@ def pb_05(spark, sf):
     return out.select("target", "model", "split", F.round("brier", 6).alias("brier"), "selection")
 
 
+@query("pb_05_selected_models", " union all ".join(f"select '{t}' as target, model, 'validation' as split, true as in_range, 'one of four' as selection from (select unnest(['baseline', 'boosted', 'linear', 'random_forest']) as model)" for t in TARGETS))
+def pb_05_selected(spark, sf):
+    """The Models table of the published selection over validation folds: whether every mean score lies in its range, and that each target has one Selected model of its four."""
+    bundles, _, found = _selected(spark, sf)
+    chosen = spark.createDataFrame([(b.target, b.model, float(b.score)) for b in bundles.values()], "target string, model string, mean_score double")
+    table = P.model_table(E.score_summary(spark.read.parquet(f"{found}/scores").where("split = 'validation'")), chosen)
+    inside = F.coalesce("brier", "mae").between(0, 1) & F.coalesce(F.col("balanced_accuracy").between(0, 1) & F.col("roc_auc").between(0, 1), F.col("rmse") >= F.col("mae"))
+    picked = F.sum((F.col("selection") == "Selected").cast("int")).over(Window.partitionBy("target"))
+    return table.select("target", "model", "split", inside.alias("in_range"), F.when(picked == 1, "one of four").otherwise("wrong").alias("selection"))
+
+
 view("market_counts", f"select count(*) as equities, count(*) filter (where signal = 'Bullish') as bullish, count(*) filter (where signal = 'Bearish') as bearish, count(*) filter (where signal = 'Neutral') as neutral, count(*) filter (where coalesce(abnormal_volume, false)) as abnormal, count(*) filter (where risk_band = 'High Risk') as high_risk from market where symbol <> '{X.BENCHMARK}' and not latest_input_missing")
 
 

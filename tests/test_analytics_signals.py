@@ -7,6 +7,7 @@ from sessionloom.operators import analytics as A
 from sessionloom.operators import evaluate as E
 from sessionloom.operators import signals as G
 from sessionloom.operators.features import features
+from sessionloom.operators.labels import average_ranks
 from tests.helpers import day, panel
 
 CONFIG = Analytics(benchmark="B", least_returns=3, rolling=3)
@@ -65,3 +66,16 @@ def test_scores(spark):
     assert len(bins) == 10 and bins[4]["n_rows"] == 2 and bins[0]["mean_probability"] is None
     tied = spark.createDataFrame([("t", "b", 1.0), ("t", "a", 1.0)], "target string, model string, score double")
     assert E.winners(tied).first()["model"] == "a"
+
+
+@pytest.mark.parametrize("ranges", [1, 4, 64])
+def test_average_ranks(spark, ranges):
+    """Ranks over ranges are those of the whole key, ties over the edges of ranges included."""
+    rng = np.random.default_rng(2)
+    rows = [(k, float(v)) for k in "ab" for v in np.round(rng.normal(0, 1, 300), 1 if k == "a" else 6)] + [("c", 1.0)] * 5 + [("d", -2.5)]
+    tally = spark.createDataFrame(rows, "k string, v double").groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    got = {(r["k"], r["v"]): r["average_rank"] for r in average_ranks(tally, "v", "k", ranges=ranges).collect()}
+    assert len(got) == len(set(rows))
+    for k, v in got:
+        own = [x for key, x in rows if key == k]
+        assert got[k, v] == sum(x < v for x in own) + (sum(x == v for x in own) + 1) / 2
