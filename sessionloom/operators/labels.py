@@ -152,7 +152,8 @@ def average_ranks(tally: DataFrame, c: str, *keys: str, ranges: int = RANGES) ->
     has one row, so ties never meet. c and keys aren't null.
     """
     at = [k / ranges for k in range(1, ranges)]
-    cuts = tally.groupBy(*keys).agg(F.percentile_approx(c, at, 100 * ranges).alias("_cuts"))
+    none = F.array().cast("array<double>")
+    cuts = tally.groupBy(*keys).agg(F.coalesce(F.percentile_approx(c, at, 100 * ranges), none).alias("_cuts") if at else F.first(none).alias("_cuts"))
     rows = tally.join(cuts, [*keys]).withColumn("_range", F.size(F.filter("_cuts", lambda x: x < F.col(c)))).drop("_cuts")
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
     parts = rows.groupBy(*keys, "_range").agg(F.sum("n").alias("_n"))

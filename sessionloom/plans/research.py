@@ -626,7 +626,7 @@ def ml_11_frame(spark, sf):
     best = scores.where("split = 'validation'").groupBy("target", "model").agg(F.avg("score").alias("mean")).groupBy("target").agg(F.min("mean").alias("least"))
     known = spark.createDataFrame([(b.target, b.model, float(b.score)) for b in bundles.values()], "target string, chosen string, mean double")
     rows = scores.join(F.broadcast(known), "target").join(F.broadcast(best), "target").where((F.col("split") == "validation") | (F.col("model") == F.col("winner")))
-    sound = F.col("score").between(0, 1) & (F.col("chosen") == F.col("winner")) & (F.abs(F.col("mean") - F.col("least")) < 1e-12)
+    sound = (F.coalesce(F.col("brier") <= 1, F.col("rmse") >= F.col("mae"))) & (F.col("score") >= 0) & (F.col("chosen") == F.col("winner")) & (F.abs(F.col("mean") - F.col("least")) < 1e-12)
     return rows.select("target", F.when(F.col("split") == "holdout", "selected").otherwise(F.col("model")).alias("model"), "fold", "n_rows", sound.alias("sound"))
 
 
@@ -789,7 +789,7 @@ def pb_05_selected(spark, sf):
     bundles, _, found = _selected(spark, sf)
     chosen = spark.createDataFrame([(b.target, b.model, float(b.score)) for b in bundles.values()], "target string, model string, mean_score double")
     table = P.model_table(E.score_summary(spark.read.parquet(f"{found}/scores").where("split = 'validation'")), chosen)
-    inside = F.coalesce("brier", "mae").between(0, 1) & F.coalesce(F.col("balanced_accuracy").between(0, 1) & F.col("roc_auc").between(0, 1), F.col("rmse") >= F.col("mae"))
+    inside = (F.coalesce("brier", "mae") >= 0) & F.coalesce(F.col("brier") <= 1, F.lit(True)) & F.coalesce(F.col("balanced_accuracy").between(0, 1) & F.col("roc_auc").between(0, 1), F.col("rmse") >= F.col("mae"))
     picked = F.sum((F.col("selection") == "Selected").cast("int")).over(Window.partitionBy("target"))
     return table.select("target", "model", "split", inside.alias("in_range"), F.when(picked == 1, "one of four").otherwise("wrong").alias("selection"))
 
