@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from sessionloom.config import Analytics
 from sessionloom.functions.columns import ratio
 from sessionloom.operators.sessions import by_symbol, so_far
 
+TILE, BLOCK = 64, 256  # symbols and days that meet in a task
+
 
 
 def prices(aligned: DataFrame) -> DataFrame:
@@ -75,16 +79,57 @@ def metrics(table: DataFrame, config: Analytics = Analytics()) -> DataFrame:
     )
 
 
-def pair_statistics(rets: DataFrame, least: int = 30) -> DataFrame:
-    """Pairs and correlation of every two symbols over days on which both have a return. The panel stays long; the join is by day, and each two symbols
-    meet once: the other order is a copy."""
-    r = rets.where("ret is not null").select("session_date", "symbol", "ret")
-    both = r.alias("a").join(r.alias("b"), "session_date").where("a.symbol <= b.symbol").select(F.col("a.symbol").alias("symbol"), F.col("b.symbol").alias("other"), F.col("a.ret").alias("x"), F.col("b.ret").alias("y"))
-    agg = both.groupBy("symbol", "other").agg(F.count(F.lit(1)).alias("pairs"), F.covar_samp("x", "y").alias("cov"), F.stddev_samp("x").alias("sx"), F.stddev_samp("y").alias("sy"))
-    spread = F.col("sx") * F.col("sy")
-    out = agg.select("symbol", "other", "pairs", F.when((F.col("pairs") >= least) & (spread > 0), F.col("cov") / spread).alias("correlation"))
-    swapped = F.explode(F.when(F.col("symbol") == F.col("other"), F.array(F.struct("symbol", "other"))).otherwise(F.array(F.struct("symbol", "other"), F.struct(F.col("other").alias("symbol"), F.col("symbol").alias("other")))))
-    return out.withColumn("p", swapped).select("p.symbol", "p.other", "pairs", "correlation")
+def _tile_sums(part: pd.DataFrame) -> pd.DataFrame:
+    """Of every symbol of one tile with every one of another, over one block of days: common days, and sums of their values, squares and products on these."""
+    symbols, at = np.unique(part["symbol"].to_numpy(), return_inverse=True)
+    days, on = np.unique(part["day"].to_numpy(), return_inverse=True)
+    held, x = np.zeros((len(symbols), len(days))), np.zeros((len(symbols), len(days)))
+    held[at, on], x[at, on] = 1.0, part["value"].to_numpy()
+    tile = np.empty(len(symbols), np.int64)
+    tile[at] = part["tile"].to_numpy()
+    a, b = (np.flatnonzero(tile == part[c].iloc[0]) for c in ("lo", "hi"))
+    i, j = np.nonzero(held[a] @ held[b].T)
+    sums = {"n": held[a] @ held[b].T, "x": x[a] @ held[b].T, "y": held[a] @ x[b].T, "xx": x[a] ** 2 @ held[b].T, "yy": held[a] @ (x[b] ** 2).T, "xy": x[a] @ x[b].T}
+    out = pd.DataFrame({"symbol": symbols[a][i], "other": symbols[b][j], **{k: v[i, j] for k, v in sums.items()}})
+    out = out.astype({"n": "int64"})
+    # each two symbols once, in order
+    swapped = out["symbol"] > out["other"]
+    turned = out[swapped].rename(columns={"symbol": "other", "other": "symbol", "x": "y", "y": "x", "xx": "yy", "yy": "xx"})[out.columns]
+    return out[~swapped] if part["lo"].iloc[0] == part["hi"].iloc[0] else pd.concat([out[~swapped], turned])
+
+
+def pair_sums(rows: DataFrame, tile: int = TILE, block: int = BLOCK) -> DataFrame:
+    """symbol, other (symbol <= other), n common days, and sums x, y, xx, yy, xy over them. rows: symbol, session_date, value (not null), one row per symbol and day.
+
+    Symbols are dealt into tiles of about `tile`, days into blocks: a task multiplies two tiles over one block, so no row per day and pair is made, and what is shuffled is a row per
+    symbol, day and tile, and then a row per pair and block.
+    """
+    tiles = max(1, -(-rows.select("symbol").distinct().count() // tile))
+    own = F.pmod(F.xxhash64("symbol"), F.lit(tiles)).cast("int")
+    day = F.datediff("session_date", F.lit("1970-01-01").cast("date"))
+    rows = rows.select("symbol", day.alias("day"), "value", own.alias("tile"), F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("_other"))
+    rows = rows.select("symbol", "day", "value", "tile", F.least("tile", "_other").alias("lo"), F.greatest("tile", "_other").alias("hi"), F.floor(F.col("day") / block).alias("block"))
+    parts = rows.groupBy("lo", "hi", "block").applyInPandas(_tile_sums, "symbol string, other string, n long, x double, y double, xx double, yy double, xy double")
+    return parts.groupBy("symbol", "other").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+
+
+def both_ways(pairs: DataFrame) -> DataFrame:
+    """pairs (symbol <= other) and the same with the names exchanged."""
+    rest = [c for c in pairs.columns if c not in ("symbol", "other")]
+    return pairs.unionByName(pairs.where("symbol < other").select(F.col("other").alias("symbol"), F.col("symbol").alias("other"), *rest))
+
+
+def pair_statistics(rets: DataFrame, least: int = 30, tile: int = TILE, block: int = BLOCK) -> DataFrame:
+    """Pairs and correlation of every two symbols over days on which both have a return, from sums by tiles (pair_sums) of returns less their symbol's mean."""
+    r = rets.where("ret is not null").select("symbol", "session_date", "ret")
+    centred = r.join(r.groupBy("symbol").agg(F.avg("ret").alias("_mean")), "symbol").select("symbol", "session_date", (F.col("ret") - F.col("_mean")).alias("value"))
+    sums = pair_sums(centred, tile, block)
+    vx, vy = (F.col(c * 2) - F.col(c) * F.col(c) / F.col("n") for c in "xy")
+    spread = F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0)))
+    # a spread that is rounding only is none
+    varied = (vx > 1e-14 * F.col("xx")) & (vy > 1e-14 * F.col("yy"))
+    out = sums.select("symbol", "other", F.col("n").alias("pairs"), F.when((F.col("n") >= least) & varied, (F.col("xy") - F.col("x") * F.col("y") / F.col("n")) / F.nullif(spread, F.lit(0.0))).alias("correlation"))
+    return both_ways(out)
 
 
 def sector_summary(table: DataFrame, sectors: DataFrame, benchmark: str) -> DataFrame:

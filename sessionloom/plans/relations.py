@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sessionloom.operators import analytics as A
 from sessionloom.operators import publish as P
 from sessionloom.operators import quality as Q
 from sessionloom.operators import sessions as S
@@ -56,11 +57,8 @@ def jn_06(spark, sf):
 
 @query("jn_08_all_pairs", "select a.symbol, b.symbol as other, count(*) as days from bars a join bars b on a.session_date = b.session_date group by 1, 2")
 def jn_08(spark, sf):
-    rows = X.trade_bars(spark, sf).select("symbol", "session_date")
-    rows = X.stored(rows, "days")
-    both = rows.join(rows.withColumnRenamed("symbol", "other"), "session_date").where("symbol <= other")
-    each = both.groupBy("symbol", "other").agg(F.count(F.lit(1)).alias("days"))
-    return each.unionByName(each.where("symbol < other").select(F.col("other").alias("symbol"), F.col("symbol").alias("other"), "days"))
+    rows = X.stored(X.trade_bars(spark, sf).select("symbol", "session_date", F.lit(0.0).alias("value")), "days")
+    return A.both_ways(A.pair_sums(rows).select("symbol", "other", F.col("n").alias("days")))
 
 
 @query("jn_10_reconcile", """select count(*) filter (where session_date >= date '2001-01-01') as left_only, 0::bigint as right_only, count(*) filter (where session_date < date '2001-01-01' and volume % 97 = 0) as different,

@@ -79,3 +79,20 @@ def test_average_ranks(spark, ranges):
     for k, v in got:
         own = [x for key, x in rows if key == k]
         assert got[k, v] == sum(x < v for x in own) + (sum(x == v for x in own) + 1) / 2
+
+
+@pytest.mark.parametrize(("tile", "block"), [(64, 256), (2, 7)])
+def test_tiled_correlation(spark, tile, block):
+    """Sums by tiles and blocks of days give the correlations of common days; repeated values have none."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(5, 1, (7, 90)) + rng.normal(0, 1, 90)
+    x[rng.random(x.shape) < 0.3] = np.nan
+    x[6] = 3.25
+    rows = [(f"s{k}", day(i), None if np.isnan(v) else float(v)) for k, r in enumerate(x) for i, v in enumerate(r)]
+    got = {(r["symbol"], r["other"]): (r["pairs"], r["correlation"]) for r in A.pair_statistics(spark.createDataFrame(rows, "symbol string, session_date date, ret double"), 30, tile, block).collect()}
+    assert len(got) == 49
+    for (a, b), (n, c) in got.items():
+        u, v = x[int(a[1])], x[int(b[1])]
+        both = ~np.isnan(u) & ~np.isnan(v)
+        assert n == both.sum()
+        assert c is None if n < 30 or "s6" in (a, b) else c == pytest.approx(np.corrcoef(u[both], v[both])[0, 1], abs=1e-12)
