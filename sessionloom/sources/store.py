@@ -71,6 +71,7 @@ def readable(spark: SparkSession, path: str) -> bool:
 
 STEPS = "number long, part string, folder string, stream string, batch long, epoch int"
 EPOCH = 100  # versions of a folder of the log
+RANGES = 4096  # of keys, digested apart
 
 
 @dataclass
@@ -144,17 +145,33 @@ def orphans(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return facts.crossJoin(dims)
 
 
-def reconcile(left: DataFrame, right: DataFrame, keys: list[str], values: dict[str, float]) -> DataFrame:
-    """One row: keys only on one side, and matching keys of which a value differs by more than its tolerance."""
-    a = left.select(*keys, F.struct(*values).alias("a"))
-    b = right.select(*keys, F.struct(*values).alias("b"))
+def _range_digests(rows: DataFrame, side: str) -> DataFrame:
+    """By range: rows, and sum and xor of their hashes, which don't depend on order and add up map-side. rows: _range and what is hashed."""
+    h = F.xxhash64(*[c for c in rows.columns if c != "_range"])
+    return rows.groupBy("_range").agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).alias("sum"), F.bit_xor(h).alias("xor")).alias(side))
+
+
+def reconcile(left: DataFrame, right: DataFrame, keys: list[str], values: dict[str, float], ranges: int = RANGES) -> DataFrame:
+    """One row: keys only on one side (left_only, right_only), and matching keys of which a value differs by more than its tolerance (different) or none does (equal).
+
+    Rows are dealt into ranges by a hash of their keys, and each side's ranges are digested; only ranges whose digests differ are joined row by row, so equal tables shuffle
+    digests alone. Both sides have the same types, and keys aren't null and don't repeat.
+    """
+    a, b = (df.select(*keys, *values).withColumn("_range", F.pmod(F.xxhash64(*keys), F.lit(ranges)).cast("int")) for df in (left, right))
+    both = _range_digests(a, "one").join(_range_digests(b, "two"), "_range", "full_outer")
+    # at most `ranges` rows, whatever the tables
+    both = both.select("_range", F.coalesce(F.col("one") == F.col("two"), F.lit(False)).alias("same"), "one.n")
+    other = F.broadcast(both.where(~F.col("same")).select("_range"))
+    a, b = (df.join(other, "_range").select(*keys, F.struct(*values).alias(c)) for df, c in ((a, "a"), (b, "b")))
     differs = reduce(lambda x, y: x | y, [
         F.col(f"a.{v}").isNull() != F.col(f"b.{v}").isNull() if not tolerance else (F.col(f"a.{v}").isNull() != F.col(f"b.{v}").isNull()) | F.coalesce(F.abs(F.col(f"a.{v}") - F.col(f"b.{v}")) > tolerance, F.lit(False))
         for v, tolerance in values.items()
     ])
-    both = a.join(b, keys, "full_outer")
+    joined = a.join(b, keys, "full_outer")
     left_only, right_only = F.col("b").isNull(), F.col("a").isNull()
-    return both.agg(F.count_if(left_only).alias("left_only"), F.count_if(right_only).alias("right_only"), F.count_if(~left_only & ~right_only & differs).alias("different"), F.count_if(~left_only & ~right_only & ~differs).alias("equal"))
+    counts = joined.agg(F.count_if(left_only).alias("left_only"), F.count_if(right_only).alias("right_only"), F.count_if(~left_only & ~right_only & differs).alias("different"), F.count_if(~left_only & ~right_only & ~differs).alias("equal"))
+    same = both.where("same").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_same"))
+    return counts.join(F.broadcast(same)).select("left_only", "right_only", "different", (F.col("equal") + F.col("_same")).alias("equal"))
 
 
 def same_set(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 import shutil
 from datetime import date, datetime
 
@@ -144,6 +145,25 @@ def test_log_is_compacted(spark, tmp_path, monkeypatch):
     assert held == {"epoch=0": 0, "epoch=1": 0, "epoch=2": 2, "epoch=3": 1}
 
 
+@pytest.mark.parametrize("ranges", [1, 5, 4096])
+def test_reconciliation_by_ranges(spark, ranges):
+    """Counts are those of a full comparison, whatever the ranges; of equal tables no row is joined."""
+    rng = random.Random(ranges)
+    left = {(s, i): (rng.random(), rng.choice([None, 1.0])) for s in "ab" for i in range(200)}
+    right = {k: v for k, v in left.items() if rng.random() < 0.95} | {("c", i): (0.5, None) for i in range(7)}
+    for k in rng.sample(sorted(right), 30):
+        right[k] = (right[k][0] + rng.choice([1e-9, 0.1]), right[k][1])
+    for k in rng.sample(sorted(right), 10):
+        right[k] = (right[k][0], None if right[k][1] else 1.0)
+    a, b = (spark.createDataFrame([(*k, *v) for k, v in t.items()], "s string, i int, x double, y double") for t in (left, right))
+    both = left.keys() & right.keys()
+    differ = {k for k in both if abs(left[k][0] - right[k][0]) > 1e-6 or (left[k][1] is None) != (right[k][1] is None)}
+    assert tuple(store.reconcile(a, b, ["s", "i"], {"x": 1e-6, "y": 1e-6}, ranges).first()) == (len(left.keys() - right.keys()), len(right.keys() - left.keys()), len(differ), len(both) - len(differ))
+    same = store.reconcile(a, a.repartition(3), ["s", "i"], {"x": 0.0}, ranges)
+    assert tuple(same.first()) == (0, 0, 0, len(left))
+    assert tuple(store.reconcile(a.limit(0), a, ["s", "i"], {"x": 0.0}, ranges).first()) == (0, len(left), 0, 0)
+
+
 def test_files_are_held_against_their_manifest(spark, tmp_path):
     path = str(tmp_path / "files")
     df = spark.createDataFrame([("A", 1.0), ("B", 2.0)], "symbol string, close double")
