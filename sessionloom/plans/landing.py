@@ -78,7 +78,6 @@ def src_05(spark, sf):
 @query("src_05_file_fingerprints", "select 3 as files, 3 as distinct_files, 64 as digits from (select count(*) from manifest)")
 def src_05_files(spark, sf):
     path = new_path(spark, "fingerprints")
-    _manifest(spark, sf).repartition(3, "run_id").write.option("maxRecordsPerFile", 0).parquet(path + "/all")
     _manifest(spark, sf).where("run_id = 'run1'").coalesce(1).write.parquet(path + "/one")
     _manifest(spark, sf).where("run_id = 'run2'").coalesce(1).write.parquet(path + "/two")
     _manifest(spark, sf).where("run_id = 'run3'").coalesce(1).write.parquet(path + "/three")

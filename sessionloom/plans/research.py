@@ -353,6 +353,21 @@ def sg_07(spark, sf):
 view("past_ready", "select * from (select symbol, session_date, row_number() over (partition by symbol order by session_date desc) as nth from feats where core_ready) where nth between 2 and 253")
 
 
+@query("sg_07_isolation_frame", "select l.symbol, coalesce(held, 0) >= 120 as scored, true as sound from latest l left join (select symbol, count(*) as held from past_ready group by symbol) p on l.symbol = p.symbol")
+def sg_07_frame(spark, sf):
+    """Which symbols have enough history for a score, and whether every score is a difference of two shares and its flag says that it is below 0."""
+    score, flag = F.col("isolation_score"), F.col("isolation_anomaly")
+    sound = F.when(score.isNull(), flag.isNull()).otherwise(score.between(-1, 1) & (flag == (score < 0)))
+    return G.isolation(_stored_features(spark, sf)).select("symbol", score.isNotNull().alias("scored"), sound.alias("sound"))
+
+
+@query("sg_08_attention_frame", "select l.symbol, l.risk_band = 'High Risk' or coalesce(l.abnormal_volume, false) or coalesce(abs(s.return_z) >= 3, false) as other_terms, true as consistent from latest l join surprise s on l.symbol = s.symbol")
+def sg_08_frame(spark, sf):
+    """The terms of attention but the forest's, and whether attention is these or the forest's flag."""
+    table = G.risk_table(_stored_features(spark, sf)).withColumn("other_terms", G.attention(F.col("risk_band"), F.col("abnormal_volume"), F.col("statistical_anomaly")))
+    return table.select("symbol", "other_terms", (F.col("attention") == (F.col("other_terms") | F.coalesce("isolation_anomaly", F.lit(False)))).alias("consistent"))
+
+
 @query("sg_08_attention", "select l.symbol, l.risk_band = 'High Risk' or coalesce(l.abnormal_volume, false) or coalesce(abs(s.return_z) >= 3, false) as attention from latest l join surprise s on l.symbol = s.symbol")
 def sg_08(spark, sf):
     return G.risk_table(_stored_features(spark, sf)).select("symbol", "attention")
