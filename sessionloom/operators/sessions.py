@@ -86,16 +86,29 @@ def gaps(aligned: DataFrame) -> DataFrame:
     return aligned.where("gap").select("symbol", "session_date", "gap_disposition")
 
 
+def final_minute() -> Column:
+    """Minute of the day from which on the bars of a calendar's session are final: 16:00, or 21:30 for an evening or special session."""
+    return F.when(F.col("session_kind").isin("muhurat", "special"), 21 * 60 + 30).otherwise(16 * 60)
+
+
+def minute_of_day(moment: Column | str) -> Column:
+    return F.hour(moment) * 60 + F.minute(moment)
+
+
+def is_final(now: Column) -> Column:
+    """Whether a row of the calendar is a session whose bars are final at now (local time)."""
+    today = F.to_date(now)
+    return F.col("expected_open") & ((F.col("session_date") < today) | (F.col("session_date") == today) & (minute_of_day(now) >= final_minute()))
+
+
 def expected_session(calendar: DataFrame, moments: DataFrame) -> DataFrame:
     """For each moment (column now, local time): the latest open session whose bars are final.
 
     Those of the day itself count from 16:00 on, or 21:30 after an evening or special session; 14 days back are looked at. Null: none.
     """
-    local = moments.select("now", F.to_date("now").alias("today"), (F.hour("now") * 60 + F.minute("now")).alias("minute"))
+    local = moments.select("now", F.to_date("now").alias("today"))
     near = local.join(F.broadcast(calendar), (F.col("session_date") <= F.col("today")) & (F.col("session_date") >= F.date_sub("today", 14)), "left")
-    final = F.when(F.col("session_kind").isin("muhurat", "special"), 21 * 60 + 30).otherwise(16 * 60)
-    counts = F.col("expected_open") & ((F.col("session_date") < F.col("today")) | (F.col("minute") >= final))
-    return near.groupBy("now").agg(F.max(F.when(counts, F.col("session_date"))).alias("expected_session"))
+    return near.groupBy("now").agg(F.max(F.when(is_final(F.col("now")), F.col("session_date"))).alias("expected_session"))
 
 
 def is_fresh(latest: DataFrame, expected: Column) -> DataFrame:

@@ -108,15 +108,15 @@ def years_of(bar_table: DataFrame) -> DataFrame:
     return days(bar_table.agg(F.make_date(F.year(F.min("session_date")), F.lit(1), F.lit(1)).alias("start"), F.make_date(F.year(F.max("session_date")) + 1, F.lit(1), F.lit(1)).alias("end")))
 
 
-def exchange_calendar(spark: SparkSession, sf: str) -> DataFrame:
+def exchange_calendar(spark: SparkSession, sf: str, source: str = "lineitem", date: str = "l_shipdate") -> DataFrame:
     # the dates alone bound the calendar
-    dates = table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("session_date"))
+    dates = table(spark, sf, source).select(F.col(date).cast("date").alias("session_date"))
     all_days = stored(years_of(dates), "days")
     return make_calendar(all_days, **reference(all_days), version="rule-1")
 
 
-view("year_days", "select unnest(generate_series(make_date(year((select min(session_date) from bars)), 1, 1)::timestamp, make_date(year((select max(session_date) from bars)), 12, 31)::timestamp, interval 1 day))::date as session_date")
-view("calendar", """
+YEAR_DAYS = "select unnest(generate_series(make_date(year((select min({0}) from {1})), 1, 1)::timestamp, make_date(year((select max({0}) from {1})), 12, 31)::timestamp, interval 1 day))::date as session_date"
+CALENDAR = """
 select session_date, session_kind <> 'closed' as expected_open, session_kind, source, 'rule-1' as calendar_version from (
   select session_date,
          case when is_shut then 'closed' when session_date = muhurat then 'muhurat' when is_extra then case when dow > 5 then 'special' else 'regular' end
@@ -128,7 +128,11 @@ select session_date, session_kind <> 'closed' as expected_open, session_kind, so
            isodow(session_date) = 6 and day(session_date) <= 7 and month(session_date) in (3, 9) as is_extra,
            (month(session_date) = 5 and day(session_date) = 2) or (month(session_date) = 11 and day(session_date) = 3)
              or (isodow(session_date) = 6 and day(session_date) <= 7 and month(session_date) = 3 and year(session_date) % 4 = 0) as is_shut
-    from year_days))""")
+    from {0}))"""
+view("year_days", YEAR_DAYS.format("session_date", "bars"))
+view("calendar", CALENDAR.format("year_days"))
+view("event_days", YEAR_DAYS.format("ts", "events"))
+view("event_calendar", CALENDAR.format("event_days"))
 
 START, END = "1996-01-01", "1998-07-01"
 

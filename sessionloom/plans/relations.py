@@ -186,21 +186,19 @@ def event_bars(spark, sf):
 # streams: each is drained and its tables are read
 
 
-def _ticks(spark, sf, in_order: bool) -> str:
-    """Files of ticks as they arrive. in_order: one after the other by time, as a watermark needs them; else as the table is read."""
+def _ticks(spark, sf) -> str:
+    """Files of ticks as they arrive."""
     path = new_path(spark, "ticks")
     rows = X.table(spark, sf, "events").select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("double").alias("price"), F.lit(1).cast("long").alias("quantity"), F.col("event_id").alias("tick_id"))
-    (rows.orderBy("ts").coalesce(1) if in_order else rows).write.option("maxRecordsPerFile", 20_000).parquet(path)
+    rows.write.option("maxRecordsPerFile", 20_000).parquet(path)
     return path
 
 
 TICKS = "symbol string, ts timestamp, price double, quantity long, tick_id long"
-view("day_bars", "select event_type as symbol, ts::date as session_date, arg_min(value::double, row(ts, event_id)) as open, max(value)::double as high, min(value)::double as low, arg_max(value::double, row(ts, event_id)) as close, count(*) as volume from events group by 1, 2")
-
 
 @query("st_01_arrivals", "select event_type as symbol, count(*) as n from events group by 1")
 def st_01(spark, sf):
-    out, stream = new_path(spark, "arrived"), arrivals.arrivals(spark, _ticks(spark, sf, False), TICKS, 2)
+    out, stream = new_path(spark, "arrived"), arrivals.arrivals(spark, _ticks(spark, sf), TICKS, 2)
     stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", new_path(spark, "offsets")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(TICKS).parquet(out).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
 
@@ -221,13 +219,20 @@ def st_02(spark, sf):
     return good.unionByName(spark.read.parquet(bad).select(F.lit(True).alias("bad"))).groupBy("bad").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("st_03_completed_bars", f"select symbol, session_date, {r('open')} as open, {r('close')} as close, volume from day_bars where session_date + 1 <= (select max(ts) - interval 1 hour from events)")
+FINAL = "case when session_kind in ('muhurat', 'special') then 1290 else 960 end"
+view("session_ticks", f"select event_type, session_date, ts, event_id, value::double as price, {FINAL} as final from events join event_calendar on session_date = ts::date where expected_open and hour(ts) * 60 + minute(ts) < {FINAL}")
+
+
+@query("st_03_completed_bars", f"""select event_type as symbol, session_date, {r('arg_min(price, row(ts, event_id))')} as open, {r('max(price)')} as high, {r('min(price)')} as low, {r('arg_max(price, row(ts, event_id))')} as close, count(*) as volume
+  from session_ticks cross join (select max(ts) - interval 12 hour as now from events)
+  where session_date < now::date or session_date = now::date and hour(now) * 60 + minute(now) >= final group by 1, 2""")
 def st_03(spark, sf):
-    out = new_path(spark, "completed")
-    stream = arrivals.completed_bars(arrivals.arrivals(spark, _ticks(spark, sf, True), TICKS, 1))
-    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", new_path(spark, "offsets")).outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    rows = spark.read.schema("symbol string, session_date date, open double, high double, low double, close double, volume long").parquet(out)
-    return rows.select("symbol", "session_date", F.round("open", 6).alias("open"), F.round("close", 6).alias("close"), "volume")
+    """Ticks arrive in the order of their table; bars come out of sessions that are over twelve hours before the last tick."""
+    root, calendar = new_path(spark, "bars"), X.exchange_calendar(spark, sf, "events", "ts")
+    arrivals.add_ticks(arrivals.arrivals(spark, _ticks(spark, sf), TICKS, 8), root, calendar, new_path(spark, "offsets")).awaitTermination()
+    now = X.table(spark, sf, "events").agg((F.max("ts").cast("timestamp") - F.expr("interval 12 hours")).alias("now")).first()["now"]
+    rows = arrivals.completed_bars(spark, root, calendar, F.lit(now))
+    return rows.select("symbol", "session_date", *[F.round(c, 6).alias(c) for c in ("open", "high", "low", "close")], "volume")
 
 
 @query("st_04_revisions", "select symbol, count(*) as n from bars group by symbol")
