@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,16 +55,73 @@ def _below(path: str, column: str) -> Column:
     return F.substring_index(F.col(column), "/" + path.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
 
 
-def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """file (path below `path`), sha256 and length of every Parquet file below path."""
+PIECE = 1 << 20  # bytes of a file that are held at once
+STREAMED = ("file", "hdfs", "s3", "gs", "abfs", "abfss")  # schemes of file systems that workers open themselves
+
+
+def _opened(uri: str):
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/"))
+    authority, _, path = rest.removeprefix("//").partition("/")
+    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return system.open_input_stream(f"{base.rstrip('/')}/{path}")
+
+
+def _digests(piece: int):
+    """SHA-256 of each file, read piece by piece; a file that isn't as long as it was when it was listed is an error."""
+
+    def digest(uri: str, length: int) -> str:
+        sha, n = hashlib.sha256(), 0
+        with _opened(uri) as stream:
+            while data := stream.read(piece):
+                sha.update(data)
+                n += len(data)
+        if n != length:
+            raise ValueError(f"{uri} changed while it was read: {n} bytes instead of {length}")
+        return sha.hexdigest()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(sha256=[digest(p, n) for p, n in zip(batch["path"], batch["length"])])
+
+    return run
+
+
+def file_fingerprints(spark: SparkSession, path: str, piece: int = PIECE) -> DataFrame:
+    """file (path below `path`), sha256 and length of every Parquet file below path.
+
+    Files are listed without their contents, dealt over the tasks, and digested in pieces, so that a file of any size takes constant memory. On file systems that
+    workers can't open themselves, Spark reads each file as one value of 2 GB at most; a larger one is an error there. Files of no bytes, which no Parquet file is, aren't listed.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
-    return files.select(_below(path, "path").alias("file"), F.sha2("content", 256).alias("sha256"), "length")
+    listed = files.select("path", "length")
+    one = listed.first()
+    if one and one["path"].partition(":")[0] in STREAMED:
+        files = listed.repartition("path").mapInPandas(_digests(piece), "path string, length long, sha256 string")
+    else:
+        files = files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    return files.select(_below(path, "path").alias("file"), "sha256", "length")
+
+
+def _running(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """SHA-256 of all rows in their order, joined by line feeds, and how many they are."""
+    sha, n = hashlib.sha256(), 0
+    for batch in batches:
+        if len(batch):
+            sha.update((("\n" if n else "") + "\n".join(batch["row"])).encode())
+            n += len(batch)
+    yield pd.DataFrame({"dataset_id": [sha.hexdigest()], "members": [n]})
 
 
 def dataset_id(identity: DataFrame, *columns: str) -> DataFrame:
-    """One row: SHA-256 over the sorted JSON of the identity's rows. Identities are manifests, one row per output."""
-    row = F.to_json(F.struct(*columns))
-    return identity.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(row)), "\n"), 256).alias("dataset_id"), F.count(F.lit(1)).alias("members"))
+    """One row: SHA-256 over the sorted JSON of the identity's rows, and their number. Identities are manifests, one row per output.
+
+    The digest of a sequence is one task's work; its rows are sorted there with spilling and digested as they come, so that their number doesn't matter for memory.
+    """
+    rows = identity.select(F.to_json(F.struct(*columns)).alias("row")).repartition(1).sortWithinPartitions("row")
+    ids = rows.mapInPandas(_running, "dataset_id string, members long")
+    return ids.agg(F.coalesce(F.max("dataset_id"), F.sha2(F.lit("").cast("binary"), 256)).alias("dataset_id"), F.coalesce(F.max("members"), F.lit(0)).alias("members"))
 
 
 def manifest_mismatches(manifest: DataFrame, actual: DataFrame, key: str, *values: str) -> DataFrame:

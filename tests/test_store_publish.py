@@ -1,3 +1,4 @@
+import hashlib
 import random
 import shutil
 from datetime import date, datetime
@@ -209,6 +210,34 @@ def test_append_only_and_fingerprints(spark, tmp_path):
     assert before.items() <= after.items() and files.read_run(spark, path, "close double", "r1").count() == 1
 
 
+@pytest.mark.parametrize("piece", [1, 7, 1 << 20])
+def test_digests_of_files_and_manifests(spark, tmp_path, piece, monkeypatch):
+    """Files in pieces, names that look escaped, a file of no bytes; both ways of reading; ids whatever the order of rows."""
+    root = tmp_path / "landed files"
+    want = {}
+    for name, data in {"a.parquet": b"x" * 5000, "day=2020%2F01/b c.parquet": bytes(range(256)) * 9, "k=1/empty.parquet": b"", "k=1/seven.parquet": b"1234567"}.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(data)
+        want[name] = (hashlib.sha256(data).hexdigest(), len(data))
+    want.pop("k=1/empty.parquet")  # Spark passes over files of no bytes
+    (root / "other.txt").write_bytes(b"not listed")
+    found = lambda: {r["file"]: (r["sha256"], r["length"]) for r in files.file_fingerprints(spark, str(root), piece).collect()}
+    assert found() == want
+    monkeypatch.setattr(files, "STREAMED", ())
+    assert found() == want
+
+
+def test_dataset_id(spark):
+    rows = [(f"é{i % 50}", i) for i in range(30_000)]
+    schema = "file string, n long"
+    lines = sorted((f'{{"file":"{f}","n":{n}}}' for f, n in rows), key=str.encode)
+    for some in (rows, rows[::-1]):
+        got = files.dataset_id(spark.createDataFrame(some, schema), "file", "n").first()
+        assert got["dataset_id"] == hashlib.sha256("\n".join(lines).encode()).hexdigest() and got["members"] == 30_000
+    empty = files.dataset_id(spark.createDataFrame([], schema), "file", "n").first()
+    assert empty["dataset_id"] == hashlib.sha256(b"").hexdigest() and empty["members"] == 0
+
+
 def test_csv_round_trip_keeps_nulls(spark, tmp_path):
     df = spark.createDataFrame([("A", None, 1.5), ("B", True, None)], "s string, b boolean, x double")
     files.write_csv(df, str(tmp_path / "c"))
