@@ -41,6 +41,11 @@ def wilder(name: str, source: str, period: int, first: int = 0) -> Recursion:
     return Recursion(name, source, 1 - 1 / period, first + period - 1, period, first + period - 1)
 
 
+def terms(decay: float) -> int:
+    """Earlier blocks of which a value has any trace."""
+    return math.ceil(math.log(1e-17) / (BLOCK * math.log(decay))) if decay else 0
+
+
 def recurse(rows: DataFrame, keys: list[str], order: str, position: str, specs: list[Recursion]) -> DataFrame:
     """Add a column per spec. position: 0, 1, ... in each segment named by keys, ordered by `order`."""
     segment = Window.partitionBy(*keys).orderBy(order)
@@ -61,9 +66,8 @@ def recurse(rows: DataFrame, keys: list[str], order: str, position: str, specs:
     out = out.withColumns({f"_s_{s.name}": F.pow(F.lit(s.decay), place) * F.sum(F.col(f"_x_{s.name}") * F.pow(F.lit(s.decay), -place)).over(so_far) for s in specs})
     carried = {}
     for s in specs:
-        terms = math.ceil(math.log(1e-17) / (BLOCK * math.log(s.decay)))
         carry = F.lit(0.0)
-        for m in range(terms):
+        for m in range(terms(s.decay)):
             carry = carry + F.coalesce(F.lag(f"_s_{s.name}", 1 + BLOCK * m).over(segment), F.lit(0.0)) * s.decay ** (BLOCK * m)
         carried[f"_c_{s.name}"] = F.when(place == 0, carry)
     out = out.withColumns(carried)

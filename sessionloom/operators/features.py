@@ -10,15 +10,15 @@ from pyspark.sql.window import Window, WindowSpec
 
 from sessionloom.config import Features
 from sessionloom.functions.columns import divide, finite, over_full, spread
-from sessionloom.functions.recursive import ema, recurse, wilder
+from sessionloom.functions.recursive import BLOCK, Recursion, ema, recurse, terms, wilder
 from sessionloom.operators.sessions import available_at
 
 KEYS = ["symbol", "segment_id"]
 
 
-def in_run() -> WindowSpec:
-    """Rows of a gap-free run in order."""
-    return Window.partitionBy(*KEYS).orderBy("session_date")
+def in_run(keys: list[str] = KEYS) -> WindowSpec:
+    """Rows of a gap-free run, or of a part of it that keys name, in order."""
+    return Window.partitionBy(*keys).orderBy("session_date")
 
 
 def feature_names(config: Features = Features()) -> list[str]:
@@ -36,29 +36,55 @@ def adjusted(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"c": F.col("adj_close"), "h": F.col("high") * factor, "l": F.col("low") * factor, "v": F.when(share, F.col("volume").cast("double"))})
 
 
-def _simple(config: Features) -> dict[str, Column]:
+def _averages(config: Features) -> list[Recursion]:
+    """Recursive averages of columns of the run itself."""
+    fast, slow, _ = config.macd
+    out = [ema(f"ema_{n}", "c", n) for n in dict.fromkeys((*config.ema, fast, slow))]
+    return [*out, wilder("_up", "_gain", config.rsi, 1), wilder("_down", "_loss", config.rsi, 1), wilder(f"atr_{config.atr}", "_range", config.atr)]
+
+
+def _signal(config: Features) -> Recursion:
+    _, slow, signal = config.macd
+    return ema("macd_signal", "macd", signal, slow - 1)
+
+
+def history(config: Features = Features()) -> int:
+    """So many rows of a run before a row, in whole blocks, decide its features: what is before them has no trace in a double."""
+    frames = max(config.extremes, config.bollinger, config.volume, config.momentum, *config.sma, *config.returns, *config.volatility) + 1
+    blocks = 1 + max(terms(s.decay) for s in _averages(config)) + terms(_signal(config).decay)
+    return BLOCK * max(blocks, -(-frames // BLOCK))
+
+
+def _simple(config: Features, run: WindowSpec) -> dict[str, Column]:
     """Features that lags and sliding frames express."""
     c, h, low, v = (F.col(x) for x in "chlv")
-    out = {f"return_{n}d": c / F.lag(c, n).over(in_run()) - 1 for n in config.returns}
+    out = {f"return_{n}d": c / F.lag(c, n).over(run) - 1 for n in config.returns}
     for n in config.sma:
-        out[f"sma_{n}"] = over_full(F.avg, c, in_run(), 1 - n, 0)
+        out[f"sma_{n}"] = over_full(F.avg, c, run, 1 - n, 0)
         out[f"distance_sma_{n}"] = divide(c, out[f"sma_{n}"]) - 1
     n = config.bollinger
-    middle, spread = over_full(F.avg, c, in_run(), 1 - n, 0), config.bollinger_width * over_full(F.stddev_pop, c, in_run(), 1 - n, 0)
+    middle, spread = over_full(F.avg, c, run, 1 - n, 0), config.bollinger_width * over_full(F.stddev_pop, c, run, 1 - n, 0)
     out |= {"bollinger_middle": middle, "bollinger_upper": middle + spread, "bollinger_lower": middle - spread}
-    back = F.lag(c, config.momentum).over(in_run())
+    back = F.lag(c, config.momentum).over(run)
     out |= {"momentum_10": c - back, "roc_10": c / back - 1}
-    high, lowest = over_full(F.max, h, in_run(), 1 - config.extremes, 0), over_full(F.min, low, in_run(), 1 - config.extremes, 0)
+    high, lowest = over_full(F.max, h, run, 1 - config.extremes, 0), over_full(F.min, low, run, 1 - config.extremes, 0)
     out |= {"high_252": high, "low_252": lowest, "distance_high_252": divide(c, high) - 1, "distance_low_252": divide(c, lowest) - 1}
-    out |= {"volume_change_1d": divide(v, F.lag(v, 1).over(in_run())) - 1, "volume_sma_20": over_full(F.avg, v, in_run(), 1 - config.volume, 0)}
-    out["relative_volume_20"] = divide(v, over_full(F.avg, v, in_run(), -config.volume, -1))
+    out |= {"volume_change_1d": divide(v, F.lag(v, 1).over(run)) - 1, "volume_sma_20": over_full(F.avg, v, run, 1 - config.volume, 0)}
+    out["relative_volume_20"] = divide(v, over_full(F.avg, v, run, -config.volume, -1))
     return out
 
 
-def run_features(rows: DataFrame, config: Features = Features()) -> DataFrame:
-    """Features of eligible rows. Every window and recursion starts anew in each (symbol, segment_id)."""
-    c = F.col("c")
-    out = adjusted(spread(rows, *KEYS)).withColumns({"_pos": F.row_number().over(in_run()) - 1, "_before": F.lag("c", 1).over(in_run())})
+def run_features(rows: DataFrame, config: Features = Features(), part: str | None = None) -> DataFrame:
+    """Features of eligible rows. Every window and recursion starts anew in each (symbol, segment_id).
+
+    part: a column that cuts runs into parts, which are worked on apart. Its rows tell their place in the run (_pos, from 0) and whether they come out (_own): before
+    those that do, a part has the run's `history` of rows that don't.
+    """
+    c, keys = F.col("c"), [*KEYS, part] if part else KEYS
+    run = in_run(keys)
+    out = adjusted(spread(rows, *keys)).withColumn("_before", F.lag("c", 1).over(run))
+    if not part:
+        out = out.withColumns({"_pos": F.row_number().over(run) - 1, "_own": F.lit(True)})
     change = c - F.col("_before")
     out = out.withColumns({
         "log_return_1d": F.ln(c / F.col("_before")), "_gain": F.greatest(change, F.lit(0.0)), "_loss": F.greatest(-change, F.lit(0.0)),
@@ -66,21 +92,19 @@ def run_features(rows: DataFrame, config: Features = Features()) -> DataFrame:
     })
     # greatest() skips nulls, and the first row of a run has no change
     out = out.withColumns({x: F.when(F.col("_before").isNotNull(), F.col(x)) for x in ("_gain", "_loss")})
-    fast, slow, signal = config.macd
-    specs = [ema(f"ema_{n}", "c", n) for n in dict.fromkeys((*config.ema, fast, slow))]
-    specs += [wilder("_up", "_gain", config.rsi, 1), wilder("_down", "_loss", config.rsi, 1), wilder(f"atr_{config.atr}", "_range", config.atr)]
-    out = recurse(out, KEYS, "session_date", "_pos", specs).withColumn("macd", F.col(f"ema_{fast}") - F.col(f"ema_{slow}"))
-    out = recurse(out, KEYS, "session_date", "_pos", [ema("macd_signal", "macd", signal, slow - 1)])
+    fast, slow, _ = config.macd
+    out = recurse(out, keys, "session_date", "_pos", _averages(config)).withColumn("macd", F.col(f"ema_{fast}") - F.col(f"ema_{slow}"))
+    out = recurse(out, keys, "session_date", "_pos", [_signal(config)])
     up, down = F.col("_up"), F.col("_down")
-    more = _simple(config)
+    more = _simple(config, run)
     more[f"rsi_{config.rsi}"] = F.when((down == 0) & (up > 0), 100.0).when((down == 0) & (up == 0), 50.0).otherwise(100 - 100 / (1 + divide(up, down)))
     more |= {"macd_histogram": F.col("macd") - F.col("macd_signal"), "atr_fraction": divide(F.col(f"atr_{config.atr}"), c)}
     for n in config.volatility:
-        more[f"volatility_{n}"] = over_full(F.stddev_samp, F.col("log_return_1d"), in_run(), 1 - n, 0) * F.sqrt(F.lit(float(config.year)))
+        more[f"volatility_{n}"] = over_full(F.stddev_samp, F.col("log_return_1d"), run, 1 - n, 0) * F.sqrt(F.lit(float(config.year)))
     out = out.withColumns(more)
     upper, lower = F.col("bollinger_upper"), F.col("bollinger_lower")
     out = out.withColumns({"bollinger_width": divide(upper - lower, F.col("bollinger_middle")), "bollinger_percent_b": divide(c - lower, upper - lower)})
-    return out.select("symbol", "session_date", (F.col("_pos") + 1).cast("long").alias("segment_age"), *[finite(F.col(x)).alias(x) for x in feature_names(config)])
+    return out.where("_own").select("symbol", "session_date", (F.col("_pos") + 1).cast("long").alias("segment_age"), *[finite(F.col(x)).alias(x) for x in feature_names(config)])
 
 
 def features(aligned: DataFrame, config: Features = Features()) -> DataFrame:
@@ -90,7 +114,11 @@ def features(aligned: DataFrame, config: Features = Features()) -> DataFrame:
     available_at, feature_version and the features.
     """
     timed = aligned.withColumn("available_at", available_at(F.col("observed_at"), F.col("feature_eligible")))
-    made = run_features(timed.where("feature_eligible"), config)
+    return feature_table(timed, run_features(timed.where("feature_eligible"), config), config)
+
+
+def feature_table(timed: DataFrame, made: DataFrame, config: Features = Features()) -> DataFrame:
+    """The rows of timed (feature_eligible, available_at) with what run_features made of the eligible ones."""
     out = timed.select("symbol", "session_date", F.col("feature_eligible").alias("input_valid"), "available_at").join(made, ["symbol", "session_date"], "left")
     core = reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in config.core])
     return out.select(

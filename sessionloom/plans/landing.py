@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from sessionloom.functions import columns as C
 from sessionloom.operators import quality as Q
 from sessionloom.operators import sessions as S
+from sessionloom.operators import slices as SL
 from sessionloom.plans import fixtures as X
 from sessionloom.plans.registry import ORACLES, QUERIES, query, r, view
 from sessionloom.sources import files, store
@@ -530,6 +531,12 @@ def cal_05(spark, sf):
     return X.panel(spark, sf).select("symbol", "session_date", "segment_id")
 
 
+@query("cal_05_segments_by_year", "select symbol, session_date, segment_id from panel")
+def cal_05_by_year(spark, sf):
+    """The same as running counts within years and totals of earlier ones, for series of any length."""
+    return SL.segments(X.panel(spark, sf), F.year("session_date")).select("symbol", "session_date", F.col("segment_id").cast("long").alias("segment_id"))
+
+
 @query("cal_06_horizons", "select symbol, session_date, target_1d_eligible, target_5d_eligible from panel")
 def cal_06(spark, sf):
     return X.panel(spark, sf).select("symbol", "session_date", "target_1d_eligible", "target_5d_eligible")

@@ -19,6 +19,7 @@ from sessionloom.operators import models as M
 from sessionloom.operators import publish as P
 from sessionloom.operators import sessions as S
 from sessionloom.operators import signals as G
+from sessionloom.operators import slices as SL
 from sessionloom.plans import fixtures as X
 from sessionloom.plans.registry import ORACLES, QUERIES, query, r, view, with_views
 from sessionloom.sources import store
@@ -145,6 +146,14 @@ def wn_30(spark, sf):
     return out.select((F.col("left_only") + F.col("right_only") + F.col("different")).alias("changed"), (F.col("equal") + F.col("different")).alias("compared"))
 
 
+@query("wn_31_sliced", f"select symbol, session_date, segment_age, core_ready, available_at, {', '.join(f'{r(c, _digits(c))} as {c}' for c in FT.feature_names())} from feats")
+def wn_31(spark, sf):
+    """All features by slices of runs, short ones as runs here are; what is added up in a task is a symbol's half year."""
+    half = F.year("session_date") * 2 + (F.month("session_date") > 6).cast("int")
+    table = SL.sliced_features(X.panel(spark, sf), half, rows=512)
+    return table.select("symbol", "session_date", "segment_age", "core_ready", "available_at", *[F.round(c, _digits(c)).alias(c) for c in FT.feature_names()])
+
+
 @query("ag_04_coverage", " union all ".join(f"select symbol, '{n}' as feature, count({n}) as non_null, count(*) - count({n}) as nulls from feats group by symbol" for n in FT.feature_names()))
 def ag_04(spark, sf):
     return FT.coverage(_features(spark, sf), FT.feature_names())
