@@ -411,9 +411,13 @@ view("marks", "select d.*, fold, start, stop, " + ", ".join(
     f"coalesce(core_ready and {t} is not null and session_date < start and target_date_5d < start, false) as train_{t}, coalesce(core_ready and {t} is not null and session_date >= start and session_date < stop and target_date_{h}d < stop, false) as test_{t}" for t, h in TARGETS.items()) + " from design d cross join folds")
 
 
-def _design(spark, sf):
+def _design(spark, sf, names=None):
+    """Labels and features of a row, stored; names: the features to be read, beside readiness (None: all)."""
     panel = X.panel(spark, sf)
-    return X.stored(L.labels(panel).join(FT.features(panel), ["symbol", "session_date"]), "design")
+    features = FT.features(panel)
+    if names is not None:
+        features = features.select("symbol", "session_date", "core_ready", *names)
+    return X.stored(L.labels(panel).join(features, ["symbol", "session_date"]), "design")
 
 
 def _folds(spark, sf):
@@ -421,8 +425,9 @@ def _folds(spark, sf):
     return L.folds(X.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("session_date")))
 
 
-def _marks(spark, sf):
-    return L.marked(_design(spark, sf), _folds(spark, sf))
+def _marks(spark, sf, *names):
+    """Rows of all folds with the features named: what isn't named isn't computed, as rows come once per fold."""
+    return L.marked(_design(spark, sf, names), _folds(spark, sf))
 
 
 @query("ml_01_labels", f"select symbol, session_date, {r('future_return_1d')} as future_return_1d, target_date_1d, {r('future_return_5d')} as future_return_5d, target_date_5d, direction_1d from labels")
@@ -468,7 +473,7 @@ NAMES = ["return_1d", "rsi_14", "relative_volume_20", "sma_200"]
 @query("ml_05_imputation", f"""select m.symbol, m.session_date, m.fold, {', '.join(f"{r(f'coalesce({n}, k.m_{n}, 0)', _digits(n))} as {n}, case when k.n_{n} > 0 and {n} is null then 1.0 else 0.0 end as missing_{n}" for n in NAMES)} from marks m
   join (select fold, {', '.join(f"median({n}) as m_{n}, count(*) - count({n}) as n_{n}" for n in NAMES)} from marks where train_direction_1d group by fold) k on m.fold = k.fold where test_direction_1d""")
 def ml_05(spark, sf):
-    marks = _marks(spark, sf)
+    marks = _marks(spark, sf, *NAMES)
     out = L.imputed(marks, L.fold_medians(marks, NAMES, "direction_1d"), NAMES).where("test_direction_1d")
     return out.select("symbol", "session_date", "fold", *[F.round(n, _digits(n)).alias(n) for n in NAMES], *[f"missing_{n}" for n in NAMES])
 
@@ -477,7 +482,7 @@ def ml_05(spark, sf):
   join (select fold, {', '.join(f"avg({n}) as m_{n}, stddev_pop({n}) as s_{n}" for n in ("return_1d", "rsi_14"))} from marks where train_direction_1d group by fold) k on m.fold = k.fold where test_direction_1d""")
 def ml_06(spark, sf):
     names = ["return_1d", "rsi_14"]
-    return L.standardized(_marks(spark, sf), names, "direction_1d").where("test_direction_1d").select("symbol", "session_date", "fold", *[F.round(n, 6).alias(n) for n in names])
+    return L.standardized(_marks(spark, sf, *names), names, "direction_1d").where("test_direction_1d").select("symbol", "session_date", "fold", *[F.round(n, 6).alias(n) for n in names])
 
 
 view("base_pred", "select m.fold, symbol, session_date, direction_1d as actual, prior as prediction from marks m join (select fold, avg(direction_1d) as prior from marks where train_direction_1d group by fold) k on m.fold = k.fold where test_direction_1d")
@@ -493,7 +498,7 @@ view("spread_pred", "select fold, symbol, session_date, direction_1d as actual,
 
 
 def _spread(spark, sf, marks=None):
-    return (marks or _marks(spark, sf)).where("test_direction_1d").select("fold", "symbol", "session_date", F.col("direction_1d").alias("actual"), (F.col("rsi_14") / 100).alias("prediction"), F.col("future_return_1d").alias("ret"), F.col("return_1d").alias("ret_prediction"))
+    return (marks or _marks(spark, sf, "rsi_14", "return_1d")).where("test_direction_1d").select("fold", "symbol", "session_date", F.col("direction_1d").alias("actual"), (F.col("rsi_14") / 100).alias("prediction"), F.col("future_return_1d").alias("ret"), F.col("return_1d").alias("ret_prediction"))
 
 
 def _class_sql(keys: str) -> str:
@@ -539,7 +544,7 @@ view("scores", f"""select 'direction_1d' as target, 'rsi' as model, {SPLIT} as s
 
 
 def _scores(spark, sf):
-    marks = _marks(spark, sf)
+    marks = _marks(spark, sf, "rsi_14", "return_1d")
     spread = _spread(spark, sf, marks).select("fold", "actual", "prediction").withColumn("model", F.lit("rsi"))
     momentum = _spread(spark, sf, marks).select("fold", F.col("ret").alias("actual"), F.col("ret_prediction").alias("prediction")).withColumn("model", F.lit("momentum"))
     parts = []
