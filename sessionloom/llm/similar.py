@@ -10,11 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionloom.llm.components import components
 from sessionloom.llm.shared import Rolling, cut, mixed, text_slices, word_hashes, word_spans
 
 HASHES, BAND, BANDS = 256, 5, 20  # least hashes of a text; of a band; bands
-GROUP = 4096  # texts of one key that a task compares
-DEPTH, PIECES, PIECE = 2, 16, 8  # how often the leading texts of a crowded key are dealt anew, by how many pieces of signatures, of how many bytes
+GROUP, ROOM = 4096, 1 << 25  # texts of one key, and bytes of their shingles, that make a share
+FEW, LEADS = 16, 64  # texts of a key that are all compared at once; leading texts of a share of a larger one
+TASK = 1 << 25  # pairs of tiles that are dealt to a task, about
 DOUBT = 0.1  # estimates no further from the similarity than this are settled by the shingles themselves: four standard errors or more
 
 
@@ -72,43 +74,36 @@ def estimate(equal: np.ndarray) -> np.ndarray:
     return (equal - 1 / 256) / (1 - 1 / 256)
 
 
-def _led(least: float, group: int):
-    """Rows (key, share, n, tie, signature), those of a key and share together: each is linked to the first row before it that leads and whose estimate is
-    `least` or more, or leads itself. Where a key has several shares, rows that lead are passed on."""
+def _led(least: float):
+    """Rows (key, share, n, tie, signature), those of a key and share together: links (u, v, estimate) of rows whose estimate is `least` or more. Rows of a key of FEW are
+    linked to all of these before them, rows of others to the first of LEADS leading rows, if any; what this leaves open is _crossed's."""
 
     def run(batches):
         now, leads = None, []
         for batch in batches:
             key, share, n, tie = (batch.column(c).to_numpy() for c in ("key", "share", "n", "tie"))
             body = np.array([np.frombuffer(x.as_py(), np.uint8) for x in batch.column("signature")]).reshape(-1, HASHES)
-            u, v, near, passed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], []
+            u, v, near = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
             edges = np.flatnonzero((key[1:] != key[:-1]) | (share[1:] != share[:-1])) + 1 if len(key) else []
             for a, b in zip([0, *edges], [*edges, len(key)]):
                 if a == b:
                     continue
                 if (key[a], share[a]) != now:
                     now, leads = (key[a], share[a]), []
-                rest, i = np.arange(a, b), 0
-                while len(rest):
+                few, rest, i = n[a] <= FEW, np.arange(a, b), 0
+                while len(rest) and (few or i < LEADS):
                     if i == len(leads):
                         leads.append((tie[rest[0]], body[rest[0]]))
-                        if n[a] > group:
-                            passed.append(rest[0])
                         rest = rest[1:]
                     found = estimate((body[rest] == leads[i][1]).mean(axis=1))
                     hit = found >= least
                     u.append(tie[rest[hit]])
                     v.append(np.full(hit.sum(), leads[i][0]))
                     near.append(found[hit])
-                    rest, i = rest[~hit], i + 1
+                    rest, i = rest if few else rest[~hit], i + 1
             u, v, near = np.concatenate(u), np.concatenate(v), np.concatenate(near)
             other = u != v
-            u, v, near = u[other], v[other], near[other]
-            none = [None] * len(u)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*none, *key[passed].tolist()], pa.int64()), pa.array([*u.tolist(), *tie[passed].tolist()], pa.int64()), pa.array([*v.tolist(), *[None] * len(passed)], pa.int64()), pa.array([*near.tolist(), *[None] * len(passed)], pa.float64()), pa.array([*none, *[body[i].tobytes() for i in passed]], pa.binary())],
-                ["key", "u", "v", "estimate", "signature"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(u[other]), pa.array(v[other]), pa.array(near[other])], ["u", "v", "estimate"])
 
     return run
 
@@ -140,47 +135,137 @@ def verified(doubtful: DataFrame, texts: DataFrame, k: int, similarity: float) -
     return both.where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("u", "v")
 
 
-def _compared(rows: DataFrame, least: float, group: int, depth: int = 1) -> list[DataFrame]:
-    """Tables (u, v, estimate) of pairs that meet at a key. rows: key, tie, signature.
+def _shared(one: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """How many values each of sets has of one; all are sorted and without repeats."""
+    sizes = np.array([len(x) for x in sets])
+    out = np.zeros(len(sets), np.int64)
+    if not len(one) or not sizes.any():
+        return out
+    values = np.concatenate(sets)
+    has = one[np.minimum(np.searchsorted(one, values), len(one) - 1)] == values
+    out[sizes > 0] = np.add.reduceat(has.astype(np.int64), (np.cumsum(sizes) - sizes)[sizes > 0])
+    return out
 
-    Texts of a key are compared with those of them that lead, in shares of about `group`. What leads in several shares of a key is compared once more: together, if `group` or fewer do.
-    More, which are unlike each other or lie in different shares, are dealt by PIECES pieces of their signatures, longer with each depth, so that unlike ones part and no
-    group is ever compared whole; at DEPTH they have met in their shares, at as many keys as they share.
-    """
-    many = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = rows.join(many, "key")
-    rows = rows.withColumns({"share": F.pmod(F.xxhash64("tie", F.lit(depth)), F.ceil(F.col("n") / group)).cast("int"), "turn": F.xxhash64("key", "tie")})
-    kind = "key long, u long, v long, estimate double, signature binary"
-    met = rows.repartition("key", "share").sortWithinPartitions("key", "share", "turn").select("key", "share", "n", "tie", "signature").mapInArrow(_led(least, group), kind)
-    met = cut(met, "led")
-    found = [met.where("v is not null").select("u", "v", "estimate")]
-    lead = met.where("v is null").select("key", F.col("u").alias("tie"), "signature")
-    if depth > DEPTH or lead.isEmpty():
-        return found
-    counts = lead.groupBy("key").agg(F.count(F.lit(1)).alias("leads"))
-    lead = cut(lead.join(counts, "key"), "leads")
-    together = lead.where(F.col("leads") <= group)
-    apart = lead.where(F.col("leads") > group)
-    size = PIECE * depth
-    pieces = [F.xxhash64("key", F.lit(k), F.substring("signature", 1 + k * (HASHES - size) // (PIECES - 1), size)) for k in range(PIECES)]
-    if not together.isEmpty():
-        found += _compared(together.select("key", "tie", "signature"), least, group, DEPTH + 1)
-    if not apart.isEmpty():
-        found += _compared(apart.select(F.explode(F.array(*pieces)).alias("key"), "tie", "signature").distinct(), least, group, depth + 1)
+
+def _joined(rows: list[tuple], least: float, sure: float, similarity: float) -> list[tuple[int, int]]:
+    """Links (u, v) that connect all rows (side, tie, root, signature, shingles) of a tile which are similar across its sides (among themselves, if it has one)
+    and not yet connected by their roots: every such pair is estimated, and those from `least` to `sure` are settled by their shingles."""
+    side, tie = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.int64)
+    body = np.array([np.frombuffer(r[3], np.uint8) for r in rows]).reshape(-1, HASHES)
+    label = np.unique(np.array([r[2] for r in rows], np.int64), return_inverse=True)[1]
+    one, found = not side.any(), []
+
+    def join(i: int, others: np.ndarray) -> None:
+        for c, j in zip(*np.unique(label[others], return_index=True)):
+            if c != label[i]:
+                found.append((int(tie[i]), int(tie[others[j]])))
+                label[label == c] = label[i]
+
+    right = np.flatnonzero(side == 1)
+    for i in range(len(rows)) if one else np.flatnonzero(side == 0).tolist():
+        others = np.arange(i + 1, len(rows)) if one else right
+        others = others[label[others] != label[i]]
+        if not len(others):
+            continue
+        near = estimate(np.count_nonzero(body[others] == body[i], axis=1) / HASHES)
+        join(i, others[near >= sure])
+        doubt = others[(near >= least) & (near < sure)]
+        for a in range(0, len(doubt), 256):
+            part = doubt[a : a + 256]
+            part = part[label[part] != label[i]]
+            if len(part):
+                sets = [rows[j][4] for j in part]
+                shared = _shared(rows[i][4], sets)
+                join(i, part[shared >= similarity * (len(rows[i][4]) + np.array([len(x) for x in sets]) - shared)])
     return found
 
 
-def links(prints: DataFrame, pairs: DataFrame, texts: DataFrame, k: int, similarity: float, group: int = GROUP) -> DataFrame:
+def _tiles(least: float, sure: float, similarity: float):
+    """Reads rows (tile, side, tie, root, signature, shingles), those of a tile together."""
+
+    def made(held):
+        links = np.array(_joined(held, least, sure, similarity), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["u", "v"])
+
+    def run(batches):
+        now, held = None, []
+        for batch in batches:
+            tile, shingles = batch.column("tile").to_numpy(), batch.column("shingles")
+            others = [batch.column(c).to_pylist() for c in ("side", "tie", "root", "signature")]
+            for i, row in enumerate(zip(*others)):
+                if tile[i] != now and held:
+                    yield made(held)
+                    held = []
+                now = tile[i]
+                held.append((*row, shingles[i].values.to_numpy().copy()))
+        if held:
+            yield made(held)
+
+    return run
+
+
+def _crossed(rows: DataFrame, edges: DataFrame, least: float, group: int, texts: DataFrame | None, k: int, similarity: float, room: int) -> DataFrame:
+    """Links (u, v) by which texts that share a key and are similar become connected, where edges don't connect them yet. rows: key, n, tie, signature.
+
+    Keys of more than FEW texts, of which not all are connected, are compared whole: their texts are dealt into shares of about `group` texts and `room` bytes of shingles, and every
+    two shares meet in a tile, a task's work, so that no pair is left out and no task holds more than two shares. What is connected isn't compared: a large class has shares of its own,
+    which don't meet each other. Many texts of a key that are unlike are compared pair by pair.
+    """
+    roots = components(edges)
+    named = rows.where(F.col("n") > FEW).join(roots.withColumnRenamed("node", "tie"), "tie", "left").withColumn("root", F.coalesce("root", "tie"))
+    open_ = named.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+    named = cut(named.join(open_, "key").select("key", "tie", "root", "signature"), "crossing")
+    if named.isEmpty():
+        return edges.limit(0)
+    sets = named.select("tie").distinct()
+    if texts is None:
+        sets = sets.withColumn("shingles", F.array().cast("array<long>"))
+    else:
+        sets = cut(texts.join(sets, "tie", "left_semi").dropDuplicates(["tie"]).select("tie", "text").mapInArrow(_shingle_sets(k), "tie long, shingles array<long>"), "sets")
+    named = named.join(sets.select("tie", F.size("shingles").alias("size")), "tie")
+    shares = lambda n, size: F.greatest(F.ceil(n / group), F.ceil(size * 8 / room))
+    classes = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("size"))
+    classes = classes.withColumn("own", shares(F.col("m"), F.col("size")))
+    others = classes.where("own <= 1").groupBy("key").agg(shares(F.sum("m"), F.sum("size")).alias("all"))
+    dealt = named.join(classes.where("own > 1").select("key", "root", "own"), ["key", "root"], "left").join(others, "key", "left")
+    share = F.when(F.col("own").isNull(), F.pmod(F.xxhash64("root"), F.greatest("all", F.lit(1)))).otherwise(F.xxhash64("root", F.pmod(F.xxhash64("tie"), F.col("own"))))
+    dealt = cut(dealt.select("key", "tie", "root", "signature", share.alias("share"), F.when(F.col("own").isNotNull(), F.col("root")).alias("class")), "shares")
+    each = dealt.groupBy("key", "share", "class").agg(F.count(F.lit(1)).alias("m"))
+    one, two = (each.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("share", "class", "m")]) for x in "ab")
+    tiles = one.join(two, "key").where("share_a <= share_b and not coalesce(class_a = class_b, false)")
+    tiles = cut(tiles.select("key", "share_a", "share_b", F.xxhash64("key", "share_a", "share_b").alias("tile"), (F.col("m_a") * F.col("m_b")).alias("pairs")), "tiles")
+    work = tiles.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
+    sides = [tiles.where(where).select("key", F.col(f"share_{x}").alias("share"), "tile", F.lit(side).alias("side")) for side, x, where in ((0, "a", "true"), (1, "b", "share_a < share_b"))]
+    met = dealt.join(sides[0].unionByName(sides[1]), ["key", "share"]).select("tile", "side", "tie", "root", "signature").join(sets, "tie")
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), work // TASK)
+    met = met.repartition(tasks, "tile").sortWithinPartitions("tile", "side", "tie").select("tile", "side", "tie", "root", "signature", "shingles")
+    return cut(met.mapInArrow(_tiles(least, least if texts is None else similarity + DOUBT, similarity), "u long, v long"), "crossed")
+
+
+def _compared(rows: DataFrame, least: float, group: int, texts: DataFrame | None = None, k: int = 0, similarity: float = 0.0, room: int = ROOM) -> list[DataFrame]:
+    """Tables of edges (u, v) that connect all texts that share a key and are similar. rows: key, tie, signature.
+
+    First comes what is near the leading texts of a key's shares, so that copies become one class without pairs among them, then whatever is still unconnected at a key
+    (_crossed). Similar is what has an estimate of `least` or more; with texts (tie, text), only what has the similarity too.
+    """
+    rows = rows.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key")
+    dealt = rows.withColumns({"share": F.pmod(F.xxhash64("tie"), F.ceil(F.col("n") / group)).cast("int"), "turn": F.xxhash64("key", "tie")})
+    met = dealt.repartition("key", "share").sortWithinPartitions("key", "share", "turn").select("key", "share", "n", "tie", "signature").mapInArrow(_led(least), "u long, v long, estimate double")
+    found = cut(met.groupBy("u", "v").agg(F.max("estimate").alias("estimate")), "found")
+    edges = found.select("u", "v")
+    if texts is not None:
+        sure = F.col("estimate") >= similarity + DOUBT
+        edges = cut(found.where(sure).select("u", "v").unionByName(verified(found.where(~sure).select("u", "v"), texts, k, similarity)), "led")
+    return [edges, _crossed(rows, edges, least, group, texts, k, similarity, room)]
+
+
+def links(prints: DataFrame, pairs: DataFrame, texts: DataFrame, k: int, similarity: float, group: int = GROUP, room: int = ROOM) -> DataFrame:
     """Edges (u, v) between texts (tie, text) of a similarity or more. prints: tie, keys, signature, one row per text; pairs (u, v): proposals beside the keys'.
 
-    Signatures settle what is further than DOUBT from the similarity, the shingles themselves the rest. Which text leads differs by key, so that a pair that misses each
-    other at one key meets at others.
+    All similar texts that share a key become connected. Signatures settle what is further than DOUBT from the similarity, the shingles themselves the rest.
     """
     proposed = pairs.select(F.xxhash64("u", "v").alias("key"), F.explode(F.array("u", "v")).alias("tie"))
     members = prints.select(F.explode("keys").alias("key"), "tie").unionByName(proposed)
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     rows = members.join(shared, "key").join(prints.select("tie", "signature"), "tie")
-    found = reduce(DataFrame.unionByName, _compared(rows.select("key", "tie", "signature"), similarity - DOUBT, group))
-    found = cut(found.groupBy("u", "v").agg(F.max("estimate").alias("estimate")), "found")
-    sure = F.col("estimate") >= similarity + DOUBT
-    return found.where(sure).select("u", "v").unionByName(verified(found.where(~sure).select("u", "v"), texts, k, similarity))
+    return reduce(DataFrame.unionByName, _compared(rows.select("key", "tie", "signature"), similarity - DOUBT, group, texts, k, similarity, room))

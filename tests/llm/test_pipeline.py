@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from sessionloom.llm import bpe, queries, simhash, similar
+from sessionloom.llm.components import components
 
 SF = "/root/testdata/sf0.001"
 
@@ -106,6 +107,27 @@ def test_a_key_of_many_unlike_texts(spark):
     assert time.time() - began < 120
 
 
+def test_a_crowded_key_loses_no_link(spark):
+    """Chains whose ends are unlike, and pairs that are both near a leading text but not similar to it, beside a large class of copies: at one key, whatever leads, all links are found."""
+    rng, rows = random.Random(6), []
+    base = [f"b{k}" for k in range(100)]
+    for i in range(60):
+        # of the base's shingles some 0.7, of the next one's 0.9
+        own = base[:83] + [f"t{i}_{k}" for k in range(17)]
+        rows += [own, own[:-2] + ["x", "y"], own[:-4] + ["x", "y", "z", "q"], own[:-6] + [f"{i}{k}" for k in range(6)]]
+    rows += [base[:k] + [f"c{k}"] + base[k + 1 :] for k in range(100)]
+    rng.shuffle(rows)
+    texts = [" ".join(r) for r in rows]
+    docs = spark.createDataFrame(list(enumerate(texts)), "tie long, text string")
+    prints = similar.signatures(docs, 5).select("tie", F.array(F.lit(7).cast("long")).alias("keys"), "signature")
+    want = similar_components(texts)
+    for group, room in ((4096, 1 << 25), (32, 1 << 25), (4096, 8192)):
+        edges = similar.links(prints, spark.createDataFrame([], "u long, v long"), docs, 5, 0.8, group, room)
+        least = {r["node"]: r["root"] for r in components(edges).collect()}
+        assert [least.get(i, i) for i in range(len(texts))] == want
+    assert 1 < len(set(want)) < len(texts)
+
+
 ODD = [(1, None, "en", "a", None), (2, "", "en", "a", 0), (3, " \n\t ", None, None, 4), (None, "no id " * 30, "en", "b", 180), (5, "five " * 40, "en", "b", 200), (5, "five " * 40, "en", "b", 200), (6, "FIVE " * 40, "en", "c", 200), (7, "long text of words that go on " * 20_000, "en", "c", 1), (8, "short", "en", None, 5)]
 
 
