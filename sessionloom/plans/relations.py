@@ -186,11 +186,15 @@ def event_bars(spark, sf):
 # streams: each is drained and its tables are read
 
 
+TICK_FILES = 32
+
+
 def _ticks(spark, sf) -> str:
-    """Files of ticks as they arrive."""
+    """Files of ticks as they arrive: of 20,000 rows, or about TICK_FILES larger ones."""
     path = new_path(spark, "ticks")
     rows = X.table(spark, sf, "events").select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("double").alias("price"), F.lit(1).cast("long").alias("quantity"), F.col("event_id").alias("tick_id"))
-    rows.write.option("maxRecordsPerFile", 20_000).parquet(path)
+    # larger tables come in larger files, so that batches, each of which costs the driver the same, don't get more and more
+    rows.write.option("maxRecordsPerFile", max(20_000, rows.count() // TICK_FILES)).parquet(path)
     return path
 
 

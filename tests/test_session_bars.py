@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from sessionloom.plans import relations
 from sessionloom.sources import store
 from sessionloom.streaming import arrivals
 from tests.helpers import day
@@ -76,3 +77,13 @@ def test_bars_dont_depend_on_the_order_of_files(spark, calendar, tmp_path, order
 
 def test_nothing_arrived(spark, calendar, tmp_path):
     assert arrivals.completed_bars(spark, str(tmp_path / "none"), calendar, F.lit(at(9, 0))).collect() == []
+
+
+def test_ticks_of_a_large_table_come_in_few_files(spark, tmp_path):
+    """Each batch costs the driver the same, so their number must not grow with the table: all ticks arrive, in no more files than TICK_FILES and one for each task that writes."""
+    rows = spark.range(0, 2_000_000, 1, 4).selectExpr("id as event_id", "timestamp_micros(id * 1000) as ts", "'a' as event_type", "id / 2 as value")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    path = relations._ticks(spark, str(tmp_path))
+    ticks = spark.read.parquet(path)
+    assert ticks.count() == 2_000_000
+    assert len(ticks.inputFiles()) <= relations.TICK_FILES + 8
