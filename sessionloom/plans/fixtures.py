@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +25,21 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def trade_bars(spark: SparkSession, sf: str) -> DataFrame:
     """Instrument: return flag and line status; session: ship date; price: extended price by quantity."""
     c = F.col
+    # the key's first two numbers, where it isn't null; cents are rounded for a session's first and last rows only
+    known = reduce(and_, [c(n).isNotNull() for n in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")])
+    lead = F.when(known, order_key(**{n: ORDER[n] for n in ("l_orderkey", "l_linenumber")}).cast("long"))
     return bars(
         table(spark, sf, "lineitem").withColumn("l_cents", F.round(c("l_extendedprice") * 100)), F.concat("l_returnflag", "l_linestatus"), c("l_shipdate").cast("date"),
-        c("l_extendedprice").cast("double") / c("l_quantity").cast("double"), c("l_quantity"), order_key(**ORDER), 1 - c("l_discount").cast("double"),
+        c("l_extendedprice").cast("double") / c("l_quantity").cast("double"), c("l_quantity"), order_key(**ORDER), 1 - c("l_discount").cast("double"), lead,
     )
 
 
+def trade_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """session_date: the first and the last ship date, which bound calendars and folds, in two rows."""
+    ends = table(spark, sf, "lineitem").agg(F.array(F.min("l_shipdate"), F.max("l_shipdate")).alias("ends"))
+    return ends.select(F.explode("ends").alias("session_date")).select(F.col("session_date").cast("date").alias("session_date"))
+
+
 view("bars", """
 select symbol, session_date, open, high, low, close, close * adj as adj_close, volume from (
   select l_returnflag || l_linestatus as symbol, l_shipdate::date as session_date,

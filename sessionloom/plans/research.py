@@ -422,7 +422,7 @@ def _design(spark, sf, names=None):
 
 def _folds(spark, sf):
     # the dates alone bound the folds
-    return L.folds(X.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("session_date")))
+    return L.folds(X.trade_dates(spark, sf))
 
 
 def _marks(spark, sf, *names):
@@ -667,11 +667,10 @@ def ml_12(spark, sf):
     return out.select("symbol", "session_date", "target_date", "actual", F.round("prediction", 6).alias("prediction"), F.lit("direction_1d").alias("target"), F.lit("baseline").alias("model"))
 
 
-def _selected_forecasts(spark, sf):
-    """Forecasts of each instrument's latest core-ready row by the published models, without another fit."""
-    bundles, design, _ = _selected(spark, sf)
+def _selected_forecasts(spark, sf, bundles, design):
+    """Forecasts of each instrument's latest core-ready row of the design by the published models, without another fit."""
     latest = G.latest_ready(design).select("symbol", F.col("session_date").alias("as_of_date"), "available_at", *FT.feature_names())
-    calendar, out = X.every_day(X.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("session_date"))), []
+    calendar, out = X.every_day(X.trade_dates(spark, sf)), []
     for target, h in TARGETS.items():
         later = F.broadcast(S.later_session(calendar, h).withColumnRenamed("session_date", "as_of_date"))
         made = bundles[target].predict(latest).join(later, "as_of_date", "left")
@@ -682,11 +681,11 @@ def _selected_forecasts(spark, sf):
 @query("ml_12_pb_03_selected")
 def ml_12_pb_03_selected(spark, sf):
     """The holdout's predictions by baseline and selected model, and the selected models' forecasts of each instrument's latest core-ready row. kind is holdout or forecast."""
-    _, design, found = _selected(spark, sf)
+    bundles, design, found = _selected(spark, sf)
     dates = design.select("symbol", "session_date", "target_date_1d", "target_date_5d")
     own = F.coalesce(*[F.when(F.col("target") == t, F.col(f"target_date_{h}d")) for t, h in TARGETS.items()])
     held = spark.read.schema(M.PREDICTIONS).parquet(f"{found}/holdout").join(dates, ["symbol", "session_date"]).withColumns({"target_date": own, "kind": F.lit("holdout")})
-    made = _selected_forecasts(spark, sf).withColumnRenamed("as_of_date", "session_date").withColumns({"kind": F.lit("forecast"), "actual": F.lit(None).cast("double")})
+    made = _selected_forecasts(spark, sf, bundles, design).withColumnRenamed("as_of_date", "session_date").withColumns({"kind": F.lit("forecast"), "actual": F.lit(None).cast("double")})
     return reduce(DataFrame.unionByName, [x.select("kind", "target", "symbol", "session_date", "target_date", "actual", "prediction", "model") for x in (held, made)])
 
 
