@@ -2,33 +2,60 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sessionloom.llm.shared import cut, lower_ascii
+from sessionloom.llm.shared import cut
 from sessionloom.sources.scratch import new_path
 
-BETWEEN = "[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"  # what no term has
+TERM_BYTES = bytes(b if b >= 0x80 or chr(b).islower() else b + 32 if chr(b).isupper() else 0x20 for b in range(256))  # of UTF-8: A-Z in lower case, what no term has as spaces
+ROWS = 256  # texts whose bags are made at a time
 MARK = "\x1f"  # ends the language, in hex digits, in a vectorizer's word
 MOST_TERMS = 2**31 - 1
 UNIT = 1_000_000_000  # shares are in billionths
 ADDED = 5  # what every count of a kept term is raised by
 TILE, BLOCK = 64, 4096  # sources and terms that meet in a task: at most 2 * TILE * BLOCK numbers of 8 bytes
-VECTORS = "lang string, source string, vector struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
 
 
-def _words(docs: DataFrame) -> DataFrame:
-    """lang, source, and the terms of the text, each behind its language. Only ASCII texts, where it lower-cases A-Z alone, go through lower()."""
-    texts = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    text = F.when(F.octet_length("text") == F.char_length("text"), F.lower("text")).otherwise(lower_ascii(F.col("text")))
-    head = F.concat(F.hex(F.col("lang").cast("binary")), F.lit(MARK))
-    marked = F.split(F.regexp_replace(F.concat(F.lit(" "), text), BETWEEN, F.concat(F.lit(" "), head)), " ")
-    return texts.select("lang", "source", F.array_remove(F.array_remove(marked, ""), head).alias("words"))
+def _bags(docs: DataFrame) -> DataFrame:
+    """lang, source, times, words: for each text and each number of times, the terms that occur so often in it, each behind its language. A text without terms has an empty bag.
+
+    A term is in one bag of a text, so bags that have it are as many as texts that do.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for first in range(0, batch.num_rows, ROWS):
+                yield from _bagged(*[c.to_pylist() for c in batch.slice(first, ROWS).columns])
+
+    texts = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]).withColumn("text", F.col("text").cast("binary"))
+    return texts.mapInArrow(run, "lang string, source string, times long, words array<string>")
+
+
+def _bagged(langs: list[str], sources: list[str], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+    lang, source, times, sizes, words = [], [], [], [], []
+    for a, s, text in zip(langs, sources, texts):
+        head, bags = a.encode().hex().encode() + MARK.encode(), {}
+        for term, n in Counter(text.translate(TERM_BYTES).split()).items():
+            bags.setdefault(n, []).append(head + term)
+        for n, bag in bags.items() or [(1, [])]:
+            lang.append(a)
+            source.append(s)
+            times.append(n)
+            sizes.append(len(bag))
+            words += bag
+    ends = pa.array(np.cumsum([0, *sizes]), pa.int32())
+    words = pa.ListArray.from_arrays(ends, pa.array(words, pa.binary()).cast(pa.string(), safe=False))
+    yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(source, pa.string()), pa.array(times, pa.int64()), words], ["lang", "source", "times", "words"])
 
 
 def _share(count: Column | str, total: Column | str, terms: Column | str) -> Column:
@@ -56,22 +83,22 @@ def term_counts(docs: DataFrame, least_docs: int = 30) -> tuple[DataFrame, DataF
     """(groups, vocabulary, counts): (lang, source) of every row of docs; (index, lang, term) of the terms in least_docs documents of their
     language or more; (lang, source, index, count) above zero.
 
-    One CountVectorizer serves all languages, as its words carry their language, so that minDF counts documents of one language. Documents are
-    sparse vectors of counts, stored once; their sums per source add up map-side, so that a source of any size shuffles a row per term and task.
+    One CountVectorizer serves all languages, as its words carry their language, so that minDF counts documents of one language. Texts are split once: what is stored are
+    their bags (terms that occur equally often in a text), which have each of a text's terms once, so that fitting and transforming handle distinct terms instead of all. Vectors of
+    bags, times their number, are summed by source and term.
     """
     spark = docs.sparkSession
-    words = _words(docs)
-    model = _fitted(words, least_docs)
-    saved, vectors = new_path(spark, "vocabulary"), new_path(spark, "vectors")
+    bags = cut(_bags(docs), "bags")
+    model = _fitted(bags.where(F.size("words") > 0), least_docs)
+    saved = new_path(spark, "vocabulary")
     model.write().save(saved)
-    model.transform(words).select("lang", "source", "vector").write.parquet(vectors)
     vocabulary = spark.read.parquet(f"{saved}/data").select(F.posexplode("vocabulary").alias("index", "word")).where(F.col("word") != MARK)
     lang, term = (F.split_part("word", F.lit(MARK), F.lit(k)) for k in (1, 2))
     vocabulary = vocabulary.select("index", F.unhex(lang).cast("string").alias("lang"), term.alias("term"))
-    vectors = spark.read.schema(VECTORS).parquet(vectors)
-    groups = cut(vectors.select("lang", "source").distinct(), "groups")
-    each = vectors.select("lang", "source", F.inline(F.arrays_zip(F.col("vector.indices").alias("index"), F.col("vector.values").alias("n"))))
-    counts = cut(each.groupBy("lang", "source", "index").agg(F.sum("n").cast("long").alias("count")), "counts")
+    groups = cut(bags.select("lang", "source").distinct(), "groups")
+    vectors = model.transform(bags).select("lang", "source", "times", F.unwrap_udt("vector").alias("vector"))
+    each = vectors.select("lang", "source", "times", F.explode("vector.indices").alias("index"))
+    counts = cut(each.groupBy("lang", "source", "index").agg(F.sum("times").alias("count")), "counts")
     return groups, cut(vocabulary, "terms"), counts
 
 

@@ -58,3 +58,13 @@ def test_divergence(spark, tile, block, least):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert divergence.audit(docs).collect() == []
+
+
+def test_bags(spark):
+    """A text's terms come once each, in the bag of how often they occur there, however often that is; bytes beyond ASCII are never split or lowered."""
+    docs = spark.createDataFrame([("B a,A É é  b1B_ b" + " zz" * 5000, "en", "s"), (None, "x\x1fy", None), ("\x1fİǅ \u0085ß'Ω", None, "")], "text string, lang string, source string")
+    got = sorted((r["lang"], r["source"], r["times"], sorted(r["words"])) for r in divergence._bags(docs).collect())
+    mark = "656e" + divergence.MARK
+    assert got == [
+        ("", "", 1, sorted(divergence.MARK + w for w in ("İǅ \u0085ß", "Ω"))), ("en", "s", 1, [mark + "É", mark + "é"]), ("en", "s", 2, [mark + "a"]), ("en", "s", 4, [mark + "b"]), ("en", "s", 5000, [mark + "zz"]), ("x\x1fy", "", 1, []),
+    ]
