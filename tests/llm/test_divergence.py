@@ -4,9 +4,12 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from pyspark.ml.feature import CountVectorizerModel
 
 from sessionloom.llm import divergence
+from sessionloom.llm.shared import cut
 
 TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 UPPER = {i: i + 32 for i in range(65, 91)}
@@ -68,3 +71,45 @@ def test_bags(spark):
     assert got == [
         ("", "", 1, sorted(divergence.MARK + w for w in ("İǅ \u0085ß", "Ω"))), ("en", "s", 1, [mark + "É", mark + "é"]), ("en", "s", 2, [mark + "a"]), ("en", "s", 4, [mark + "b"]), ("en", "s", 5000, [mark + "zz"]), ("x\x1fy", "", 1, []),
     ]
+
+
+def test_runs(spark):
+    """However many texts of a source a task reads, a term is in one of its bags; what is seen of a language counts texts, up to the bound."""
+    own = [(text, "de" if lang is None else lang, source) for text, lang, source in rows()]
+    docs = spark.createDataFrame(own, "text string, lang string, source string").coalesce(1)
+    counts, texts = defaultdict(Counter), defaultdict(Counter)
+    for text, lang, source in own:
+        terms = [f"{lang.encode().hex()}{divergence.MARK}{t}" for t in TERM.findall((text or "").translate(UPPER))]
+        counts[lang, source or ""].update(terms)
+        texts[lang].update(set(terms))
+    bags = divergence._bags(docs).collect()
+    got = sorted((r["lang"], r["source"], w, r["times"]) for r in bags for w in r["words"])
+    assert got == sorted((*g, w, n) for g, c in counts.items() for w, n in c.items())
+    assert {(r["lang"], r["source"]) for r in bags} == set(counts)
+    seen = sorted((r["lang"], w, x["docs"]) for r in bags for x in r["seen"] for w in x["words"])
+    assert seen == sorted((lang, w, min(n, 30)) for lang, c in texts.items() for w, n in c.items())
+
+
+@pytest.mark.parametrize("loose", [-1, 40, 1 << 23])
+def test_tally_in_slices(monkeypatch, loose):
+    """Sums of sums are those of all slices, whenever they are taken."""
+    monkeypatch.setattr(divergence, "LOOSE", loose)
+    tally, want, texts = divergence._Tally(3), Counter(), Counter()
+    for lang, source, text in [("en", "s", "b a b"), ("de", "s", ""), ("en", "t", " A1a "), ("en", "s", "a É"), ("de", "u", "   "), ("en", "s", "a"), ("de", "s", "É é"), ("en", "s", "c a")]:
+        body = text.encode()
+        tally.add([lang], [source], np.frombuffer(body, np.uint8), np.array([0, len(body)]))
+        terms = TERM.findall(text.translate(UPPER))
+        want.update((lang, source, lang.encode().hex() + divergence.MARK + t) for t in terms)
+        texts.update((lang, lang.encode().hex() + divergence.MARK + t) for t in set(terms))
+    bags = [r for batch in tally.bags() for r in batch.to_pylist()]
+    assert {(r["lang"], r["source"], w): r["times"] for r in bags for w in r["words"]} == want
+    assert {(r["lang"], r["source"]) for r in bags if not r["words"]} == {("de", "u")}
+    assert {(r["lang"], w): x["docs"] for r in bags for x in r["seen"] for w in x["words"]} == {k: min(n, 3) for k, n in texts.items()}
+    assert list(divergence._Tally(3).bags()) == []
+
+
+def test_bags_are_transformed_once(spark):
+    bags = cut(spark.createDataFrame([("en", "s", 3, ["a", "b"]), ("en", "s", 1, []), ("en", "t", 2, ["x"])], "lang string, source string, times long, words array<string>"), "bags")
+    found = divergence._indices(CountVectorizerModel.from_vocabulary(["b", "a"], inputCol="words", outputCol="vector"), bags)
+    assert sorted(tuple(r) for r in found.collect()) == [("en", "s", 3, 0), ("en", "s", 3, 1)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("UDF(words") == 1
